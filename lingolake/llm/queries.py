@@ -22,6 +22,20 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_guess")
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sentencepiece_backend import encode
+
+    return encode(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), keep=["doc_id"], with_ids=False)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import held_out, score, train
+
+    docs = _table(spark, sf_dir, "documents")
+    scored = score(docs, train(docs, _table(spark, sf_dir, "labels")), keep=["doc_id"])
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import judge
 
@@ -36,5 +50,5 @@ def op10_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_shards(shards).withColumnRenamed("key", "doc_id")
 
 
-QUERIES = {"op4_secrets": op4_secrets, "op9_quality": op9_quality, "op10_sstable": op10_sstable}
+QUERIES = {"op4_secrets": op4_secrets, "op5_sentencepiece": op5_sentencepiece, "op7_toxicity": op7_toxicity, "op9_quality": op9_quality, "op10_sstable": op10_sstable}
 ORACLES: dict[str, str] = {}
