@@ -62,6 +62,15 @@ class ByteHash:
         return mix(np.add.reduceat(values, starts) * self.down[starts])
 
 
+    def heads(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
+        """Hashes of each segment's first k bytes."""
+        out = np.zeros(len(starts), np.uint64)
+        for j in range(k):
+            inside = sizes > j
+            out[inside] += self.table[data[starts[inside] + j]] * np.uint64(pow(self.base, j, 1 << 64))
+        return mix(out)
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and the n + 1 offsets into them."""
     if isinstance(column, pa.ChunkedArray):

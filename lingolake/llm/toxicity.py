@@ -1,6 +1,7 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A text is the set of its lower-cased letter runs, hashed into ``2**bits`` places.  The machine adds to the weight of
+A text is the set of its lower-cased letter runs and of their first 4 and 5 bytes (which inflected and spelled-out
+variants share), hashed into ``2**bits`` places.  The machine adds to the weight of
 each term the inner products of the terms' factors, so a pair such as an insult with a mention of a group has a
 weight of its own.  It is fitted on a bounded sample of labelled rows (``sample`` rows of each label at most, those with
 the least hash of their key), in one task; every text is then scored in a pass without a shuffle.
@@ -30,18 +31,22 @@ class Terms(Words):
 
 
 class Hasher:
+    HEADS = (4, 5)
+
     def __init__(self, bits: int):
         self.shift, self.hash = np.uint64(64 - bits), ByteHash(31, lower=True)
 
     def __call__(self, column: pa.Array, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(text number, place) of the distinct places of each text, ascending; of the known ones only, if given."""
         w = Terms(column)
-        place = (self.hash.words(w.data, w.starts) >> self.shift).astype(np.int64)
-        owner = w.owner()
-        if known is not None:
-            use = known[place]
-            place, owner = place[use], owner[use]
-        pairs = np.unique(owner << 32 | place)
+        owner, size = w.owner(), w.ends - w.starts
+        pairs = []
+        for kind, hashes, use in ((0, self.hash.words(w.data, w.starts), None), *((k, self.hash.heads(w.data, w.starts, size, k), size > k) for k in self.HEADS)):
+            place = ((hashes ^ np.uint64(kind * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) >> self.shift).astype(np.int64)
+            if known is not None:
+                use = known[place] if use is None else use & known[place]
+            pairs.append((owner << 32 | place) if use is None else owner[use] << 32 | place[use])
+        pairs = np.unique(np.concatenate(pairs))
         return pairs >> 32, pairs & 0xFFFFFFFF
 
 
@@ -60,8 +65,8 @@ class Machine:
         return out + 0.5 * ((sums**2).sum(1) - squares), sums
 
     @classmethod
-    def fit(cls, bits: int, text: np.ndarray, place: np.ndarray, label: np.ndarray, *, factors: int = 6, rounds: int = 300, rate: float = 0.1, decay: float = 1e-3, min_texts: int = 3, min_odds: float = 0.7, seed: int = 1) -> Machine:
-        """Adaptive gradient descent on the log loss over terms in ``min_texts`` texts at least whose log odds differ by ``min_odds``."""
+    def fit(cls, bits: int, text: np.ndarray, place: np.ndarray, label: np.ndarray, *, factors: int = 6, rounds: int = 300, rate: float = 0.1, decay: float = 1e-3, min_ratio: float = 20.0, seed: int = 1) -> Machine:
+        """Adaptive gradient descent on the log loss, over the terms whose log likelihood ratio (G) with the label is ``min_ratio`` or more."""
         n, size = len(label), 1 << bits
         positive = float(label.sum())
         if not n or positive in (0.0, float(n)):
@@ -69,8 +74,11 @@ class Machine:
             return cls(bits, float(np.log(share / (1 - share))), np.zeros(0, np.int64), np.zeros(0), np.zeros((0, factors)))
         every, yes = np.bincount(place, minlength=size), np.bincount(place, label[text], size)
         no = every - yes
-        odds = np.log((yes + 0.5) / (positive + 1)) - np.log((no + 0.5) / (n - positive + 1))
-        places = np.flatnonzero((every >= min_texts) & (np.abs(odds) >= min_odds))
+        share = positive / n
+        with np.errstate(divide="ignore", invalid="ignore"):
+            cells = ((yes, every * share), (no, every * (1 - share)), (positive - yes, (n - every) * share), (n - positive - no, (n - every) * (1 - share)))
+            ratio = 2 * sum(np.where(seen > 0, seen * np.log(seen / expected), 0.0) for seen, expected in cells)
+        places = np.flatnonzero(ratio >= min_ratio)
         number = np.full(size, -1)
         number[places] = np.arange(len(places))
         use = number[place] >= 0
