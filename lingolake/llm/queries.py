@@ -36,6 +36,13 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_tree import extract
+
+    out = extract(_table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import judge
 
@@ -50,5 +57,5 @@ def op10_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_shards(shards).withColumnRenamed("key", "doc_id")
 
 
-QUERIES = {"op4_secrets": op4_secrets, "op5_sentencepiece": op5_sentencepiece, "op7_toxicity": op7_toxicity, "op9_quality": op9_quality, "op10_sstable": op10_sstable}
+QUERIES = {"op4_secrets": op4_secrets, "op5_sentencepiece": op5_sentencepiece, "op7_toxicity": op7_toxicity, "op8_html": op8_html, "op9_quality": op9_quality, "op10_sstable": op10_sstable}
 ORACLES: dict[str, str] = {}
