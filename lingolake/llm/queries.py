@@ -15,6 +15,22 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import archive, summary
+
+    return summary(archive(_table(spark, sf_dir, "pages")))
+
+
+OP2_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+     w AS (SELECT html, max(page_id) AS winner FROM p WHERE strlen(html) >= 1000 GROUP BY html)
+SELECT page_id, CAST(strlen(p.html) AS BIGINT) AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN winner IS NULL OR winner = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN winner <> page_id THEN winner END AS refers_to
+FROM p LEFT JOIN w ON p.html = w.html
+"""
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secrets import scan
 
@@ -57,5 +73,5 @@ def op10_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_shards(shards).withColumnRenamed("key", "doc_id")
 
 
-QUERIES = {"op4_secrets": op4_secrets, "op5_sentencepiece": op5_sentencepiece, "op7_toxicity": op7_toxicity, "op8_html": op8_html, "op9_quality": op9_quality, "op10_sstable": op10_sstable}
-ORACLES: dict[str, str] = {}
+QUERIES = {"op2_warc": op2_warc, "op4_secrets": op4_secrets, "op5_sentencepiece": op5_sentencepiece, "op7_toxicity": op7_toxicity, "op8_html": op8_html, "op9_quality": op9_quality, "op10_sstable": op10_sstable}
+ORACLES: dict[str, str] = {"op2_warc": OP2_SQL}
