@@ -15,6 +15,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring import dedup
+
+    return dedup(_table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import archive, summary
 
@@ -73,5 +79,5 @@ def op10_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_shards(shards).withColumnRenamed("key", "doc_id")
 
 
-QUERIES = {"op2_warc": op2_warc, "op4_secrets": op4_secrets, "op5_sentencepiece": op5_sentencepiece, "op7_toxicity": op7_toxicity, "op8_html": op8_html, "op9_quality": op9_quality, "op10_sstable": op10_sstable}
+QUERIES = {"op1_substring": op1_substring, "op2_warc": op2_warc, "op4_secrets": op4_secrets, "op5_sentencepiece": op5_sentencepiece, "op7_toxicity": op7_toxicity, "op8_html": op8_html, "op9_quality": op9_quality, "op10_sstable": op10_sstable}
 ORACLES: dict[str, str] = {"op2_warc": OP2_SQL}
