@@ -15,20 +15,15 @@ themselves and passes on the first of them only, so a bucket gets as many entrie
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .runs import MEMORY, RUN, batch_of, buckets_of, by_doc, cut_by_bucket, grouped, joined, merged, of_documents, pack, settle_keys, settle_run, settled
 from .store import written
 from .text import ByteHash, Words, pieces, rolled
 
-#: Entries that a task holds before it flushes a run.
-MEMORY = 3_000_000
-RUN = "kind int, bucket int, doc long, a binary, b binary, c binary, d binary"
-
-
 class Hashes:
     """Word hashes, window fingerprints and window hashes of a column."""
 
@@ -57,54 +52,6 @@ class Hashes:
         return rolled(h, self.window, 11), rolled(self.second.words(w.data, w.starts), self.window, 13)
 
 
-def pack(x: np.ndarray) -> bytes:
-    return np.ascontiguousarray(x).tobytes()
-
-
-def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4)
-    cols = list(zip(*rows)) if rows else [[]] * 7
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["kind", "bucket", "doc", "a", "b", "c", "d"])
-
-
-def by_doc(doc: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """(document, its values) of pairs in any order."""
-    order = np.argsort(doc, kind="stable")
-    doc, values = doc[order], values[order]
-    cut = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, int)
-    for i, j in zip(cut, [*cut[1:], len(doc)]):
-        yield int(doc[i]), pack(values[i:j])
-
-
-def grouped(key: np.ndarray, check: np.ndarray | None, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order by key, check and document; start of each key's group in that order)."""
-    order = np.lexsort((doc, key)) if check is None else np.lexsort((doc, check, key))
-    key = key[order]
-    new = np.ones(len(key), bool)
-    new[1:] = key[1:] != key[:-1]
-    if check is not None:
-        check = check[order]
-        new[1:] |= check[1:] != check[:-1]
-    return order, np.flatnonzero(new)
-
-
-def _group_ends(start: np.ndarray, n: int) -> np.ndarray:
-    return np.concatenate([start[1:], [n]]) if len(start) else start
-
-
-def shared(fp: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order, group starts, whether each group has two documents)."""
-    order, start = grouped(fp, None, doc)
-    end = _group_ends(start, len(fp))
-    doc = doc[order]
-    return order, start, doc[start] != doc[end - 1] if len(start) else np.zeros(0, bool)
-
-
-def buckets_of(spark: SparkSession) -> int:
-    """Bits of the bucket number: a few buckets for each shuffle partition."""
-    return max(4, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length())
-
-
 def first_pass(docs: DataFrame, hashes: tuple[int, int], bits: int) -> DataFrame:
     """Rows of three kinds: 0 entries of a run (a: fingerprints, b: documents), 1 fingerprints that a document
     shares with another one of the same task (a), 2 a document's number of words (bucket) and hash of its words (a)."""
@@ -113,15 +60,9 @@ def first_pass(docs: DataFrame, hashes: tuple[int, int], bits: int) -> DataFrame
         make, held, n = Hashes(*hashes), [], 0
 
         def flush():
-            fp, doc = (np.concatenate(x) for x in zip(*held))
+            rows = settled(*(np.concatenate(x) for x in zip(*held)), bits)
             held.clear()
-            order, start, many = shared(fp, doc)
-            fp, doc = fp[order], doc[order]
-            rows = [(1, None, d, x, None, None, None) for d, x in by_doc(doc[np.repeat(many, np.diff([*start, len(fp)]))], fp[np.repeat(many, np.diff([*start, len(fp)]))])]
-            fp, doc = fp[start], doc[start]
-            cut = np.searchsorted(fp >> np.uint64(64 - bits), np.arange((1 << bits) + 1)) if bits else [0, len(fp)]
-            rows += [(0, i, None, pack(fp[a:b]), pack(doc[a:b]), None, None) for i, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
-            return batch_of(rows)
+            return batch_of([r for r in rows if r[0] != 3])
 
         for batch in pieces(batches):
             keys = batch.column(0).to_pylist()
@@ -149,42 +90,6 @@ def spread(fp: np.ndarray) -> np.ndarray:
     return fp * np.uint64(0x9E3779B97F4A7C15)
 
 
-def merged(runs: DataFrame, width: int, settle) -> DataFrame:
-    """Brings each bucket's entries of all runs together; ``settle`` gives the rows of one bucket."""
-
-    def run(batches):
-        bucket, held = None, []
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["bucket"] != bucket and held:
-                    yield batch_of(settle(bucket, held))
-                    held = []
-                bucket = row["bucket"]
-                held.append(row)
-        if held:
-            yield batch_of(settle(bucket, held))
-
-    return runs.repartition(width, "bucket").sortWithinPartitions("bucket").mapInArrow(run, RUN)
-
-
-def _joined(rows: list[dict], column: str, kind=np.uint64) -> np.ndarray:
-    return np.concatenate([np.frombuffer(r[column], kind) for r in rows])
-
-
-def settle_fingerprints(bucket: int, rows: list[dict]) -> list[tuple]:
-    fp, doc = _joined(rows, "a"), _joined(rows, "b", np.int64)
-    order, start, many = shared(fp, doc)
-    use = np.repeat(many, np.diff([*start, len(fp)]))
-    return [(1, None, d, x, None, None, None) for d, x in by_doc(doc[order][use], fp[order][use])]
-
-
-def settle_run(bucket: int, rows: list[dict]) -> list[tuple]:
-    """Compaction: one entry for each fingerprint, with its first document."""
-    fp, doc = _joined(rows, "a"), _joined(rows, "b", np.int64)
-    order, start = grouped(fp, None, doc)
-    return [(0, bucket, None, pack(fp[order][start]), pack(doc[order][start]), None, None)]
-
-
 def later(key: np.ndarray, check: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[list[tuple], tuple[np.ndarray, ...]]:
     """Rows with the window starts of documents after the first one that has the window; and the first ones' entries."""
     order, start = grouped(key, check, doc)
@@ -196,7 +101,7 @@ def later(key: np.ndarray, check: np.ndarray, doc: np.ndarray, at: np.ndarray) -
 
 
 def settle_windows(bucket: int, rows: list[dict]) -> list[tuple]:
-    return later(_joined(rows, "a"), _joined(rows, "b"), _joined(rows, "c", np.int64), _joined(rows, "d", np.int32))[0]
+    return later(joined(rows, "a"), joined(rows, "b"), joined(rows, "c", np.int64), joined(rows, "d", np.int32))[0]
 
 
 def second_pass(docs: DataFrame, hashes: tuple[int, int], bits: int) -> DataFrame:
@@ -209,8 +114,7 @@ def second_pass(docs: DataFrame, hashes: tuple[int, int], bits: int) -> DataFram
         def flush():
             rows, (key, check, doc, at) = later(*(np.concatenate(x) for x in zip(*held)))
             held.clear()
-            cut = np.searchsorted(key >> np.uint64(64 - bits), np.arange((1 << bits) + 1)) if bits else [0, len(key)]
-            rows += [(0, i, None, pack(key[a:b]), pack(check[a:b]), pack(doc[a:b]), pack(at[a:b])) for i, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
+            rows += [(0, i, None, pack(key[a:b]), pack(check[a:b]), pack(doc[a:b]), pack(at[a:b])) for i, a, b in cut_by_bucket(key, bits)]
             return batch_of(rows)
 
         for batch in pieces(batches):
@@ -235,19 +139,6 @@ def second_pass(docs: DataFrame, hashes: tuple[int, int], bits: int) -> DataFram
     return docs.select("doc", "text", "found").mapInArrow(run, RUN)
 
 
-def of_documents(docs: DataFrame, rows: DataFrame, most_broadcast: int) -> DataFrame:
-    """The documents that ``rows`` names, with the list ``found`` of the rows' values.
-
-    Documents are first narrowed by their keys, broadcast if there are at most ``most_broadcast``; beyond that all of them
-    go through the join.
-    """
-    lists = rows.groupBy("doc").agg(F.collect_list("a").alias("found"))
-    names = rows.select("doc").distinct()
-    if names.count() <= most_broadcast:
-        docs = docs.join(F.broadcast(names), "doc", "left_semi")
-    return docs.join(lists, "doc")
-
-
 class FingerprintIndex:
     """The runs of a corpus.  ``fan_in`` runs are compacted into one by ``compact``."""
 
@@ -271,8 +162,8 @@ class FingerprintIndex:
         """Adds the batch (doc, text).  Returns the batch's words (kind 2 rows) and, as (doc, a), the starts of windows that
         also start in a document with a smaller key.  ``corpus`` has the texts of history and batch."""
         new = written(first_pass(batch, self.hashes, self.bits), "substring-run")
-        both = merged(self._entries([new]), self.width, settle_fingerprints)
-        found = written(both.select("doc", "a").unionByName(new.filter("kind = 1").select("doc", "a")), "substring-shared")
+        both = merged(self._entries([new]), self.width, settle_keys)
+        found = written(both.filter("kind = 1").select("doc", "a").unionByName(new.filter("kind = 1").select("doc", "a")), "substring-shared")
         windows = written(second_pass(of_documents(corpus, found, most_broadcast), self.hashes, self.bits), "substring-windows")
         hits = merged(windows.filter("kind = 0"), self.width, settle_windows)
         self.runs.append(new)
