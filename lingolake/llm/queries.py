@@ -37,6 +37,12 @@ FROM p LEFT JOIN w ON p.html = w.html
 """
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neardup import classes_of
+
+    return classes_of(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secrets import scan
 
@@ -79,5 +85,5 @@ def op10_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_shards(shards).withColumnRenamed("key", "doc_id")
 
 
-QUERIES = {"op1_substring": op1_substring, "op2_warc": op2_warc, "op4_secrets": op4_secrets, "op5_sentencepiece": op5_sentencepiece, "op7_toxicity": op7_toxicity, "op8_html": op8_html, "op9_quality": op9_quality, "op10_sstable": op10_sstable}
+QUERIES = {"op1_substring": op1_substring, "op2_warc": op2_warc, "op3_minhash": op3_minhash, "op4_secrets": op4_secrets, "op5_sentencepiece": op5_sentencepiece, "op7_toxicity": op7_toxicity, "op8_html": op8_html, "op9_quality": op9_quality, "op10_sstable": op10_sstable}
 ORACLES: dict[str, str] = {"op2_warc": OP2_SQL}
