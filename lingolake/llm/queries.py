@@ -56,6 +56,12 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), keep=["doc_id"], with_ids=False)
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import matches
+
+    return matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import held_out, score, train
 
@@ -85,5 +91,5 @@ def op10_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_shards(shards).withColumnRenamed("key", "doc_id")
 
 
-QUERIES = {"op1_substring": op1_substring, "op2_warc": op2_warc, "op3_minhash": op3_minhash, "op4_secrets": op4_secrets, "op5_sentencepiece": op5_sentencepiece, "op7_toxicity": op7_toxicity, "op8_html": op8_html, "op9_quality": op9_quality, "op10_sstable": op10_sstable}
+QUERIES = {"op1_substring": op1_substring, "op2_warc": op2_warc, "op3_minhash": op3_minhash, "op4_secrets": op4_secrets, "op5_sentencepiece": op5_sentencepiece, "op6_decontaminate": op6_decontaminate, "op7_toxicity": op7_toxicity, "op8_html": op8_html, "op9_quality": op9_quality, "op10_sstable": op10_sstable}
 ORACLES: dict[str, str] = {"op2_warc": OP2_SQL}
