@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .components import components
-from .runs import MEMORY, RUN, batch_of, buckets_of, merged, settle_keys, settled
-from .store import written
+from .runs import MEMORY, RUN, batch_of, buckets_of, merged, settle_keys, settled, stashed
+from .store import new_dir, remove, written
 from .text import ByteHash, Words, _random, mix, pieces, rolled
 
 CHUNKS, WIDTH = 14, 6
@@ -90,7 +90,7 @@ def _signed(docs: DataFrame, k: int, n: int) -> DataFrame:
     return docs.mapInArrow(run, "doc long, n long, f long, g long, sig binary")
 
 
-def _key_runs(classes: DataFrame, chunks: int, width: int, bits: int) -> DataFrame:
+def _key_runs(classes: DataFrame, chunks: int, width: int, bits: int, folder: str) -> DataFrame:
     """Kinds 0, 1 and 3 (see ``runs.settled``) of the keys of (doc, sig) rows."""
 
     def run(batches):
@@ -103,10 +103,10 @@ def _key_runs(classes: DataFrame, chunks: int, width: int, bits: int) -> DataFra
             held.append((found.ravel(), np.repeat(batch.column(0).to_numpy(), found.shape[1])))
             n += found.size
             if n > MEMORY:
-                yield batch_of(settled(*(np.concatenate(x) for x in zip(*held)), bits))
+                yield batch_of(stashed(settled(*(np.concatenate(x) for x in zip(*held)), bits), folder))
                 held, n = [], 0
         if held:
-            yield batch_of(settled(*(np.concatenate(x) for x in zip(*held)), bits))
+            yield batch_of(stashed(settled(*(np.concatenate(x) for x in zip(*held)), bits), folder))
 
     return classes.select("doc", "sig").mapInArrow(run, RUN)
 
@@ -230,8 +230,10 @@ def classes_of(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shin
     alike = ["n", "f", "g"]
     classes = written(facts.filter("n > 0 AND doc IS NOT NULL").groupBy(*alike).agg(F.min("doc").alias("doc"), F.first("sig").alias("sig")), "neardup-classes")
     bits = buckets_of(spark)
-    runs = written(_key_runs(classes, chunks, width, bits), "neardup-runs")
+    folder = new_dir(spark, "neardup-files")
+    runs = written(_key_runs(classes, chunks, width, bits, folder), "neardup-runs")
     met = written(merged(runs.filter("kind = 0"), 1 << bits, settle_keys), "neardup-met")
+    remove(spark, folder)
     both = met.unionByName(runs.filter("kind <> 0"))
     known = rows.filter("doc IS NOT NULL")
 

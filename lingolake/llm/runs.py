@@ -2,6 +2,8 @@
 
 A task sorts what it has (a memory table) and settles its own documents among themselves; for each key it passes on
 one document only.  So a key that a third of all documents have brings a bucket one entry a task, not one a document.
+Runs are immutable files in the shared folder, with a segment for each bucket: keys as differences, all columns by
+byte planes, compressed.  What is shuffled are the segments' places; a merging task reads its bucket's segments.
 """
 
 from __future__ import annotations
@@ -12,12 +14,59 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .store import NewFile, opened
+
 #: Entries that a task holds before it flushes a run.
 MEMORY = 3_000_000
 #: What kinds of rows there are and what their columns hold is said where they are made.
 RUN = "kind int, bucket int, doc long, a binary, b binary, c binary, d binary"
 
 
+def squeeze(x: np.ndarray, ascending: bool) -> bytes:
+    """A column of a segment; ascending ones as differences."""
+    kind = x.dtype.str.encode().ljust(4)
+    if ascending and len(x):
+        x = np.concatenate([x[:1], x[1:] - x[:-1]])
+    return kind + bytes([ascending]) + len(x).to_bytes(8, "little") + (pa.compress(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes(), "zstd", asbytes=True) if len(x) else b"")
+
+
+def unsqueeze(raw: bytes) -> np.ndarray:
+    kind, n = np.dtype(raw[:4].decode().strip()), int.from_bytes(raw[5:13], "little")
+    if not n:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(pa.decompress(raw[13:], n * kind.itemsize, "zstd", asbytes=True), np.uint8)
+    x = np.ascontiguousarray(planes.reshape(kind.itemsize, n).T).view(kind).ravel()
+    return np.cumsum(x, dtype=kind) if raw[4] else x
+
+
+def stashed(rows: list[tuple], folder: str) -> list[tuple]:
+    """The rows, with the columns of kind 0 rows in one new run file, and their places in the rows instead."""
+    out, file = [], None
+    for row in rows:
+        if row[0] == 0:
+            file = file or NewFile(folder, "run.bin")
+            parts = [squeeze(x, not i) for i, x in enumerate(row[3:]) if x is not None]
+            row = (0, row[1], None, pack(np.array([file.size, *map(len, parts)], np.int64)), file.uri.encode(), None, None)
+            file.write(b"".join(parts))
+        out.append(row)
+    if file:
+        file.close()
+    return out
+
+
+def loaded(row: dict, files: dict) -> list[np.ndarray]:
+    """The columns that a place stands for."""
+    uri = row["b"].decode()
+    if uri not in files:
+        files[uri] = opened(uri)
+    at, *sizes = np.frombuffer(row["a"], np.int64).tolist()
+    raw, out, i = files[uri].read_at(sum(sizes), at), [], 0
+    for size in sizes:
+        out.append(unsqueeze(raw[i : i + size]))
+        i += size
+    return out
+
+
 def pack(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x).tobytes()
 
@@ -62,28 +111,32 @@ def buckets_of(spark: SparkSession) -> int:
     return max(4, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length())
 
 
-def merged(runs: DataFrame, width: int, settle) -> DataFrame:
-    """Brings each bucket's entries of all runs together; ``settle`` gives the rows of one bucket."""
+def merged(runs: DataFrame, width: int, settle, folder: str | None = None) -> DataFrame:
+    """Brings each bucket's entries of all runs together; ``settle`` gives the rows of one bucket (runs go to ``folder``)."""
 
     def run(batches):
-        bucket, held = None, []
+        bucket, held, files = None, [], {}
+
+        def settle_held():
+            columns = [np.concatenate(c) for c in zip(*held)]
+            rows = settle(bucket, *columns)
+            held.clear()
+            return batch_of(stashed(rows, folder) if folder else rows)
+
         for batch in batches:
             for row in batch.to_pylist():
                 if row["bucket"] != bucket and held:
-                    yield batch_of(settle(bucket, held))
-                    held = []
+                    yield settle_held()
                 bucket = row["bucket"]
-                held.append(row)
+                held.append(loaded(row, files))
+                if len(files) > 200:
+                    files.popitem()[1].close()
         if held:
-            yield batch_of(settle(bucket, held))
+            yield settle_held()
 
     return runs.repartition(width, "bucket").sortWithinPartitions("bucket").mapInArrow(run, RUN)
 
 
-def joined(rows: list[dict], column: str, kind=np.uint64) -> np.ndarray:
-    return np.concatenate([np.frombuffer(r[column], kind) for r in rows])
-
-
 def cut_by_bucket(key: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
     """(bucket, from, to) of ascending keys; the bucket is their leading bits."""
     cut = np.searchsorted(key >> np.uint64(64 - bits), np.arange((1 << bits) + 1))
@@ -100,7 +153,7 @@ def settled(key: np.ndarray, doc: np.ndarray, bits: int) -> list[tuple]:
     rows = [(1, None, d, x, None, None, None) for d, x in by_doc(doc[use], key[use])]
     rows += stars(doc, start, use)
     key, doc = key[start], doc[start]
-    return rows + [(0, i, None, pack(key[a:b]), pack(doc[a:b]), None, None) for i, a, b in cut_by_bucket(key, bits)]
+    return rows + [(0, i, None, key[a:b], doc[a:b], None, None) for i, a, b in cut_by_bucket(key, bits)]
 
 
 def stars(doc: np.ndarray, start: np.ndarray, use: np.ndarray) -> list[tuple]:
@@ -113,20 +166,18 @@ def stars(doc: np.ndarray, start: np.ndarray, use: np.ndarray) -> list[tuple]:
     return [(3, None, d, x, None, None, None) for d, x in by_doc(pairs[:, 0], pairs[:, 1])]
 
 
-def settle_keys(bucket: int, rows: list[dict]) -> list[tuple]:
+def settle_keys(bucket: int, key: np.ndarray, doc: np.ndarray) -> list[tuple]:
     """For ``merged``: kind 1 and kind 3 rows, as of ``settled``, over all runs."""
-    key, doc = joined(rows, "a"), joined(rows, "b", np.int64)
     order, start, many = shared(key, doc)
     key, doc = key[order], doc[order]
     use = np.repeat(many, np.diff([*start, len(key)]))
     return [(1, None, d, x, None, None, None) for d, x in by_doc(doc[use], key[use])] + stars(doc, start, use)
 
 
-def settle_run(bucket: int, rows: list[dict]) -> list[tuple]:
-    """Compaction: one entry for each fingerprint, with its first document."""
-    fp, doc = joined(rows, "a"), joined(rows, "b", np.int64)
-    order, start = grouped(fp, None, doc)
-    return [(0, bucket, None, pack(fp[order][start]), pack(doc[order][start]), None, None)]
+def settle_run(bucket: int, key: np.ndarray, doc: np.ndarray) -> list[tuple]:
+    """Compaction: one entry for each key, with its first document."""
+    order, start = grouped(key, None, doc)
+    return [(0, bucket, None, key[order][start], doc[order][start], None, None)]
 
 
 def of_documents(docs: DataFrame, rows: DataFrame, most_broadcast: int) -> DataFrame:

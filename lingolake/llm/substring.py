@@ -1,11 +1,11 @@
 """Substring dedup with a log-structured fingerprint index.
 
-A *window* is a run of ``window`` words.  Its *fingerprint* is that of the longest (then least-hashed) ``anchor``-word
-shingle in it, so neighbouring windows mostly share one, equal windows always have the same one, and the index holds
-about one entry for five words.  The index is a set of immutable runs: each task sorts its fingerprints (a memory
-table, flushed when it is full) and writes them by hash bucket, with one document for each fingerprint.  A new batch's
-runs are merged with those of the history, bucket by bucket; what is found in two documents names the stretches whose
-windows are then compared in full, by 128 bits (64 to merge by, 64 independent ones to verify).  Runs are compacted
+A *window* is a run of ``window`` words.  Its *fingerprint* is the least hash of the ``anchor``-word shingles in it, so
+neighbouring windows mostly share one, equal windows always have the same one, and the index holds about one entry
+for four words.  The index is a set of immutable runs: each task sorts its fingerprints (a memory table, flushed when
+it is full) and writes them by hash bucket, with one document for each fingerprint.  A new batch's runs are merged
+with those of the history, bucket by bucket; what is found in two documents names the stretches whose windows are then
+merged themselves, by 96 bits (64 to merge by, and 32 of an independent hash of the words to verify).  Runs are compacted
 into one by merging buckets and keeping the first document of each fingerprint.
 
 A fingerprint or window that many documents have is no hot spot: each task settles its own documents among
@@ -20,8 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .runs import MEMORY, RUN, batch_of, buckets_of, by_doc, cut_by_bucket, grouped, joined, merged, of_documents, pack, settle_keys, settle_run, settled
-from .store import written
+from .runs import MEMORY, RUN, batch_of, buckets_of, by_doc, cut_by_bucket, grouped, merged, of_documents, settle_keys, settle_run, settled, stashed
+from .store import new_dir, remove, written
 from .text import ByteHash, Words, pieces, rolled
 
 class Hashes:
@@ -39,9 +39,7 @@ class Hashes:
         at = w.windows(self.window)
         if not len(at):
             return at, np.zeros(0, np.uint64), h
-        size = np.concatenate([[0], np.cumsum(w.ends - w.starts)])
-        length = np.minimum(size[self.anchor :] - size[: -self.anchor], 255).astype(np.uint64)
-        order = (np.uint64(255) - length) << np.uint64(56) | rolled(h, self.anchor, 7) >> np.uint64(8)
+        order = rolled(h, self.anchor, 7)
         n = len(order) - (self.window - self.anchor)
         least = order[:n].copy()
         for j in range(1, self.window - self.anchor + 1):
@@ -49,10 +47,10 @@ class Hashes:
         return at, least[at], h
 
     def windows(self, w: Words, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return rolled(h, self.window, 11), rolled(self.second.words(w.data, w.starts), self.window, 13)
+        return rolled(h, self.window, 11), (rolled(self.second.words(w.data, w.starts), self.window, 13) >> np.uint64(32)).astype(np.uint32)
 
 
-def first_pass(docs: DataFrame, hashes: tuple[int, int], bits: int) -> DataFrame:
+def first_pass(docs: DataFrame, hashes: tuple[int, int], bits: int, folder: str) -> DataFrame:
     """Rows of three kinds: 0 entries of a run (a: fingerprints, b: documents), 1 fingerprints that a document
     shares with another one of the same task (a), 2 a document's number of words (bucket) and hash of its words (a)."""
 
@@ -62,7 +60,7 @@ def first_pass(docs: DataFrame, hashes: tuple[int, int], bits: int) -> DataFrame
         def flush():
             rows = settled(*(np.concatenate(x) for x in zip(*held)), bits)
             held.clear()
-            return batch_of([r for r in rows if r[0] != 3])
+            return batch_of(stashed([r for r in rows if r[0] != 3], folder))
 
         for batch in pieces(batches):
             keys = batch.column(0).to_pylist()
@@ -74,7 +72,7 @@ def first_pass(docs: DataFrame, hashes: tuple[int, int], bits: int) -> DataFrame
                 use = np.ones(len(fp), bool)
                 use[1:] = (fp[1:] != fp[:-1]) | (owner[1:] != owner[:-1])
                 use &= np.array([k is not None for k in keys])[owner]
-                held.append((spread(fp[use]), np.array([k or 0 for k in keys], np.int64)[owner[use]]))
+                held.append((fp[use], np.array([k or 0 for k in keys], np.int64)[owner[use]]))
                 n += int(use.sum())
             if n > MEMORY:
                 yield flush()
@@ -85,11 +83,6 @@ def first_pass(docs: DataFrame, hashes: tuple[int, int], bits: int) -> DataFrame
     return docs.select("doc", "text").mapInArrow(run, RUN)
 
 
-def spread(fp: np.ndarray) -> np.ndarray:
-    """Fingerprints with uniform leading bits (they begin with a length), one to one."""
-    return fp * np.uint64(0x9E3779B97F4A7C15)
-
-
 def later(key: np.ndarray, check: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[list[tuple], tuple[np.ndarray, ...]]:
     """Rows with the window starts of documents after the first one that has the window; and the first ones' entries."""
     order, start = grouped(key, check, doc)
@@ -100,11 +93,11 @@ def later(key: np.ndarray, check: np.ndarray, doc: np.ndarray, at: np.ndarray) -
     return rows, (key[~hit], check[~hit], doc[~hit], at[~hit])
 
 
-def settle_windows(bucket: int, rows: list[dict]) -> list[tuple]:
-    return later(joined(rows, "a"), joined(rows, "b"), joined(rows, "c", np.int64), joined(rows, "d", np.int32))[0]
+def settle_windows(bucket: int, *columns: np.ndarray) -> list[tuple]:
+    return later(*columns)[0]
 
 
-def second_pass(docs: DataFrame, hashes: tuple[int, int], bits: int) -> DataFrame:
+def second_pass(docs: DataFrame, hashes: tuple[int, int], bits: int, folder: str) -> DataFrame:
     """Windows with a shared fingerprint (``docs``: doc, text, found: lists of fingerprints): kind 0 entries of a run
     (hash, check, document, start), kind 1 starts of windows that an earlier document of the task has."""
 
@@ -114,14 +107,13 @@ def second_pass(docs: DataFrame, hashes: tuple[int, int], bits: int) -> DataFram
         def flush():
             rows, (key, check, doc, at) = later(*(np.concatenate(x) for x in zip(*held)))
             held.clear()
-            rows += [(0, i, None, pack(key[a:b]), pack(check[a:b]), pack(doc[a:b]), pack(at[a:b])) for i, a, b in cut_by_bucket(key, bits)]
-            return batch_of(rows)
+            rows += [(0, i, None, key[a:b], check[a:b], doc[a:b], at[a:b]) for i, a, b in cut_by_bucket(key, bits)]
+            return batch_of(stashed(rows, folder))
 
         for batch in pieces(batches):
             keys = batch.column(0).to_pylist()
             w = Words(batch.column(1))
             at, fp, h = make.fingerprints(w)
-            fp = spread(fp)
             one, two = make.windows(w, h)
             cut = np.searchsorted(at, w.doc)
             for i, (k, found) in enumerate(zip(keys, batch.column(2).to_pylist())):
@@ -142,10 +134,11 @@ def second_pass(docs: DataFrame, hashes: tuple[int, int], bits: int) -> DataFram
 class FingerprintIndex:
     """The runs of a corpus.  ``fan_in`` runs are compacted into one by ``compact``."""
 
-    def __init__(self, spark: SparkSession, window: int = 13, anchor: int = 5, bits: int | None = None, fan_in: int = 8):
+    def __init__(self, spark: SparkSession, window: int = 13, anchor: int = 8, bits: int | None = None, fan_in: int = 8):
         self.spark, self.hashes, self.fan_in = spark, (window, anchor), fan_in
         self.bits = bits or buckets_of(spark)
         self.width = 1 << self.bits
+        self.folder = new_dir(spark, "substring-files")
         self.runs: list[DataFrame] = []
 
     def _entries(self, extra: list[DataFrame] = ()) -> DataFrame:
@@ -156,20 +149,28 @@ class FingerprintIndex:
         return out.filter("kind = 0")
 
     def compact(self) -> None:
-        self.runs = [written(merged(self._entries(), self.width, settle_run), "substring-run")]
+        self.runs = [written(merged(self._entries(), self.width, settle_run, new_dir(self.spark, "substring-files")), "substring-run")]
 
     def windows(self, batch: DataFrame, corpus: DataFrame, most_broadcast: int = 2_000_000) -> tuple[DataFrame, DataFrame]:
         """Adds the batch (doc, text).  Returns the batch's words (kind 2 rows) and, as (doc, a), the starts of windows that
         also start in a document with a smaller key.  ``corpus`` has the texts of history and batch."""
-        new = written(first_pass(batch, self.hashes, self.bits), "substring-run")
+        new = written(first_pass(batch, self.hashes, self.bits, self.folder), "substring-run")
         both = merged(self._entries([new]), self.width, settle_keys)
         found = written(both.filter("kind = 1").select("doc", "a").unionByName(new.filter("kind = 1").select("doc", "a")), "substring-shared")
-        windows = written(second_pass(of_documents(corpus, found, most_broadcast), self.hashes, self.bits), "substring-windows")
+        scratch = new_dir(self.spark, "substring-files")
+        windows = written(second_pass(of_documents(corpus, found, most_broadcast), self.hashes, self.bits, scratch), "substring-windows")
         hits = merged(windows.filter("kind = 0"), self.width, settle_windows)
         self.runs.append(new)
         if len(self.runs) > self.fan_in:
             self.compact()
-        return new.filter("kind = 2").select("doc", F.col("bucket").alias("n_words"), F.col("a").cast("string").alias("sha")), written(hits.select("doc", "a").unionByName(windows.filter("kind = 1").select("doc", "a")), "substring-hits")
+        hits = written(hits.select("doc", "a").unionByName(windows.filter("kind = 1").select("doc", "a")), "substring-hits")
+        remove(self.spark, scratch)
+        return new.filter("kind = 2").select("doc", F.col("bucket").alias("n_words"), F.col("a").cast("string").alias("sha")), hits
+
+    def drop(self) -> None:
+        """Deletes the runs."""
+        remove(self.spark, self.folder)
+        self.runs = []
 
 
 def removed(docs: DataFrame, window: int, with_text: bool) -> DataFrame:
@@ -194,7 +195,7 @@ def removed(docs: DataFrame, window: int, with_text: bool) -> DataFrame:
     return docs.select("doc", "text", "found").mapInArrow(run, "doc long, n_removed long, kept_sha string, kept string")
 
 
-def dedup(batch: DataFrame, *, key: str = "doc_id", text: str = "text", index: FingerprintIndex | None = None, history: DataFrame | None = None, window: int = 13, anchor: int = 5, most_broadcast: int = 2_000_000, with_text: bool = True) -> DataFrame:
+def dedup(batch: DataFrame, *, key: str = "doc_id", text: str = "text", index: FingerprintIndex | None = None, history: DataFrame | None = None, window: int = 13, anchor: int = 8, most_broadcast: int = 2_000_000, with_text: bool = True) -> DataFrame:
     """Removes each word covered by a window that also starts in a document (of batch or history) with a smaller key.
 
     Returns per row of the batch: key, n_words, n_removed, kept_sha256 and (if asked for) kept_text, the kept words joined
@@ -203,11 +204,13 @@ def dedup(batch: DataFrame, *, key: str = "doc_id", text: str = "text", index: F
     for one text: rows that repeat a key should repeat the text, and come back as often.
     """
     spark = batch.sparkSession
-    index = index or FingerprintIndex(spark, window, anchor)
+    own, index = index is None, index or FingerprintIndex(spark, window, anchor)
     window = index.hashes[0]
     docs = batch.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     corpus = docs if history is None else docs.unionByName(history.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")))
     words, hits = index.windows(docs, corpus, most_broadcast)
+    if own:
+        index.drop()
     # a repeated row is worked on once for each repeat; one of the equal results is joined back
     done = removed(of_documents(docs, hits, most_broadcast), window, with_text)
     left = done.groupBy("doc").agg(*(F.first(c).alias(c) for c in ["n_removed", "kept_sha", *(["kept"] if with_text else [])]))
