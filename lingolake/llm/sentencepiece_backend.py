@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .stretches import Numbers, Stretches, parted, renewed
 from .text import pieces
 
 MARK = "▁"
@@ -124,7 +125,7 @@ def merges(model: Model) -> list[tuple[str, str]]:
 class Backend:
     """Encodes and decodes as sentencepiece does; ``checked`` also compares with that library."""
 
-    def __init__(self, path: str, checked: bool = True, most: int = 250_000, batch: int = 2000):
+    def __init__(self, path: str, checked: bool = True, most: int = 400_000, batch: int = 1000):
         from tokenizers import Tokenizer, decoders, models
 
         with open(path, "rb") as f:
@@ -148,14 +149,14 @@ class Backend:
             import sentencepiece
 
             self.reference = sentencepiece.SentencePieceProcessor(model_proto=raw)
+        #: bytes of text that an id stands for (an unknown one: none, which parts nothing)
+        self.size = np.array([1 if kind == BYTE else len(p.encode()) if kind in (NORMAL, USER) else 0 for p, _, kind in m.pieces])
         self.most, self.batch = most, batch
-        self._clear()
-
-    def _clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ids: list[list[int]] = []
-        self.decoded: list[str] = []
-        self.parity: list[bool] = []
+        self.seen = Stretches()
+        self.number = Numbers(self.seen)
+        #: of the few stretches that differ: what they decode to, and those that the libraries encode differently
+        self.odd: dict[int, str] = {}
+        self.differ: set[int] = set()
 
     def _charsmap(self):
         if not self.model.charsmap:
@@ -192,43 +193,72 @@ class Backend:
                 gap = ""
         return [*out, gap] if gap else out
 
-    def _learn(self, new: list[str]) -> None:
-        for i in range(0, len(new), self.batch):
-            part = new[i : i + self.batch]
-            encoded = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            decoded = self.tokenizer.decode_batch(encoded, skip_special_tokens=False)
-            if self.reference:
-                drop = 1 if self.model.dummy_prefix and not self.model.suffix else 0
-                raw = [(p[drop:] if p.startswith(MARK) else p).replace(MARK, " ") for p in part]
-                # only markers: what the text ends in, so it is compared behind a letter
-                raw = ["x" + p.replace(MARK, " ") if not p.strip(MARK) else r for p, r in zip(part, raw)]
-                known = [r[1:] if not p.strip(MARK) else r for p, r in zip(part, self.reference.encode(raw, num_threads=1))]
-                parity = [a == b for a, b in zip(encoded, known)]
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _raw(self, stretch: str) -> str:
+        """The text that the sentencepiece library normalises to a stretch."""
+        drop = 1 if self.model.dummy_prefix and not self.model.suffix and stretch.startswith(MARK) else 0
+        return stretch[drop:].replace(MARK, " ")
+
+    def _learn_one(self, at: int, stretch: str) -> None:
+        (ids,) = self._encode([stretch])
+        self.seen.add([at], ids, np.array([len(ids)]))
+        text = self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
+        if text != stretch.replace(MARK, " "):
+            self.odd[at] = text
+        if self.reference:
+            # only markers: what a text ends in, so it is compared behind a letter
+            alone = not stretch.strip(MARK)
+            known = self.reference.encode("x" + stretch.replace(MARK, " "), num_threads=1)[1:] if alone else self.reference.encode(self._raw(stretch), num_threads=1)
+            if known != ids.tolist():
+                self.differ.add(at)
+
+    def _learn(self) -> None:
+        """Stretches that begin with a marker and end without are encoded as one text each ``batch``, and parted by bytes; what
+        doesn't part, decode or compare as a whole is done one by one."""
+        new, self.number.new = self.number.new, []
+        plain = []
+        for at, p in new:
+            if self.cuts and p[0] == MARK and p[-1] != MARK:
+                plain.append((at, p))
+            else:
+                self._learn_one(at, p)
+        parts = [tuple(zip(*plain[i : i + self.batch])) for i in range(0, len(plain), self.batch)]
+        whole = ["".join(part) for _, part in parts]
+        for (numbers, part), text, ids in zip(parts, whole, self._encode(whole)):
+            ends = parted(self.size, ids, [len(p.encode()) for p in part])
+            good = ends is not None and self.tokenizer.decode(ids.tolist(), skip_special_tokens=False) == text.replace(MARK, " ")
+            if not good or (self.reference and self.reference.encode(self._raw(text), num_threads=1) != ids.tolist()):
+                for at, p in zip(numbers, part):
+                    self._learn_one(at, p)
             else:
-                parity = [True] * len(part)
-            for p, ids, text, same in zip(part, encoded, decoded, parity):
-                self.number[p] = len(self.ids)
-                self.ids.append(ids)
-                self.decoded.append(text)
-                self.parity.append(same)
+                self.seen.add(list(numbers), ids, ends)
+
+    @classmethod
+    def of_worker(cls, path: str, checked: bool = True) -> Backend:
+        """This process's backend for a file: what one task has seen helps the next."""
+        if (path, checked) not in BACKENDS:
+            BACKENDS[path, checked] = cls(path, checked)
+        return BACKENDS[path, checked]
 
     def __call__(self, texts: list[str | None]) -> list[tuple[np.ndarray, str, str, bool]]:
         """(ids, decoded text, normalised text with spaces, parity) of each text."""
-        if len(self.ids) > self.most:
-            self._clear()
+        if len(self.number) > self.most:
+            self.seen, (self.number,) = renewed(self.seen, [self.number], self.odd.keys() | self.differ)
+            self.odd, self.differ = {}, set()
         plain = [self.normalized(t) if t else "" for t in texts]
         split = [self.split(t) for t in plain]
-        number = self.number
-        self._learn(list(dict.fromkeys(p for parts in split for p in parts if p not in number)))
-        ids, decoded, parity, cut = self.ids, self.decoded, self.parity, self.model.dummy_prefix and not self.model.suffix
+        found = [list(map(self.number.__getitem__, parts)) for parts in split]
+        self._learn()
+        cut = self.model.dummy_prefix and not self.model.suffix
         out = []
-        for parts, text in zip(split, plain):
-            at = [number[p] for p in parts]
-            joined = "".join([decoded[i] for i in at])
-            flat = [x for i in at for x in ids[i]]
-            same = all([parity[i] for i in at])
+        for parts, at, text in zip(split, found, plain):
             text = text.replace(MARK, " ")
-            out.append((np.array(flat, np.uint32), joined[1:] if cut and joined[:1] == " " else joined, text[1:] if cut else text, same))
+            # stretches decode to themselves, but for the odd ones
+            decoded = text if not self.odd or self.odd.keys().isdisjoint(at) else "".join([self.odd.get(i, p.replace(MARK, " ")) for i, p in zip(at, parts)])
+            same = not self.differ or self.differ.isdisjoint(at)
+            out.append((self.seen.gather(at), decoded[1:] if cut and decoded[:1] == " " else decoded, text[1:] if cut else text, same))
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -237,6 +267,10 @@ class Backend:
         return text[1:] if self.model.dummy_prefix and text[:1] == " " else text
 
 
+#: By file, in each Python worker.
+BACKENDS: dict[tuple[str, bool], Backend] = {}
+
+
 def encode(docs: DataFrame, path: str, *, text: str = "text", keep: list[str] | None = None, checked: bool = True, with_ids: bool = True) -> DataFrame:
     """The ``keep`` columns (all by default) with ``n_pieces``, ``ids`` (if asked for), ``ids_sha256`` (of u32 LE),
     ``decoded_sha256``, ``round_trip`` (decoding gives the normalised text again) and ``parity``.
@@ -252,7 +286,7 @@ def encode(docs: DataFrame, path: str, *, text: str = "text", keep: list[str] |
     arrow = {"long": pa.int64(), "array<int>": pa.list_(pa.int32()), "string": pa.string(), "boolean": pa.bool_()}
 
     def run(batches):
-        backend = Backend(path, checked)
+        backend = Backend.of_worker(path, checked)
         for batch in pieces(batches, "__text"):
             rows = {c: [] for c in new}
             for ids, decoded, plain, same in backend(batch.column(batch.num_columns - 1).to_pylist()):
@@ -275,7 +309,7 @@ def decode(rows: DataFrame, path: str, *, ids: str = "ids", out: str = "decoded"
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1]), f"`{out}` string"])
 
     def run(batches):
-        backend = Backend(path, checked=False)
+        backend = Backend.of_worker(path, False)
         for batch in batches:
             texts = [None if x is None else backend.decode(x) for x in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*others, out])
