@@ -3,7 +3,7 @@
 A shard is one file: blocks of prefix-compressed keys with their values, then a sparse block index, a Bloom filter and
 a footer.  A reader finds a key by the filter, a binary search in the index and one range read.
 
-    block   zlib of: per entry  varint shared, varint rest, varint n_ids, rest of the key; then all ids (u32 LE)
+    block   zstd (u32 plain size first) of: per entry  varint shared, varint rest, varint n_ids, rest of the key; then all ids (u32 LE)
     index   per block: u32 length of the first key, the key, u64 offset, u32 size, u32 entries
     bloom   u32 hashes, u64 bits, the bits
     footer  u64 index offset, u64 bloom offset, u64 entries, u64 ids, 8 bytes magic
@@ -12,6 +12,8 @@ a footer.  A reader finds a key by the filter, a binary search in the index and
 from __future__ import annotations
 
 import bisect
+import os
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -21,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .store import NewFile, new_dir, opened, written
+from .stretches import Numbers, Stretches, parted, renewed
 from .text import mix, pieces
 
 MAGIC = b"LLSST\x00\x01\n"
@@ -94,7 +97,8 @@ class Writer:
 
     def _flush(self) -> None:
         if self.in_block:
-            raw = zlib.compress(struct.pack("<I", len(self.heads)) + bytes(self.heads) + b"".join(self.values), 1)
+            plain = struct.pack("<I", len(self.heads)) + bytes(self.heads) + b"".join(self.values)
+            raw = struct.pack("<I", len(plain)) + pa.compress(plain, "zstd", asbytes=True)
             self.index.append(struct.pack("<I", len(self.first)) + self.first + struct.pack("<QII", self.file.size, len(raw), self.in_block))
             self.file.write(raw)
             self.heads, self.values, self.size, self.in_block = bytearray(), [], 0, 0
@@ -142,7 +146,8 @@ class Reader:
 
     def block(self, i: int) -> Iterator[tuple[bytes, np.ndarray]]:
         at, size, n = self.blocks[i]
-        raw = zlib.decompress(self._read(at, size))
+        raw = self._read(at, size)
+        raw = pa.decompress(raw[4:], struct.unpack_from("<I", raw)[0], "zstd", asbytes=True)
         (heads,) = struct.unpack_from("<I", raw)
         at, ids_at, key = 4, 4 + heads, b""
         for _ in range(n):
@@ -174,68 +179,94 @@ class PieceEncoder:
     """Encodes texts with a byte-level BPE of the tokenizers library; each distinct stretch between spaces once.
 
     The pre-tokenizer never joins what stands before a space with what follows it, when the space stands alone
-    between two characters that aren't white space; so a text may be cut there and gives the same ids.  Where white
-    space stands next to a space, the stretch is left whole.  The stretches seen are kept up to ``most``, then forgotten.
+    between two characters that aren't white space; so a text may be cut there and gives the same ids.  A text in which
+    white space stands next to a space is cut only where that holds.  New stretches are encoded many at a time as one
+    text and parted by the bytes of their tokens.  Of those seen, ``most`` and the ``most`` of the generation before are kept.
     """
 
-    def __init__(self, path: str, most: int = 300_000, batch: int = 1000):
+    #: White space that the quick test for cutting at each space doesn't look for.
+    OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
+    def __init__(self, path: str, most: int = 500_000, batch: int = 1000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.batch = Tokenizer.from_file(path), most, batch
-        self._clear()
-
-    def _clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.lengths, self.flat, self.total = [], [], 0
-        self.ready = None
-
-    def _encode(self, parts: list[str]) -> list[list[int]]:
-        out = []
-        for i in range(0, len(parts), self.batch):
-            out += [e.ids for e in self.tokenizer.encode_batch_fast(parts[i : i + self.batch], add_special_tokens=False)]
-        return out
-
-    @staticmethod
-    def split(text: str) -> list[str]:
-        """Stretches whose concatenation is the text."""
-        parts = text.split(" ")
-        if "" not in parts:
-            # quick test: no part begins or ends with white space
-            if not any(p[0].isspace() or p[-1].isspace() for p in parts):
-                return [parts[0], *[" " + p for p in parts[1:]]]
-        out = [parts[0]]
-        for p in parts[1:]:
-            before = out[-1]
-            if not p or p[0].isspace() or not before or before[-1].isspace():
-                out[-1] = f"{before} {p}"
+        added = {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.size = np.zeros(max(vocab.values()) + 1, np.int64)
+        for token, i in vocab.items():
+            self.size[i] = added.get(i, len(token))
+        self.seen = Stretches()
+        #: numbers of the stretches that follow a space (without it), and of those that begin a text
+        self.inner, self.first = Numbers(self.seen), Numbers(self.seen)
+
+    @classmethod
+    def of_worker(cls, path: str) -> PieceEncoder:
+        """This process's encoder for a file: what one task has seen helps the next."""
+        if path not in ENCODERS:
+            ENCODERS[path] = cls(path)
+        return ENCODERS[path]
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self) -> None:
+        """Encodes the stretches that got numbers.  Letters with closing marks behind them are two stretches to the
+        pre-tokenizer, so they are put together from those of the letters and of the marks."""
+        new, self.inner.new = self.inner.new, []
+        plain, ended = [], []
+        for at, part in new:
+            core = part.rstrip(",.!?;:)*#$%&")
+            if core != part and core.isalpha():
+                ended.append((at, self.inner[core], self.first[part[len(core) :]]))
             else:
-                out.append(" " + p)
-        return out
+                plain.append((at, part))
+        plain += self.inner.new
+        self.inner.new = []
+        for i in range(0, len(plain), self.batch):
+            numbers, part = zip(*plain[i : i + self.batch])
+            (ids,) = self._ids([" " + " ".join(part)])
+            ends = parted(self.size, ids, [len(p.encode()) + 1 for p in part])
+            if ends is None:
+                every = self._ids([" " + p for p in part])
+                ids, ends = np.concatenate(every), np.cumsum([len(x) for x in every])
+            self.seen.add(list(numbers), ids, ends)
+        if self.first.new:
+            numbers, part = zip(*self.first.new)
+            self.first.new = []
+            every = self._ids(list(part))
+            self.seen.add(list(numbers), np.concatenate(every), np.cumsum([len(x) for x in every]))
+        if ended:
+            every = [np.concatenate([self.seen.ids(a), self.seen.ids(b)]) for _, a, b in ended]
+            self.seen.add([x[0] for x in ended], np.concatenate(every), np.cumsum([len(x) for x in every]))
+
+    def split(self, text: str) -> list[str]:
+        """Stretches that give the text when joined by a space."""
+        parts = text.split(" ")
+        if "" in parts or " \n" in text or "\n " in text or self.OTHER_SPACE.search(text):
+            out = parts[:1]
+            for p in parts[1:]:
+                before = out[-1]
+                if not p or p[0].isspace() or not before or before[-1].isspace():
+                    out[-1] = f"{before} {p}"
+                else:
+                    out.append(p)
+            return out
+        return parts
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.number) > self.most:
-            self._clear()
+        if len(self.inner) + len(self.first) > self.most:
+            self.seen, (self.inner, self.first) = renewed(self.seen, [self.inner, self.first])
         split = [self.split(t) if t else [] for t in texts]
-        number = self.number
-        new = list(dict.fromkeys(p for parts in split for p in parts if p not in number))
-        if new:
-            for p, ids in zip(new, self._encode(new)):
-                number[p] = len(number)
-                self.lengths.append(len(ids))
-                self.flat.append(np.array(ids, np.uint32))
-            self.ready = None
-        if self.ready is None:
-            lengths = np.array(self.lengths, np.int64)
-            self.flat = [np.concatenate(self.flat)] if self.flat else [np.zeros(0, np.uint32)]
-            self.ready = lengths, np.concatenate([[0], np.cumsum(lengths)]), self.flat[0]
-        lengths, starts, flat = self.ready
-        out = []
-        for parts in split:
-            at = np.fromiter((number[p] for p in parts), np.int64, len(parts))
-            n = lengths[at]
-            ends = np.cumsum(n)
-            out.append(flat[np.repeat(starts[at] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)])
-        return out
+        inner, first = self.inner.__getitem__, self.first
+        numbers = [[first[parts[0]], *map(inner, parts[1:])] if parts else [] for parts in split]
+        self._learn()
+        return [self.seen.gather(at) for at in numbers]
+
+
+#: By file, in each Python worker.
+ENCODERS: dict[str, PieceEncoder] = {}
 
 
 def write_shards(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str = "text", end_id: int = 0, shards: int | None = None, folder: str | None = None) -> DataFrame:
@@ -252,7 +283,7 @@ def write_shards(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text:
     rows = rows.repartitionByRange(shards, "key").sortWithinPartitions("key").withColumn("shard", F.spark_partition_id())
 
     def run(batches):
-        encode, writer, shard = PieceEncoder(tokenizer), None, 0
+        encode, writer, shard = PieceEncoder.of_worker(tokenizer), None, 0
         for batch in pieces(batches):
             if writer is None:
                 shard = batch.column(2)[0].as_py()
@@ -269,7 +300,8 @@ def read_shards(manifest: DataFrame) -> DataFrame:
     """A row per document from the shards' files: key, start (ids of all before it), n_tokens, ids_crc32."""
     # one row a shard, not a document, goes through this window
     before = F.sum("ids").over(Window.partitionBy(F.lit(0)).orderBy("shard")) - F.col("ids")
-    plan = manifest.select("shard", "uri", before.alias("start")).repartition(F.col("shard"))
+    plan = manifest.select("shard", "uri", before.alias("start"))
+    plan = plan.repartition(max(1, manifest.count()), "shard")
 
     def run(batches):
         for batch in batches:
