@@ -9,6 +9,8 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def ship(spark: SparkSession) -> SparkSession:
     """Gives the executors this package (once a Spark context), for clusters on which it isn't installed."""
@@ -21,6 +23,9 @@ def ship(spark: SparkSession) -> SparkSession:
                 out.write(path, f"{root.name}/{path.relative_to(root)}")
         context.addPyFile(target)
         context._lingolake_shipped = True
+    if spark.conf.get(BATCH, "10000") == "10000":
+        # texts are long: Spark's own default would be tens of megabytes a batch and more
+        spark.conf.set(BATCH, "512")
     return spark
 
 
