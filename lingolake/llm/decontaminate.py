@@ -174,15 +174,27 @@ class Searcher:
             inside = owner[at] == owner[at + table.size - 1] if len(at) else np.zeros(0, bool)
             for i, e in zip(at[inside].tolist(), entry[inside].tolist()):
                 tried.add((int(owner[i]), int(table.items[e]), int(i - w.doc[owner[i]] - table.shift[e])))
+        rated: dict[tuple[int, int, int], float] = {}
+
+        def rate(doc: int, number: int, start: int) -> float:
+            if (doc, number, start) not in rated:
+                item, a, b = self.items[number], w.doc[doc], w.doc[doc + 1]
+                lo, hi = max(a, a + start), min(b, a + start + item.n)
+                rated[doc, number, start] = similarity(item, *shingled(h[lo:hi], length[lo:hi], self.k)) if hi > lo else 0.0
+            return rated[doc, number, start]
+
+        # from each candidate to the best place near it
         best: dict[tuple[int, int], tuple[float, int, int]] = {}
         for doc, number, start in sorted(tried):
-            item, a, b = self.items[number], w.doc[doc], w.doc[doc + 1]
-            lo, hi = max(a, a + start), min(b, a + start + item.n)
-            if hi <= lo:
-                continue
-            found = similarity(item, *shingled(h[lo:hi], length[lo:hi], self.k))
+            found = rate(doc, number, start)
+            while found:
+                near = max((start - 2, start - 1, start + 1, start + 2), key=lambda s: (rate(doc, number, s), -abs(s)))
+                if rate(doc, number, near) <= found:
+                    break
+                start, found = near, rate(doc, number, near)
             if found >= self.threshold and found > best.get((doc, number), (0.0,))[0]:
-                best[doc, number] = found, int(lo - a), int(hi - lo)
+                n = w.counts[doc]
+                best[doc, number] = found, max(0, start), int(min(n, start + self.items[number].n) - max(0, start))
         return [(doc, self.items[number].key, start, n, found) for (doc, number), (found, start, n) in sorted(best.items())]
 
 
