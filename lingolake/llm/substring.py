@@ -15,6 +15,8 @@ themselves and passes on the first of them only, so a bucket gets as many entrie
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -131,46 +133,62 @@ def second_pass(docs: DataFrame, hashes: tuple[int, int], bits: int, folder: str
     return docs.select("doc", "text", "found").mapInArrow(run, RUN)
 
 
+def settle_first_windows(bucket: int, *columns: np.ndarray) -> list[tuple]:
+    """Compaction: one document's entries for each window, the first one's."""
+    return [(0, bucket, None, *later(*columns)[1])]
+
+
 class FingerprintIndex:
-    """The runs of a corpus.  ``fan_in`` runs are compacted into one by ``compact``."""
+    """The runs of a corpus: of all fingerprints, and of the windows of fingerprints that two documents have had.
+
+    A fingerprint run names one document for each fingerprint.  That is enough: while it is the only one, its windows are
+    made again from its text, and once there are two, all of their windows are in a window run.  More than ``fan_in``
+    runs of a kind are compacted into one.
+    """
 
     def __init__(self, spark: SparkSession, window: int = 13, anchor: int = 8, bits: int | None = None, fan_in: int = 8):
         self.spark, self.hashes, self.fan_in = spark, (window, anchor), fan_in
         self.bits = bits or buckets_of(spark)
         self.width = 1 << self.bits
-        self.folder = new_dir(spark, "substring-files")
+        self.folder = new_dir(spark, "substring-index")
         self.runs: list[DataFrame] = []
+        self.window_runs: list[DataFrame] = []
 
-    def _entries(self, extra: list[DataFrame] = ()) -> DataFrame:
-        every = [*self.runs, *extra]
-        out = every[0]
-        for more in every[1:]:
-            out = out.unionByName(more)
-        return out.filter("kind = 0")
+    def _table(self, rows: DataFrame, name: str) -> DataFrame:
+        """A table in the index's own folder."""
+        path = f"{self.folder}/{name}-{uuid4().hex}"
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
     def compact(self) -> None:
-        self.runs = [written(merged(self._entries(), self.width, settle_run, new_dir(self.spark, "substring-files")), "substring-run")]
+        self.runs = [self._table(merged(entries(self.runs), self.width, settle_run, self.folder), "runs")]
+        if self.window_runs:
+            self.window_runs = [self._table(merged(entries(self.window_runs), self.width, settle_first_windows, self.folder), "windows")]
 
     def windows(self, batch: DataFrame, corpus: DataFrame, most_broadcast: int = 2_000_000) -> tuple[DataFrame, DataFrame]:
         """Adds the batch (doc, text).  Returns the batch's words (kind 2 rows) and, as (doc, a), the starts of windows that
         also start in a document with a smaller key.  ``corpus`` has the texts of history and batch."""
-        new = written(first_pass(batch, self.hashes, self.bits, self.folder), "substring-run")
-        both = merged(self._entries([new]), self.width, settle_keys)
-        found = written(both.filter("kind = 1").select("doc", "a").unionByName(new.filter("kind = 1").select("doc", "a")), "substring-shared")
-        scratch = new_dir(self.spark, "substring-files")
-        windows = written(second_pass(of_documents(corpus, found, most_broadcast), self.hashes, self.bits, scratch), "substring-windows")
-        hits = merged(windows.filter("kind = 0"), self.width, settle_windows)
+        new = self._table(first_pass(batch, self.hashes, self.bits, self.folder), "runs")
         self.runs.append(new)
-        if len(self.runs) > self.fan_in:
-            self.compact()
+        both = merged(entries(self.runs), self.width, settle_keys)
+        found = self._table(both.filter("kind = 1").select("doc", "a").unionByName(new.filter("kind = 1").select("doc", "a")), "shared")
+        windows = self._table(second_pass(of_documents(corpus, found, most_broadcast), self.hashes, self.bits, self.folder), "windows")
+        self.window_runs.append(windows)
+        hits = merged(entries(self.window_runs), self.width, settle_windows)
         hits = written(hits.select("doc", "a").unionByName(windows.filter("kind = 1").select("doc", "a")), "substring-hits")
-        remove(self.spark, scratch)
-        return new.filter("kind = 2").select("doc", F.col("bucket").alias("n_words"), F.col("a").cast("string").alias("sha")), hits
+        words = written(new.filter("kind = 2").select("doc", F.col("bucket").alias("n_words"), F.col("a").cast("string").alias("sha")), "substring-words")
+        if max(len(self.runs), len(self.window_runs)) > self.fan_in:
+            self.compact()
+        return words, hits
 
     def drop(self) -> None:
-        """Deletes the runs."""
+        """Deletes the index."""
         remove(self.spark, self.folder)
-        self.runs = []
+        self.runs, self.window_runs = [], []
+
+
+def entries(runs: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, runs).filter("kind = 0")
 
 
 def removed(docs: DataFrame, window: int, with_text: bool) -> DataFrame:
