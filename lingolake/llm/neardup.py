@@ -6,16 +6,18 @@ symbols differ by at most one in some chunk (pigeonhole); so each chunk is index
 left out, and all pairs within that distance share a key.  With 14 chunks of 6 a pair at similarity 0.85 shares no key
 with probability 3e-8, one at 0.80 with 4e-7.
 
-Keys meet by runs (see ``runs``).  First each document is compared with the first one of each of its keys.  What that
-links is merged; then, for keys whose documents are still in several components, all pairs across components are
-compared, in blocks.  So no pair that shares a key is left out, while a group of copies costs one comparison a member.
-Links are confirmed on the full sets.
+Keys meet by runs (see ``runs``).  First each document is compared with the first one of each of its keys, and what that
+links is merged.  For keys whose documents are still in several components, each document is compared with the most
+central one of its block of documents, and what that links is merged too.  For keys that are mixed even then, all
+pairs across components are compared, in blocks.  So no pair that shares a key is left out, while a group of copies
+costs a few comparisons a member.
+
+Comparisons are by parity sketches first: each shingle flips one bit, so two sketches differ in no more bits than the
+sets differ in shingles, and a pair with more can't be similar enough.  The rest is confirmed on the full sets.
 """
 
 from __future__ import annotations
 
-from math import sqrt
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -75,8 +77,38 @@ def keys(signature: np.ndarray, chunks: int, width: int) -> np.ndarray:
     return mix((whole[:, :, None] - terms) ^ slot[None]).reshape(len(signature), -1)
 
 
+def sketch(values: np.ndarray) -> bytes:
+    """Parity sketch of a set of hashes, with two bits for each at least (a power of two of bits, at least 256)."""
+    bits = 256
+    while bits < 2 * len(values):
+        bits *= 2
+    flips = np.bincount((values & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8)).tobytes()
+
+
+def folded(x: np.ndarray) -> np.ndarray:
+    """Sketches (rows of bytes) of half the bits."""
+    half = x.shape[-1] // 2
+    return x[..., :half] ^ x[..., half:]
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """Bits in which two sketches differ, at the smaller one's size."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) > len(b):
+        a = folded(a)
+    while len(b) > len(a):
+        b = folded(b)
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def may_link(differ, na, nb, percent: int):
+    """Whether sets of these sizes that differ in so many shingles or more can be similar enough (exact, in integers)."""
+    return differ * (100 + percent) <= (na + nb) * (100 - percent)
+
+
 def _signed(docs: DataFrame, k: int, n: int) -> DataFrame:
-    """(doc, n, f, g, sig) of (doc, text): size of the set, two fingerprints of it, and its signature."""
+    """(doc, n, f, g, sig, odd) of (doc, text): size of the set, two fingerprints of it, its signature and parity sketch."""
 
     def run(batches):
         hashing = ByteHash(303, lower=True)
@@ -85,9 +117,10 @@ def _signed(docs: DataFrame, k: int, n: int) -> DataFrame:
             sums = [np.concatenate([[np.uint64(0)], np.cumsum(mix(s.values ^ np.uint64(salt)))]) for salt in (1, 2)]
             f, g = ((x[s.doc[1:]] - x[s.doc[:-1]]).view(np.int64) for x in sums)
             sig = signatures(s, n)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s.sizes), pa.array(f), pa.array(g), pa.array([x.tobytes() for x in sig], pa.binary())], names=["doc", "n", "f", "g", "sig"])
+            odd = [sketch(s.values[a:b]) for a, b in zip(s.doc, s.doc[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s.sizes), pa.array(f), pa.array(g), pa.array([x.tobytes() for x in sig], pa.binary()), pa.array(odd, pa.binary())], names=["doc", "n", "f", "g", "sig", "odd"])
 
-    return docs.mapInArrow(run, "doc long, n long, f long, g long, sig binary")
+    return docs.mapInArrow(run, "doc long, n long, f long, g long, sig binary, odd binary")
 
 
 def _key_runs(classes: DataFrame, chunks: int, width: int, bits: int, folder: str) -> DataFrame:
@@ -112,37 +145,25 @@ def _key_runs(classes: DataFrame, chunks: int, width: int, bits: int, folder: st
 
 
 def _unpacked(rows: DataFrame, name: str) -> DataFrame:
-    """(doc, name): the numbers in the rows' ``a``."""
+    """(doc, name) of packed pairs."""
 
     def run(batches):
         for batch in batches:
-            values = [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]
-            if values:
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), [len(x) for x in values])), pa.array(np.concatenate(values))], names=["doc", name])
+            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.int64) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["doc", name])
 
-    return rows.select("doc", "a").mapInArrow(run, f"doc long, `{name}` long")
+    return rows.select("a", "b").mapInArrow(run, f"doc long, `{name}` long")
 
 
-def agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return (x == y).sum(-1)
-
-
-def least_agreement(n: int, similarity: float) -> int:
-    """Symbols that a pair at the similarity agrees in, but for a chance of about 1e-9 (six standard deviations)."""
-    return max(0, int(n * similarity - 6 * sqrt(n * similarity * (1 - similarity))))
-
-
-def _plausible(pairs: DataFrame, facts: DataFrame, percent: int, n: int) -> DataFrame:
-    """Pairs (a, b) whose sizes allow the similarity (exactly) and whose signatures don't rule it out."""
-    rows = pairs.join(facts.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a").join(facts.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b")
-    rows = rows.filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b", "sa", "sb")
-    least = least_agreement(n, percent / 100)
+def _plausible(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that sizes and sketches don't rule out."""
+    rows = pairs.join(facts.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("odd").alias("oa")), "a").join(facts.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("odd").alias("ob")), "b")
+    rows = rows.filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b", "na", "nb", "oa", "ob")
 
     def run(batches):
         for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for i in (2, 3))
-                yield batch.select([0, 1]).filter(pa.array(agreeing(x, y) >= least))
+            na, nb, x, y = (batch.column(i).to_pylist() for i in (2, 3, 4, 5))
+            yield batch.select([0, 1]).filter(pa.array([may_link(differing(p, q), m, n, percent) for m, n, p, q in zip(na, nb, x, y)], pa.bool_()))
 
     return rows.mapInArrow(run, "a long, b long")
 
@@ -173,48 +194,103 @@ def confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int, most_broa
     right = _sets(narrow.join(pairs.select(F.col("a").alias("doc")).distinct(), "doc", "left_semi"), k).select(F.col("doc").alias("a"), F.col("shingles").alias("sa"))
     both = F.size(F.array_intersect("sa", "sb")).cast("long")
     union = F.size("sa") + F.size("sb") - both
-    return left.join(right, "a").filter(both * 100 >= union * percent).select("a", "b")
-
-
-def _across(found: DataFrame, labels: DataFrame, facts: DataFrame, percent: int, n: int) -> DataFrame:
-    """Pairs (a, b) of different components that share a key, plausible ones only, in blocks of each key's documents."""
+    return left.join(right, "a").filter(both * 100 >= union * percent).select("a", "b").distinct()
+
+
+class Block:
+    """Documents of one key (rows: doc, component, n, sig, odd), and which pairs of them to look at."""
+
+    def __init__(self, held: list[dict], percent: int, chunks: int):
+        self.doc, self.part, self.n = (np.array([r[c] for r in held]) for c in ("doc", "component", "n"))
+        self.sig = np.frombuffer(b"".join(r["sig"] for r in held), np.uint16).reshape(len(held), chunks, -1)
+        self.percent = percent
+        #: by bytes of a sketch: which documents have such ones, these, and these at half the bits
+        self.odd, self.bytes = {}, np.array([len(r["odd"]) for r in held])
+        for size in np.unique(self.bytes).tolist():
+            at = np.flatnonzero(self.bytes == size)
+            x = np.frombuffer(b"".join(held[i]["odd"] for i in at), np.uint8).reshape(len(at), size)
+            self.odd[size] = at, x, folded(x)
+        self.place = np.zeros(len(held), np.int64)
+        for at, _, _ in self.odd.values():
+            self.place[at] = np.arange(len(at))
+
+    def central(self) -> int:
+        """The document whose symbols agree with most others'."""
+        flat = self.sig.reshape(len(self.doc), -1)
+        return int(np.argmax([(flat == x).sum() for x in flat]))
+
+    def linkable(self, x: int, others: np.ndarray) -> np.ndarray:
+        """Those of ``others`` in another component than x that sizes and sketches don't rule out."""
+        n = self.n[others]
+        others = others[(self.part[others] != self.part[x]) & (np.minimum(n, self.n[x]) * 100 >= np.maximum(n, self.n[x]) * self.percent)]
+        out, size = [], int(self.bytes[x])
+        # sizes that near give sketches of the same, half or double the bits
+        for other in (size // 2, size, size * 2):
+            if other in self.odd:
+                at = others[self.bytes[others] == other]
+                _, full, half = self.odd[other]
+                mine = self.odd[size][2 if other < size else 1][self.place[x]]
+                differ = np.bitwise_count((half if other > size else full)[self.place[at]] ^ mine).sum(1, dtype=np.int64)
+                out.append(at[may_link(differ, self.n[at], self.n[x], self.percent)])
+        return np.concatenate(out) if out else others[:0]
+
+    def first_met(self, x: int, others: np.ndarray, key: int, all_keys: np.ndarray) -> np.ndarray:
+        """Those of ``others`` with which x shares no key before this one (so that a pair is told once)."""
+        agree = self.sig[others] == self.sig[x]
+        chunk = np.argmax(agree.sum(2) >= agree.shape[2] - 1, axis=1)
+        left_out = np.argmin(agree[np.arange(len(others)), chunk], axis=1)
+        return others[all_keys[x, chunk * agree.shape[2] + left_out] == np.uint64(key & (1 << 64) - 1)]
+
+
+def _mixed(found: DataFrame, labels: DataFrame, facts: DataFrame, percent: int, chunks: int, width: int, central: bool) -> DataFrame:
+    """Pairs (a, b), of different components, that share a key of ``found`` (doc, key) and aren't ruled out.
+
+    ``central``: only those with the most central document of a block.  A key's documents are dealt to blocks of about
+    ``BLOCK``, and (but for ``central``) each two blocks of a key are compared by one task at a time, so what it holds
+    is bounded.
+    """
     rows = written(found.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc")), "neardup-keys")
     size = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n_docs")).filter("lo <> hi")
     rows = rows.join(written(size.select("key", F.ceil(F.col("n_docs") / BLOCK).cast("int").alias("blocks")), "neardup-mixed"), "key")
-    rows = rows.join(facts.select("doc", "n", "sig"), "doc")
     mine = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
-    rows = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "doc", "component", "n", "sig")
-    least = least_agreement(n, percent / 100)
-
-    def compare(held):
-        doc, part, size, mine = (np.array([r[c] for r in held]) for c in ("doc", "component", "n", "mine"))
-        sig = np.frombuffer(b"".join(r["sig"] for r in held), np.uint16).reshape(len(held), -1)
-        out = []
-        for x in range(len(held) - 1):
-            y = slice(x + 1, None)
-            ok = (part[y] != part[x]) & (np.minimum(size[y], size[x]) * 100 >= np.maximum(size[y], size[x]) * percent)
-            if held[0]["i"] != held[0]["j"]:
-                ok &= mine[y] != mine[x]
-            at = np.flatnonzero(ok) + x + 1
-            at = at[agreeing(sig[at], sig[x]) >= least]
-            out += [(min(int(doc[x]), int(d)), max(int(doc[x]), int(d))) for d in doc[at]]
-        return pa.RecordBatch.from_arrays([pa.array([p[0] for p in out], pa.int64()), pa.array([p[1] for p in out], pa.int64())], names=["a", "b"])
+    rows = rows.withColumn("mine", mine)
+    rows = rows.withColumn("other", F.col("mine") if central else F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.join(facts.select("doc", "n", "sig", "odd"), "doc")
+    rows = rows.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "doc", "component", "n", "sig", "odd")
+
+    def compare(at, held):
+        block, out = Block(held, percent, chunks), []
+        every = np.arange(len(held))
+        if central:
+            x = block.central()
+            out += [(x, int(y)) for y in block.linkable(x, every)]
+        else:
+            mine = np.array([r["mine"] for r in held])
+            all_keys = keys(block.sig.reshape(len(held), -1), chunks, width)
+            for x in range(len(held) - 1):
+                others = every[x + 1 :]
+                if at[1] != at[2]:
+                    others = others[mine[others] != mine[x]]
+                others = block.linkable(x, others)
+                if len(others):
+                    out += [(x, int(y)) for y in block.first_met(x, others, at[0], all_keys)]
+        pairs = [sorted((int(block.doc[x]), int(block.doc[y]))) for x, y in out]
+        return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
 
     def run(batches):
         at, held = None, []
         for batch in batches:
             for row in batch.to_pylist():
                 if (row["key"], row["i"], row["j"]) != at:
-                    if len(held) > 1:
-                        yield compare(held)
+                    if len({r["component"] for r in held}) > 1:
+                        yield compare(at, held)
                     at, held = (row["key"], row["i"], row["j"]), []
                 held.append(row)
-        if len(held) > 1:
-            yield compare(held)
+        if len({r["component"] for r in held}) > 1:
+            yield compare(at, held)
 
-    width = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(width, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long").distinct()
+    tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long").distinct()
 
 
 def classes_of(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 3, percent: int = 85, chunks: int = CHUNKS, width: int = WIDTH, most_broadcast: int = 2_000_000) -> DataFrame:
@@ -228,22 +304,26 @@ def classes_of(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shin
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     facts = written(_signed(rows, shingle, n), "neardup-signatures")
     alike = ["n", "f", "g"]
-    classes = written(facts.filter("n > 0 AND doc IS NOT NULL").groupBy(*alike).agg(F.min("doc").alias("doc"), F.first("sig").alias("sig")), "neardup-classes")
+    classes = written(facts.filter("n > 0 AND doc IS NOT NULL").groupBy(*alike).agg(F.min("doc").alias("doc"), F.first("sig").alias("sig"), F.first("odd").alias("odd")), "neardup-classes")
     bits = buckets_of(spark)
     folder = new_dir(spark, "neardup-files")
     runs = written(_key_runs(classes, chunks, width, bits, folder), "neardup-runs")
-    met = written(merged(runs.filter("kind = 0"), 1 << bits, settle_keys), "neardup-met")
+    met = written(merged(runs.filter("kind = 0"), bits, settle_keys), "neardup-met")
     remove(spark, folder)
     both = met.unionByName(runs.filter("kind <> 0"))
     known = rows.filter("doc IS NOT NULL")
 
     stars = _unpacked(both.filter("kind = 3"), "first").select(F.least("doc", "first").alias("a"), F.greatest("doc", "first").alias("b")).distinct()
-    stars = written(_plausible(stars, classes, percent, n), "neardup-pairs")
-    links = written(confirmed(stars, known, shingle, percent, most_broadcast).distinct(), "neardup-links")
+    seen = written(_plausible(stars, classes, percent), "neardup-pairs")
+    links = written(confirmed(seen, known, shingle, percent, most_broadcast), "neardup-links")
     labels = components(links)
-    more = written(_across(_unpacked(both.filter("kind = 1"), "key"), labels, classes, percent, n).join(stars, ["a", "b"], "left_anti"), "neardup-pairs")
-    if more.limit(1).count():
-        labels = components(links.unionByName(confirmed(more, known, shingle, percent, most_broadcast).distinct()))
+    found = _unpacked(both.filter("kind = 1"), "key")
+    for central in (True, False):
+        more = written(_mixed(found, labels, classes, percent, chunks, width, central).join(seen, ["a", "b"], "left_anti"), "neardup-pairs")
+        if more.limit(1).count():
+            seen = seen.unionByName(more)
+            links = links.unionByName(written(confirmed(more, known, shingle, percent, most_broadcast), "neardup-links"))
+            labels = components(links)
     classes = written(classes.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select(*alike, F.coalesce("component", "doc").alias("component")), "neardup-components")
     own = F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc"))
     out = facts.select("doc", *alike).join(classes, alike, "left")

@@ -14,10 +14,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .store import NewFile, opened
+from .store import NewFile, opened, written
+from .text import mix
 
 #: Entries that a task holds before it flushes a run.
-MEMORY = 3_000_000
+MEMORY = 600_000
 #: What kinds of rows there are and what their columns hold is said where they are made.
 RUN = "kind int, bucket int, doc long, a binary, b binary, c binary, d binary"
 
@@ -77,13 +78,43 @@ def batch_of(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["kind", "bucket", "doc", "a", "b", "c", "d"])
 
 
-def by_doc(doc: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """(document, its values) of pairs in any order."""
-    order = np.argsort(doc, kind="stable")
-    doc, values = doc[order], values[order]
-    cut = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, int)
-    for i, j in zip(cut, [*cut[1:], len(doc)]):
-        yield int(doc[i]), pack(values[i:j])
+def by_doc(kind: int, doc: np.ndarray, values: np.ndarray, bits: int) -> list[tuple]:
+    """Rows of pairs of a document and a value, packed by a bucket of the document (a: documents, b: values); see ``gathered``."""
+    bucket = mix(doc.astype(np.int64).view(np.uint64)) >> np.uint64(64 - bits)
+    order = np.argsort(bucket, kind="stable")
+    cut = np.searchsorted(bucket[order], np.arange((1 << bits) + 1).astype(np.uint64))
+    return [(kind, i, None, pack(doc[order[x:y]]), pack(values[order[x:y]]), None, None) for i, (x, y) in enumerate(zip(cut, cut[1:])) if y > x]
+
+
+def gathered(rows: DataFrame, width: int, kind: type) -> DataFrame:
+    """(doc, found): one row for each document of packed pairs, with its distinct values (numbers of the kind) as bytes."""
+
+    def run(batches):
+        bucket, held = None, []
+
+        def told():
+            doc, values = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            order = np.lexsort((values, doc))
+            doc, values = doc[order], values[order]
+            new = np.ones(len(doc), bool)
+            new[1:] = (doc[1:] != doc[:-1]) | (values[1:] != values[:-1])
+            doc, values = doc[new], values[new]
+            cut = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1], [True]]))
+            for i in range(0, len(cut) - 1, 1000):
+                part = cut[i : i + 1001]
+                yield pa.RecordBatch.from_arrays([pa.array(doc[part[:-1]]), pa.array([pack(values[x:y]) for x, y in zip(part, part[1:])], pa.binary())], names=["doc", "found"])
+
+        for batch in batches:
+            for i, a, b in zip(*(c.to_pylist() for c in batch.columns)):
+                if i != bucket and held:
+                    yield from told()
+                bucket = i
+                held.append((np.frombuffer(a, np.int64), np.frombuffer(b, kind)))
+        if held:
+            yield from told()
+
+    return rows.select("bucket", "a", "b").repartition(width, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "doc long, found binary")
 
 
 def grouped(key: np.ndarray, check: np.ndarray | None, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +142,7 @@ def buckets_of(spark: SparkSession) -> int:
     return max(4, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length())
 
 
-def merged(runs: DataFrame, width: int, settle, folder: str | None = None) -> DataFrame:
+def merged(runs: DataFrame, bits: int, settle, folder: str | None = None) -> DataFrame:
     """Brings each bucket's entries of all runs together; ``settle`` gives the rows of one bucket (runs go to ``folder``)."""
 
     def run(batches):
@@ -119,7 +150,7 @@ def merged(runs: DataFrame, width: int, settle, folder: str | None = None) -> Da
 
         def settle_held():
             columns = [np.concatenate(c) for c in zip(*held)]
-            rows = settle(bucket, *columns)
+            rows = settle(bucket, bits, *columns)
             held.clear()
             return batch_of(stashed(rows, folder) if folder else rows)
 
@@ -134,7 +165,7 @@ def merged(runs: DataFrame, width: int, settle, folder: str | None = None) -> Da
         if held:
             yield settle_held()
 
-    return runs.repartition(width, "bucket").sortWithinPartitions("bucket").mapInArrow(run, RUN)
+    return runs.repartition(1 << bits, "bucket").sortWithinPartitions("bucket").mapInArrow(run, RUN)
 
 
 def cut_by_bucket(key: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
@@ -144,50 +175,48 @@ def cut_by_bucket(key: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
 
 
 def settled(key: np.ndarray, doc: np.ndarray, bits: int) -> list[tuple]:
-    """What a flush makes: kind 1, keys that a document shares with another one of the task (a); kind 0, entries of a
-    run (a: keys, b: a document for each); kind 3, pairs of a document and the first one of the task with its key (a)."""
+    """What a flush makes: kind 1, pairs of a document and a key that another one of the task has too; kind 0, entries of
+    a run (keys, a document for each); kind 3, pairs of a document and the first one of the task with one of its keys."""
     order, start, many = shared(key, doc)
     key, doc = key[order], doc[order]
     size = np.diff([*start, len(key)])
     use = np.repeat(many, size)
-    rows = [(1, None, d, x, None, None, None) for d, x in by_doc(doc[use], key[use])]
-    rows += stars(doc, start, use)
+    rows = by_doc(1, doc[use], key[use], bits) + stars(doc, start, use, bits)
     key, doc = key[start], doc[start]
     return rows + [(0, i, None, key[a:b], doc[a:b], None, None) for i, a, b in cut_by_bucket(key, bits)]
 
 
-def stars(doc: np.ndarray, start: np.ndarray, use: np.ndarray) -> list[tuple]:
+def stars(doc: np.ndarray, start: np.ndarray, use: np.ndarray, bits: int) -> list[tuple]:
     """Kind 3 rows: each document with the first documents of its groups, once each."""
     first = np.repeat(doc[start], np.diff([*start, len(doc)])) if len(start) else doc
     use = use & (doc != first)
     if not use.any():
         return []
     pairs = np.unique(np.stack([doc[use], first[use]], 1), axis=0)
-    return [(3, None, d, x, None, None, None) for d, x in by_doc(pairs[:, 0], pairs[:, 1])]
+    return by_doc(3, pairs[:, 0].copy(), pairs[:, 1].copy(), bits)
 
 
-def settle_keys(bucket: int, key: np.ndarray, doc: np.ndarray) -> list[tuple]:
+def settle_keys(bucket: int, bits: int, key: np.ndarray, doc: np.ndarray) -> list[tuple]:
     """For ``merged``: kind 1 and kind 3 rows, as of ``settled``, over all runs."""
     order, start, many = shared(key, doc)
     key, doc = key[order], doc[order]
     use = np.repeat(many, np.diff([*start, len(key)]))
-    return [(1, None, d, x, None, None, None) for d, x in by_doc(doc[use], key[use])] + stars(doc, start, use)
+    return by_doc(1, doc[use], key[use], bits) + stars(doc, start, use, bits)
 
 
-def settle_run(bucket: int, key: np.ndarray, doc: np.ndarray) -> list[tuple]:
+def settle_run(bucket: int, bits: int, key: np.ndarray, doc: np.ndarray) -> list[tuple]:
     """Compaction: one entry for each key, with its first document."""
     order, start = grouped(key, None, doc)
     return [(0, bucket, None, key[order][start], doc[order][start], None, None)]
 
 
-def of_documents(docs: DataFrame, rows: DataFrame, most_broadcast: int) -> DataFrame:
-    """The documents that ``rows`` names, with the list ``found`` of the rows' values.
+def of_documents(docs: DataFrame, pairs: DataFrame, width: int, kind: type, most_broadcast: int) -> DataFrame:
+    """The documents that packed pairs name, with ``found``: their values.
 
     Documents are first narrowed by their keys, broadcast if there are at most ``most_broadcast``; beyond that all of them
     go through the join.
     """
-    lists = rows.groupBy("doc").agg(F.collect_list("a").alias("found"))
-    names = rows.select("doc").distinct()
-    if names.count() <= most_broadcast:
-        docs = docs.join(F.broadcast(names), "doc", "left_semi")
+    lists = written(gathered(pairs, width, kind), "runs-lists")
+    if lists.count() <= most_broadcast:
+        docs = docs.join(F.broadcast(lists.select("doc")), "doc", "left_semi")
     return docs.join(lists, "doc")

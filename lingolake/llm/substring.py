@@ -53,8 +53,8 @@ class Hashes:
 
 
 def first_pass(docs: DataFrame, hashes: tuple[int, int], bits: int, folder: str) -> DataFrame:
-    """Rows of three kinds: 0 entries of a run (a: fingerprints, b: documents), 1 fingerprints that a document
-    shares with another one of the same task (a), 2 a document's number of words (bucket) and hash of its words (a)."""
+    """Rows of three kinds: 0 entries of a run (fingerprints, documents), 1 pairs of a document and a fingerprint that
+    another one of the task has too, 2 a document's number of words (bucket) and hash of its words (a)."""
 
     def run(batches):
         make, held, n = Hashes(*hashes), [], 0
@@ -85,29 +85,28 @@ def first_pass(docs: DataFrame, hashes: tuple[int, int], bits: int, folder: str)
     return docs.select("doc", "text").mapInArrow(run, RUN)
 
 
-def later(key: np.ndarray, check: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[list[tuple], tuple[np.ndarray, ...]]:
+def later(bits: int, key: np.ndarray, check: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[list[tuple], tuple[np.ndarray, ...]]:
     """Rows with the window starts of documents after the first one that has the window; and the first ones' entries."""
     order, start = grouped(key, check, doc)
     key, check, doc, at = key[order], check[order], doc[order], at[order]
     first = np.repeat(doc[start], np.diff([*start, len(doc)])) if len(start) else doc
     hit = doc > first
-    rows = [(1, None, d, x, None, None, None) for d, x in by_doc(doc[hit], at[hit])]
-    return rows, (key[~hit], check[~hit], doc[~hit], at[~hit])
+    return by_doc(1, doc[hit], at[hit], bits), (key[~hit], check[~hit], doc[~hit], at[~hit])
 
 
-def settle_windows(bucket: int, *columns: np.ndarray) -> list[tuple]:
-    return later(*columns)[0]
+def settle_windows(bucket: int, bits: int, *columns: np.ndarray) -> list[tuple]:
+    return later(bits, *columns)[0]
 
 
 def second_pass(docs: DataFrame, hashes: tuple[int, int], bits: int, folder: str) -> DataFrame:
-    """Windows with a shared fingerprint (``docs``: doc, text, found: lists of fingerprints): kind 0 entries of a run
+    """Windows with a shared fingerprint (``docs``: doc, text, found: fingerprints): kind 0 entries of a run
     (hash, check, document, start), kind 1 starts of windows that an earlier document of the task has."""
 
     def run(batches):
         make, held, n = Hashes(*hashes), [], 0
 
         def flush():
-            rows, (key, check, doc, at) = later(*(np.concatenate(x) for x in zip(*held)))
+            rows, (key, check, doc, at) = later(bits, *(np.concatenate(x) for x in zip(*held)))
             held.clear()
             rows += [(0, i, None, key[a:b], check[a:b], doc[a:b], at[a:b]) for i, a, b in cut_by_bucket(key, bits)]
             return batch_of(stashed(rows, folder))
@@ -120,7 +119,7 @@ def second_pass(docs: DataFrame, hashes: tuple[int, int], bits: int, folder: str
             cut = np.searchsorted(at, w.doc)
             for i, (k, found) in enumerate(zip(keys, batch.column(2).to_pylist())):
                 a, b = cut[i], cut[i + 1]
-                use = at[a:b][np.isin(fp[a:b], np.concatenate([np.frombuffer(x, np.uint64) for x in found]))]
+                use = at[a:b][np.isin(fp[a:b], np.frombuffer(found, np.uint64))]
                 if len(use):
                     held.append((one[use], two[use], np.full(len(use), k, np.int64), (use - w.doc[i]).astype(np.int32)))
                     n += len(use)
@@ -133,9 +132,9 @@ def second_pass(docs: DataFrame, hashes: tuple[int, int], bits: int, folder: str
     return docs.select("doc", "text", "found").mapInArrow(run, RUN)
 
 
-def settle_first_windows(bucket: int, *columns: np.ndarray) -> list[tuple]:
+def settle_first_windows(bucket: int, bits: int, *columns: np.ndarray) -> list[tuple]:
     """Compaction: one document's entries for each window, the first one's."""
-    return [(0, bucket, None, *later(*columns)[1])]
+    return [(0, bucket, None, *later(bits, *columns)[1])]
 
 
 class FingerprintIndex:
@@ -161,21 +160,21 @@ class FingerprintIndex:
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def compact(self) -> None:
-        self.runs = [self._table(merged(entries(self.runs), self.width, settle_run, self.folder), "runs")]
+        self.runs = [self._table(merged(entries(self.runs), self.bits, settle_run, self.folder), "runs")]
         if self.window_runs:
-            self.window_runs = [self._table(merged(entries(self.window_runs), self.width, settle_first_windows, self.folder), "windows")]
+            self.window_runs = [self._table(merged(entries(self.window_runs), self.bits, settle_first_windows, self.folder), "windows")]
 
     def windows(self, batch: DataFrame, corpus: DataFrame, most_broadcast: int = 2_000_000) -> tuple[DataFrame, DataFrame]:
-        """Adds the batch (doc, text).  Returns the batch's words (kind 2 rows) and, as (doc, a), the starts of windows that
-        also start in a document with a smaller key.  ``corpus`` has the texts of history and batch."""
+        """Adds the batch (doc, text).  Returns the batch's words (kind 2 rows) and, as packed pairs, the starts of windows
+        that also start in a document with a smaller key.  ``corpus`` has the texts of history and batch."""
         new = self._table(first_pass(batch, self.hashes, self.bits, self.folder), "runs")
         self.runs.append(new)
-        both = merged(entries(self.runs), self.width, settle_keys)
-        found = self._table(both.filter("kind = 1").select("doc", "a").unionByName(new.filter("kind = 1").select("doc", "a")), "shared")
-        windows = self._table(second_pass(of_documents(corpus, found, most_broadcast), self.hashes, self.bits, self.folder), "windows")
+        both = merged(entries(self.runs), self.bits, settle_keys)
+        found = self._table(both.filter("kind = 1").unionByName(new.filter("kind = 1")), "shared")
+        windows = self._table(second_pass(of_documents(corpus, found, self.width, np.uint64, most_broadcast), self.hashes, self.bits, self.folder), "windows")
         self.window_runs.append(windows)
-        hits = merged(entries(self.window_runs), self.width, settle_windows)
-        hits = written(hits.select("doc", "a").unionByName(windows.filter("kind = 1").select("doc", "a")), "substring-hits")
+        hits = merged(entries(self.window_runs), self.bits, settle_windows)
+        hits = written(hits.unionByName(windows.filter("kind = 1")), "substring-hits")
         words = written(new.filter("kind = 2").select("doc", F.col("bucket").alias("n_words"), F.col("a").cast("string").alias("sha")), "substring-words")
         if max(len(self.runs), len(self.window_runs)) > self.fan_in:
             self.compact()
@@ -192,14 +191,14 @@ def entries(runs: list[DataFrame]) -> DataFrame:
 
 
 def removed(docs: DataFrame, window: int, with_text: bool) -> DataFrame:
-    """(doc, n_removed, kept_sha, kept): the words left of documents (doc, text, found: lists of window starts)."""
+    """(doc, n_removed, kept_sha, kept): the words left of documents (doc, text, found: window starts)."""
 
     def run(batches):
         for batch in pieces(batches):
             w = Words(batch.column(1))
             counts, kept = [], []
             for i, found in enumerate(batch.column(2).to_pylist()):
-                at = np.concatenate([np.frombuffer(x, np.int32) for x in found])
+                at = np.frombuffer(found, np.int32)
                 n = w.counts[i]
                 edge = np.zeros(n + window + 1, np.int64)
                 np.add.at(edge, at, 1)
@@ -230,7 +229,7 @@ def dedup(batch: DataFrame, *, key: str = "doc_id", text: str = "text", index: F
     if own:
         index.drop()
     # a repeated row is worked on once for each repeat; one of the equal results is joined back
-    done = removed(of_documents(docs, hits, most_broadcast), window, with_text)
+    done = removed(of_documents(docs, hits, index.width, np.int32, most_broadcast), window, with_text)
     left = done.groupBy("doc").agg(*(F.first(c).alias(c) for c in ["n_removed", "kept_sha", *(["kept"] if with_text else [])]))
     out = words.join(left, "doc", "left")
     return out.select(F.col("doc").alias(key), F.col("n_words").cast("long").alias("n_words"), F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("kept_sha", "sha").alias("kept_sha256"), *([F.col("kept").alias("kept_text")] if with_text else []))
