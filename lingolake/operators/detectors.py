@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import lexicon as L
-from .trees import begin, children, end, feat, first_child, has_child, last_child, one_of, parent, role, role_of, subtree, universal, with_ancestors, words
+from .trees import begin, children, end, feat, first_child, fixed, has_child, last_child, one_of, parent, role, role_of, subtree, universal, with_ancestors, words
 
 KEYS = ["doc_id", "view", "sent_id", "lang"]
 ROLES = "array<struct<label:string,begin:int,end:int,text:string>>"
@@ -24,7 +24,7 @@ def _hits(sentences: DataFrame, where: str, *, ready: bool = False) -> DataFrame
     """A row (keys, nodes, n) for each node n that the condition holds for."""
     rows = sentences if ready else with_ancestors(sentences)
     hits = rows.select(*KEYS, "nodes", F.expr(f"filter(nodes, n -> coalesce({where}, false))").alias("hits"))
-    return hits.filter("size(hits) > 0").select(*KEYS, "nodes", F.explode("hits").alias("n"))
+    return hits.select(*KEYS, "nodes", F.explode("hits").alias("n"))
 
 
 def _findings(hits: DataFrame, *, subtype: str = "''", first: str = "n.t_start", last: str = "n.t_end", text: str = "n.form", suggestion: str = "cast(null AS string)", roles: list[str] = (), whole_roles: str | None = None) -> DataFrame:
@@ -49,7 +49,7 @@ def sluicing(sentences: DataFrame) -> DataFrame:
     licensed = f"CASE WHEN {direct} THEN true WHEN {broad} THEN {embedding(up, known)} WHEN {one_of('n.deprel', ['acl', 'nmod'])} THEN {noun} ELSE false END"
     hits = _hits(sentences.filter(one_of("lang", list(L.WH_WORDS))), f"n.head > 0 AND {remnant} AND {bare} AND {licensed}")
     span = "filter(nodes, s -> s.ord = n.ord OR (s.head = n.ord AND s.upos <> 'PUNCT'))"
-    return _findings(hits.withColumn("g", F.expr(governor)), first=begin(span), last=end(span), text=words(span), roles=[role_of("QEmbedder", "g")])
+    return _findings(fixed(hits.withColumn("g", F.expr(governor))), first=begin(span), last=end(span), text=words(span), roles=[role_of("QEmbedder", "g")])
 
 
 def subject_sharing(sentences: DataFrame) -> DataFrame:
@@ -78,8 +78,10 @@ def passive(sentences: DataFrame) -> DataFrame:
     short = _hits(rows.filter(one_of("lang", list(L.AGENT_PREPOSITIONS))), f"({participle}) AND {plain} AND {has_child('n', agent)}", ready=True).withColumn("v", F.col("n"))
     out = []
     for kind, hits in (("canonical", long), ("short", short)):
-        hits = hits.withColumn("g", F.expr(first_child("v", agent))).withColumn("m", F.expr(first_child("g", marks, "k")))
+        hits = fixed(hits).withColumn("g", F.expr(first_child("v", agent)))
+        hits = fixed(hits).withColumn("m", F.expr(first_child("g", marks, "k")))
         hits = hits.withColumn("s", F.expr(first_child("v", one_of("c.deprel", ["nsubj:pass", "csubj:pass"])) if kind == "canonical" else "if(false, n, null)"))
+        hits = fixed(hits)
         aux = role_of("Passive_aux", "n") if kind == "canonical" else "cast(null AS struct<label:string,begin:int,end:int,text:string>)"
         out.append(_findings(hits, subtype=f"'{kind}'", first="v.t_start", last="v.t_end", text="v.form", roles=[role_of("Passive_verb", "v"), aux, role_of("Passive_subject", "s"), role_of("Passive_agent", "g"), role_of("Passive_agent_marker", "m")]))
     return out[0].unionByName(out[1])
@@ -157,16 +159,16 @@ def gapped_coordination(sentences: DataFrame) -> DataFrame:
     signal = f"CASE WHEN n.deprel <> 'conj' OR n.head = 0 OR {verbal('n')} THEN null WHEN {verbal(parent('n'))} THEN if({gap}, 'C', null) WHEN size({siblings}) >= 2 THEN 'A' WHEN {gap} THEN 'B' END"
     rows = with_ancestors(sentences.filter("lang IS NOT NULL"))
     rows = rows.withColumn("cands", F.expr(f"filter(transform(nodes, n -> named_struct('n', n, 'signal', {signal}, 'heads', if(({signal}) = 'A', transform({siblings}, h -> h.ord), array(n.ord)))), x -> x.signal IS NOT NULL)"))
-    rows = rows.filter("size(cands) > 0")
+    rows = fixed(rows).filter("size(cands) > 0")
     covered = "transform(filter(nodes, m -> arrays_overlap(m.anc, x.heads)), m -> m.ord)"
     fold = f"""aggregate(cands, named_struct('seen', cast(array() AS array<int>), 'kept', cast(array() AS array<int>)),
         (acc, x) -> if(array_contains(acc.seen, x.n.ord), acc, named_struct('seen', array_union(acc.seen, {covered}), 'kept', array_append(acc.kept, x.n.ord)))).kept"""
-    hits = rows.withColumn("kept", F.expr(fold)).select(*KEYS, "nodes", F.explode(F.expr("filter(cands, x -> array_contains(kept, x.n.ord))")).alias("x")).select(*KEYS, "nodes", F.expr("x.n").alias("n"), F.expr("x.signal").alias("signal"), F.expr("x.heads").alias("heads"))
+    hits = fixed(rows.withColumn("kept", F.expr(fold))).select(*KEYS, "nodes", F.explode(F.expr("filter(cands, x -> array_contains(kept, x.n.ord))")).alias("x")).select(*KEYS, "nodes", F.expr("x.n").alias("n"), F.expr("x.signal").alias("signal"), F.expr("x.heads").alias("heads"))
     span = "filter(nodes, m -> arrays_overlap(m.anc, heads) AND m.upos <> 'PUNCT')"
     # the host and its ancestors, outermost first; a step that isn't a verb lends its first verbal copula
     path = f"transform(reverse(filter({parent('n')}.anc, a -> a > 0)), a -> nodes[a - 1])"
     verb = f"get(filter(transform({path}, p -> if({verbal('p')}, p, {first_child('p', 'k.deprel = ' + repr('cop') + ' AND ' + verbal('k'), 'k')})), v -> v IS NOT NULL), 0)"
-    hits = hits.withColumn("span", F.expr(span)).withColumn("v", F.expr(verb)).filter("size(span) > 0 AND v IS NOT NULL")
+    hits = fixed(hits.withColumn("span", F.expr(span)).withColumn("v", F.expr(verb))).filter("size(span) > 0 AND v IS NOT NULL")
     return _findings(hits, subtype="signal", first=begin("span"), last=end("span"), text=words("span"), roles=[role_of("GappedAntecedent", "v")])
 
 
@@ -176,7 +178,7 @@ def right_node_raising(sentences: DataFrame) -> DataFrame:
     hits = hits.withColumn("l", F.expr(f"if(n.head < n.ord, {parent('n')}, n)")).withColumn("f", F.expr(f"if(n.head < n.ord, n, {parent('n')})"))
     edge = "array_max(transform(filter(nodes, e -> e.upos <> 'PUNCT'), e -> e.t_end))"
     shared = last_child("f", f"{one_of(universal('c'), L.CORE_ARGUMENTS)} AND {end(subtree('c'))} >= {edge}")
-    hits = hits.withColumn("shared", F.expr(shared)).filter("shared IS NOT NULL")
+    hits = fixed(fixed(hits).withColumn("shared", F.expr(shared))).filter("shared IS NOT NULL")
     filled = has_child("l", f"c.upos <> 'ADP' AND {universal('c')} = {universal('shared')} AND c.ord <> shared.ord")
     subject = lambda x: has_child(x, one_of(universal("c"), ["nsubj", "csubj"]))
     distinct = f"({subject('l')} AND {subject('f')})"
@@ -195,7 +197,7 @@ def clitics(sentences: DataFrame) -> DataFrame:
     plain = f"try_element_at({table}, concat_ws(' ', lang, lower(n.form), lower(n.lemma)))"
     full = f"""CASE WHEN {participle} AND lower(n.form) = "'d" THEN 'had' WHEN {participle} AND lower(n.form) = "'s" AND lower({following}.lemma) = 'be' THEN 'has' ELSE {plain} END"""
     hits = _hits(rows.filter(one_of("lang", list(L.CLITICS))), f"array_contains({forms}, lower(n.form)) AND {before}.t_end = n.t_start AND ({full}) IS NOT NULL", ready=True)
-    hits = hits.withColumn("h", F.expr(before)).withColumn("full", F.expr(full))
+    hits = fixed(hits.withColumn("h", F.expr(before)).withColumn("full", F.expr(full)))
     # the first subject of the host's clause; what hangs on the technical root has it among the roots
     s = f"get(filter(nodes, x -> x.head = h.head AND {one_of(universal('x'), ['nsubj', 'expl'])}), 0)"
     agree = f"CASE WHEN lower({s}.lemma) = 'i' THEN 'am' WHEN {one_of(f'lower({s}.lemma)', ['you', 'we', 'they'])} OR {feat(s, 'Number')} = 'Plur' THEN 'are' ELSE 'is' END"
@@ -227,7 +229,7 @@ def clipped_articles(sentences: DataFrame) -> DataFrame:
     table = L.sql({f"{g} {c}": v for (g, c), v in L.INDEFINITE_ARTICLE.items()})
     inferred = f"if({noun} AND {feat(next_head, 'Number')} <> 'Plur', try_element_at({table}, concat({feat(next_head, 'Gender')}, ' ', {feat(next_head, 'Case')})), null)"
     full = f"CASE WHEN {bare} = 'ne' AND NOT coalesce({noun}, false) THEN null WHEN {bare} = 'n' THEN {inferred} ELSE try_element_at({L.sql(L.CLIPPED_ARTICLES)}, {bare}) END"
-    hits = _hits(sentences.filter("lang = 'de'"), f"({full}) IS NOT NULL").withColumn("full", F.expr(full))
+    hits = fixed(_hits(sentences.filter("lang = 'de'"), f"({full}) IS NOT NULL").withColumn("full", F.expr(full)))
     return _findings(hits, subtype=f"if({bare} = 'n', 'clipped_article_inferred', 'clipped_article')", suggestion=_capital("full", "n.form"))
 
 
@@ -244,10 +246,11 @@ def clipped_forms(sentences: DataFrame) -> DataFrame:
     joined = "get(nodes, n.ord).t_start = n.t_end"
     wide = f"if({joined}, coalesce(try_element_at({table}, lower({two})), if(get(nodes, n.ord).form = \"'\" AND {one_of('n.upos', ['VERB', 'AUX'])}, {dropped(two)}, null)), null)"
     single = f"coalesce(try_element_at({table}, lower(n.form)), {dropped('n.form')})"
-    rows = rows.withColumn("cands", F.expr(f"filter(transform(nodes, n -> named_struct('n', n, 'wide', {wide}, 'single', {single}, 'two', {two})), x -> x.wide IS NOT NULL OR x.single IS NOT NULL)")).filter("size(cands) > 0")
+    rows = rows.withColumn("cands", F.expr(f"filter(transform(nodes, n -> named_struct('n', n, 'wide', {wide}, 'single', {single}, 'two', {two})), x -> x.wide IS NOT NULL OR x.single IS NOT NULL)"))
+    rows = fixed(rows).filter("size(cands) > 0")
     fold = """aggregate(cands, named_struct('upto', 0, 'kept', cast(array() AS array<int>)),
         (acc, x) -> if(x.n.ord <= acc.upto, acc, named_struct('upto', x.n.ord + if(x.wide IS NOT NULL, 1, 0), 'kept', array_append(acc.kept, x.n.ord)))).kept"""
-    hits = rows.withColumn("kept", F.expr(fold)).select(*KEYS, "nodes", F.explode(F.expr("filter(cands, x -> array_contains(kept, x.n.ord))")).alias("x"))
+    hits = fixed(rows.withColumn("kept", F.expr(fold))).select(*KEYS, "nodes", F.explode(F.expr("filter(cands, x -> array_contains(kept, x.n.ord))")).alias("x"))
     hits = hits.select(*KEYS, "nodes", F.expr("x.n").alias("n"), F.expr("coalesce(x.wide, x.single)").alias("full"), F.expr("if(x.wide IS NOT NULL, x.two, x.n.form)").alias("surface"), F.expr("if(x.wide IS NOT NULL, get(nodes, x.n.ord).t_end, x.n.t_end)").alias("upto"))
     glued = "if(coalesce(get(nodes, n.ord - 2).t_end = n.t_start, false), ' ', '')"
     return _findings(hits, subtype="'clipped_form'", last="upto", text="surface", suggestion=f"concat({glued}, {_capital('full', 'surface', 'n.ord = 1')})")
@@ -285,17 +288,18 @@ def abbreviation(sentences: DataFrame) -> DataFrame:
     stop = L.by_language(L.FUNCTION_WORDS)
     letters = "filter(nodes, w -> rlike(w.form, '^\\\\p{L}+$'))"
     caps = f"size(filter({letters}, w -> length(w.form) > 1 AND w.form = upper(w.form) AND w.form <> lower(w.form)))"
-    rows = rows.withColumn("alpha", F.expr(f"size({letters})")).withColumn("caps", F.expr(caps)).filter("NOT (alpha >= 10 AND caps / alpha > 0.3D)")
+    rows = fixed(rows.withColumn("alpha", F.expr(f"size({letters})")).withColumn("caps", F.expr(caps))).filter("NOT (alpha >= 10 AND caps / alpha > 0.3D)")
     shape = f"rlike(n.form, '^{L.CANDIDATE}$')"
-    rows = rows.withColumn("cands", F.expr(f"filter(nodes, n -> {shape} AND NOT array_contains({stop}, lower(n.form)))")).filter("size(cands) > 0")
-    rows = rows.withColumn("found", F.expr(matches("text", rf"\b{L.CANDIDATE}\b")))
+    rows = rows.withColumn("cands", F.expr(f"filter(nodes, n -> {shape} AND NOT array_contains({stop}, lower(n.form)))"))
+    rows = fixed(rows).filter("size(cands) > 0")
+    rows = fixed(rows.withColumn("found", F.expr(matches("text", rf"\b{L.CANDIDATE}\b"))))
     rows = rows.withColumn("gaps", F.expr("transform(found, (m, i) -> named_struct('begin', m.begin, 'gap', if(i = 0, 'x', substring(text, found[i - 1].end + 1, m.begin - found[i - 1].end))))"))
     rows = rows.withColumn("runs", F.expr(enumeration_runs("gaps")))
     rows = rows.withColumn("glossed", F.expr(f"transform({matches('text', L.GLOSS_CONTEXT.replace('(' + '[A-ZÄÖÜ]{2,6})', '(?:[A-ZÄÖÜ]{2,6})'))}, m -> m.begin + length(regexp_extract(m.text, '(?Us)^(.*)\\\\(', 1)) + 1 + length(regexp_extract(m.text, '(?Us)\\\\((\\\\s*)[A-ZÄÖÜ]{{2,6}}\\\\s*\\\\)$', 1)))"))
-    hits = rows.select(*KEYS, "nodes", "found", "runs", "glossed", "cands", F.explode("cands").alias("n"))
+    hits = fixed(rows).select(*KEYS, "nodes", "found", "runs", "glossed", "cands", F.explode("cands").alias("n"))
     # the node's n-th occurrence among candidates of its form is the form's n-th occurrence in the text
     place = "get(filter(found, m -> m.text = n.form), size(filter(cands, c -> c.form = n.form AND c.ord < n.ord))).begin"
-    hits = hits.withColumn("place", F.expr(place)).filter("place IS NULL OR NOT array_contains(runs, place)")
+    hits = fixed(hits.withColumn("place", F.expr(place))).filter("place IS NULL OR NOT array_contains(runs, place)")
     return _findings(hits, subtype="if(coalesce(array_contains(glossed, place), false), 'abbreviation_defined', 'abbreviation')")
 
 
@@ -309,7 +313,8 @@ def suspended_composition(sentences: DataFrame) -> DataFrame:
         (acc, n) -> if(n.form = '' OR locate(n.form, text, acc.at) = 0, acc, named_struct('at', locate(n.form, text, acc.at) + length(n.form),
             'out', array_append(acc.out, named_struct('a', locate(n.form, text, acc.at) - 1, 'b', locate(n.form, text, acc.at) - 1 + length(n.form), 's', n.t_start, 'e', n.t_end, 'ord', n.ord))))).out"""
     both = f"""concat(transform({matches('text', L.STUB)}, m -> named_struct('m', m, 'way', 'shared_head')), transform({matches('text', L.LEAD_STUB)}, m -> named_struct('m', m, 'way', 'shared_modifier')))"""
-    rows = rows.withColumn("spans", F.expr(spans)).withColumn("stub", F.explode(F.expr(both)))
-    rows = rows.withColumn("hit", F.expr("filter(spans, s -> s.a < stub.m.end AND s.b > stub.m.begin)")).filter("size(hit) > 0")
+    rows = fixed(rows.withColumn("spans", F.expr(spans))).withColumn("stub", F.explode(F.expr(both)))
+    rows = rows.withColumn("hit", F.expr("filter(spans, s -> s.a < stub.m.end AND s.b > stub.m.begin)"))
+    rows = fixed(rows).filter("size(hit) > 0")
     rows = rows.withColumn("n", F.expr("nodes[hit[0].ord - 1]"))
     return _findings(rows, subtype="stub.way", first="hit[0].s", last="element_at(hit, -1).e", text="stub.m.text")

@@ -13,12 +13,21 @@ NODE = "struct<ord:int,form:string,lemma:string,upos:string,xpos:string,feats:ma
 SENTENCES = f"doc_id long, view string, sent_id int, lang string, text string, nodes array<{NODE}>, mwts array<struct<form:string,first_ord:int,last_ord:int>>"
 
 
+def fixed(rows: DataFrame) -> DataFrame:
+    """The same rows, with columns that the optimizer takes as given.
+
+    Columns that are long expressions and are used many times would else be repeated at each use when projections and
+    filters are merged; a generator of one row stops that, without a shuffle.
+    """
+    return rows.select(F.explode(F.array(F.struct(*[f"`{c}`" for c in rows.columns]))).alias("r")).select("r.*")
+
+
 def with_ancestors(sentences: DataFrame) -> DataFrame:
     """Nulls in string fields of nodes become empty, and each node gets ``anc``."""
     path = """aggregate(nodes, array(n.ord),
         (path, x) -> if(element_at(path, -1) = 0 OR element_at(path, -1) > size(nodes), path, array_append(path, nodes[element_at(path, -1) - 1].head)))"""
     plain = ", ".join(f"'{c}', coalesce(n.{c}, '')" for c in ("form", "lemma", "upos", "xpos", "deprel"))
-    return sentences.withColumn("nodes", F.expr(f"transform(nodes, n -> named_struct('ord', n.ord, {plain}, 'feats', coalesce(n.feats, map()), 'head', coalesce(n.head, 0), 't_start', n.t_start, 't_end', n.t_end, 'anc', {path}))"))
+    return fixed(sentences.withColumn("nodes", F.expr(f"transform(nodes, n -> named_struct('ord', n.ord, {plain}, 'feats', coalesce(n.feats, map()), 'head', coalesce(n.head, 0), 't_start', n.t_start, 't_end', n.t_end, 'anc', {path}))")))
 
 
 # SQL for a node's surroundings; ``n`` is the SQL of a node, each lambda takes a name of its own

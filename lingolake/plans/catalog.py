@@ -1,4 +1,44 @@
 """The queries of the library, by name, and the SQL that gives the same rows."""
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..operators import detectors
+from ..sources.forest import forest
+from .detector_sql import DETECTOR_SQL
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _told(findings: DataFrame) -> DataFrame:
+    """Findings with their roles as text."""
+    roles = F.expr("array_join(transform(roles, r -> concat_ws(':', r.label, r.begin, r.end)), '|')")
+    return findings.select("doc_id", "sent_id", "ord", "subtype", "begin", "end", "suggestion", roles.alias("roles"))
+
+
+def _detector(detect):
+    return lambda spark, sf_dir: _told(detect(forest(table(spark, sf_dir, "documents"))))
+
+
+QUERIES: dict = {
+    "det_sluicing": _detector(detectors.sluicing),
+    "det_subject_sharing": _detector(detectors.subject_sharing),
+    "det_verbal_ellipsis": _detector(detectors.verbal_ellipsis),
+    "det_passive": _detector(detectors.passive),
+    "det_nominal_ellipsis_en": _detector(detectors.nominal_ellipsis_en),
+    "det_nominal_ellipsis_de": _detector(detectors.nominal_ellipsis_de),
+    "det_clefts": _detector(detectors.clefts),
+    "det_bare_questions": _detector(detectors.bare_questions),
+    "det_gapped_coordination": _detector(detectors.gapped_coordination),
+    "det_right_node_raising": _detector(detectors.right_node_raising),
+    "det_abbreviation": _detector(detectors.abbreviation),
+    "det_suspended_composition": _detector(detectors.suspended_composition),
+    "contraction_clitic": _detector(detectors.clitics),
+    "contraction_prep_article": _detector(detectors.prep_articles),
+    "contraction_clipped_article": _detector(detectors.clipped_articles),
+    "contraction_clipped_form": _detector(detectors.clipped_forms),
+}
+ORACLES: dict[str, str] = dict(DETECTOR_SQL)

@@ -13,7 +13,7 @@ import re
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.lexicon import sql
-from ..operators.trees import NODE
+from ..operators.trees import NODE, fixed
 
 SIZE = 12
 TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_ \t\n\x0B\f\r]"
@@ -56,7 +56,7 @@ def forest(docs: DataFrame) -> DataFrame:
     cut = f"transform(sequence(0, cast((size(w) - 1) div {SIZE} AS int)), s -> slice(w, s * {SIZE} + 1, {SIZE}))"
     rows = rows.select("doc_id", "lang", F.posexplode(F.expr(cut)).alias("s", "w"))
     form = f"if(((i + 1) * 5 + doc_id + s) % 3 = 0, {pick(FORMS, '(i + 1) * 7 + doc_id * 3 + s * 11')}, x)"
-    rows = rows.withColumn("k", F.expr(f"if(size(w) = {SIZE}, (doc_id + 3 * s) % {EVERY}, {EVERY})"))
+    rows = fixed(rows).withColumn("k", F.expr(f"if(size(w) = {SIZE}, (doc_id + 3 * s) % {EVERY}, {EVERY})"))
 
     def at(number: str) -> str:
         return number.replace("o", "(i + 1)").replace("d", "doc_id")
@@ -67,6 +67,7 @@ def forest(docs: DataFrame) -> DataFrame:
 
     form = node_field(0, f"if(((i + 1) * 5 + doc_id + s) % 3 = 0, {pick(FORMS, '(i + 1) * 7 + doc_id * 3 + s * 11')}, x)")
     rows = rows.withColumn("t", F.expr(f"transform(w, (x, i) -> named_struct('form', {form}, 'glue', i > 0 AND (i + 1 + doc_id + s) % 3 = 0))"))
+    rows = fixed(rows)
     start = "aggregate(slice(t, 1, i), 0, (a, y) -> a + length(y.form)) + size(filter(slice(t, 2, i), y -> NOT y.glue))"
     lemma = node_field(1, f"if((i + 1 + 2 * doc_id + s) % 2 = 0, lower(x.form), {pick(LEMMAS, at(LEMMA_AT))})")
     head = node_field(5, "cast(if(i = 0, 0, 1 + ((7 * (i + 1) + 3 * doc_id + s) % greatest(i, 1))) AS string)")
@@ -74,9 +75,10 @@ def forest(docs: DataFrame) -> DataFrame:
         'xpos', {node_field(3, pick(XPOS, at(XPOS_AT)))}, 'feats', str_to_map({node_field(6, pick(FEATS, at(FEATS_AT)))}, '\\\\|', '='), 'head', cast({head} AS int),
         'deprel', {node_field(4, pick(RELATIONS, at(RELATION_AT)))}, 't_start', cast({start} AS int), 't_end', cast({start} + length(x.form) AS int))"""
     rows = rows.withColumn("nodes", F.expr(f"transform(t, (x, i) -> {node})").cast(f"array<{NODE}>"))
+    rows = fixed(rows)
     text = "array_join(transform(t, (x, i) -> concat(if(i = 0 OR x.glue, '', ' '), x.form)), '')"
     mwts = "transform(filter(sequence(1, greatest(size(nodes) - 1, 1)), o -> o < size(nodes) AND (o + doc_id + s) % 2 = 0), o -> named_struct('form', lower(concat(nodes[o - 1].form, nodes[o].form)), 'first_ord', o, 'last_ord', o + 1))"
-    return rows.select("doc_id", F.lit("_InitialView").alias("view"), F.col("s").alias("sent_id"), "lang", F.expr(text).alias("text"), "nodes", F.expr(mwts).alias("mwts"))
+    return fixed(rows.select("doc_id", F.lit("_InitialView").alias("view"), F.col("s").alias("sent_id"), "lang", F.expr(text).alias("text"), "nodes", F.expr(mwts).alias("mwts")))
 
 
 def _listed(values: list[str], number: str) -> str:
