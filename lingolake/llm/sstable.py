@@ -12,8 +12,8 @@ a footer.  A reader finds a key by the filter, a binary search in the index and
 from __future__ import annotations
 
 import bisect
+import gc
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -184,9 +184,6 @@ class PieceEncoder:
     text and parted by the bytes of their tokens.  Of those seen, ``most`` and the ``most`` of the generation before are kept.
     """
 
-    #: White space that the quick test for cutting at each space doesn't look for.
-    OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-
     def __init__(self, path: str, most: int = 500_000, batch: int = 1000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
@@ -199,7 +196,9 @@ class PieceEncoder:
             self.size[i] = added.get(i, len(token))
         self.seen = Stretches()
         #: numbers of the stretches that follow a space (without it), and of those that begin a text
-        self.inner, self.first = Numbers(self.seen), Numbers(self.seen)
+        self.inner, self.first = Numbers(self.seen, whole=True), Numbers(self.seen)
+        #: those of texts in which white space stands next to a space
+        self.loose = Numbers(self.seen)
 
     @classmethod
     def of_worker(cls, path: str) -> PieceEncoder:
@@ -232,6 +231,11 @@ class PieceEncoder:
                 every = self._ids([" " + p for p in part])
                 ids, ends = np.concatenate(every), np.cumsum([len(x) for x in every])
             self.seen.add(list(numbers), ids, ends)
+        if self.loose.new:
+            numbers, part = zip(*self.loose.new)
+            self.loose.new = []
+            every = self._ids([" " + p for p in part])
+            self.seen.add(list(numbers), np.concatenate(every), np.cumsum([len(x) for x in every]))
         if self.first.new:
             numbers, part = zip(*self.first.new)
             self.first.new = []
@@ -241,28 +245,40 @@ class PieceEncoder:
             every = [np.concatenate([self.seen.ids(a), self.seen.ids(b)]) for _, a, b in ended]
             self.seen.add([x[0] for x in ended], np.concatenate(every), np.cumsum([len(x) for x in every]))
 
-    def split(self, text: str) -> list[str]:
-        """Stretches that give the text when joined by a space."""
+    @staticmethod
+    def careful(text: str) -> list[str]:
+        """Stretches that give the text when joined by a space, cut only between characters that aren't white space."""
+        out = []
+        for p in text.split(" "):
+            if out and (not p or p[0].isspace() or not out[-1] or out[-1][-1].isspace()):
+                out[-1] = f"{out[-1]} {p}"
+            else:
+                out.append(p)
+        return out
+
+    def _numbered(self, text: str) -> list[int]:
         parts = text.split(" ")
-        if "" in parts or " \n" in text or "\n " in text or self.OTHER_SPACE.search(text):
-            out = parts[:1]
-            for p in parts[1:]:
-                before = out[-1]
-                if not p or p[0].isspace() or not before or before[-1].isspace():
-                    out[-1] = f"{before} {p}"
-                else:
-                    out.append(p)
-            return out
-        return parts
+        head = parts[0]
+        self.inner.bad = not head or head[-1].isspace()
+        found = list(map(self.inner.__getitem__, parts[1:])) if not self.inner.bad else []
+        if self.inner.bad:
+            head, *rest = self.careful(text)
+            found = [self.loose[p] if p[-1].isspace() else self.inner[p] for p in rest]
+        return [self.first[head], *found]
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.inner) + len(self.first) > self.most:
-            self.seen, (self.inner, self.first) = renewed(self.seen, [self.inner, self.first])
-        split = [self.split(t) if t else [] for t in texts]
-        inner, first = self.inner.__getitem__, self.first
-        numbers = [[first[parts[0]], *map(inner, parts[1:])] if parts else [] for parts in split]
-        self._learn()
-        return [self.seen.gather(at) for at in numbers]
+        if len(self.inner) + len(self.first) + len(self.loose) > self.most:
+            self.seen, (self.inner, self.first, self.loose) = renewed(self.seen, [self.inner, self.first, self.loose])
+        # many long lists of strings, but no cycles: the collector would only walk through them
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            numbers = [self._numbered(t) if t else [] for t in texts]
+            self._learn()
+            return [self.seen.gather(at) for at in numbers]
+        finally:
+            if collecting:
+                gc.enable()
 
 
 #: By file, in each Python worker.

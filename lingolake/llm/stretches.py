@@ -11,10 +11,15 @@ class Numbers(dict):
     ``old`` has those of the generation before, which come over when they are asked for again.
     """
 
-    def __init__(self, seen: Stretches, old: dict[str, int] | None = None):
+    def __init__(self, seen: Stretches, old: dict[str, int] | None = None, whole: bool = False):
         self.seen, self.old, self.new = seen, old or {}, []
+        #: ``whole``: stretches that begin or end in white space get no number, and ``bad`` tells that one was asked for
+        self.whole, self.bad = whole, False
 
     def __missing__(self, stretch: str) -> int:
+        if self.whole and (not stretch or stretch[0].isspace() or stretch[-1].isspace()):
+            self.bad = True
+            return 0
         at = self.old.get(stretch)
         if at is None:
             at = self.seen.given
@@ -66,7 +71,7 @@ def renewed(seen: Stretches, known: list[Numbers], without: set[int] = frozenset
         fresh.given += len(at)
         if len(at):
             fresh.add(np.arange(first, fresh.given), seen.gather(at), np.cumsum(seen.size[at]))
-        out.append(Numbers(fresh, dict(zip(kept, range(first, fresh.given)))))
+        out.append(Numbers(fresh, dict(zip(kept, range(first, fresh.given))), numbers.whole))
     return fresh, out
 
 
