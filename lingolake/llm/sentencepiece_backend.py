@@ -125,7 +125,7 @@ def merges(model: Model) -> list[tuple[str, str]]:
 class Backend:
     """Encodes and decodes as sentencepiece does; ``checked`` also compares with that library."""
 
-    def __init__(self, path: str, checked: bool = True, most: int = 400_000, batch: int = 1000):
+    def __init__(self, path: str, checked: bool = True, most: int = 200_000, batch: int = 1000):
         from tokenizers import Tokenizer, decoders, models
 
         with open(path, "rb") as f:
