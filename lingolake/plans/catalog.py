@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import detectors
-from ..sources.forest import forest
-from .detector_sql import DETECTOR_SQL
+from ..functions import lexicon as L
+from ..operators import annotate, detectors, evaluate, layers, models, text as texts
+from ..operators.trees import begin, end, subtree, with_ancestors
+from ..sources.forest import FOREST_SQL, forest
+from .detector_sql import DETECTOR_SQL, _q
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +25,115 @@ def _detector(detect):
     return lambda spark, sf_dir: _told(detect(forest(table(spark, sf_dir, "documents"))))
 
 
+def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest(table(spark, sf_dir, "documents"))
+
+
+def _nodes(sentences: DataFrame) -> DataFrame:
+    return sentences.select("doc_id", "view", "sent_id", "lang", F.explode("nodes").alias("n"))
+
+
+def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = texts.clean(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(cleaned).alias("cleaned_md5"), F.length(cleaned).cast("long").alias("n_chars_clean"))
+
+
+def penn_to_upos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tag = F.col("n.xpos")
+    return _nodes(_sentences(spark, sf_dir)).groupBy(tag.alias("xpos"), texts.penn_to_universal(tag).alias("upos"), texts.penn_to_wordnet(tag).alias("wordnet")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def model_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").filter("lang IS NOT NULL").select("lang").distinct().withColumn("size", F.explode(F.expr("array('sm', 'md', 'lg', cast(null AS string))")))
+    return rows.select("lang", "size", texts.model_name(F.col("lang"), F.col("size"), F.lit(None).cast("string")).alias("model"))
+
+
+def token_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _sentences(spark, sf_dir).withColumn("tokens", F.expr("transform(nodes, n -> n.form)"))
+    found = rows.select("doc_id", "sent_id", F.posexplode(texts.token_offsets("tokens", "text")).alias("i", "span"))
+    return found.select("doc_id", "sent_id", (F.col("i") + 1).alias("ord"), "span.begin", "span.end")
+
+
+def layer_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forest taken apart into layers of one document each and put together again."""
+    sentences = _sentences(spark, sf_dir)
+    at = lambda x: F.col("sent_id").cast("long") * 10_000_000 + F.col(x)
+    node = _nodes(sentences).select("doc_id", "view", at("n.t_start").alias("begin"), at("n.t_end").alias("end"), (F.col("sent_id").cast("long") * 100 + F.col("n.ord")).alias("id"), F.col("sent_id").cast("long").alias("s"), "n")
+    spans = sentences.select("doc_id", "view", F.col("sent_id").cast("long").alias("id"), (F.col("sent_id").cast("long") * 10_000_000).alias("begin"), (F.col("sent_id").cast("long") * 10_000_000 + F.length("text")).alias("end"), "text")
+    span = ["doc_id", "view", "begin", "end", "id"]
+    governor = F.when(F.col("n.head") == 0, F.col("id")).otherwise(F.col("s") * 100 + F.col("n.head"))
+    out = layers.assembled(
+        spans, node.select(*span, "n.form"), node.select(*span, "n.upos", "n.xpos"), node.select(*span, "n.lemma"), node.select(*span, F.lit("_").alias("feats")),
+        node.select("doc_id", "view", F.col("id").alias("dependent"), governor.alias("governor"), "id", "n.deprel"),
+    )
+    return out.select("doc_id", F.col("sent").cast("int").alias("sent_id"), "ord", "form", "lemma", "upos", "xpos", "head", "deprel")
+
+
+def feats_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feats = _nodes(_sentences(spark, sf_dir)).select(F.expr("array_join(transform(map_entries(n.feats), e -> concat(e.key, '=', coalesce(e.value, ''))), '|')").alias("feats"))
+    return feats.filter("feats <> '='").groupBy(F.expr(layers.sorted_feats("feats")).alias("feats")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def subtree_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = with_ancestors(_sentences(spark, sf_dir))
+    spans = F.expr(f"transform(nodes, n -> named_struct('ord', n.ord, 'begin', {begin(subtree('n'))}, 'end', {end(subtree('n'))}, 'size', size({subtree('n')}), 'depth', size(filter(n.anc, a -> a > 0))))")
+    return rows.select("doc_id", "sent_id", F.explode(spans).alias("x")).select("doc_id", "sent_id", "x.*")
+
+
+def caps_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = F.expr("transform(nodes, n -> n.form)")
+    return _sentences(spark, sf_dir).select("doc_id", "sent_id", texts.caps_suppressed(words).alias("suppressed")).groupBy("doc_id", "suppressed").agg(F.count(F.lit(1)).alias("n"))
+
+
+def lang_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four cases of a given language and a mixed view, with each sentence's own language by its number."""
+    rows = _sentences(spark, sf_dir).withColumn("own", F.expr("element_at(array('en', 'de', 'fr', cast(null AS string)), sent_id % 4 + 1)"))
+    out = None
+    for lang in (None, "de"):
+        for mixed in (False, True):
+            part = annotate.routed(rows, lang=lang, mixed=mixed, detected=F.col("own")).select(F.lit(lang or "-").alias("given"), F.lit(mixed).alias("mixed"), "lang")
+            out = part if out is None else out.unionByName(part)
+    return out.groupBy("given", "mixed", "lang").agg(F.count(F.lit(1)).alias("n"))
+
+
+def rwse_decide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The decision rule on the lines of orders: flags are the candidates, quantities their scores."""
+    scored = table(spark, sf_dir, "lineitem").select("l_orderkey", F.lit("a").alias("surface"), F.col("l_returnflag").alias("candidate"), F.col("l_quantity").alias("score"), F.col("l_extendedprice").alias("rank"))
+    out = models.decide_swap(scored, keys=["l_orderkey"], magnitude=3.0)
+    return out.select("l_orderkey", "suggestion", F.round("certainty", 6).alias("certainty"))
+
+
+def edu_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _sentences(spark, sf_dir).withColumn("labels", F.expr("transform(nodes, n -> if((n.ord + doc_id) % 4 = 0, 1, 0))"))
+    units = rows.select("doc_id", "sent_id", F.posexplode(F.expr(models.discourse_units("text", "labels"))).alias("i", "u"))
+    return units.select("doc_id", "sent_id", (F.col("i") + 1).alias("unit"), "u.begin", "u.end")
+
+
+def spelling_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the benchmark has once, against those that it has more often."""
+    counts = table(spark, sf_dir, "benchmark").select(F.explode(F.expr("regexp_extract_all(lower(text), '[a-z]+', 0)")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return models.spelling_candidates(counts.filter("n = 1"), counts.filter("n > 1"))
+
+
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gold = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.expr("CASE WHEN quality = 0 THEN 'NO_VPE' WHEN toxic = 1 THEN 'VPE_RESOLVABLE' ELSE 'VPE_UNRESOLVABLE' END").alias("category"), (F.col("quality") == 1).alias("is_vpe"), F.lit("src1, SRC2 ,x").alias("ellipsis_site"))
+    predicted = table(spark, sf_dir, "documents").filter("lang = 'en'").select(F.col("doc_id").alias("id"), F.col("source").alias("form"))
+    return evaluate.judged(gold, predicted)
+
+
+def conllu_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = layers.from_conllu(layers.to_conllu(_sentences(spark, sf_dir)))
+    return _nodes(back).select("doc_id", "sent_id", "n.ord", "n.form", "n.upos", "n.xpos", "n.head", "n.deprel", F.col("n.t_start").alias("begin"), F.col("n.t_end").alias("end"))
+
+
+def annotate_subject_sharing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Annotations as they are written, of a first run and a second one that passes over what is there."""
+    sentences = _sentences(spark, sf_dir)
+    first = annotate.detect(sentences, "subject_sharing")
+    again = annotate.run_again(first, sentences, "subject_sharing")
+    return again.select("doc_id", "sent_id", "kind", "begin", "end", "category", "label")
+
+
 QUERIES: dict = {
     "det_sluicing": _detector(detectors.sluicing),
     "det_subject_sharing": _detector(detectors.subject_sharing),
@@ -40,5 +151,53 @@ QUERIES: dict = {
     "contraction_prep_article": _detector(detectors.prep_articles),
     "contraction_clipped_article": _detector(detectors.clipped_articles),
     "contraction_clipped_form": _detector(detectors.clipped_forms),
+    "clean_text": clean_text,
+    "penn_to_upos": penn_to_upos,
+    "model_resolution": model_resolution,
+    "token_offsets": token_offsets,
+    "layer_assembly": layer_assembly,
+    "feats_sorted": feats_sorted,
+    "subtree_spans": subtree_spans,
+    "caps_gate": caps_gate,
+    "lang_routing": lang_routing,
+    "rwse_decide": rwse_decide,
+    "edu_group": edu_group,
+    "spelling_candidates": spelling_candidates,
+    "vpe_eval": lambda spark, sf_dir: evaluate.report(_judged(spark, sf_dir)),
+    "vpe_eval_by_category": lambda spark, sf_dir: evaluate.by_category(_judged(spark, sf_dir)),
+    "conllu_round_trip": conllu_round_trip,
+    "annotate_subject_sharing": annotate_subject_sharing,
+}
+
+
+def _over_forest(body: str) -> str:
+    return f"WITH RECURSIVE {FOREST_SQL} {body}"
+
+
+_ID = "d AS doc_id, CAST(s AS INTEGER) AS sent_id"
+_PENN = "CASE xpos " + " ".join(f"WHEN '{k.replace(chr(39), chr(39) * 2)}' THEN '{v}'" for k, v in L.PENN_TO_UPOS.items()) + " ELSE 'X' END"
+_JUDGED = """WITH r AS (SELECT l.doc_id, CASE WHEN quality = 0 THEN 'NO_VPE' WHEN toxic = 1 THEN 'VPE_RESOLVABLE' ELSE 'VPE_UNRESOLVABLE' END AS category, quality = 1 AS yes, d.doc_id IS NOT NULL AS fired, coalesce(d.source IN ('src1', 'src2', 'x'), false) AS site
+    FROM labels l LEFT JOIN (SELECT * FROM documents WHERE lang = 'en') d ON d.doc_id = l.doc_id)"""
+ORACLES: dict[str, str] = DETECTOR_SQL | {
+    "clean_text": r"SELECT doc_id, md5(c) AS cleaned_md5, CAST(length(c) AS BIGINT) AS n_chars_clean FROM (SELECT doc_id, trim(regexp_replace(regexp_replace(text, '\p{Cc}', '', 'g'), '[\s\p{Z}]+', ' ', 'g')) AS c FROM documents)",
+    "penn_to_upos": _over_forest(f"SELECT xpos, {_PENN} AS upos, CASE WHEN xpos[1] = 'V' THEN 'v' WHEN xpos[1] = 'J' THEN 'a' WHEN xpos[1:2] = 'RB' THEN 'r' ELSE 'n' END AS wordnet, count(*) AS n FROM tok GROUP BY ALL"),
+    "model_resolution": f"SELECT lang, size, lang || CASE WHEN lang IN {_q(L.WEB_MODELS)} THEN '_core_web_' ELSE '_core_news_' END || coalesce(size, 'md') AS model FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL), (VALUES ('sm'), ('md'), ('lg'), (NULL)) v(size)",
+    "token_offsets": _over_forest(f'SELECT {_ID}, CAST(o AS INTEGER) AS ord, CAST(b AS INTEGER) AS "begin", CAST(e AS INTEGER) AS "end" FROM tok'),
+    "layer_assembly": _over_forest(f"SELECT {_ID}, CAST(o AS INTEGER) AS ord, form, lemma, upos, xpos, CAST(head AS INTEGER) AS head, CASE WHEN head = 0 THEN 'root' ELSE deprel END AS deprel FROM tok"),
+    "feats_sorted": _over_forest("SELECT CASE feats WHEN 'Gender=Masc|Case=Acc' THEN 'Case=Acc|Gender=Masc' WHEN 'Gender=Fem|Case=Dat' THEN 'Case=Dat|Gender=Fem' WHEN 'Gender=Neut|Case=Nom|Number=Sing' THEN 'Case=Nom|Gender=Neut|Number=Sing' ELSE feats END AS feats, count(*) AS n FROM tok WHERE feats <> '' GROUP BY 1"),
+    "subtree_spans": _over_forest('SELECT a.d AS doc_id, CAST(a.s AS INTEGER) AS sent_id, CAST(a.a AS INTEGER) AS ord, CAST(min(m.b) AS INTEGER) AS "begin", CAST(max(m.e) AS INTEGER) AS "end", CAST(count(*) AS INTEGER) AS size, CAST(any_value(u.depth) AS INTEGER) AS depth FROM anc a JOIN tok m ON m.d = a.d AND m.s = a.s AND m.o = a.o JOIN (SELECT d, s, o, count(*) AS depth FROM anc GROUP BY ALL) u ON u.d = a.d AND u.s = a.s AND u.o = a.a GROUP BY a.d, a.s, a.a'),
+    "caps_gate": _over_forest(r"SELECT doc_id, suppressed, count(*) AS n FROM (SELECT d AS doc_id, s, count(*) FILTER (w) >= 10 AND count(*) FILTER (w AND length(form) > 1 AND form = upper(form) AND form <> lower(form)) / nullif(count(*) FILTER (w), 0) > 0.3 AS suppressed FROM (SELECT *, regexp_full_match(form, '\p{L}+') AS w FROM tok) GROUP BY ALL) GROUP BY ALL"),
+    "lang_routing": _over_forest("""SELECT given, mixed, CASE WHEN mixed THEN own WHEN given = '-' THEN lang ELSE given END AS lang, count(*) AS n FROM (SELECT DISTINCT d, s, lang, ['en', 'de', 'fr', NULL][CAST(s % 4 + 1 AS INTEGER)] AS own FROM tok), (VALUES ('-'), ('de')) g(given), (VALUES (true), (false)) m(mixed)
+        WHERE NOT (mixed AND given = 'de') OR own = 'de' GROUP BY ALL"""),
+    "rwse_decide": """SELECT l_orderkey, suggestion, round(certainty, 6) AS certainty FROM (SELECT l_orderkey, top.c AS suggestion, CASE WHEN mine > 0 THEN log10(top.q / mine) ELSE 3.0 END AS certainty, top.q AS q, mine FROM (
+        SELECT l_orderkey, coalesce(arg_max(l_quantity, l_extendedprice) FILTER (lower(l_returnflag) = 'a'), 0) AS mine, first(struct_pack(c := l_returnflag, q := l_quantity) ORDER BY l_quantity DESC, l_extendedprice) FILTER (lower(l_returnflag) <> 'a') AS top FROM lineitem GROUP BY 1) WHERE top IS NOT NULL) WHERE q >= mine * 3 AND certainty >= 0""",
+    "edu_group": _over_forest("""SELECT doc_id, sent_id, CAST(unit AS INTEGER) AS unit, CAST(min(b) AS INTEGER) AS "begin", CAST(max(e) AS INTEGER) AS "end" FROM (SELECT *, sum(CASE WHEN i = 1 OR (i <= size AND (i + doc_id) % 4 = 0) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, sent_id ORDER BY i) AS unit FROM (
+        SELECT d AS doc_id, CAST(s AS INTEGER) AS sent_id, w AS i, min(b) AS b, max(e) AS e, any_value(size) AS size FROM (SELECT *, sum(CASE WHEN glue THEN 0 ELSE 1 END) OVER (PARTITION BY d, s ORDER BY o) AS w, count(*) OVER (PARTITION BY d, s) AS size FROM tok) GROUP BY ALL)) GROUP BY doc_id, sent_id, unit"""),
+    "spelling_candidates": "WITH w AS (SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM benchmark) GROUP BY 1) SELECT a.word, b.word AS candidate, b.n, CAST(row_number() OVER (PARTITION BY a.word ORDER BY b.n DESC, b.word) AS INTEGER) AS rank FROM w a JOIN w b ON a.n = 1 AND b.n > 1 AND levenshtein(a.word, b.word) = 1",
+    "vpe_eval": _JUDGED + """, c AS (SELECT count(*) AS n, count_if(yes AND fired) AS tp, count_if(NOT yes AND fired) AS fp, count_if(yes AND NOT fired) AS fn, count_if(NOT yes AND NOT fired) AS tn, count_if(yes AND site) AS site_hits, count_if(yes) AS n_positives FROM r)
+        SELECT CAST(n AS BIGINT) AS n, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tn AS BIGINT) AS tn, CAST(site_hits AS BIGINT) AS site_hits, CAST(n_positives AS BIGINT) AS n_positives, round(coalesce(tp / nullif(tp + fp, 0), 0), 3) AS "precision", round(coalesce(tp / nullif(tp + fn, 0), 0), 3) AS recall, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 3) AS f1, round(coalesce((tp + tn) / nullif(n, 0), 0), 3) AS accuracy, round(coalesce(site_hits / nullif(n_positives, 0), 0), 3) AS site_recall FROM c""",
+    "vpe_eval_by_category": _JUDGED + " SELECT category, count(*) AS n, CAST(count_if(fired) AS BIGINT) AS fired, round(avg(CAST(fired AS DOUBLE)), 3) AS rate FROM r GROUP BY 1",
+    "conllu_round_trip": _over_forest(f'SELECT {_ID}, CAST(o AS INTEGER) AS ord, form, CASE WHEN upos = \'_\' THEN \'\' ELSE upos END AS upos, CASE WHEN xpos = \'_\' THEN \'\' ELSE xpos END AS xpos, CAST(head AS INTEGER) AS head, deprel, CAST(b AS INTEGER) AS "begin", CAST(e AS INTEGER) AS "end" FROM tok'),
+    "annotate_subject_sharing": _over_forest(f"""SELECT n.d AS doc_id, CAST(n.s AS INTEGER) AS sent_id, 'GrammarAnomaly' AS kind, CAST(n.b AS INTEGER) AS "begin", CAST(n.e AS INTEGER) AS "end", 'right_conj_subject' AS category, NULL AS label FROM x n UNION ALL
+        SELECT n.d, CAST(n.s AS INTEGER), 'LexicalPhrase', CAST(min(m.b) AS INTEGER), CAST(max(m.e) AS INTEGER), NULL, 'Shared_subject' FROM x n JOIN tok c ON c.d = n.d AND c.s = n.s AND c.head = n.head AND c.deprel IN {_q(L.SUBJECTS)} JOIN anc a ON a.d = c.d AND a.s = c.s AND a.a = c.o JOIN tok m ON m.d = a.d AND m.s = a.s AND m.o = a.o GROUP BY n.d, n.s, n.o, c.o""").replace(" SELECT n.d AS doc_id", f", x AS (SELECT n.* FROM tok n WHERE n.deprel = 'conj' AND n.head > 0 AND EXISTS (SELECT 1 FROM tok c WHERE c.d = n.d AND c.s = n.s AND c.head = n.head AND c.deprel IN {_q(L.SUBJECTS)}) AND NOT EXISTS (SELECT 1 FROM tok c WHERE c.d = n.d AND c.s = n.s AND c.head = n.o AND c.deprel IN {_q(L.SUBJECTS)})) SELECT n.d AS doc_id", 1),
 }
-ORACLES: dict[str, str] = dict(DETECTOR_SQL)
