@@ -21,6 +21,18 @@ def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(_table(spark, sf_dir, "documents"), with_text=False)
 
 
+OP1_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+     k AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM t WHERE len(w) >= 13)),
+     m AS (SELECT k, min(doc_id) AS first FROM k GROUP BY k),
+     gone AS (SELECT DISTINCT doc_id, i + j AS pos FROM k JOIN m USING (k), range(13) r(j) WHERE first < doc_id),
+     word AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS pos FROM t),
+     kept AS (SELECT word.doc_id, string_agg(x, ' ' ORDER BY word.pos) AS kept, count(*) AS n FROM word LEFT JOIN gone ON gone.doc_id = word.doc_id AND gone.pos = word.pos WHERE gone.pos IS NULL GROUP BY word.doc_id)
+SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN kept ON kept.doc_id = t.doc_id
+"""
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import archive, summary
 
@@ -43,6 +55,20 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes_of(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+OP3_SQL = r"""
+WITH RECURSIVE t AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+     s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM t WHERE len(w) > 0)),
+     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+     pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY ALL),
+     near AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)),
+     link AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+     reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+     least_ AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+SELECT t.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(t.doc_id, coalesce(c, t.doc_id)) AS component_id, least(t.doc_id, coalesce(c, t.doc_id)) = t.doc_id AS kept
+FROM t LEFT JOIN n ON n.doc_id = t.doc_id LEFT JOIN least_ ON a = t.doc_id
+"""
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secrets import scan
 
@@ -92,4 +118,4 @@ def op10_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_substring": op1_substring, "op2_warc": op2_warc, "op3_minhash": op3_minhash, "op4_secrets": op4_secrets, "op5_sentencepiece": op5_sentencepiece, "op6_decontaminate": op6_decontaminate, "op7_toxicity": op7_toxicity, "op8_html": op8_html, "op9_quality": op9_quality, "op10_sstable": op10_sstable}
-ORACLES: dict[str, str] = {"op2_warc": OP2_SQL}
+ORACLES: dict[str, str] = {"op1_substring": OP1_SQL, "op2_warc": OP2_SQL, "op3_minhash": OP3_SQL}

@@ -7,6 +7,8 @@ buffer, so that no Python object is made per word.  Nulls count as empty texts.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +17,7 @@ import pyarrow as pa
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Texts are worked on in pieces of about so many bytes (a longer text is a piece of its own).
-PIECE = 2 << 20
+PIECE = 1 << 20
 
 
 def _random(seed: int, n: int) -> np.ndarray:
@@ -102,6 +104,14 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
                 begin, total = i, 0
             total += size
         yield batch.slice(begin)
+    _give_back()
+
+
+def _give_back() -> None:
+    """Returns free memory to the system at the end of a task: a Python worker lives on for the next one."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 class Words:
