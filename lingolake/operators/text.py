@@ -32,8 +32,8 @@ def model_name(language: Column, size: Column, custom: Column) -> Column:
 def token_offsets(tokens: str, text: str) -> Column:
     """Begin and end of each token, found from left to right; one that isn't there stands empty at the cursor."""
     return F.expr(f"""aggregate({tokens}, named_struct('at', 0, 'out', cast(array() AS array<struct<begin:int,end:int>>)),
-        (acc, t) -> if(locate(t, {text}, acc.at + 1) = 0 AND t <> '', named_struct('at', acc.at, 'out', array_append(acc.out, named_struct('begin', acc.at, 'end', acc.at))),
-            named_struct('at', greatest(locate(t, {text}, acc.at + 1) - 1, acc.at) + length(t), 'out', array_append(acc.out, named_struct('begin', greatest(locate(t, {text}, acc.at + 1) - 1, acc.at), 'end', greatest(locate(t, {text}, acc.at + 1) - 1, acc.at) + length(t)))))).out""")
+        (acc, tok_) -> if(locate(tok_, {text}, acc.at + 1) = 0 AND tok_ <> '', named_struct('at', acc.at, 'out', array_append(acc.out, named_struct('begin', acc.at, 'end', acc.at))),
+            named_struct('at', greatest(locate(tok_, {text}, acc.at + 1) - 1, acc.at) + length(tok_), 'out', array_append(acc.out, named_struct('begin', greatest(locate(tok_, {text}, acc.at + 1) - 1, acc.at), 'end', greatest(locate(tok_, {text}, acc.at + 1) - 1, acc.at) + length(tok_)))))).out""")
 
 
 def split_sentences(text: Column) -> Column:
