@@ -219,6 +219,17 @@ def test_conllu_files(spark, trees, tmp_path):
     assert sorted(map(key, back.collect())) == sorted(map(key, few.collect()))
 
 
+def test_command_line(spark, trees, tmp_path):
+    from lingolake import run
+
+    few = trees.filter("doc_id < 5").coalesce(1)
+    layers.to_conllu(few).select("block").write.option("lineSep", "\n").text(str(tmp_path / "in"))
+    run.main(["detect", "--phenomenon", "passive", "--mixed", "--view", "_InitialView", "--", str(tmp_path / "in"), str(tmp_path / "out")])
+    assert spark.read.parquet(str(tmp_path / "out")).count() == annotate.detect(few, "passive", mixed=True).count() > 0
+    with pytest.raises(SystemExit):
+        run.main(["parse", "--", "a", "b"])
+
+
 def test_empty_and_null(spark):
     docs = spark.createDataFrame([(1, None, "en"), (None, "a b", "en"), (2, "", "de"), (3, "  ", None)], "doc_id long, text string, lang string")
     assert forest(docs).count() == 0

@@ -108,10 +108,10 @@ def test_plans(spark, tmp_path):
     views = annotators.read_views(spark, str(path))
     plan = {r["name"]: r["views"] for r in annotators.plan(annotators.annotators(spark), views).collect()}
     ids = ["_InitialView", "spelling_normalized", "vpe_resolved"]
-    assert plan["OOV spelling errors"] == ids[:2] and plan["passive"] == plan["sluicing"] == ids and len(plan) == 14
+    assert plan["spelling errors"] == ids[:2] and plan["passive"] == plan["sluicing"] == ids and len(plan) == 14
     lines = [r["command"] for r in annotators.commands(annotators.annotators(spark), views).orderBy("pos").collect()]
-    assert lines[4] == 'python annotate.py --phenomenon verbal_ellipsis --lang "$LANG_CODE" --view _InitialView spelling_normalized vpe_resolved -- "$XMIDIR"'
-    assert lines[12] == 'python add_edus.py --view _InitialView spelling_normalized vpe_resolved -- "$XMIDIR"'
+    assert lines[4] == 'python -m lingolake.run detect --phenomenon verbal_ellipsis --lang "$LANG_CODE" --view _InitialView spelling_normalized vpe_resolved -- "$INPUT"'
+    assert lines[12] == 'python -m lingolake.run discourse-units --view _InitialView spelling_normalized vpe_resolved -- "$INPUT"'
     path.write_text("view_order: []\n")
     with pytest.raises(ValueError):
         annotators.read_views(spark, str(path))
