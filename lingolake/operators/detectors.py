@@ -27,6 +27,13 @@ def _hits(sentences: DataFrame, where: str, *, ready: bool = False) -> DataFrame
     return hits.select(*KEYS, "nodes", F.explode("hits").alias("n"))
 
 
+def _kinds(rows: DataFrame, wheres: dict[str, str]) -> DataFrame:
+    """A row (keys, nodes, n, kind) for each kind's condition that a node meets, in one pass over rows with ancestors."""
+    each = ", ".join(f"transform(filter(nodes, n -> coalesce({where}, false)), n -> named_struct('n', n, 'kind', '{kind}'))" for kind, where in wheres.items())
+    hits = rows.select(*KEYS, "nodes", F.explode(F.expr(f"concat({each})")).alias("x"))
+    return fixed(hits.select(*KEYS, "nodes", F.expr("x.n").alias("n"), F.expr("x.kind").alias("kind")))
+
+
 def _findings(hits: DataFrame, *, subtype: str = "''", first: str = "n.t_start", last: str = "n.t_end", text: str = "n.form", suggestion: str = "cast(null AS string)", roles: list[str] = (), whole_roles: str | None = None) -> DataFrame:
     listed = whole_roles or f"filter(array({', '.join(roles)}), r -> r IS NOT NULL)" if roles or whole_roles else "array()"
     return hits.select(*KEYS, F.expr("n.ord").alias("ord"), F.expr(subtype).alias("subtype"), F.expr(first).alias("begin"), F.expr(last).alias("end"), F.expr(text).alias("text"), F.expr(suggestion).alias("suggestion"), F.expr(listed).cast(ROLES).alias("roles"))
@@ -71,20 +78,15 @@ def passive(sentences: DataFrame) -> DataFrame:
     preps, tags = L.by_language(L.AGENT_PREPOSITIONS), L.by_language(L.PARTICIPLE_XPOS)
     marks = f"k.deprel = 'case' AND (array_contains({preps}, lower(k.lemma)) OR array_contains({preps}, lower(k.form)))"
     agent = one_of("c.deprel", ["obl", "obl:agent"]) + f" AND {has_child('c', marks, 'k')}"
-    rows = with_ancestors(sentences)
-    long = _hits(rows, "n.deprel = 'aux:pass' AND n.head > 0", ready=True).withColumn("v", F.expr(parent("n")))
-    participle = f"array_contains({tags}, n.xpos) OR {feat('n', 'VerbForm')} = 'Part'"
+    participle = f"(array_contains({tags}, n.xpos) OR {feat('n', 'VerbForm')} = 'Part')"
     plain = "NOT " + has_child("n", universal("c") + " = 'aux'")
-    short = _hits(rows.filter(one_of("lang", list(L.AGENT_PREPOSITIONS))), f"({participle}) AND {plain} AND {has_child('n', agent)}", ready=True).withColumn("v", F.col("n"))
-    out = []
-    for kind, hits in (("canonical", long), ("short", short)):
-        hits = fixed(hits).withColumn("g", F.expr(first_child("v", agent)))
-        hits = fixed(hits).withColumn("m", F.expr(first_child("g", marks, "k")))
-        hits = hits.withColumn("s", F.expr(first_child("v", one_of("c.deprel", ["nsubj:pass", "csubj:pass"])) if kind == "canonical" else "if(false, n, null)"))
-        hits = fixed(hits)
-        aux = role_of("Passive_aux", "n") if kind == "canonical" else "cast(null AS struct<label:string,begin:int,end:int,text:string>)"
-        out.append(_findings(hits, subtype=f"'{kind}'", first="v.t_start", last="v.t_end", text="v.form", roles=[role_of("Passive_verb", "v"), aux, role_of("Passive_subject", "s"), role_of("Passive_agent", "g"), role_of("Passive_agent_marker", "m")]))
-    return out[0].unionByName(out[1])
+    known = one_of("lang", list(L.AGENT_PREPOSITIONS))
+    hits = _kinds(with_ancestors(sentences), {"canonical": "n.deprel = 'aux:pass' AND n.head > 0", "short": f"{known} AND {participle} AND {plain} AND {has_child('n', agent)}"})
+    hits = fixed(hits.withColumn("v", F.expr(f"if(kind = 'canonical', {parent('n')}, n)")))
+    hits = fixed(hits.withColumn("g", F.expr(first_child("v", agent))))
+    hits = hits.withColumn("m", F.expr(first_child("g", marks, "k"))).withColumn("u", F.expr(f"if(kind = 'canonical', {first_child('v', one_of('c.deprel', ['nsubj:pass', 'csubj:pass']))}, null)"))
+    hits = fixed(hits.withColumn("aux", F.expr("if(kind = 'canonical', n, null)")))
+    return _findings(hits, subtype="kind", first="v.t_start", last="v.t_end", text="v.form", roles=[role_of("Passive_verb", "v"), role_of("Passive_aux", "aux"), role_of("Passive_subject", "u"), role_of("Passive_agent", "g"), role_of("Passive_agent_marker", "m")])
 
 
 def nominal_ellipsis_en(sentences: DataFrame) -> DataFrame:
@@ -130,13 +132,12 @@ def clefts(sentences: DataFrame) -> DataFrame:
     is_it = f"{one_of('n.upos', ['NOUN', 'PRON', 'PROPN'])} AND {one_of('n.deprel', ['root', 'ccomp'])} AND {cop} IS NOT NULL AND {relative} IS NOT NULL AND {it} IS NOT NULL AND size({focus}) > 0"
     up = parent("n")
     is_wh = f"lower(n.lemma) = 'what' AND {one_of('n.deprel', ['nsubj', 'nsubj:outer'])} AND {relative} IS NOT NULL AND ({up}.upos = 'NOUN' OR ({up}.upos = 'VERB' AND {up}.form = {up}.lemma))"
-    rows = with_ancestors(sentences.filter("lang = 'en'"))
-    clauses = role("Cleft_presupposition", clause, f"{relative}.form")
-    first = _hits(rows, is_it, ready=True)
-    second = _hits(rows, f"({is_wh}) AND NOT coalesce({is_it}, false)", ready=True)
-    a = _findings(first, subtype="'it_cleft'", roles=[role("Cleft_focus", focus, "n.form"), clauses, role_of("Cleft_it", it)])
-    b = _findings(second, subtype="'wh_cleft'", roles=[role_of("Cleft_focus", up), clauses, role_of("Cleft_wh", "n")])
-    return a.unionByName(b)
+    # the cheap part of the conditions goes first: most nodes have no such child
+    has_relative = has_child("n", "c.deprel = 'acl:relcl'")
+    hits = _kinds(with_ancestors(sentences.filter("lang = 'en'")), {"it_cleft": f"{has_relative} AND {is_it}", "wh_cleft": f"{has_relative} AND ({is_wh}) AND NOT coalesce({is_it}, false)"})
+    told = f"if(kind = 'it_cleft', {role('Cleft_focus', focus, 'n.form')}, {role_of('Cleft_focus', up)})"
+    token = f"if(kind = 'it_cleft', {role_of('Cleft_it', it)}, {role_of('Cleft_wh', 'n')})"
+    return _findings(hits, subtype="kind", roles=[told, role("Cleft_presupposition", clause, f"{relative}.form"), token])
 
 
 def bare_questions(sentences: DataFrame) -> DataFrame:
