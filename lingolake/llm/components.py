@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .store import written
+from .store import discard, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -25,6 +25,7 @@ def components(links: DataFrame) -> DataFrame:
         down = written(large.groupBy("u").agg(F.min("v").alias("m")), "links-down")
         small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").unionByName(down.select("u", F.col("m").alias("v"))).distinct()
         new = written(small, "links")
+        discard(edges, least, large, down)
         # stars that don't change: each node points at one node that points at none
         roots = new.select(F.col("v").alias("u")).distinct()
         if not new.join(roots, "u", "left_semi").limit(1).count():

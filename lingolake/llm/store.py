@@ -29,7 +29,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder, read again: work up to here isn't repeated when executors go."""
     spark, path = df.sparkSession, new_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` made and that nothing needs any more."""
+    for table in tables:
+        remove(table.sparkSession, table._written_to)
 
 
 def remove(spark: SparkSession, path: str) -> None:
