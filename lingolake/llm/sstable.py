@@ -184,7 +184,7 @@ class PieceEncoder:
     text and parted by the bytes of their tokens.  Of those seen, ``most`` and the ``most`` of the generation before are kept.
     """
 
-    def __init__(self, path: str, most: int = 500_000, batch: int = 1000):
+    def __init__(self, path: str, most: int = 650_000, batch: int = 1000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -225,8 +225,11 @@ class PieceEncoder:
         self.inner.new = []
         for i in range(0, len(plain), self.batch):
             numbers, part = zip(*plain[i : i + self.batch])
-            (ids,) = self._ids([" " + " ".join(part)])
-            ends = parted(self.size, ids, [len(p.encode()) + 1 for p in part])
+            text = " " + " ".join(part)
+            (ids,) = self._ids([text])
+            # no stretch has a space in it
+            raw = np.frombuffer(text.encode(), np.uint8)
+            ends = parted(self.size, ids, np.diff(np.append(np.flatnonzero(raw == 32), len(raw))))
             if ends is None:
                 every = self._ids([" " + p for p in part])
                 ids, ends = np.concatenate(every), np.cumsum([len(x) for x in every])
@@ -242,8 +245,8 @@ class PieceEncoder:
             every = self._ids(list(part))
             self.seen.add(list(numbers), np.concatenate(every), np.cumsum([len(x) for x in every]))
         if ended:
-            every = [np.concatenate([self.seen.ids(a), self.seen.ids(b)]) for _, a, b in ended]
-            self.seen.add([x[0] for x in ended], np.concatenate(every), np.cumsum([len(x) for x in every]))
+            at, both = np.array([x[0] for x in ended]), np.array([x[1:] for x in ended])
+            self.seen.add(at, self.seen.gather(both.ravel()), np.cumsum(self.seen.size[both].sum(1)))
 
     @staticmethod
     def careful(text: str) -> list[str]:
@@ -263,7 +266,7 @@ class PieceEncoder:
         found = list(map(self.inner.__getitem__, parts[1:])) if not self.inner.bad else []
         if self.inner.bad:
             head, *rest = self.careful(text)
-            found = [self.loose[p] if p[-1].isspace() else self.inner[p] for p in rest]
+            found = [self.loose[p] if " " in p or p[-1].isspace() else self.inner[p] for p in rest]
         return [self.first[head], *found]
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:

@@ -48,9 +48,6 @@ class Stretches:
         self.size[numbers] = ends - starts
         self.used += len(ids)
 
-    def ids(self, number: int) -> np.ndarray:
-        return self.flat[self.begin[number] : self.begin[number] + self.size[number]]
-
     def gather(self, numbers: list[int]) -> np.ndarray:
         """The ids of stretches, one after the other."""
         at = np.asarray(numbers, np.int64)
@@ -75,7 +72,7 @@ def renewed(seen: Stretches, known: list[Numbers], without: set[int] = frozenset
     return fresh, out
 
 
-def parted(sizes: np.ndarray, ids: np.ndarray, lengths: list[int]) -> np.ndarray | None:
+def parted(sizes: np.ndarray, ids: np.ndarray, lengths: np.ndarray | list[int]) -> np.ndarray | None:
     """Where the ids of stretches end, given the bytes of each id and of each stretch; None if an id spans a border."""
     ends, at = np.cumsum(lengths), np.cumsum(sizes[ids])
     if not len(at) or at[-1] != ends[-1]:
