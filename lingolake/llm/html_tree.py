@@ -3,9 +3,9 @@
 Pages of one host are merged into a style tree: a node is a chain of block elements with their classes.  The
 importance of a node combines how varied the layouts below it are over the site's pages (presentation) and how varied
 the texts of its leaves are (content); both are entropies to the base of the number of pages with the node.  Branches
-that look and read alike on every page, such as menus, get a low importance and are removed from each page.  Elements
-whose tag, role or class says that they aren't the article go whatever their importance, and where a page marks
-its article, nothing outside of it counts and nothing else within it is removed.
+that look and read alike on every page, such as menus, get a low importance and are removed from each page, within a
+marked article too.  Elements whose tag, role or class says that they aren't the article go whatever their importance.
+Where a page marks its article, nothing outside of it counts, unless the tree finds the whole mark alike on the site.
 """
 
 from __future__ import annotations
@@ -51,7 +51,7 @@ ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"
 class Element:
     __slots__ = ("tag", "path", "noise", "article", "head")
 
-    def __init__(self, tag: str, path: str, noise: bool, article: bool, head: bool):
+    def __init__(self, tag: str, path: str, noise: bool, article: str, head: bool):
         self.tag, self.path, self.noise, self.article, self.head = tag, path, noise, article, head
 
 
@@ -68,16 +68,17 @@ def _style(tag: str, attributes: str, parent: Element | None) -> Element:
         article = article or role in ("main", "article") or found.get("itemprop", "").lower() == "articlebody" or bool(set(whole.split()) & ARTICLE_CLASSES)
         names = "." + ".".join(sorted(set(found.get("class", "").lower().split()))) if found.get("class") else ""
     path = f"{parent.path}/{tag}{names}" if parent else tag + names
-    return Element(tag, path, noise or bool(parent and parent.noise), (article and not noise) or bool(parent and parent.article), head or bool(parent and parent.head))
+    mark = (parent.article if parent else "") or (path if article and not noise else "")
+    return Element(tag, path, noise or bool(parent and parent.noise), mark, head or bool(parent and parent.head))
 
 
-def blocks(page: str) -> list[tuple[str, str, bool, bool]]:
-    """(style path, text, noise, in the article) of each block of text, in page order.
+def blocks(page: str) -> list[tuple[str, str, bool, str]]:
+    """(style path, text, noise, style path of the marked article around it or "") of each block of text, in page order.
 
     Inline elements are part of their block; what isn't closed is closed as browsers do for blocks.
     """
     stack: list[Element] = []
-    out: list[tuple[str, str, bool, bool]] = []
+    out: list[tuple[str, str, bool, str]] = []
     text: list[str] = []
 
     def flush() -> None:
@@ -86,7 +87,7 @@ def blocks(page: str) -> list[tuple[str, str, bool, bool]]:
             text.clear()
             if whole:
                 top = stack[-1] if stack else None
-                out.append((top.path if top else "", whole, bool(top and (top.noise or (top.head and not top.article))), bool(top and top.article)))
+                out.append((top.path if top else "", whole, bool(top and (top.noise or (top.head and not top.article))), top.article if top else ""))
 
     at, n = 0, len(page)
     skip_inline = 0
@@ -180,32 +181,29 @@ def _number(*parts: str) -> int:
 def style_facts(pages: DataFrame) -> DataFrame:
     """Per page and style node: kind 0 a leaf's text, kind 1 a node's layout (the run of leaves below it); ``value`` is a hash of it.
 
-    Only what lies outside marked articles and isn't noise already is told, as only that can be removed by importance.
+    Every page of a host counts, and what lies in marked articles too; only noise, which goes anyway, is not told.
     """
 
     def run(batches):
         for batch in pieces(batches, "html"):
-            hosts, nodes, parents, kinds, values = [], [], [], [], []
+            hosts, nodes, kinds, values = [], [], [], []
             for site, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = blocks(page or "")
-                marked = any(b[3] for b in found)
                 layout: dict[str, list[str]] = defaultdict(list)
                 texts = set()
-                for path, text, noise, article in found:
-                    if marked or noise or article or not path:
+                for path, text, noise, _ in blocks(page or ""):
+                    if noise or not path:
                         continue
                     texts.add((path, _number(text)))
                     for up in ancestors(path):
                         if not layout[up] or layout[up][-1] != path:
                             layout[up].append(path)
                 for path, value in texts:
-                    for up in ancestors(path):
-                        hosts.append(site), nodes.append(up), parents.append(path), kinds.append(0), values.append(value)
+                    hosts.append(site), nodes.append(path), kinds.append(0), values.append(value)
                 for up, runs in layout.items():
-                    hosts.append(site), nodes.append(up), parents.append(up), kinds.append(1), values.append(_number(*runs))
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(nodes, pa.string()), pa.array(parents, pa.string()), pa.array(kinds, pa.int32()), pa.array(values, pa.int64())], names=["host", "node", "leaf", "kind", "value"])
+                    hosts.append(site), nodes.append(up), kinds.append(1), values.append(_number(*runs))
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(nodes, pa.string()), pa.array(kinds, pa.int32()), pa.array(values, pa.int64())], names=["host", "node", "kind", "value"])
 
-    return pages.select("host", "html").mapInArrow(run, "host string, node string, leaf string, kind int, value long")
+    return pages.select("host", "html").mapInArrow(run, "host string, node string, kind int, value long")
 
 
 def importances(pages: DataFrame, *, gamma: float = 0.9) -> DataFrame:
@@ -213,19 +211,25 @@ def importances(pages: DataFrame, *, gamma: float = 0.9) -> DataFrame:
 
     Counting is by (host, node, value), combined before the shuffle, so a host with many pages is no large group.
     With m pages: presentation is the entropy, to the base m, of the layouts; content is 1 minus the mean entropy, to the
-    base m, of the distinct texts' spread over pages.  importance = (1 - gamma ** l) * presentation + gamma ** l * content, where
+    base m, of the spread over pages of the distinct texts of each leaf below.  importance = (1 - gamma ** l) * presentation + gamma ** l * content, where
     l is the number of distinct layouts.  A node on one page only has importance 1.
     """
     seen = style_facts(pages).groupBy("host", "node", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
     n = F.col("n").cast("double")
     layouts = F.col("kind") == 1
-    total = seen.groupBy("host", "node").agg(
+    own = seen.groupBy("host", "node").agg(
         F.sum(F.when(layouts, F.col("n"))).alias("n_pages"),
         F.sum(F.when(layouts, n * F.log(n))).alias("n_log_n"),
         F.count(F.when(layouts, 1)).alias("n_layouts"),
         F.count(F.when(~layouts, 1)).alias("n_texts"),
         F.sum(F.when(~layouts, F.log(n))).alias("text_log"),
     )
+    # a leaf's texts count for each node above it: a row a leaf and ancestor, however many the texts
+    parts = F.split("node", "/")
+    ups = F.when(F.col("n_texts") > 0, F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))).otherwise(F.array().cast("array<string>"))
+    told = own.select("host", F.col("node").alias("__own"), F.explode(F.array_union(F.array("node"), ups)).alias("node"), "n_pages", "n_log_n", "n_layouts", "n_texts", "text_log")
+    itself = F.col("node") == F.col("__own")
+    total = told.groupBy("host", "node").agg(*[F.sum(F.when(itself, F.col(c))).alias(c) for c in ("n_pages", "n_log_n", "n_layouts")], F.sum("n_texts").alias("n_texts"), F.sum("text_log").alias("text_log"))
     m = F.log(F.col("n_pages").cast("double"))
     presentation = F.when(F.col("n_pages") > 1, (m - F.col("n_log_n") / F.col("n_pages")) / m).otherwise(1.0)
     content = F.when((F.col("n_pages") > 1) & (F.col("n_texts") > 0), F.greatest(F.lit(0.0), 1 - F.col("text_log") / F.col("n_texts") / m)).otherwise(1.0)
@@ -236,12 +240,19 @@ def importances(pages: DataFrame, *, gamma: float = 0.9) -> DataFrame:
 
 
 def article(page: str, low: set[str]) -> str:
-    """The main text: of the marked article if there is one, else of all blocks outside of noise and of low branches."""
+    """The main text: all blocks outside of noise and of low branches; of these the marked article's only, if there is one.
+
+    A mark that is itself (in) a low branch says one thing and the tree another: what else is left is taken then, and the
+    mark's blocks if nothing is, so that copies of one page keep their article.
+    """
     found = [b for b in blocks(page) if not b[2]]
-    marked = [b for b in found if b[3]]
-    if marked:
-        return "\n\n".join(b[1] for b in marked)
-    return "\n\n".join(b[1] for b in found if not low or not any(up in low for up in ancestors(b[0])))
+    high = [b for b in found if not low or not any(up in low for up in ancestors(b[0]))]
+    if marked := [b for b in found if b[3]]:
+        if any(low.isdisjoint(ancestors(b[3])) for b in marked):
+            high = [b for b in high if b[3]]
+        else:
+            high = high or marked
+    return "\n\n".join(b[1] for b in high)
 
 
 def extract(pages: DataFrame, *, page: str = "html", url: str = "url", keep: list[str] | None = None, out: str = "text", least: float = 0.3, min_pages: int = 5, most_broadcast: int = 200_000) -> DataFrame:

@@ -428,6 +428,26 @@ def test_style_tree(spark):
     assert html_tree.extract(df.limit(0)).count() == 0
 
 
+def test_style_tree_within_marked_articles(spark):
+    """Pages that mark their article count in the tree too, and what repeats within the mark goes; a mark alone on its site stays."""
+    rng = random.Random(3)
+    box = "<div class=box><p>Read our other stories</p></div>"
+    texts = [[prose(rng, 20), prose(rng, 15)] for _ in range(30)]
+    pages = [(i, "http://h.example/%d" % i, f"<html><body><p>top</p><article><h1>{a}</h1>{box}<p>{b}</p></article></body></html>") for i, (a, b) in enumerate(texts)]
+    # a mark without text of its own is empty
+    pages += [(100, "http://h.example/x", f"<html><body><p>top</p><p>own words</p><article>{box}</article></body></html>")]
+    # a marked list that is alike on all pages isn't the article
+    pages += [(200 + i, "http://list.example/%d" % i, f"<article class=list><p>One</p><p>Two</p></article><div class=story><p>{a}</p></div>") for i, (a, _) in enumerate(texts)]
+    # copies of one page
+    pages += [(300 + i, "http://copies.example/%d" % i, "<article><p>Same</p><p>again</p></article>") for i in range(9)]
+    got = {r["page_id"]: r["text"] for r in html_tree.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i, (a, b) in enumerate(texts):
+        assert got[i] == f"{a}\n\n{b}"
+        assert got[200 + i] == a
+    assert got[100] == ""
+    assert all(got[300 + i] == "Same\n\nagain" for i in range(9))
+
+
 # quality
 
 
