@@ -1,8 +1,8 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact weighted similarity.
 
-Words are lower-cased runs of letters and digits.  Window sizes form a geometric series; an item is fingerprinted by its
-first and by its last window of the largest size that it holds.  Every window of those sizes of every text is
-fingerprinted too (64 bits, a majority vote of its words' hash bits, by running sums).  Fingerprints are cut into ``BLOCKS``
+Words are lower-cased runs of letters and digits.  Window sizes form a geometric series; an item is fingerprinted by
+windows of one size, so many and so placed that a passage which lacks some of the words of each of them is less similar
+than the threshold (see ``places``).  Every window of those sizes of every text is fingerprinted too (64 bits, a majority vote of its words' hash bits, by running sums).  Fingerprints are cut into ``BLOCKS``
 blocks; those within ``radius`` bits agree in some block but for ``radius // BLOCKS`` bits (pigeonhole), so a table by
 block value of all values within that many bits finds every one of them.  What is within the radius is
 verified: the weighted Jaccard similarity of the five-word shingles of the item and of the text's stretch of the item's
@@ -68,10 +68,14 @@ def neighbours(value: int, errors: int) -> list[int]:
 @dataclass
 class Item:
     key: int
+    #: The distinct shingles and how often each is there.
     shingles: np.ndarray
-    weights: np.ndarray
+    counts: np.ndarray
     n: int
     total: int
+    #: How far the place of an undamaged window can lie from a place that is similar enough, in words, and what it has in common at least.
+    reach: int
+    least: float
 
 
 class Table:
@@ -124,16 +128,49 @@ def shingled(h: np.ndarray, length: np.ndarray, k: int) -> tuple[np.ndarray, np.
     return rolled(h, k, 41 + k), (total[k:] - total[:-k])[: max(0, len(h) - k + 1)]
 
 
-def similarity(item: Item, shingles: np.ndarray, weights: np.ndarray) -> float:
-    """Weighted Jaccard similarity of multisets of shingles."""
+def places(h: np.ndarray, weights: np.ndarray, k: int, spare: float, series: list[int]) -> tuple[int, list[int]]:
+    """(size, starts) of the windows by which an item is found, given its words, the weights of its shingles and the weight that may be missing.
+
+    A passage with the similarity holds all shingles of the item but for ``spare``.  To break a window's words apart
+    between two of them costs all shingles across that gap, nothing if the words before it are in the item again.  Windows
+    so far apart that no shingle counts twice cost the sum of their cheapest gaps; the largest size of the series is taken
+    for which that is more than ``spare``.  If there is none, single shingles that weigh more than it together are taken.
+    """
+    n, count = len(h), len(weights)
+    if n <= k:
+        return n, [0]
+    total = np.concatenate([[0], np.cumsum(weights)])
+    gap = np.arange(n - 1)
+    cost = total[np.minimum(gap + 1, count)] - total[np.minimum(np.maximum(gap - k + 2, 0), count)]
+    if k > 1:
+        before = rolled(h, k - 1, 43 + k)
+        _, at, seen = np.unique(before, return_inverse=True, return_counts=True)
+        cost[k - 2 :][seen[at[: n - k + 1]] > 1] = 0
+    apart = k - 3
+    for size in [s for s in reversed(series) if k < s <= n]:
+        cheapest = np.lib.stride_tricks.sliding_window_view(cost, size - 1).min(axis=1)
+        most = (n + apart) // (size + apart) if size + apart > 0 and apart >= 0 else 1
+        for number in range(1, most + 1) if most <= 8 else (most,):
+            room = n - number * size - (number - 1) * apart
+            edge = min(k - 2, room // 2) if number > 1 else room // 2
+            starts = [edge + i * (size + apart) + (room - 2 * edge) * i // max(1, number - 1) for i in range(number)]
+            if cheapest[starts].sum() > spare:
+                return size, starts
+    _, first = np.unique(rolled(h, k, 41 + k), return_index=True)
+    first = first[np.argsort(-weights[first], kind="stable")]
+    return k, sorted(first[: int(np.searchsorted(np.cumsum(weights[first]), spare, side="right")) + 1].tolist())
+
+
+def similarity(item: Item, shingles: np.ndarray, weights: np.ndarray) -> tuple[float, int]:
+    """Weighted Jaccard similarity of multisets of shingles, and the weight that they have in common."""
     both = 0
     if len(shingles):
-        a, ca = np.unique(item.shingles, return_counts=True)
         b, at, cb = np.unique(shingles, return_index=True, return_counts=True)
-        _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-        both = int((np.minimum(ca[i], cb[j]) * weights[at[j]]).sum())
+        i = np.minimum(np.searchsorted(item.shingles, b), len(item.shingles) - 1)
+        same = item.shingles[i] == b
+        both = int((np.minimum(item.counts[i], cb) * weights[at])[same].sum())
     union = item.total + int(weights.sum()) - both
-    return both / union if union else 0.0
+    return (both / union if union else 0.0), both
 
 
 class Searcher:
@@ -151,13 +188,17 @@ class Searcher:
             a, b = w.doc[i], w.doc[i + 1]
             if b == a:
                 continue
-            size = max(s for s in series if s <= b - a)
             s, weight = shingled(h[a:b], length[a:b], self.k)
+            spare = (1 - threshold) * int(weight.sum()) + 1e-6
+            size, starts = places(h[a:b], weight, self.k, spare, series)
             prints = votes(running(h[a:b]), size)
             number = len(self.items)
-            self.items.append(Item(key, s, weight, int(b - a), int(weight.sum())))
-            places = {(int(prints[0]), 0), (int(prints[-1]), int(b - a - size))}
-            by_size.setdefault(size, []).extend((p, number, d) for p, d in sorted(places))
+            # a place so many words away misses at least as many shingles, and has lost as many at most
+            order = np.sort(weight)
+            reach = int(np.searchsorted(np.cumsum(order), spare, side="right"))
+            total = int(weight.sum())
+            self.items.append(Item(key, *np.unique(s, return_counts=True), int(b - a), total, reach, total - spare - int(order[len(order) - reach :].sum())))
+            by_size.setdefault(size, []).extend((int(prints[d]), number, d) for d in starts)
         self.tables = [Table(size, prints, radius) for size, prints in sorted(by_size.items())]
 
     def __call__(self, column: pa.Array) -> list[tuple[int, int, int, int, float]]:
@@ -174,24 +215,32 @@ class Searcher:
             inside = owner[at] == owner[at + table.size - 1] if len(at) else np.zeros(0, bool)
             for i, e in zip(at[inside].tolist(), entry[inside].tolist()):
                 tried.add((int(owner[i]), int(table.items[e]), int(i - w.doc[owner[i]] - table.shift[e])))
-        rated: dict[tuple[int, int, int], float] = {}
+        rated: dict[tuple[int, int, int], tuple[float, int]] = {}
+        whole: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-        def rate(doc: int, number: int, start: int) -> float:
+        def rate(doc: int, number: int, start: int) -> tuple[float, int]:
             if (doc, number, start) not in rated:
-                item, a, b = self.items[number], w.doc[doc], w.doc[doc + 1]
-                lo, hi = max(a, a + start), min(b, a + start + item.n)
-                rated[doc, number, start] = similarity(item, *shingled(h[lo:hi], length[lo:hi], self.k)) if hi > lo else 0.0
+                item, a, n = self.items[number], w.doc[doc], w.counts[doc]
+                lo, hi = max(0, start), min(n, start + item.n)
+                if hi - lo < self.k:
+                    rated[doc, number, start] = similarity(item, *shingled(h[a + lo : a + hi], length[a + lo : a + hi], self.k)) if hi > lo else (0.0, 0)
+                else:
+                    if doc not in whole:
+                        whole.clear()
+                        whole[doc] = shingled(h[a : a + n], length[a : a + n], self.k)
+                    rated[doc, number, start] = similarity(item, *(x[lo : hi - self.k + 1] for x in whole[doc]))
             return rated[doc, number, start]
 
-        # from each candidate to the best place near it
+        # from each candidate to the best place that it can be part of
         best: dict[tuple[int, int], tuple[float, int, int]] = {}
         for doc, number, start in sorted(tried):
-            found = rate(doc, number, start)
-            while found:
-                near = max((start - 2, start - 1, start + 1, start + 2), key=lambda s: (rate(doc, number, s), -abs(s)))
-                if rate(doc, number, near) <= found:
-                    break
-                start, found = near, rate(doc, number, near)
+            found, both = rate(doc, number, start)
+            if both < self.items[number].least or best.get((doc, number), (0.0,))[0] == 1.0:
+                continue
+            if found < 1.0:
+                reach = self.items[number].reach
+                start = max(range(start - reach, start + reach + 1), key=lambda s: (rate(doc, number, s)[0], -abs(s - start)))
+                found = rate(doc, number, start)[0]
             if found >= self.threshold and found > best.get((doc, number), (0.0,))[0]:
                 n = w.counts[doc]
                 best[doc, number] = found, max(0, start), int(min(n, start + self.items[number].n) - max(0, start))

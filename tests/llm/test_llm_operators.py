@@ -338,6 +338,32 @@ def test_decontaminate(spark):
     assert decontaminate.matches(docs, benchmark.limit(0)).count() == 0
 
 
+def test_decontaminate_finds_items_of_each_length():
+    """Edited first, last and other words, inserted and lost words, and passages cut by the text's ends, as brute force finds them."""
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    found = 0
+    for n in (2, 5, 6, 9, *range(15, 61), 100):
+        words = prose(rng, n).split()
+        while len(words) < n:
+            words += prose(rng, n).split()
+        words = words[:n]
+        if n % 10 == 0:
+            words[n // 2 : n // 2 + 5] = words[2:7]  # a stretch that comes twice
+        item, copies = (1, " ".join(words)), []
+        edge, mid = max(1, n // 10), rng.randrange(n)
+        for copy in (["Edit", *words[1:]], [*words[:-1], "Edit"], ["x"] * edge + words[edge:], words[:-edge] + ["x"] * edge, [*words[:mid], "x", *words[mid + 1 :]], [*words[:mid], "x", *words[mid:]], words[:mid] + words[mid + 1 :], ["x", *words[1:-1], "y"]):
+            copies.append(" ".join([prose(rng, 20), *copy, prose(rng, 20)]))
+        cut = n // 6
+        copies += [" ".join([*words[cut:], prose(rng, 20)]), " ".join([prose(rng, 20), *words[: n - cut]]), " ".join(words[cut // 2 : n - cut // 2])]
+        expected = brute_matches(list(enumerate(copies)), [item])
+        got = {(d, key): x for d, key, _, _, x in decontaminate.Searcher([item], 7, 5, 0.8)(pa.array(copies))}
+        assert got == pytest.approx(expected), n
+        found += len(expected)
+    assert found > 200
+
+
 def test_decontaminate_in_passes(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "PASS_BYTES", 200)
     rng = random.Random(2)
