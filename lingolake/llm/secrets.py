@@ -20,9 +20,13 @@ KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-#: Keys whose values are rated, in either case; group 1 is the value.
+#: Keys whose values are rated, in either case.  The last group that is set is the value: of a quoted one all up to the closing
+#: quote (in the line), else a run of code points other than white space.
+SPACE = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CONTEXT = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|credentials?|auth)["']?\x20*[:=]\x20*["']?([!-~]{6,})""", re.I | re.A
+    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|credentials?|auth)["']?\x20*[:=]\x20*"""
+    r"""(?:"((?:[^"\\\r\n]|\\[^\r\n]){6,})"|'((?:[^'\\\r\n]|\\[^\r\n]){6,})'|„([^“”\r\n]{6,})[“”]|“([^”\r\n]{6,})”|«([^»\r\n]{6,})»|["'„“«]?([^"""
+    + SPACE + r"""]{6,}))""", re.I | re.A
 )
 URL_LOGIN = re.compile(r"[a-z][a-z0-9+.-]*://[^\s/:@]+:([^\s/@]{6,})@", re.A)
 
@@ -68,7 +72,8 @@ class GuessCost:
 
     def spans(self, value: str, i: int) -> Iterator[tuple[int, float]]:
         """Ends and costs of the patterns that begin at i."""
-        plain = value[i : i + self.longest].lower()
+        # (the one letter that lower() makes two of)
+        plain = value[i : i + self.longest].replace("İ", "i").lower()
         leet = plain.translate(LEET)
         for j in range(3, len(plain) + 1):
             for form, extra in ((plain, 0.0), (leet, 0.3 * (leet[:j] != plain[:j]))):
@@ -117,9 +122,11 @@ def guess_spans(text: str, rate: GuessCost, min_log10: float) -> list[tuple[int,
     out = set()
     for pattern in (CONTEXT, URL_LOGIN) if "://" in text else (CONTEXT,):
         for m in pattern.finditer(text):
-            value = re.sub(r"""["'`,;)\]}>]+$""", "", m[1])
+            start, value = m.start(m.lastindex), m[m.lastindex]
+            if m.lastindex == pattern.groups:
+                value = re.sub(r"""["'`,;)\]}>“”„«»]+$""", "", value)
             if len(value) >= 6 and rate.log10(value) >= min_log10:
-                out.add((m.start(1), 3, m.start(1) + len(value)))
+                out.add((start, 3, start + len(value)))
     return sorted(out)
 
 

@@ -227,6 +227,22 @@ def test_scan(spark):
     assert secrets.scan(corpus(spark, [])).count() == 0
 
 
+def test_guessed_values_are_whole():
+    """Values with letters beyond ASCII, and quoted ones with spaces, are rated and redacted up to their end."""
+    rate = secrets.GuessCost()
+    for text, value in (
+        ("password: Zürich#99xKq!7 und", "Zürich#99xKq!7"),
+        ("pwd = xK9$vQ2!mZé7ñ\u00a0x", "xK9$vQ2!mZé7ñ"),
+        ('passphrase: "vrblk qwmzt, Göpnd xlu" end', "vrblk qwmzt, Göpnd xlu"),
+        ("{'auth': 'xK9$ vQ2!\\' mZ', 'user': 'x'}", "xK9$ vQ2!\\' mZ"),
+        ("Passphrase: „Vrblk Göpnd xlu“.", "Vrblk Göpnd xlu"),
+        ('secret: "xK9$vQ2!mZ7', "xK9$vQ2!mZ7"),
+        ("token: İxK9$vQ2!mZ7İ", "İxK9$vQ2!mZ7İ"),
+    ):
+        assert [text[a:b] for a, _, b in secrets.guess_spans(text, rate, 8.0)] == [value]
+    assert secrets.guess_spans('password: "password password"', rate, 8.0) == []
+
+
 # SentencePiece
 
 
