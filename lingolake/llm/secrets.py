@@ -50,14 +50,13 @@ class GuessCost:
     """log10 of the guesses that the cheapest segmentation of a value takes.
 
     Each span adds the logarithm of its own guesses, and each boundary a constant for not knowing the structure.
-    Words and dates have a greatest length, walks and repeats are taken from each position as far as they go (and cut
-    at any shorter length), and a brute-force span grows by one character at a time, so a value of n characters
-    takes O(n * longest pattern) steps and needs no cap.
+    Words and dates have a greatest length, walks and repeats of any unit are taken from each position as far as they go
+    and at every shorter length (of whole units), and a brute-force span grows by one character at a time.  Spans that
+    would bring the way to a limit or beyond it are left out: what is below the limit is exact.  As a character costs a digit or
+    more, a unit has fewer characters than the limit has digits.
     """
 
     BOUNDARY = 0.5
-    #: A dearer way to a shorter end of the same run is never needed beyond this many ends.
-    CUTS = 64
 
     def __init__(self, words: Iterable[str] = COMMON):
         self.rank = {}
@@ -70,8 +69,8 @@ class GuessCost:
     def _pool(ch: str) -> float:
         return math.log10(10 if ch.isdigit() else 26 if ch.isalpha() and ch.isascii() else 33 if ch.isascii() else 1000)
 
-    def spans(self, value: str, i: int) -> Iterator[tuple[int, float]]:
-        """Ends and costs of the patterns that begin at i."""
+    def spans(self, value: str, i: int, most: float = math.inf) -> Iterator[tuple[int, float]]:
+        """Ends and costs of the patterns that begin at i; walks and repeats that cost less than ``most`` only."""
         # (the one letter that lower() makes two of)
         plain = value[i : i + self.longest].replace("İ", "i").lower()
         leet = plain.translate(LEET)
@@ -82,28 +81,55 @@ class GuessCost:
         for m in (DATE.match(value, i),):
             if m:
                 yield m.end(), 4.6 if m.end() - i > 4 else 2.1
-        low, n = value.lower(), len(value)
-        j = i + 1
-        while j < n and low[j - 1 : j + 1] in self.next:
+        n, j = len(value), i + 1
+        while j < n and value[j - 1 : j + 1].lower() in self.next:
             j += 1
-        for end in range(j, max(i + 2, j - self.CUTS), -1):
-            yield end, 1.7 + math.log10(end - i)
-        for width in (1, 2, 3, 4):
-            unit, j = value[i : i + width], i + width
-            while len(unit) == width and value.startswith(unit, j):
+        for end in range(i + 3, j + 1):
+            cost = 1.7 + math.log10(end - i)
+            if cost >= most:
+                break
+            yield end, cost
+        unit, found = 0.0, []
+        for width in range(1, (n - i) // 2 + 1):
+            unit += self._pool(value[i + width - 1])
+            if unit >= most:
+                break
+            # a unit that is a repeat itself is cheaper as one of its own, shorter unit
+            if value[i] != value[i + width] or not value.startswith(value[i : i + width], i + width) or any(width % w == 0 and end >= i + 2 * width for w, end in found):
+                continue
+            j, again = i + 2 * width, value[i : i + width]
+            while value.startswith(again, j):
                 j += width
-            if j - i >= max(3, 2 * width):
-                yield j, sum(map(self._pool, unit)) + math.log10((j - i) / width)
-
-    def log10(self, value: str) -> float:
+            found.append((width, j))
+            for times in range(3 if width == 1 else 2, (j - i) // width + 1):
+                cost = unit + math.log10(times)
+                if cost >= most:
+                    break
+                yield i + times * width, cost
+
+    def log10(self, value: str, limit: float = math.inf) -> float:
+        """The least cost; from ``limit`` on, any number that isn't below it."""
+        bound = 8.0
+        while True:
+            found = self._below(value, min(bound, limit))
+            if found < bound or bound >= limit:
+                return found
+            bound *= 2
+
+    def _below(self, value: str, limit: float) -> float:
+        """The least cost if it is below ``limit``, else a number that isn't."""
         n = len(value)
         best = [0.0] + [math.inf] * n
-        force = math.inf
+        force, far = math.inf, 0
         for i in range(n):
             #: ``force``: the cheapest way to i that ends in a brute-force span still open
             start = best[i] + (self.BOUNDARY if i else 0.0)
-            for end, cost in self.spans(value, i):
-                best[end] = min(best[end], start + cost)
+            if start < limit:
+                for end, cost in self.spans(value, i, limit - start):
+                    best[end] = min(best[end], start + cost)
+                    far = max(far, end)
+            elif force >= limit and far <= i:
+                return limit
             force = min(force, start) + self._pool(value[i])
             best[i + 1] = min(best[i + 1], force)
         return best[n]
@@ -125,7 +151,7 @@ def guess_spans(text: str, rate: GuessCost, min_log10: float) -> list[tuple[int,
             start, value = m.start(m.lastindex), m[m.lastindex]
             if m.lastindex == pattern.groups:
                 value = re.sub(r"""["'`,;)\]}>“”„«»]+$""", "", value)
-            if len(value) >= 6 and rate.log10(value) >= min_log10:
+            if len(value) >= 6 and rate.log10(value, min_log10) >= min_log10:
                 out.add((start, 3, start + len(value)))
     return sorted(out)
 

@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, with nulls, empty and long texts, ties, repeats, empty tables and clashing columns."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -227,6 +228,31 @@ def test_scan(spark):
     assert secrets.scan(corpus(spark, [])).count() == 0
 
 
+def test_repeats_of_any_unit_at_any_whole_length():
+    """Repeats of long units, and repeats and walks cut before their end, against a programme over all spans."""
+    rate, rng = secrets.GuessCost(), random.Random(6)
+
+    def least(v):
+        pool, best = [rate._pool(c) for c in v], [0.0] + [float("inf")] * len(v)
+        for i in range(len(v)):
+            start = best[i] + (rate.BOUNDARY if i else 0.0)
+            ends = [*rate.spans(v, i), *((e, sum(pool[i:e])) for e in range(i + 1, len(v) + 1))]
+            ends += [(i + w * t, sum(pool[i : i + w]) + math.log10(t)) for w in range(1, len(v)) for t in range(2, len(v)) if w * t >= 3 and v[i : i + w * t] == v[i : i + w] * t]
+            ends += [(e, 1.7 + math.log10(e - i)) for e in range(i + 3, len(v) + 1) if all(v[k : k + 2] in rate.next for k in range(i, e - 1))]
+            for e, cost in ends:
+                best[e] = min(best[e], start + cost)
+        return best[-1]
+
+    values = ["qzvmxqzvmxqzvmx", "abababab" + "password", "zzzzpassword", "0123456789" * 9 + "x", "qzvmxkqzvmxkqzvm"]
+    values += ["".join(rng.choice("ab1") for _ in range(rng.randrange(3, 16))) for _ in range(60)]
+    for v in values:
+        assert rate.log10(v) == pytest.approx(least(v)), v
+        assert (rate.log10(v, 8.0) >= 8.0) == (least(v) >= 8.0)
+    assert rate.log10("qzvmxqzvmxqzvmx") == pytest.approx(5 * math.log10(26) + math.log10(3))
+    assert secrets.guess_spans("password: qzvmxqzvmxqzvmx", rate, 8.0) == []
+    assert rate.log10("".join(rng.choice("abcdefgh0123") for _ in range(10**6)), 8.0) >= 8.0
+
+
 def test_guessed_values_are_whole():
     """Values with letters beyond ASCII, and quoted ones with spaces, are rated and redacted up to their end."""
     rate = secrets.GuessCost()
