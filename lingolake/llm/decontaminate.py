@@ -182,7 +182,7 @@ class Searcher:
         by_size: dict[int, list] = {}
         texts = pa.array([t for _, t in items], pa.string())
         w = Terms(texts)
-        h, length = self.hash.words(w.data, w.starts), w.ends - w.starts
+        h, length = self.hash.words(w.data, w.starts, w.ends), w.ends - w.starts
         series = sizes(max([1, *w.counts.tolist()]))
         for i, (key, _) in enumerate(items):
             a, b = w.doc[i], w.doc[i + 1]
@@ -204,7 +204,7 @@ class Searcher:
     def __call__(self, column: pa.Array) -> list[tuple[int, int, int, int, float]]:
         """(text number, item key, first word, words, similarity): the best place of each item in each text, if it is similar enough."""
         w = Terms(column)
-        h, length = self.hash.words(w.data, w.starts), w.ends - w.starts
+        h, length = self.hash.words(w.data, w.starts, w.ends), w.ends - w.starts
         counts, owner = running(h), w.owner()
         tried: set[tuple[int, int, int]] = set()
         for table in self.tables:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from .components import components
 from .runs import MEMORY, RUN, batch_of, buckets_of, merged, settle_keys, settled, stashed
 from .store import new_dir, remove, written
-from .text import ByteHash, Words, _random, mix, pieces, rolled
+from .text import ByteHash, Words, _random, drawn, mix, pieces, rolled
 
 CHUNKS, WIDTH = 14, 6
 #: Documents in a block when the pairs of a key are compared.
@@ -37,7 +37,7 @@ class Shingles:
 
     def __init__(self, column: pa.Array, k: int, hashing: ByteHash):
         w = Words(column)
-        h = hashing.words(w.data, w.starts)
+        h = hashing.words(w.data, w.starts, w.ends)
         run = rolled(h, k, 17)
         out = []
         for i, n in enumerate(w.counts.tolist()):
@@ -107,11 +107,11 @@ def may_link(differ, na, nb, percent: int):
     return differ * (100 + percent) <= (na + nb) * (100 - percent)
 
 
-def _signed(docs: DataFrame, k: int, n: int) -> DataFrame:
+def _signed(docs: DataFrame, k: int, n: int, seed: int) -> DataFrame:
     """(doc, n, f, g, sig, odd) of (doc, text): size of the set, two fingerprints of it, its signature and parity sketch."""
 
     def run(batches):
-        hashing = ByteHash(303, lower=True)
+        hashing = ByteHash(seed, lower=True)
         for batch in pieces(batches):
             s = Shingles(batch.column(1), k, hashing)
             sums = [np.concatenate([[np.uint64(0)], np.cumsum(mix(s.values ^ np.uint64(salt)))]) for salt in (1, 2)]
@@ -168,14 +168,14 @@ def _plausible(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _sets(docs: DataFrame, k: int) -> DataFrame:
+def _sets(docs: DataFrame, k: int, seed: int) -> DataFrame:
     """The rows (doc, text, ...) with the text's shingles in place of it, as ``shingles``."""
     others = [c for c in docs.columns if c != "text"]
     source = docs.select(*others, "text")
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1]), "shingles array<long>"])
 
     def run(batches):
-        hashing = ByteHash(303, lower=True)
+        hashing = ByteHash(seed, lower=True)
         for batch in pieces(batches):
             s = Shingles(batch.column(batch.num_columns - 1), k, hashing)
             lists = pa.ListArray.from_arrays(pa.array(s.doc, pa.int32()), pa.array(s.values.view(np.int64)))
@@ -184,14 +184,14 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
     return source.mapInArrow(run, schema)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int, most_broadcast: int) -> DataFrame:
+def confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int, most_broadcast: int, seed: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= percent * union of their full shingle sets."""
     narrow = docs
     names = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
     if names.count() <= most_broadcast:
         narrow = docs.join(F.broadcast(names), "doc", "left_semi")
-    left = _sets(narrow.join(pairs.select(F.col("b").alias("doc"), "a"), "doc"), k).select(F.col("doc").alias("b"), "a", F.col("shingles").alias("sb"))
-    right = _sets(narrow.join(pairs.select(F.col("a").alias("doc")).distinct(), "doc", "left_semi"), k).select(F.col("doc").alias("a"), F.col("shingles").alias("sa"))
+    left = _sets(narrow.join(pairs.select(F.col("b").alias("doc"), "a"), "doc"), k, seed).select(F.col("doc").alias("b"), "a", F.col("shingles").alias("sb"))
+    right = _sets(narrow.join(pairs.select(F.col("a").alias("doc")).distinct(), "doc", "left_semi"), k, seed).select(F.col("doc").alias("a"), F.col("shingles").alias("sa"))
     both = F.size(F.array_intersect("sa", "sb")).cast("long")
     union = F.size("sa") + F.size("sb") - both
     return left.join(right, "a").filter(both * 100 >= union * percent).select("a", "b").distinct()
@@ -301,8 +301,10 @@ def classes_of(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shin
     component and is kept.  Rows that repeat a key should repeat the text, and come back as often.
     """
     spark, n = docs.sparkSession, chunks * width
+    # shingles are told apart by 64 bits of a function that is drawn for this call
+    seed = drawn()
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    facts = written(_signed(rows, shingle, n), "neardup-signatures")
+    facts = written(_signed(rows, shingle, n, seed), "neardup-signatures")
     alike = ["n", "f", "g"]
     classes = written(facts.filter("n > 0 AND doc IS NOT NULL").groupBy(*alike).agg(F.min("doc").alias("doc"), F.first("sig").alias("sig"), F.first("odd").alias("odd")), "neardup-classes")
     bits = buckets_of(spark)
@@ -315,14 +317,14 @@ def classes_of(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shin
 
     stars = _unpacked(both.filter("kind = 3"), "first").select(F.least("doc", "first").alias("a"), F.greatest("doc", "first").alias("b")).distinct()
     seen = written(_plausible(stars, classes, percent), "neardup-pairs")
-    links = written(confirmed(seen, known, shingle, percent, most_broadcast), "neardup-links")
+    links = written(confirmed(seen, known, shingle, percent, most_broadcast, seed), "neardup-links")
     labels = components(links)
     found = _unpacked(both.filter("kind = 1"), "key")
     for central in (True, False):
         more = written(_mixed(found, labels, classes, percent, chunks, width, central).join(seen, ["a", "b"], "left_anti"), "neardup-pairs")
         if more.limit(1).count():
             seen = seen.unionByName(more)
-            links = links.unionByName(written(confirmed(more, known, shingle, percent, most_broadcast), "neardup-links"))
+            links = links.unionByName(written(confirmed(more, known, shingle, percent, most_broadcast, seed), "neardup-links"))
             labels = components(links)
     classes = written(classes.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select(*alike, F.coalesce("component", "doc").alias("component")), "neardup-components")
     own = F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc"))

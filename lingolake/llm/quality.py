@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .store import written
-from .text import ByteHash, Words, pieces, rolled, mix
+from .text import ByteHash, Words, drawn, pieces, rolled, mix
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_exclaim", "n_adjacent", "n_space_words")
 #: Rates of a text; a higher one is worse.
@@ -53,7 +53,7 @@ def counts(column: pa.Array, hashing: ByteHash) -> dict[str, np.ndarray]:
     """The counts of each text of a column; nulls count as empty."""
     w = Words(column)
     data, off = w.data, w.offsets
-    h = hashing.words(data, w.starts)
+    h = hashing.words(data, w.starts, w.ends)
     n = len(w.counts)
     owner = w.owner()
     repeat = np.zeros(len(h) + 1, np.int64)
@@ -99,8 +99,10 @@ def measured(docs: DataFrame, *, text: str = "text", keep: list[str]) -> DataFra
     source = docs.select(*[docs[f"`{c}`"] for c in keep], docs[f"`{text}`"].alias("__text"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1]), *(f"{c} long" for c in COUNTS)])
 
+    seed = drawn()
+
     def run(batches):
-        hashing = ByteHash(5)
+        hashing = ByteHash(seed)
         for batch in pieces(batches, "__text"):
             found = counts(batch.column(batch.num_columns - 1), hashing)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(found[c]) for c in COUNTS)], names=[*keep, *COUNTS])

@@ -5,7 +5,8 @@ neighbouring windows mostly share one, equal windows always have the same one, a
 for four words.  The index is a set of immutable runs: each task sorts its fingerprints (a memory table, flushed when
 it is full) and writes them by hash bucket, with one document for each fingerprint.  A new batch's runs are merged
 with those of the history, bucket by bucket; what is found in two documents names the stretches whose windows are then
-merged themselves, by 96 bits (64 to merge by, and 32 of an independent hash of the words to verify).  Runs are compacted
+merged themselves, by 96 bits (64 to merge by, and 32 of an independent hash of the words to verify; an index draws its
+hash functions at random, so no text can be made to collide).  Runs are compacted
 into one by merging buckets and keeping the first document of each fingerprint.
 
 A fingerprint or window that many documents have is no hot spot: each task settles its own documents among
@@ -24,20 +25,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .runs import MEMORY, RUN, batch_of, buckets_of, by_doc, cut_by_bucket, grouped, merged, of_documents, settle_keys, settle_run, settled, stashed
 from .store import new_dir, remove, written
-from .text import ByteHash, Words, pieces, rolled
+from .text import ByteHash, Words, drawn, pieces, rolled
+
 
 class Hashes:
     """Word hashes, window fingerprints and window hashes of a column."""
 
-    def __init__(self, window: int, anchor: int):
+    def __init__(self, window: int, anchor: int, seed: int):
         if not 0 < anchor <= window:
             raise ValueError("an anchor has 1 to window words")
         self.window, self.anchor = window, anchor
-        self.first, self.second = ByteHash(101), ByteHash(202)
+        self.first, self.second = ByteHash(seed), ByteHash(seed ^ 0x5DEECE66D)
 
     def fingerprints(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(index of each window's first word, its fingerprint, the word hashes)."""
-        h = self.first.words(w.data, w.starts)
+        h = self.first.words(w.data, w.starts, w.ends)
         at = w.windows(self.window)
         if not len(at):
             return at, np.zeros(0, np.uint64), h
@@ -49,10 +51,10 @@ class Hashes:
         return at, least[at], h
 
     def windows(self, w: Words, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return rolled(h, self.window, 11), (rolled(self.second.words(w.data, w.starts), self.window, 13) >> np.uint64(32)).astype(np.uint32)
+        return rolled(h, self.window, 11), (rolled(self.second.words(w.data, w.starts, w.ends), self.window, 13) >> np.uint64(32)).astype(np.uint32)
 
 
-def first_pass(docs: DataFrame, hashes: tuple[int, int], bits: int, folder: str) -> DataFrame:
+def first_pass(docs: DataFrame, hashes: tuple[int, int, int], bits: int, folder: str) -> DataFrame:
     """Rows of three kinds: 0 entries of a run (fingerprints, documents), 1 pairs of a document and a fingerprint that
     another one of the task has too, 2 a document's number of words (bucket) and hash of its words (a)."""
 
@@ -98,7 +100,7 @@ def settle_windows(bucket: int, bits: int, *columns: np.ndarray) -> list[tuple]:
     return later(bits, *columns)[0]
 
 
-def second_pass(docs: DataFrame, hashes: tuple[int, int], bits: int, folder: str) -> DataFrame:
+def second_pass(docs: DataFrame, hashes: tuple[int, int, int], bits: int, folder: str) -> DataFrame:
     """Windows with a shared fingerprint (``docs``: doc, text, found: fingerprints): kind 0 entries of a run
     (hash, check, document, start), kind 1 starts of windows that an earlier document of the task has."""
 
@@ -146,7 +148,7 @@ class FingerprintIndex:
     """
 
     def __init__(self, spark: SparkSession, window: int = 13, anchor: int = 8, bits: int | None = None, fan_in: int = 8):
-        self.spark, self.hashes, self.fan_in = spark, (window, anchor), fan_in
+        self.spark, self.hashes, self.fan_in = spark, (window, anchor, drawn()), fan_in
         self.bits = bits or buckets_of(spark)
         self.width = 1 << self.bits
         self.folder = new_dir(spark, "substring-index")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,43 +35,74 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def drawn() -> int:
+    """A seed that nobody can know beforehand, to be drawn on the driver once a run: texts can't be made to collide under it."""
+    return int.from_bytes(os.urandom(8), "little")
+
+
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+#: For n bytes of a block of eight: a mask of them.
+MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
 class ByteHash:
-    """Polynomial hashes, modulo 2**64, of byte segments of a buffer; one seed is one independent function."""
+    """64-bit hashes of byte segments of a buffer.
+
+    A segment is cut into halves of blocks of eight bytes; each pair of halves is added to a pair of random numbers of its
+    own and multiplied, and the products are summed modulo 2**64 (a universal family: two segments have equal upper
+    halves of the sum with probability 2**-32 over the choice of the seed, whatever they hold).  Two independent sums give
+    the 64 bits.  The numbers come from the seed, one for each place, so there is no power series that texts could cancel.
+    """
 
     def __init__(self, seed: int, lower: bool = False):
-        self.table = _random(seed, 256)
-        if lower:
-            self.table[65:91] = self.table[97:123]
-        self.table[SPACE] = 0
-        self.base = int(_random(seed + 1, 1)[0]) | 5
-        self.inverse = pow(self.base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if len(self.up) < n:
-            n = max(n, PIECE + (PIECE >> 2))
-            for name, base in (("up", self.base), ("down", self.inverse)):
-                powers = np.full(n, base, np.uint64)
-                powers[0] = 1
-                setattr(self, name, np.multiply.accumulate(powers))
-
-    def words(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """White space counts as nothing, so a segment may run up to the next start."""
-        if not len(starts):
+        self.seed, self.lower = seed, lower
+        self.parts = [np.zeros((0, 2), np.uint64)] * 2
+        self.base = _random(seed, 4)
+        self._grow(9)
+
+    def _grow(self, blocks: int) -> None:
+        if len(self.parts[0]) < blocks:
+            blocks = max(blocks, 2 * len(self.parts[0]))
+            # a longer stream of a seed begins with the shorter one
+            self.parts = [_random((self.seed + 1 + i) & (1 << 64) - 1, 2 * blocks).reshape(-1, 2) for i in (0, 1 << 32)]
+
+    def words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        n = len(starts)
+        if not n:
             return np.zeros(0, np.uint64)
-        self._grow(len(data))
-        values = self.table[data]
-        values *= self.up[: len(data)]
-        return mix(np.add.reduceat(values, starts) * self.down[starts])
-
-
-    def heads(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
-        """Hashes of each segment's first k bytes."""
-        out = np.zeros(len(starts), np.uint64)
-        for j in range(k):
-            inside = sizes > j
-            out[inside] += self.table[data[starts[inside] + j]] * np.uint64(pow(self.base, j, 1 << 64))
-        return mix(out)
+        padded = np.zeros(len(data) + 8, np.uint8)
+        np.take(LOWER, data, out=padded[: len(data)]) if self.lower else np.copyto(padded[: len(data)], data)
+        at_any = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+        size = ends - starts
+        one, two = (self.base[i] + self.base[i + 2] * size.astype(np.uint64) for i in (0, 1))
+        half, low = np.uint64(32), np.uint64(0xFFFFFFFF)
+        rows, block = None, 0
+        while block < 8:
+            left, begin = (size, starts) if rows is None else (size[rows] - 8 * block, starts[rows] + 8 * block)
+            value = at_any[begin] & MASK[np.minimum(left, 8)]
+            a, b = value & low, value >> half
+            for total, m in ((one, self.parts[0][block]), (two, self.parts[1][block])):
+                product = (a + m[0]) * (b + m[1])
+                if rows is None:
+                    total += product
+                else:
+                    total[rows] += product
+            block += 1
+            rows = np.flatnonzero(size > 8 * block) if rows is None else rows[size[rows] > 8 * block]
+            if not len(rows):
+                break
+        else:
+            # the few long ones, each at once
+            self._grow(int(size[rows].max()) // 8 + 1)
+            for i in rows.tolist():
+                value = at_any[starts[i] + 64 : ends[i] : 8].copy()
+                value[-1] &= MASK[(size[i] - 1) % 8 + 1]
+                a, b = value & low, value >> half
+                for total, m in ((one, self.parts[0]), (two, self.parts[1])):
+                    m = m[8 : 8 + len(value)]
+                    total[i : i + 1] += ((a + m[:, 0]) * (b + m[:, 1])).sum(dtype=np.uint64)
+        return mix((one & ~low) | (two >> half))
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

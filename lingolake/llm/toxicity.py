@@ -41,11 +41,12 @@ class Hasher:
         w = Terms(column)
         owner, size = w.owner(), w.ends - w.starts
         pairs = []
-        for kind, hashes, use in ((0, self.hash.words(w.data, w.starts), None), *((k, self.hash.heads(w.data, w.starts, size, k), size > k) for k in self.HEADS)):
+        for kind in (0, *self.HEADS):
+            at = slice(None) if not kind else np.flatnonzero(size > kind)
+            hashes = self.hash.words(w.data, w.starts[at], w.starts[at] + kind if kind else w.ends)
             place = ((hashes ^ np.uint64(kind * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) >> self.shift).astype(np.int64)
-            if known is not None:
-                use = known[place] if use is None else use & known[place]
-            pairs.append((owner << 32 | place) if use is None else owner[use] << 32 | place[use])
+            use = slice(None) if known is None else known[place]
+            pairs.append(owner[at][use] << 32 | place[use])
         pairs = np.unique(np.concatenate(pairs))
         return pairs >> 32, pairs & 0xFFFFFFFF
 

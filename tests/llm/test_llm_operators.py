@@ -32,6 +32,49 @@ def odd_texts():
     return [(0, base), (1, None), (2, ""), (3, " \t\n\x0b "), (4, "one"), (5, base), (6, base.replace(" ", "\n\n")), (7, long), (8, prose(rng, 40) + " " + base + " " + prose(rng, 30)), (9, base.upper()), (None, base), (None, None), (10, long[:50_000]), (11, "a b"), (12, "A  B"), (13, base + " w1"), (13, base + " w1")]
 
 
+# words that cancel in power series
+
+
+def thue_morse():
+    """Two words of 2048 letters that every polynomial hash modulo 2**64 takes for the same."""
+    word = "a"
+    swap = str.maketrans("ab", "ba")
+    while len(word) < 2048:
+        word += word.translate(swap)
+    return word, word.translate(swap)
+
+
+def test_hashes_of_words():
+    import numpy as np
+    import pyarrow as pa
+
+    from lingolake.llm.text import ByteHash, Words
+
+    rng = random.Random(8)
+    a, b = thue_morse()
+    words = sorted({a, b, *(x * n for x in "ab\0" for n in range(1, 200)), *("".join(rng.choice("ab\0é") for _ in range(rng.randrange(1, 90))) for _ in range(3000)), *(VOCAB)})
+    for seed in (1, 2, 3):
+        for lower in (False, True):
+            w = Words(pa.array([" ".join(words), *words]))
+            h = ByteHash(seed, lower).words(w.data, w.starts, w.ends)
+            n = len(words)
+            assert (h[:n] == h[n:]).all()  # wherever a word stands
+            assert len(np.unique(h[:n])) == len({x.lower() for x in words} if lower else words)
+    assert ByteHash(1, True).words(*(lambda w: (w.data, w.starts, w.ends))(Words(pa.array(["ABZ[ abz["])))).tolist()[0] == ByteHash(1, True).words(*(lambda w: (w.data, w.starts, w.ends))(Words(pa.array(["abz["]))))[0]
+
+
+def test_words_that_cancel(spark):
+    """Documents that differ in such words only share no window and no shingle set, and repeat nothing."""
+    a, b = thue_morse()
+    tail = " ".join(VOCAB[:12])
+    texts = [(1, f"{a} {tail}"), (2, f"{b} {tail}"), (3, f"{a} {tail}"), (4, a), (5, b), (6, f"{a} {tail} {b} {tail}")]
+    docs = corpus(spark, texts)
+    assert rows(substring.dedup(docs), "doc_id", "n_words", "n_removed", "kept_sha256") == brute_substring(texts)
+    assert rows(neardup.classes_of(docs), "doc_id", "n_shingles", "component_id", "kept") == brute_components(texts, 3, 85)
+    got = rows(quality.judge(docs, spark.createDataFrame([], "doc_id long, quality int")), "doc_id", "n_repeat_words")
+    assert got == [(i, brute_counts(t)[4]) for i, t in texts]
+
+
 # substring dedup
 
 
