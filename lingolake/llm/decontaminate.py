@@ -2,7 +2,7 @@
 
 Words are lower-cased runs of letters and digits.  Window sizes form a geometric series; an item is fingerprinted by
 windows of one size, so many and so placed that a passage which lacks some of the words of each of them is less similar
-than the threshold (see ``places``).  Every window of those sizes of every text is fingerprinted too (64 bits, a majority vote of its words' hash bits, by running sums).  Fingerprints are cut into ``BLOCKS``
+than the threshold (see ``places``).  Every window of those sizes of every text is fingerprinted too (64 bits, a majority vote of its words' hash bits).  Fingerprints are cut into ``BLOCKS``
 blocks; those within ``radius`` bits agree in some block but for ``radius // BLOCKS`` bits (pigeonhole), so a table by
 block value of all values within that many bits finds every one of them.  What is within the radius is
 verified: the weighted Jaccard similarity of the five-word shingles of the item and of the text's stretch of the item's
@@ -11,6 +11,7 @@ length, a shingle weighing as much as its words have bytes.
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -18,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .store import written
+from .store import NewFile, new_dir, opened, written
 from .text import ByteHash, pieces, rolled
 from .toxicity import Terms
 
@@ -37,19 +38,58 @@ def sizes(longest: int) -> list[int]:
     return [s for s in out if s <= longest]
 
 
-def running(hashes: np.ndarray) -> np.ndarray:
-    """Running counts of each hash bit; they wrap around, which differences don't mind."""
-    bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-    out = np.zeros((len(hashes) + 1, BITS), np.uint16)
-    np.cumsum(bits, axis=0, dtype=np.uint16, out=out[1:])
-    return out
-
+def _added(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
+    """Sums of numbers by bit planes, the lowest first (lane i of plane j is bit j of lane i's number)."""
+    out, carry = [], None
+    for i in range(max(len(a), len(b))):
+        terms = [x[i] for x in (a, b) if i < len(x)]
+        if len(terms) == 1:
+            terms, carry = [terms[0], carry] if carry is not None else terms, None
+            if len(terms) == 1:
+                out.append(terms[0])
+                continue
+        x, y = terms
+        one = x ^ y
+        if carry is None:
+            out.append(one)
+            carry = x & y
+        else:
+            out.append(one ^ carry)
+            carry = (x & y) | (one & carry)
+    return [*out, carry] if carry is not None else out
+
+
+class Votes:
+    """Fingerprints of the windows of a word sequence: bit i is set where more than half of a window's hashes have it set.
+
+    All 64 bits are counted at once, by planes: plane j holds bit j of each bit's count.  Windows of 2, 4, 8, ... words are
+    sums of two of half the size, other sizes are sums of those, so a window takes a few operations however long it is.
+    """
 
-def votes(counts: np.ndarray, size: int) -> np.ndarray:
-    """Fingerprints of all windows of a size."""
-    if len(counts) <= size:
-        return np.zeros(0, np.uint64)
-    return np.packbits(counts[size:] - counts[:-size] > size // 2, axis=1).view(">u8").ravel().astype(np.uint64)
+    def __init__(self, hashes: np.ndarray):
+        self.n, self.doubled = len(hashes), [[hashes]]
+
+    def __call__(self, size: int) -> np.ndarray:
+        n = self.n - size + 1
+        if n <= 0:
+            return np.zeros(0, np.uint64)
+        while 1 << len(self.doubled) <= size:
+            half, x = 1 << len(self.doubled) - 1, self.doubled[-1]
+            # (a count of 2 ** k takes k + 1 planes)
+            self.doubled.append(_added([p[:-half] for p in x], [p[half:] for p in x]))
+        total, at = [], 0
+        for k in reversed(range(size.bit_length())):
+            if size >> k & 1:
+                total = _added(total, [p[at : at + n] for p in self.doubled[k]])[: size.bit_length()]
+                at += 1 << k
+        above, equal = np.zeros(n, np.uint64), np.full(n, (1 << 64) - 1, np.uint64)
+        for j in reversed(range(len(total))):
+            if size // 2 >> j & 1:
+                equal &= total[j]
+            else:
+                above |= equal & total[j]
+                equal &= ~total[j]
+        return above
 
 
 def distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -68,9 +108,10 @@ def neighbours(value: int, errors: int) -> list[int]:
 @dataclass
 class Item:
     key: int
-    #: The distinct shingles and how often each is there.
+    #: The distinct shingles, how often each is there, and what it weighs.
     shingles: np.ndarray
     counts: np.ndarray
+    weights: np.ndarray
     n: int
     total: int
     #: How far the place of an undamaged window can lie from a place that is similar enough, in words, and what it has in common at least.
@@ -103,13 +144,16 @@ class Table:
     def within(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, entry) of all pairs within the radius (a pair may come more than once)."""
         at, entry = [], []
+        # blocks are of 16 bits: four numbers of a fingerprint
+        by_block = prints.astype("<u8").view("<u2").reshape(-1, BLOCKS)
         for b in range(BLOCKS):
-            block = (prints >> np.uint64(b * WIDTH) & np.uint64((1 << WIDTH) - 1)).astype(np.int64)
+            block = by_block[:, b]
             use = np.flatnonzero(self.some[b][block])
             # a bounded number of windows at a time
             for part in np.array_split(use, max(1, len(use) // 100_000 + 1)):
-                begin = self.first[b][block[part]]
-                n = self.first[b][block[part] + 1] - begin
+                value = block[part].astype(np.int64)
+                begin = self.first[b][value]
+                n = self.first[b][value + 1] - begin
                 ends = np.cumsum(n)
                 if not len(ends):
                     continue
@@ -163,12 +207,9 @@ def places(h: np.ndarray, weights: np.ndarray, k: int, spare: float, series: lis
 
 def similarity(item: Item, shingles: np.ndarray, weights: np.ndarray) -> tuple[float, int]:
     """Weighted Jaccard similarity of multisets of shingles, and the weight that they have in common."""
-    both = 0
-    if len(shingles):
-        b, at, cb = np.unique(shingles, return_index=True, return_counts=True)
-        i = np.minimum(np.searchsorted(item.shingles, b), len(item.shingles) - 1)
-        same = item.shingles[i] == b
-        both = int((np.minimum(item.counts[i], cb) * weights[at])[same].sum())
+    at = np.minimum(np.searchsorted(item.shingles, shingles), len(item.shingles) - 1)
+    seen = np.bincount(at[item.shingles[at] == shingles], minlength=len(item.counts))
+    both = int((np.minimum(item.counts, seen) * item.weights).sum())
     union = item.total + int(weights.sum()) - both
     return (both / union if union else 0.0), both
 
@@ -191,13 +232,14 @@ class Searcher:
             s, weight = shingled(h[a:b], length[a:b], self.k)
             spare = (1 - threshold) * int(weight.sum()) + 1e-6
             size, starts = places(h[a:b], weight, self.k, spare, series)
-            prints = votes(running(h[a:b]), size)
+            prints = Votes(h[a:b])(size)
             number = len(self.items)
             # a place so many words away misses at least as many shingles, and has lost as many at most
             order = np.sort(weight)
             reach = int(np.searchsorted(np.cumsum(order), spare, side="right"))
             total = int(weight.sum())
-            self.items.append(Item(key, *np.unique(s, return_counts=True), int(b - a), total, reach, total - spare - int(order[len(order) - reach :].sum())))
+            distinct, first, count = np.unique(s, return_index=True, return_counts=True)
+            self.items.append(Item(key, distinct, count, weight[first], int(b - a), total, reach, total - spare - int(order[len(order) - reach :].sum())))
             by_size.setdefault(size, []).extend((int(prints[d]), number, d) for d in starts)
         self.tables = [Table(size, prints, radius) for size, prints in sorted(by_size.items())]
 
@@ -205,10 +247,10 @@ class Searcher:
         """(text number, item key, first word, words, similarity): the best place of each item in each text, if it is similar enough."""
         w = Terms(column)
         h, length = self.hash.words(w.data, w.starts, w.ends), w.ends - w.starts
-        counts, owner = running(h), w.owner()
+        votes, owner = Votes(h), w.owner()
         tried: set[tuple[int, int, int]] = set()
         for table in self.tables:
-            prints = votes(counts, table.size)
+            prints = votes(table.size)
             if not len(prints):
                 continue
             at, entry = table.within(prints)
@@ -251,9 +293,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text:
     """A row (doc key, item key, start_word, n_words, similarity) for each row of ``docs`` and item found in it.
 
     Texts and items without words (or null) match nothing.  An item shorter than a shingle is one shingle.  Repeated
-    documents come as often as they are there; repeated item keys as often as they match.  The benchmark goes along
-    with each pass over the documents, about ``PASS_BYTES`` of its text at a time, so a large one takes more passes and
-    not more memory; no shuffle.
+    documents come as often as they are there; repeated item keys as often as they match.  The benchmark is dealt to parts
+    of about ``PASS_BYTES`` of text, and each part's tables are built by one task and kept as a file in the shared folder;
+    the driver has the files' names only.  A pass over the documents takes one part along, so a large benchmark takes more
+    passes and not more memory; no shuffle of the documents.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     items = benchmark.select(F.col(item_key).cast("long").alias("item"), F.col(item_text).alias("text"))
@@ -261,11 +304,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text:
     passes = total // PASS_BYTES + 1
     schema = f"`{key}` long, `{item_key}` long, start_word long, n_words long, similarity double"
     out = None
-    for i in range(passes):
-        held = [(r["item"], r["text"]) for r in items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == i).collect()]
+    for uri in [r["uri"] for r in _built(items, passes, radius, shingle, threshold).collect()]:
 
-        def run(batches, held=held):
-            search = Searcher(held, radius, shingle, threshold)
+        def run(batches, uri=uri):
+            search = _loaded(uri)
             for batch in pieces(batches, most=1 << 20):
                 keys = batch.column(0).to_pylist()
                 found = [(keys[d], *rest) for d, *rest in search(batch.column(1))]
@@ -274,7 +316,45 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text:
 
         part = rows.mapInArrow(run, schema)
         out = part if out is None else out.unionByName(part)
-    return out
+    return docs.sparkSession.createDataFrame([], schema) if out is None else out
+
+
+def _built(items: DataFrame, parts: int, radius: int, shingle: int, threshold: float) -> DataFrame:
+    """(uri): a file with the searcher of each part of the items; one row a part, so their number is that of the passes."""
+    folder = new_dir(items.sparkSession, "decontaminate-tables")
+
+    def run(batches):
+        held, at = [], None
+
+        def told():
+            file = NewFile(folder, "part.tables")
+            file.write(pickle.dumps(Searcher(held, radius, shingle, threshold), pickle.HIGHEST_PROTOCOL))
+            return pa.RecordBatch.from_pydict({"uri": [file.close()]})
+
+        for batch in batches:
+            for part, item, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if part != at and held:
+                    yield told()
+                    held = []
+                at = part
+                held.append((item, text))
+        if held:
+            yield told()
+
+    dealt = items.select(F.pmod(F.xxhash64("item", "text"), F.lit(parts)).alias("part"), "item", "text")
+    return written(dealt.repartition(parts, "part").sortWithinPartitions("part", "item", "text").mapInArrow(run, "uri string"), "decontaminate-parts")
+
+
+#: The searcher that this Python worker loaded last, by its file.
+LOADED: dict[str, Searcher] = {}
+
+
+def _loaded(uri: str) -> Searcher:
+    if uri not in LOADED:
+        LOADED.clear()
+        with opened(uri) as f:
+            LOADED[uri] = pickle.loads(f.read())
+    return LOADED[uri]
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", **how) -> DataFrame:

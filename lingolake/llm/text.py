@@ -11,6 +11,7 @@ import contextlib
 import ctypes
 import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 PIECE = 1 << 20
 
 
+@lru_cache(maxsize=256)
 def _random(seed: int, n: int) -> np.ndarray:
     return np.random.Generator(np.random.PCG64(seed)).integers(0, 1 << 64, n, dtype=np.uint64)
 
