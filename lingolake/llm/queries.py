@@ -15,6 +15,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def vocabularies() -> tuple[str, ...]:
+    """Files that rank words (see ``secrets.frequent_words``)."""
+    return tokenizer_path("byte_bpe_50k.tiktoken"), tokenizer_path("byte_bpe_multi_50k.tiktoken")
+
+
 def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring import dedup
 
@@ -72,7 +77,7 @@ FROM t LEFT JOIN n ON n.doc_id = t.doc_id LEFT JOIN least_ ON a = t.doc_id
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secrets import scan
 
-    found = scan(_table(spark, sf_dir, "documents"), keep=["doc_id"], redacted=False)
+    found = scan(_table(spark, sf_dir, "documents"), keep=["doc_id"], vocabularies=vocabularies(), redacted=False)
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_guess")
 
 
