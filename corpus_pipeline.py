@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lingolake.llm import decontaminate, neardup, secrets, sentencepiece_backend, toxicity
-from lingolake.llm.queries import tokenizer_path
+from lingolake.llm.queries import tokenizer_path, vocabularies
 from lingolake.llm.store import written
 from lingolake.session import ship
 
@@ -49,7 +49,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets in their texts replaced by a mark."""
     ship(spark)
-    found = secrets.scan(_columns(docs), keep=[*COLUMNS])
+    found = secrets.scan(_columns(docs), keep=[*COLUMNS], vocabularies=vocabularies())
     text = F.coalesce("redacted", "text")
     return _columns(found.select("doc_id", text.alias("text"), "lang", "source", F.when(F.col("n_assign") + F.col("n_access") + F.col("n_hex") + F.col("n_guess") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars")).alias("n_chars")))
 
