@@ -59,7 +59,7 @@ def frequent_words(*paths: str) -> tuple[str, ...]:
                 token, _, rank = line.partition(b" ")
                 word = base64.b64decode(token).decode("utf-8", "ignore")
                 if word[:1] == " " and len(word) > 3 and word[1:].isalpha():
-                    word = word[1:].lower()
+                    word = word[1:].replace("İ", "i").lower()
                     found[word] = min(found.get(word, 1 << 62), int(rank))
     return tuple(sorted(found, key=lambda w: (found[w], w)))
 
