@@ -13,7 +13,9 @@ from __future__ import annotations
 import hashlib
 import html
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -42,131 +44,276 @@ NOISE = set(
 )
 #: Noise only outside of a marked article (where it may be the article's own head).
 NOISE_OUTSIDE = {"header", "masthead", "banner", "topbar"}
+NOISY_INLINE = {"span", "a", "b", "i", "em", "strong", "small", "label", "ins", "time"}
 ARTICLE_CLASSES = {"articlebody", "post-content", "entry-content", "article-body", "article-content"}
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
-ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+#: Elements that are nested more deeply become siblings, as in browsers.
+DEPTH = 512
 
+ATTRIBUTE = re.compile(r"""([^\s=/"'<>]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
+NAME = re.compile(r"[a-zA-Z][^\s/<>]*+")
+PLAIN = re.compile(r"""[^<>"']*+""")
+LONG_REFERENCE = re.compile(r"&#(?:[0-9]{9,}+|[xX][0-9a-fA-F]{9,}+);?")
 
-class Element:
-    __slots__ = ("tag", "path", "noise", "article", "head")
 
-    def __init__(self, tag: str, path: str, noise: bool, article: str, head: bool):
-        self.tag, self.path, self.noise, self.article, self.head = tag, path, noise, article, head
+def unescape(text: str) -> str:
+    """Decoded character references; numbers of any length (the library's own conversion has a limit)."""
+
+    def short(m: re.Match) -> str:
+        digits = m[0][2:].rstrip(";").lower()
+        rest = digits.lstrip("x").lstrip("0")
+        return f"&#{'x' * digits.startswith('x')}{rest or '0'};" if len(rest) < 9 else "\ufffd"
 
+    return html.unescape(LONG_REFERENCE.sub(short, text) if "&#" in text else text)
 
-def _style(tag: str, attributes: str, parent: Element | None) -> Element:
-    names = ""
+
+class Element:
+    """An open or closed block element.  ``node`` is a number for its chain of tags and classes, ``mark`` the marked article
+    that it is (in), ``low`` whether it is (in) a branch of low importance."""
+
+    __slots__ = ("tag", "parent", "depth", "node", "noise", "mark", "head", "low", "inside", "held")
+
+    def __init__(self, tag: str, parent: Element | None, attributes: str, low: set[int] | frozenset = frozenset()):
+        classes, self.noise, article, self.head = (_told if len(attributes) < 200 else _says)(tag, attributes)
+        self.tag, self.parent, self.depth = tag, parent, parent.depth + 1 if parent else 1
+        self.node = _node(parent.node if parent else None, tag, classes if len(classes) < 200 else str(_number(classes)))
+        self.low, self.mark = self.node in low, None
+        if parent:
+            self.noise, self.head, self.low, self.mark = self.noise or parent.noise, self.head or parent.head, self.low or parent.low, parent.mark
+        if article and not self.noise and not self.mark:
+            self.mark = self
+        self.inside, self.held = False, []
+
+    def chain(self) -> list[int]:
+        """The nodes of its ancestors and its own, which is the last."""
+        out, at = [], self
+        while at:
+            out.append(at.node)
+            at = at.parent
+        return out[::-1]
+
+
+def _says(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
+    """(sorted classes by line, noise, article, head) by an element's tag and attributes."""
     noise, article, head = tag in DROP, tag in ("article", "main"), tag == "header"
-    if attributes.strip():
-        found = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes)}
-        whole = f"{found.get('class', '')} {found.get('id', '')}".lower()
-        words = set(re.split(r"[^a-z0-9]+", whole)) - {""}
-        role = found.get("role", "").lower()
-        noise = noise or bool(words & NOISE) or role in ROLES or "hidden" in found or found.get("aria-hidden") == "true"
-        head = head or bool(words & NOISE_OUTSIDE)
-        article = article or role in ("main", "article") or found.get("itemprop", "").lower() == "articlebody" or bool(set(whole.split()) & ARTICLE_CLASSES)
-        names = "." + ".".join(sorted(set(found.get("class", "").lower().split()))) if found.get("class") else ""
-    path = f"{parent.path}/{tag}{names}" if parent else tag + names
-    mark = (parent.article if parent else "") or (path if article and not noise else "")
-    return Element(tag, path, noise or bool(parent and parent.noise), mark, head or bool(parent and parent.head))
-
-
-def blocks(page: str) -> list[tuple[str, str, bool, str]]:
-    """(style path, text, noise, style path of the marked article around it or "") of each block of text, in page order.
-
-    Inline elements are part of their block; what isn't closed is closed as browsers do for blocks.
+    if not attributes.strip():
+        return "", noise, article, head
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(attributes):
+        found.setdefault(m[1].lower(), unescape(m[2] or m[3] or m[4] or ""))
+    classes = found.get("class", "").lower()
+    whole = f"{classes} {found.get('id', '')}".lower()
+    words = set(re.split(r"[^a-z0-9]+", whole)) - {""}
+    role = found.get("role", "").lower()
+    noise = noise or bool(words & NOISE) or role in ROLES or "hidden" in found or found.get("aria-hidden") == "true"
+    article = article or role in ("main", "article") or found.get("itemprop", "").lower() == "articlebody" or bool(set(whole.split()) & ARTICLE_CLASSES)
+    return "\n".join(sorted(set(classes.split()))), noise, article, head or bool(words & NOISE_OUTSIDE)
+
+
+#: What short attributes say, remembered.
+_told = lru_cache(1 << 12)(_says)
+
+
+@lru_cache(1 << 14)
+def _node(parent: int | None, tag: str, classes: str) -> int:
+    return _number("" if parent is None else str(parent), tag, classes)
+
+
+def _tag_end(page: str, at: int) -> tuple[int, int]:
+    """(end of the attributes, where to go on) of a tag: at its ``>``, at the next tag if there is none before, or at the end.
+    A quote that never closes is a plain character."""
+    while True:
+        at = PLAIN.match(page, at).end()
+        sign = page[at : at + 1]
+        if sign in ("", "<"):
+            return at, at
+        if sign == ">":
+            return at, at + 1
+        closing = page.find(sign, at + 1)
+        at = closing + 1 if closing >= 0 else at + 1
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """(kind, name, rest) in page order, in one pass: text, or a tag ``open`` or ``close`` with its attributes.  Comments and the
+    content of elements that hold no text of the page are passed over."""
+    at, n, more = 0, len(page), True
+    while at < n:
+        start = page.find("<", at)
+        if start < 0:
+            yield "text", "", page[at:]
+            return
+        if start > at:
+            yield "text", "", page[at:start]
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = end + 3 if end >= 0 else n
+            continue
+        close = page.startswith("/", start + 1)
+        if m := NAME.match(page, start + 1 + close):
+            end, at = _tag_end(page, m.end())
+            name, attributes = m[0].lower(), page[m.end() : end]
+            yield "close" if close else "open", name, attributes
+            if name in RAW and not close and not attributes.rstrip().endswith("/"):
+                end = RAW_END[name].search(page, at)
+                at = end.end() if end else n
+            continue
+        end = page.find(">", start) if more and page[start + 1 : start + 2] in ("!", "?", "/") else -1
+        if end >= 0:
+            at = end + 1
+        else:
+            more = more and page[start + 1 : start + 2] not in ("!", "?", "/")
+            yield "text", "", "<"
+            at = start + 1
+
+
+RAW_END = {tag: re.compile(rf"</{tag}\b[^>]*+>", re.I) for tag in RAW}
+
+
+class Inline:
+    """The open inline elements of a block, and whether text in them isn't text of the page."""
+
+    def __init__(self):
+        self.open, self.count, self.skip_from = [], Counter(), None
+
+    def clear(self) -> None:
+        if self.open:
+            self.open.clear(), self.count.clear()
+            self.skip_from = None
+
+    def push(self, tag: str, skip: bool) -> None:
+        if skip and self.skip_from is None:
+            self.skip_from = len(self.open)
+        self.open.append(tag)
+        self.count[tag] += 1
+
+    def pop(self, tag: str) -> None:
+        if self.count[tag]:
+            while True:
+                last = self.open.pop()
+                self.count[last] -= 1
+                if last == tag:
+                    break
+            if self.skip_from is not None and len(self.open) <= self.skip_from:
+                self.skip_from = None
+
+
+def blocks(page: str, low: set[int] | frozenset = frozenset()) -> list[tuple[Element | None, str]]:
+    """(innermost block element, text) of each block of text, in page order.
+
+    Inline elements are part of their block; what isn't closed is closed as browsers do for blocks.  The time is in proportion
+    to the page's length (times ``DEPTH`` at worst).
     """
     stack: list[Element] = []
-    out: list[tuple[str, str, bool, str]] = []
+    opened: Counter = Counter()
+    out: list[tuple[Element | None, str]] = []
     text: list[str] = []
+    inline = Inline()
 
     def flush() -> None:
         if text:
-            whole = " ".join(html.unescape("".join(text)).split())
+            whole = " ".join(unescape("".join(text)).split())
             text.clear()
             if whole:
-                top = stack[-1] if stack else None
-                out.append((top.path if top else "", whole, bool(top and (top.noise or (top.head and not top.article))), top.article if top else ""))
+                out.append((stack[-1] if stack else None, whole))
 
-    at, n = 0, len(page)
-    skip_inline = 0
-    inline: list[str] = []
-    while at < n:
-        m = TOKEN.search(page, at)
-        stop = m.start() if m else n
-        if stop > at and not skip_inline:
-            text.append(page[at:stop])
-        if not m:
-            break
-        at = m.end()
-        if m[2] is None:
-            continue
-        close, tag = bool(m[1]), m[2].lower()
-        if tag in RAW:
-            if not close and not m[3].rstrip().endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = end.end() if end else n
-            continue
-        if tag == "br":
-            text.append(" ")
-            continue
-        if tag in VOID and tag != "hr":
-            continue
-        if tag not in BLOCK:
-            # inline: it leaves the block as it is, unless its content isn't text of the page
-            if tag in DROP:
-                if close:
-                    if tag in inline:
-                        while inline.pop() != tag:
-                            pass
-                        skip_inline = len(inline)
-                elif not m[3].rstrip().endswith("/"):
-                    inline.append(tag)
-                    skip_inline = len(inline)
-            elif not close and m[3].strip() and tag in ("span", "a", "b", "i", "em", "strong", "small", "label", "ins", "time") and _style(tag, m[3], None).noise:
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                nested = re.compile(rf"<{re.escape(tag)}[\s>]", re.I)
-                while end and len(nested.findall(page, at, end.start())) > len(re.findall(rf"</{re.escape(tag)}\s*>", page[at : end.start()], re.I)):
-                    end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, end.end())
-                at = end.end() if end else at
-            continue
-        flush()
-        skip_inline = 0
-        inline.clear()
-        if close:
-            if any(e.tag == tag for e in stack):
-                while stack.pop().tag != tag:
-                    pass
-            continue
-        if tag in ("html", "body") and any(e.tag == tag for e in stack):
-            continue
-        if tag in CLOSES_P and any(e.tag == "p" for e in stack):
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag == "p":
-                    del stack[i:]
-                    break
-                if stack[i].tag in ("table", "td", "th", "button", "div", "article", "section"):
-                    break
-        if tag in IMPLIED:
-            ends, within = IMPLIED[tag]
+    def cut(i: int) -> None:
+        for e in stack[i:]:
+            opened[e.tag] -= 1
+        del stack[i:]
+
+    def end_before(ends: set[str], within: set[str]) -> None:
+        """Closes the innermost of ``ends`` that isn't outside of one of ``within``."""
+        if any(opened[x] for x in ends):
             for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag in within:
-                    break
                 if stack[i].tag in ends:
-                    del stack[i:]
-                    break
-        element = _style(tag, m[3], stack[-1] if stack else None)
-        if tag != "hr" and not m[3].rstrip().endswith("/"):
-            stack.append(element)
+                    return cut(i)
+                if stack[i].tag in within:
+                    return None
+
+    for kind, tag, rest in tokens(page):
+        if kind == "text":
+            if inline.skip_from is None:
+                text.append(rest)
+        elif tag in RAW or (tag in VOID and tag not in ("br", "hr")):
+            continue
+        elif tag == "br":
+            text.append(" ")
+        elif tag not in BLOCK:
+            if kind == "close":
+                inline.pop(tag)
+            elif not rest.rstrip().endswith("/"):
+                inline.push(tag, tag in DROP or (tag in NOISY_INLINE and bool(rest.strip()) and _says(tag, rest)[1]))
+        else:
+            flush()
+            skipped = inline.skip_from is not None
+            inline.clear()
+            if kind == "close":
+                if opened[tag]:
+                    i = len(stack) - 1
+                    while stack[i].tag != tag:
+                        i -= 1
+                    cut(i)
+                continue
+            if tag in ("html", "body") and opened[tag]:
+                continue
+            if tag in CLOSES_P:
+                end_before({"p"}, {"table", "td", "th", "button", "div", "article", "section"})
+            if tag in IMPLIED:
+                end_before(*IMPLIED[tag])
+            if len(stack) >= DEPTH:
+                cut(DEPTH - 1)
+            if tag != "hr" and not rest.rstrip().endswith("/"):
+                stack.append(Element(tag, stack[-1] if stack else None, rest, low))
+                stack[-1].noise = stack[-1].noise or skipped
+                opened[tag] += 1
     flush()
     return out
 
 
-def ancestors(path: str) -> list[str]:
-    """The path's prefixes, the path last."""
-    parts = path.split("/")
-    return ["/".join(parts[: i + 1]) for i in range(len(parts))]
+def is_noise(e: Element | None) -> bool:
+    return bool(e and (e.noise or (e.head and not e.mark)))
+
+
+def _number(*parts: str | int) -> int:
+    return int.from_bytes(hashlib.blake2b("\x00".join(map(str, parts)).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def styles(page: str) -> tuple[set[tuple[int, int]], dict[int, int], dict[int, list[int]]]:
+    """((node, number of a text) of its leaves, number of the layout by node, chain of nodes by leaf) of a page without its noise.
+
+    An element's layout is the run of what stands in it: texts, and child elements with their own layouts; what follows its
+    like counts once.  A node's layout is the run of its elements' layouts.
+    """
+    texts, layouts, chains = set(), defaultdict(list), {}
+    stack: list[Element] = []
+
+    def close() -> None:
+        e = stack.pop()
+        e.inside, layout = False, _number(*e.held)
+        for held, value in ((layouts[e.node], layout), *([(stack[-1].held, _number(e.node, layout))] if stack else [])):
+            if not held or held[-1] != value:
+                held.append(value)
+
+    for e, text in blocks(page):
+        if e is None or is_noise(e):
+            continue
+        new, at = [], e
+        while at and not at.inside:
+            new.append(at)
+            at = at.parent
+        while stack and stack[-1] is not at:
+            close()
+        for x in reversed(new):
+            x.inside = True
+            stack.append(x)
+        if not e.held or e.held[-1] != 0:
+            e.held.append(0)
+        texts.add((e.node, _number(text)))
+        if e.node not in chains:
+            chains[e.node] = e.chain()
+    while stack:
+        close()
+    return texts, {node: _number(*runs) for node, runs in layouts.items()}, chains
 
 
 def host(url: Column) -> Column:
@@ -174,36 +321,24 @@ def host(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def _number(*parts: str) -> int:
-    return int.from_bytes(hashlib.blake2b("\x00".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
-
-
 def style_facts(pages: DataFrame) -> DataFrame:
-    """Per page and style node: kind 0 a leaf's text, kind 1 a node's layout (the run of leaves below it); ``value`` is a hash of it.
+    """Per page and style node: kind 0 a leaf's text (with the chain of nodes that it is in), kind 1 a node's layout; ``value`` is a hash of it.
 
     Every page of a host counts, and what lies in marked articles too; only noise, which goes anyway, is not told.
     """
 
     def run(batches):
         for batch in pieces(batches, "html"):
-            hosts, nodes, kinds, values = [], [], [], []
+            hosts, nodes, kinds, values, chains = [], [], [], [], []
             for site, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                layout: dict[str, list[str]] = defaultdict(list)
-                texts = set()
-                for path, text, noise, _ in blocks(page or ""):
-                    if noise or not path:
-                        continue
-                    texts.add((path, _number(text)))
-                    for up in ancestors(path):
-                        if not layout[up] or layout[up][-1] != path:
-                            layout[up].append(path)
-                for path, value in texts:
-                    hosts.append(site), nodes.append(path), kinds.append(0), values.append(value)
-                for up, runs in layout.items():
-                    hosts.append(site), nodes.append(up), kinds.append(1), values.append(_number(*runs))
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(nodes, pa.string()), pa.array(kinds, pa.int32()), pa.array(values, pa.int64())], names=["host", "node", "kind", "value"])
-
-    return pages.select("host", "html").mapInArrow(run, "host string, node string, kind int, value long")
+                texts, layouts, ups = styles(page or "")
+                for node, value in texts:
+                    hosts.append(site), nodes.append(node), kinds.append(0), values.append(value), chains.append(ups[node])
+                for node, value in layouts.items():
+                    hosts.append(site), nodes.append(node), kinds.append(1), values.append(value), chains.append(None)
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(nodes, pa.int64()), pa.array(kinds, pa.int32()), pa.array(values, pa.int64()), pa.array(chains, pa.list_(pa.int64()))], names=["host", "node", "kind", "value", "chain"])
+
+    return pages.select("host", "html").mapInArrow(run, "host string, node long, kind int, value long, chain array<long>")
 
 
 def importances(pages: DataFrame, *, gamma: float = 0.9) -> DataFrame:
@@ -214,7 +349,7 @@ def importances(pages: DataFrame, *, gamma: float = 0.9) -> DataFrame:
     base m, of the spread over pages of the distinct texts of each leaf below.  importance = (1 - gamma ** l) * presentation + gamma ** l * content, where
     l is the number of distinct layouts.  A node on one page only has importance 1.
     """
-    seen = style_facts(pages).groupBy("host", "node", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
+    seen = style_facts(pages).groupBy("host", "node", "kind", "value").agg(F.count(F.lit(1)).alias("n"), F.first("chain").alias("chain"))
     n = F.col("n").cast("double")
     layouts = F.col("kind") == 1
     own = seen.groupBy("host", "node").agg(
@@ -223,10 +358,10 @@ def importances(pages: DataFrame, *, gamma: float = 0.9) -> DataFrame:
         F.count(F.when(layouts, 1)).alias("n_layouts"),
         F.count(F.when(~layouts, 1)).alias("n_texts"),
         F.sum(F.when(~layouts, F.log(n))).alias("text_log"),
+        F.first("chain", ignorenulls=True).alias("chain"),
     )
     # a leaf's texts count for each node above it: a row a leaf and ancestor, however many the texts
-    parts = F.split("node", "/")
-    ups = F.when(F.col("n_texts") > 0, F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))).otherwise(F.array().cast("array<string>"))
+    ups = F.coalesce("chain", F.array().cast("array<long>"))
     told = own.select("host", F.col("node").alias("__own"), F.explode(F.array_union(F.array("node"), ups)).alias("node"), "n_pages", "n_log_n", "n_layouts", "n_texts", "text_log")
     itself = F.col("node") == F.col("__own")
     total = told.groupBy("host", "node").agg(*[F.sum(F.when(itself, F.col(c))).alias(c) for c in ("n_pages", "n_log_n", "n_layouts")], F.sum("n_texts").alias("n_texts"), F.sum("text_log").alias("text_log"))
@@ -239,17 +374,17 @@ def importances(pages: DataFrame, *, gamma: float = 0.9) -> DataFrame:
     )
 
 
-def article(page: str, low: set[str]) -> str:
+def article(page: str, low: set[int]) -> str:
     """The main text: all blocks outside of noise and of low branches; of these the marked article's only, if there is one.
 
     A mark that is itself (in) a low branch says one thing and the tree another: what else is left is taken then, and the
     mark's blocks if nothing is, so that copies of one page keep their article.
     """
-    found = [b for b in blocks(page) if not b[2]]
-    high = [b for b in found if not low or not any(up in low for up in ancestors(b[0]))]
-    if marked := [b for b in found if b[3]]:
-        if any(low.isdisjoint(ancestors(b[3])) for b in marked):
-            high = [b for b in high if b[3]]
+    found = [b for b in blocks(page, low) if not is_noise(b[0])]
+    high = [b for b in found if not (b[0] and b[0].low)]
+    if marked := [b for b in found if b[0] and b[0].mark]:
+        if any(not b[0].mark.low for b in marked):
+            high = [b for b in high if b[0] and b[0].mark]
         else:
             high = high or marked
     return "\n\n".join(b[1] for b in high)
@@ -271,7 +406,7 @@ def extract(pages: DataFrame, *, page: str = "html", url: str = "url", keep: lis
         by_host = low.groupBy(F.col("host").alias("__host")).agg(F.collect_set("node").alias("__low"))
         source = source.join(F.broadcast(by_host) if n <= most_broadcast else by_host, "__host", "left")
     else:
-        source = source.withColumn("__low", F.array().cast("array<string>"))
+        source = source.withColumn("__low", F.array().cast("array<long>"))
     source = source.select(*[f"`{c}`" for c in keep], "__low", "__html")
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-2]), f"`{out}` string"])
 

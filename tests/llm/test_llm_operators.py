@@ -612,6 +612,96 @@ def test_blocks_and_article():
     assert html_tree.article("<div>a<div>b</div>c</div><p>d", set()) == "a\n\nb\n\nc\n\nd"
 
 
+def test_odd_markup():
+    extract = lambda page: html_tree.article(page, set())
+    assert extract('<p title="a > b">x</p><p title="open>y</p>') == "x\n\ny"
+    assert extract("<p>a < b &lt; c <3 <!doctype x> <? y > </ z> d") == "a < b < c <3 d"
+    assert extract("<p>one <a href=x<b>two</b></a> <span class='ad'>buy <span>now</span></span> three") == "one two three"
+    assert extract("<p>a<span class=ad>b<p>c") == "a"  # what begins in skipped text is skipped
+    assert extract("<p>&#0000000065;&#99999999999999999999;&#x" + "0" * 5000 + "42;&#" + "7" * 5000 + ";") == "A\ufffdB\ufffd"
+    assert extract("<script>a</scripty></script ><p>b<!-- c") == "b"
+    assert extract("x" + "<div>" * 3000 + "deep" + "</div>" * 3000 + "<p>y") == "x\n\ndeep\n\ny"
+
+
+@pytest.mark.parametrize("unit", ["<a", '<a "', "<a '\">", '<a ">"', "<!", "</", "<", "<div>", "<div>a", "<span class=ad>", "<span class=ad>x</span>", "<p>", "<li>a", "<table><td>", "&#00000000065;", "&", "<!--", "<script>", "<button><p>a", "<tr><td>a", "<svg><a>x", "<div><p></section>"])
+def test_html_takes_time_in_proportion(unit):
+    import time
+
+    took = []
+    for n in (50_000, 200_000):
+        page = (unit * n)[:n]
+        began = time.process_time()
+        html_tree.article(page, set())
+        html_tree.styles(page)
+        took.append(time.process_time() - began)
+    assert took[1] < 10 * took[0] + 0.2 and took[1] < 5
+
+
+def test_importances_against_entropies(spark):
+    """Pages made of known trees: entropies straight from their definition."""
+    rng = random.Random(31)
+
+    def tree(depth):
+        return [rng.choice(["one", "two", f"text {rng.randrange(40)}"]) if depth == 3 or rng.random() < 0.4 else (rng.choice(["div.x", "div.y", "section.z"]), tree(depth + 1)) for _ in range(rng.randrange(1, 4))]
+
+    def html_of(nodes):
+        return "".join(f"<p>{n}</p>" if isinstance(n, str) else f"<{n[0].split('.')[0]} class={n[0].split('.')[1]}>{html_of(n[1])}</{n[0].split('.')[0]}>" for n in nodes)
+
+    def number(path):
+        node = None
+        for part in path:
+            node = html_tree._node(node, *part.split(".")) if "." in part else html_tree._node(node, part, "")
+        return node
+
+    def add(run, x):
+        if not run or run[-1] != x:
+            run.append(x)
+
+    pages, seen = [], []
+    for i in range(25):
+        nodes = ("div.page", tree(0))
+        layouts, texts = defaultdict(list), set()
+
+        def walk(node, path, layouts=layouts, texts=texts):
+            name, inner = ("p", node) if isinstance(node, str) else node
+            path, held = (*path, name), []
+            if isinstance(node, str):
+                texts.add((path, node))
+                held.append("text")
+            else:
+                for x in inner:
+                    add(held, walk(x, path))
+            add(layouts[path], tuple(held))
+            return path, tuple(held)
+
+        walk(nodes, ())
+        pages.append((i, "http://h.example/", html_of([nodes])))
+        seen.append((layouts, texts))
+    expected = {}
+    for path in {p for layouts, _ in seen for p in layouts}:
+        with_it = [layouts for layouts, _ in seen if path in layouts]
+        m = len(with_it)
+        kinds = defaultdict(int)
+        for layouts in with_it:
+            kinds[tuple(layouts[path])] += 1
+        texts = defaultdict(int)
+        for _, found in seen:
+            for leaf, text in found:
+                if leaf[: len(path)] == path:
+                    texts[leaf, text] += 1
+        presentation = content = 1.0
+        if m > 1:
+            presentation = -sum(k / m * math.log(k / m, m) for k in kinds.values())
+            content = max(0.0, 1 - sum(-sum(1 / k * math.log(1 / k, m) for _ in range(k)) for k in texts.values()) / len(texts))
+        w = 0.9 ** len(kinds)
+        expected[number(path)] = (m, presentation, content, (1 - w) * presentation + w * content)
+    frame = spark.createDataFrame([("h", h) for _, _, h in pages], "host string, html string")
+    got = {r["node"]: (r["n_pages"], r["presentation"], r["content"], r["importance"]) for r in html_tree.importances(frame).collect()}
+    assert got.keys() == expected.keys() and len(got) > 20
+    for node, values in expected.items():
+        assert got[node] == pytest.approx(values, abs=1e-9)
+
+
 def test_style_tree(spark):
     """Without a marked article, what looks and reads alike on every page goes, and only that."""
     rng = random.Random(1)
