@@ -4,18 +4,19 @@ A text is the set of its lower-cased letter runs and of their first 4 and 5 byte
 variants share), hashed into ``2**bits`` places.  The machine adds to the weight of
 each term the inner products of the terms' factors, so a pair such as an insult with a mention of a group has a
 weight of its own.  It is fitted on a bounded sample of labelled rows (``sample`` rows of each label at most, those with
-the least hash of their key), in one task; every text is then scored in a pass without a shuffle.
+the least hash of their key), in one task, over the terms that tell something alone or in pairs; every text is then scored in a pass without a shuffle.
 """
 
 from __future__ import annotations
 
 import io
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .text import ByteHash, Words, buffers, pieces
+from .text import ByteHash, Words, buffers, mix, pieces
 
 #: ASCII other than letters and digits parts terms.
 BREAK = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -51,6 +52,49 @@ class Hasher:
         return pairs >> 32, pairs & 0xFFFFFFFF
 
 
+def _chance(raw: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
+
+
+def _pairs(text: np.ndarray, place: np.ndarray, most: int = 1 << 22) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(text, place, larger place) of all pairs of places within each text, about ``most`` at a time; texts and their places ascend."""
+    cut = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1], [True]])) if len(text) else np.zeros(1, np.int64)
+    size = np.repeat(np.diff(cut), np.diff(cut))
+    #: how many places of the text follow each one
+    after = (np.repeat(cut[1:], np.diff(cut)) - np.arange(len(text)) - 1) if len(text) else size
+    total, begin = np.cumsum(after), 0
+    while begin < len(text):
+        end = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + most, side="right")))
+        n = after[begin:end]
+        first = np.repeat(np.arange(begin, end), n)
+        step = np.arange(len(first)) - np.repeat(np.cumsum(n) - n, n)
+        yield text[first], place[first], place[first + 1 + step]
+        begin = end
+
+
+def telling_pairs(text: np.ndarray, place: np.ndarray, rest: np.ndarray, spread: np.ndarray, least: float, bits: int = 22) -> np.ndarray:
+    """The places in pairs whose texts' residuals (``rest``) sum to ``least`` standard deviations or more.
+
+    Sums are kept by hash of the pair, in ``2**bits`` counters.  All pairs of a text count; the fit's sample bounds the texts.
+    """
+
+    def slot(a, b):
+        return (mix(a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+
+    up, across = np.zeros(1 << bits), np.zeros(1 << bits)
+    for t, a, b in _pairs(text, place):
+        at = slot(a, b)
+        up += np.bincount(at, rest[t], 1 << bits)
+        across += np.bincount(at, spread[t], 1 << bits)
+    hit = (across >= 2.0) & (np.abs(up) >= least * np.sqrt(across))
+    found = [np.zeros(0, np.int64)]
+    if hit.any():
+        for _, a, b in _pairs(text, place):
+            use = hit[slot(a, b)]
+            found.append(np.unique(np.concatenate([a[use], b[use]])))
+    return np.unique(np.concatenate(found))
+
+
 class Machine:
     """score = sigmoid(bias + sum of weights + half of (square of the factors' sum - sum of their squares)); terms count once."""
 
@@ -61,13 +105,22 @@ class Machine:
     @staticmethod
     def _raw(bias: float, weight: np.ndarray, factor: np.ndarray, text: np.ndarray, term: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         out = bias + np.bincount(text, weight[term], n)
+        if not factor.shape[1]:
+            return out, np.zeros((n, 0))
         sums = np.stack([np.bincount(text, factor[term, f], n) for f in range(factor.shape[1])], 1)
         squares = np.bincount(text, (factor[term] ** 2).sum(1), n)
         return out + 0.5 * ((sums**2).sum(1) - squares), sums
 
     @classmethod
-    def fit(cls, bits: int, text: np.ndarray, place: np.ndarray, label: np.ndarray, *, factors: int = 6, rounds: int = 300, rate: float = 0.1, decay: float = 1e-3, min_ratio: float = 20.0, seed: int = 1) -> Machine:
-        """Adaptive gradient descent on the log loss, over the terms whose log likelihood ratio (G) with the label is ``min_ratio`` or more."""
+    def fit(cls, bits: int, text: np.ndarray, place: np.ndarray, label: np.ndarray, *, factors: int = 6, min_ratio: float = 20.0, min_texts: int = 20, min_score: float = 6.0, most_pairs: int = 30_000_000) -> Machine:
+        """The machine of the terms that tell something, alone or in pairs.
+
+        Alone: the log likelihood ratio (G) of a term with the label is ``min_ratio`` or more.  In pairs: of terms in ``min_texts``
+        texts or more, those in pairs whose joint occurrence a model of the single terms doesn't explain (a score test of the pair,
+        ``min_score`` standard deviations or more; see ``telling_pairs``), counted over texts that such a model leaves in doubt, with
+        ``most_pairs`` pairs together, which bounds this step of the fit.  So two terms that are neutral alone, and toxic
+        together or apart, get their factors too.
+        """
         n, size = len(label), 1 << bits
         positive = float(label.sum())
         if not n or positive in (0.0, float(n)):
@@ -79,7 +132,25 @@ class Machine:
         with np.errstate(divide="ignore", invalid="ignore"):
             cells = ((yes, every * share), (no, every * (1 - share)), (positive - yes, (n - every) * share), (n - positive - no, (n - every) * (1 - share)))
             ratio = 2 * sum(np.where(seen > 0, seen * np.log(seen / expected), 0.0) for seen, expected in cells)
-        places = np.flatnonzero(ratio >= min_ratio)
+        single = np.flatnonzero(ratio >= min_ratio)
+        _, _, _, chance = cls._descend(size, single, text, place, label, 0, 100)
+        often = (every >= min_texts)[place]
+        # texts that are explained tell nothing of pairs; of the others, those with the fewest pairs first
+        held = np.bincount(text, often, n).astype(np.int64)
+        told = np.abs(label - chance) >= 0.02
+        order = np.argsort(np.where(told, held, 1 << 31), kind="stable")[: int(told.sum())]
+        among = np.zeros(n, bool)
+        among[order[: int(np.searchsorted(np.cumsum(held[order] * (held[order] - 1) // 2), most_pairs, side="right"))]] = True
+        use = often & among[text]
+        paired = telling_pairs(text[use], place[use], label - chance, chance * (1 - chance), min_score)
+        places = np.union1d(single, paired)
+        bias, weight, factor, _ = cls._descend(size, places, text, place, label, factors, 300)
+        return cls(bits, bias, places, weight, factor)
+
+    @classmethod
+    def _descend(cls, size: int, places: np.ndarray, text: np.ndarray, place: np.ndarray, label: np.ndarray, factors: int, rounds: int, rate: float = 0.1, decay: float = 1e-3, seed: int = 1) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+        """(bias, weights, factors, chances of the texts) after adaptive gradient descent on the log loss."""
+        n, positive = len(label), float(label.sum())
         number = np.full(size, -1)
         number[places] = np.arange(len(places))
         use = number[place] >= 0
@@ -89,14 +160,15 @@ class Machine:
         speed = [1e-8, np.full(len(places), 1e-8), np.full(factor.shape, 1e-8)]
         for _ in range(rounds):
             raw, sums = cls._raw(bias, weight, factor, text, term, n)
-            error = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - label) / n
+            error = (_chance(raw) - label) / n
             by_term = np.bincount(term, error[text], len(places))
-            steps = [error.sum(), by_term + decay * weight / n, np.stack([np.bincount(term, error[text] * sums[text, f], len(places)) for f in range(factors)], 1) - factor * by_term[:, None] + decay * factor / n]
+            pulls = [np.bincount(term, error[text] * sums[text, f], len(places)) for f in range(factors)]
+            steps = [error.sum(), by_term + decay * weight / n, (np.stack(pulls, 1) if factors else factor) - factor * by_term[:, None] + decay * factor / n]
             speed = [s + g * g for s, g in zip(speed, steps)]
             bias -= rate * steps[0] / np.sqrt(speed[0])
             weight -= rate * steps[1] / np.sqrt(speed[1])
             factor -= 0.3 * rate * steps[2] / np.sqrt(speed[2])
-        return cls(bits, float(bias), places, weight, factor)
+        return float(bias), weight, factor, _chance(cls._raw(bias, weight, factor, text, term, n)[0])
 
     def score(self, column: pa.Array) -> np.ndarray:
         """Scores of a column's texts (nulls as empty)."""
@@ -107,7 +179,7 @@ class Machine:
             self.known = self.number >= 0
         text, place = self.hasher(column, self.known)
         raw, _ = self._raw(self.bias, self.weight, self.factor, text, self.number[place], len(column))
-        return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
+        return _chance(raw)
 
     def dump(self) -> bytes:
         out = io.BytesIO()

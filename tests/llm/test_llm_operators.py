@@ -565,21 +565,56 @@ def test_all_fingerprints_within_the_radius_are_found():
 
 
 def test_machine_learns_pairs():
-    """A label that is an exclusive or of two terms: a linear model can't, the pair weight can."""
+    """Labels that depend on two terms together, their exclusive or among them, which no linear model can tell: on held-out rows."""
     import numpy as np
 
-    rng = np.random.default_rng(0)
-    text, place, label = [], [], []
-    for i in range(3000):
-        a, b = rng.random() < 0.5, rng.random() < 0.5
-        label.append(float(a and b))
-        found = [5] * a + [9] * b + [int(rng.integers(100, 200))]
-        text += [i] * len(found)
-        place += found
-    m = toxicity.Machine.fit(10, np.array(text), np.array(place), np.array(label))
-    raw = lambda *p: m._raw(m.bias, m.weight, m.factor, np.zeros(len(p), int), np.array([m.places.tolist().index(x) for x in p], int), 1)[0][0]
-    assert raw(5, 9) > 0 > max(raw(5), raw(9))
-    assert abs(m.factor).max() > 0.1
+    for rule, alone in ((lambda a, b: a and b, False), (lambda a, b: a != b, True), (lambda a, b: a == b, True)):
+        rng = np.random.default_rng(0)
+        rows = []
+        for _ in range(5000):
+            a, b = rng.random() < 0.5, rng.random() < 0.5
+            rows.append((sorted([5] * a + [9] * b + rng.choice(np.arange(100, 200), 8, replace=False).tolist()), float(rule(a, b))))
+        flat = lambda part: (np.repeat(np.arange(len(part)), [len(x) for x, _ in part]), np.concatenate([x for x, _ in part]).astype(np.int64), np.array([y for _, y in part]))
+        text, place, label = flat(rows[:3000])
+        m = toxicity.Machine.fit(10, text, place, label)
+        assert {5, 9} <= set(m.places.tolist())
+        text, place, label = flat(rows[3000:])
+        number = np.full(1 << 10, -1)
+        number[m.places] = np.arange(len(m.places))
+        use = number[place] >= 0
+        raw, _ = m._raw(m.bias, m.weight, m.factor, text[use], number[place[use]], len(label))
+        assert ((raw > 0) == (label > 0)).mean() > 0.97
+        # the weights alone can't
+        linear, _ = m._raw(m.bias, m.weight, m.factor[:, :0], text[use], number[place[use]], len(label))
+        assert not alone or ((linear > 0) == (label > 0)).mean() < 0.85
+
+
+def test_machine_sums_pairs():
+    """A score is the bias, the weights, and the products of each two terms' factors, summed pair by pair."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    hasher = toxicity.Hasher(12)
+    texts = ["", "one two three", "two Two toxicity toxically", prose(random.Random(4), 40)]
+    places = np.unique(hasher(pa.array(texts))[1])[::2]
+    m = toxicity.Machine(12, -0.3, places, rng.normal(size=len(places)), rng.normal(size=(len(places), 3)))
+    for x, got in zip(texts, m.score(pa.array(texts))):
+        at = [places.tolist().index(p) for p in hasher(pa.array([x]))[1].tolist() if p in places]
+        raw = m.bias + sum(m.weight[i] for i in at) + sum(float(m.factor[i] @ m.factor[j]) for k, i in enumerate(at) for j in at[k + 1 :])
+        assert got == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, raw)))))
+
+
+def test_pairs_of_texts():
+    import numpy as np
+
+    rng = random.Random(1)
+    held = [sorted(rng.sample(range(50), rng.randrange(0, 12))) for _ in range(40)]
+    text = np.array([i for i, x in enumerate(held) for _ in x])
+    place = np.array([p for x in held for p in x])
+    got = [(int(t), int(a), int(b)) for part in toxicity._pairs(text, place, 30) for t, a, b in zip(*part)]
+    assert sorted(got) == sorted((i, a, b) for i, x in enumerate(held) for k, a in enumerate(x) for b in x[k + 1 :])
+    assert list(toxicity._pairs(text[:0], place[:0])) == []
 
 
 def test_toxicity(spark):
