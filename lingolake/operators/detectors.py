@@ -3,8 +3,9 @@
     doc_id, view, sent_id, lang, ord (the node it hangs on), subtype, begin, end, text, suggestion,
     roles array<struct<label, begin, end, text>>
 
-Detection is a filter over a sentence's nodes first, so that only hits become rows; what a finding says is worked out
-for those.  Detectors don't shuffle and keep no state, so they run on a stream as they do on a table.
+Detection is a filter over a sentence's nodes first, cheap conditions before others; sentences without a hit go, ancestors are
+worked out for the rest only, and what a finding says for the hits.  Detectors don't shuffle and keep no state, so they run
+on a stream as they do on a table.
 """
 
 from __future__ import annotations
@@ -14,23 +15,22 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import lexicon as L
-from .trees import begin, children, end, feat, first_child, fixed, has_child, last_child, one_of, parent, role, role_of, subtree, universal, with_ancestors, words
+from .trees import begin, children, end, feat, first_child, fixed, has_child, last_child, one_of, parent, plain, role, role_of, subtree, universal, with_ancestors, words
 
 KEYS = ["doc_id", "view", "sent_id", "lang"]
 ROLES = "array<struct<label:string,begin:int,end:int,text:string>>"
 
 
-def _hits(sentences: DataFrame, where: str, *, ready: bool = False) -> DataFrame:
-    """A row (keys, nodes, n) for each node n that the condition holds for."""
-    rows = sentences if ready else with_ancestors(sentences)
-    hits = rows.select(*KEYS, "nodes", F.expr(f"filter(nodes, n -> coalesce({where}, false))").alias("hits"))
-    return hits.select(*KEYS, "nodes", F.explode("hits").alias("n"))
+def _hits(sentences: DataFrame, where: str, *, ancestors: bool = False) -> DataFrame:
+    """A row (keys, nodes, n) for each node n that the condition holds for; with ``ancestors``, those of nodes are there too."""
+    hits = fixed(plain(sentences).select(*KEYS, "nodes", F.expr(f"transform(filter(nodes, n -> coalesce({where}, false)), n -> n.ord)").alias("hits"))).filter("size(hits) > 0")
+    return (with_ancestors(hits) if ancestors else hits).select(*KEYS, "nodes", F.explode("hits").alias("at")).select(*KEYS, "nodes", F.expr("nodes[at - 1]").alias("n"))
 
 
-def _kinds(rows: DataFrame, wheres: dict[str, str]) -> DataFrame:
-    """A row (keys, nodes, n, kind) for each kind's condition that a node meets, in one pass over rows with ancestors."""
+def _kinds(sentences: DataFrame, wheres: dict[str, str]) -> DataFrame:
+    """A row (keys, nodes, n, kind) for each kind's condition that a node meets, in one pass."""
     each = ", ".join(f"transform(filter(nodes, n -> coalesce({where}, false)), n -> named_struct('n', n, 'kind', '{kind}'))" for kind, where in wheres.items())
-    hits = rows.select(*KEYS, "nodes", F.explode(F.expr(f"concat({each})")).alias("x"))
+    hits = fixed(plain(sentences).select(*KEYS, "nodes", F.expr(f"concat({each})").alias("hits"))).filter("size(hits) > 0").select(*KEYS, "nodes", F.explode("hits").alias("x"))
     return fixed(hits.select(*KEYS, "nodes", F.expr("x.n").alias("n"), F.expr("x.kind").alias("kind")))
 
 
@@ -61,7 +61,7 @@ def sluicing(sentences: DataFrame) -> DataFrame:
 
 def subject_sharing(sentences: DataFrame) -> DataFrame:
     subject = one_of("c.deprel", L.SUBJECTS)
-    hits = _hits(sentences, f"n.deprel = 'conj' AND n.head > 0 AND NOT {has_child('n', subject)} AND {has_child(parent('n'), subject)}")
+    hits = _hits(sentences, f"n.deprel = 'conj' AND n.head > 0 AND NOT {has_child('n', subject)} AND {has_child(parent('n'), subject)}", ancestors=True)
     shared = f"transform({children(parent('n'), subject)}, x -> {role('Shared_subject', subtree('x'))})"
     return _findings(hits, whole_roles=shared)
 
@@ -79,9 +79,9 @@ def passive(sentences: DataFrame) -> DataFrame:
     marks = f"k.deprel = 'case' AND (array_contains({preps}, lower(k.lemma)) OR array_contains({preps}, lower(k.form)))"
     agent = one_of("c.deprel", ["obl", "obl:agent"]) + f" AND {has_child('c', marks, 'k')}"
     participle = f"(array_contains({tags}, n.xpos) OR {feat('n', 'VerbForm')} = 'Part')"
-    plain = "NOT " + has_child("n", universal("c") + " = 'aux'")
+    bare = "NOT " + has_child("n", universal("c") + " = 'aux'")
     known = one_of("lang", list(L.AGENT_PREPOSITIONS))
-    hits = _kinds(with_ancestors(sentences), {"canonical": "n.deprel = 'aux:pass' AND n.head > 0", "short": f"{known} AND {participle} AND {plain} AND {has_child('n', agent)}"})
+    hits = _kinds(sentences, {"canonical": "n.deprel = 'aux:pass' AND n.head > 0", "short": f"{known} AND {participle} AND {bare} AND {has_child('n', agent)}"})
     hits = fixed(hits.withColumn("v", F.expr(f"if(kind = 'canonical', {parent('n')}, n)")))
     hits = fixed(hits.withColumn("g", F.expr(first_child("v", agent))))
     hits = hits.withColumn("m", F.expr(first_child("g", marks, "k"))).withColumn("u", F.expr(f"if(kind = 'canonical', {first_child('v', one_of('c.deprel', ['nsubj:pass', 'csubj:pass']))}, null)"))
@@ -125,29 +125,35 @@ def nominal_ellipsis(sentences: DataFrame) -> DataFrame:
 
 def clefts(sentences: DataFrame) -> DataFrame:
     """Subtypes it_cleft and wh_cleft (English); a node that gives an it-cleft isn't tried as the other."""
-    cop, relative = first_child("n", "c.deprel = 'cop' AND lower(c.lemma) = 'be'"), first_child("n", "c.deprel = 'acl:relcl'")
-    it = first_child("n", one_of("c.deprel", ["nsubj", "expl"]) + " AND lower(c.lemma) = 'it'")
-    clause = subtree(relative)
-    focus = subtree("n", f"m.ord > greatest({cop}.ord, {it}.ord) AND m.ord < array_min(transform({subtree(relative, name='q')}, z -> z.ord))")
-    is_it = f"{one_of('n.upos', ['NOUN', 'PRON', 'PROPN'])} AND {one_of('n.deprel', ['root', 'ccomp'])} AND {cop} IS NOT NULL AND {relative} IS NOT NULL AND {it} IS NOT NULL AND size({focus}) > 0"
-    up = parent("n")
-    is_wh = f"lower(n.lemma) = 'what' AND {one_of('n.deprel', ['nsubj', 'nsubj:outer'])} AND {relative} IS NOT NULL AND ({up}.upos = 'NOUN' OR ({up}.upos = 'VERB' AND {up}.form = {up}.lemma))"
-    # the cheap part of the conditions goes first: most nodes have no such child
-    has_relative = has_child("n", "c.deprel = 'acl:relcl'")
-    hits = _kinds(with_ancestors(sentences.filter("lang = 'en'")), {"it_cleft": f"{has_relative} AND {is_it}", "wh_cleft": f"{has_relative} AND ({is_wh}) AND NOT coalesce({is_it}, false)"})
-    told = f"if(kind = 'it_cleft', {role('Cleft_focus', focus, 'n.form')}, {role_of('Cleft_focus', up)})"
-    token = f"if(kind = 'it_cleft', {role_of('Cleft_it', it)}, {role_of('Cleft_wh', 'n')})"
-    return _findings(hits, subtype="kind", roles=[told, role("Cleft_presupposition", clause, f"{relative}.form"), token])
+    nominal = f"{one_of('n.upos', ['NOUN', 'PRON', 'PROPN'])} AND {one_of('n.deprel', ['root', 'ccomp'])}"
+    what = f"lower(n.lemma) = 'what' AND {one_of('n.deprel', ['nsubj', 'nsubj:outer'])}"
+    rows = sentences.filter("lang = 'en' AND exists(nodes, n -> n.deprel = 'acl:relcl')")
+    hits = _hits(rows, f"(({nominal}) OR ({what})) AND {has_child('n', repr('acl:relcl') + ' = c.deprel')}", ancestors=True)
+    for name, value in (
+        ("relative", first_child("n", "c.deprel = 'acl:relcl'")),
+        ("cop", first_child("n", "c.deprel = 'cop' AND lower(c.lemma) = 'be'")),
+        ("it", first_child("n", one_of("c.deprel", ["nsubj", "expl"]) + " AND lower(c.lemma) = 'it'")),
+        ("up", parent("n")),
+    ):
+        hits = hits.withColumn(name, F.expr(value))
+    hits = fixed(hits).withColumn("clause", F.expr(subtree("relative")))
+    inside = subtree("n", "m.ord > greatest(cop.ord, it.ord) AND m.ord < clause[0].ord")
+    hits = fixed(fixed(hits).withColumn("focus", F.expr(f"if(({nominal}) AND cop IS NOT NULL AND it IS NOT NULL, {inside}, null)")))
+    is_wh = f"({what}) AND (up.upos = 'NOUN' OR (up.upos = 'VERB' AND up.form = up.lemma))"
+    hits = fixed(hits.withColumn("kind", F.expr(f"CASE WHEN size(focus) > 0 THEN 'it_cleft' WHEN {is_wh} THEN 'wh_cleft' END"))).filter("kind IS NOT NULL")
+    told = f"if(kind = 'it_cleft', {role('Cleft_focus', 'focus', 'n.form')}, {role_of('Cleft_focus', 'up')})"
+    token = f"if(kind = 'it_cleft', {role_of('Cleft_it', 'it')}, {role_of('Cleft_wh', 'n')})"
+    return _findings(hits, subtype="kind", roles=[told, role("Cleft_presupposition", "clause", "relative.form"), token])
 
 
 def bare_questions(sentences: DataFrame) -> DataFrame:
     wh = L.by_language(L.WH_WORDS)
     question = "exists(nodes, q -> q.form = '?')"
-    plain = f"NOT exists(nodes, q -> {one_of('q.upos', ['VERB', 'AUX'])} OR {one_of('q.deprel', L.SUBJECTS)})"
+    clause = f"exists(nodes, q -> {one_of('q.upos', ['VERB', 'AUX'])} OR {one_of('q.deprel', L.SUBJECTS)})"
     inner = first_child("n", one_of("c.deprel", ["det", "advmod", "amod", "case"]) + f" AND array_contains({wh}, lower(c.form))")
     is_wh = f"(array_contains({wh}, lower(n.form)) OR {inner} IS NOT NULL)"
     root = "n.ord = get(filter(nodes, q -> q.head = 0), 0).ord"
-    hits = _hits(sentences.filter(one_of("lang", list(L.WH_WORDS))), f"{root} AND {is_wh} AND {question} AND {plain}")
+    hits = _hits(sentences.filter(one_of("lang", list(L.WH_WORDS))), f"{root} AND {question} AND NOT {clause} AND {is_wh}")
     span = "filter(nodes, s -> s.upos <> 'PUNCT')"
     return _findings(hits.filter(f"size({span}) > 0"), subtype=f"lower(if(array_contains({wh}, lower(n.form)), n.form, {inner}.form))", first=begin(span), last=end(span), text=words(span))
 
@@ -158,9 +164,9 @@ def gapped_coordination(sentences: DataFrame) -> DataFrame:
     gap = has_child("n", one_of("c.deprel", L.GAPPED_ARGUMENTS))
     siblings = children(parent("n"), f"s.deprel = 'conj' AND NOT {verbal('s')}", "s")
     signal = f"CASE WHEN n.deprel <> 'conj' OR n.head = 0 OR {verbal('n')} THEN null WHEN {verbal(parent('n'))} THEN if({gap}, 'C', null) WHEN size({siblings}) >= 2 THEN 'A' WHEN {gap} THEN 'B' END"
-    rows = with_ancestors(sentences.filter("lang IS NOT NULL"))
+    rows = plain(sentences.filter("lang IS NOT NULL"))
     rows = rows.withColumn("cands", F.expr(f"filter(transform(nodes, n -> named_struct('n', n, 'signal', {signal}, 'heads', if(({signal}) = 'A', transform({siblings}, h -> h.ord), array(n.ord)))), x -> x.signal IS NOT NULL)"))
-    rows = fixed(rows).filter("size(cands) > 0")
+    rows = with_ancestors(fixed(rows).filter("size(cands) > 0"))
     covered = "transform(filter(nodes, m -> arrays_overlap(m.anc, x.heads)), m -> m.ord)"
     fold = f"""aggregate(cands, named_struct('seen', cast(array() AS array<int>), 'kept', cast(array() AS array<int>)),
         (acc, x) -> if(array_contains(acc.seen, x.n.ord), acc, named_struct('seen', array_union(acc.seen, {covered}), 'kept', array_append(acc.kept, x.n.ord)))).kept"""
@@ -175,7 +181,7 @@ def gapped_coordination(sentences: DataFrame) -> DataFrame:
 
 def right_node_raising(sentences: DataFrame) -> DataFrame:
     tags = lambda x: one_of(f"{x}.upos", L.PREDICATE_TAGS)
-    hits = _hits(sentences, f"n.deprel = 'conj' AND n.head > 0 AND {tags('n')} AND {tags(parent('n'))}")
+    hits = _hits(sentences, f"n.deprel = 'conj' AND n.head > 0 AND {tags('n')} AND {tags(parent('n'))}", ancestors=True)
     hits = hits.withColumn("l", F.expr(f"if(n.head < n.ord, {parent('n')}, n)")).withColumn("f", F.expr(f"if(n.head < n.ord, n, {parent('n')})"))
     edge = "array_max(transform(filter(nodes, e -> e.upos <> 'PUNCT'), e -> e.t_end))"
     shared = last_child("f", f"{one_of(universal('c'), L.CORE_ARGUMENTS)} AND {end(subtree('c'))} >= {edge}")
@@ -190,14 +196,13 @@ def right_node_raising(sentences: DataFrame) -> DataFrame:
 
 def clitics(sentences: DataFrame) -> DataFrame:
     """Contractions of a host and a clitic that is written to it; what can't be expanded (a possessive) is none."""
-    rows = with_ancestors(sentences)
     forms = L.by_language(L.CLITICS)
     before, following = "get(nodes, n.ord - 2)", f"get(filter(nodes, x -> x.ord > n.ord AND NOT {one_of('x.upos', ['ADV', 'PART'])}), 0)"
     table = L.sql({f"{lang} {form} {lemma}": v for lang, t in L.CLITIC_EXPANSIONS.items() for (form, lemma), v in t.items()})
     participle = f"lang = 'en' AND {following}.xpos = 'VBN'"
     plain = f"try_element_at({table}, concat_ws(' ', lang, lower(n.form), lower(n.lemma)))"
     full = f"""CASE WHEN {participle} AND lower(n.form) = "'d" THEN 'had' WHEN {participle} AND lower(n.form) = "'s" AND lower({following}.lemma) = 'be' THEN 'has' ELSE {plain} END"""
-    hits = _hits(rows.filter(one_of("lang", list(L.CLITICS))), f"array_contains({forms}, lower(n.form)) AND {before}.t_end = n.t_start AND ({full}) IS NOT NULL", ready=True)
+    hits = _hits(sentences.filter(one_of("lang", list(L.CLITICS))), f"array_contains({forms}, lower(n.form)) AND {before}.t_end = n.t_start AND ({full}) IS NOT NULL")
     hits = fixed(hits.withColumn("h", F.expr(before)).withColumn("full", F.expr(full)))
     # the first subject of the host's clause; what hangs on the technical root has it among the roots
     s = f"get(filter(nodes, x -> x.head = h.head AND {one_of(universal('x'), ['nsubj', 'expl'])}), 0)"
@@ -210,7 +215,7 @@ def clitics(sentences: DataFrame) -> DataFrame:
 
 def prep_articles(sentences: DataFrame) -> DataFrame:
     """Multiword tokens of an adposition and a determiner, any language."""
-    rows = with_ancestors(sentences).select(*KEYS, "nodes", F.explode("mwts").alias("w"))
+    rows = plain(sentences.filter("size(mwts) > 0")).select(*KEYS, "nodes", F.explode("mwts").alias("w"))
     rows = rows.filter("w.last_ord = w.first_ord + 1").withColumn("n", F.expr("get(nodes, w.first_ord - 1)")).withColumn("d", F.expr("get(nodes, w.last_ord - 1)"))
     rows = rows.filter("n.upos = 'ADP' AND d.upos = 'DET'")
     return _findings(rows, subtype="'prep_article'", text="w.form", suggestion="concat(n.form, ' ', d.form)")
@@ -237,7 +242,7 @@ def clipped_articles(sentences: DataFrame) -> DataFrame:
 def clipped_forms(sentences: DataFrame) -> DataFrame:
     """English words written short (gonna, talkin'), as one token or two; the longest match from the left, tokens used once."""
     table = L.sql(L.CLIPPED_FORMS)
-    rows = with_ancestors(sentences.filter("lang = 'en'"))
+    rows = plain(sentences.filter("lang = 'en'"))
 
     def dropped(s: str) -> str:
         """A participle without its g."""
@@ -285,7 +290,8 @@ def abbreviation(sentences: DataFrame) -> DataFrame:
 
     Subtype abbreviation_defined: it stands in brackets behind its own gloss.
     """
-    rows = with_ancestors(sentences)
+    # a form is in capitals within the text, or it isn't a candidate: most sentences end here
+    rows = plain(sentences.filter(F.expr(f"exists(nodes, n -> rlike(n.form, '^{L.CANDIDATE}$'))")))
     stop = L.by_language(L.FUNCTION_WORDS)
     letters = "filter(nodes, w -> rlike(w.form, '^\\\\p{L}+$'))"
     caps = f"size(filter({letters}, w -> length(w.form) > 1 AND w.form = upper(w.form) AND w.form <> lower(w.form)))"
@@ -309,7 +315,8 @@ def suspended_composition(sentences: DataFrame) -> DataFrame:
 
     Token spans are found in the text one after the other; a stub's span is from the first to the last token it overlaps.
     """
-    rows = with_ancestors(sentences.filter(one_of("lang", list(L.COORDINATORS))))
+    # no hyphen, no stub
+    rows = plain(sentences.filter(one_of("lang", list(L.COORDINATORS))).filter("contains(text, '-')"))
     spans = """aggregate(nodes, named_struct('at', 1, 'out', cast(array() AS array<struct<a:int,b:int,s:int,e:int,ord:int>>)),
         (acc, n) -> if(n.form = '' OR locate(n.form, text, acc.at) = 0, acc, named_struct('at', locate(n.form, text, acc.at) + length(n.form),
             'out', array_append(acc.out, named_struct('a', locate(n.form, text, acc.at) - 1, 'b', locate(n.form, text, acc.at) - 1 + length(n.form), 's', n.t_start, 'e', n.t_end, 'ord', n.ord))))).out"""

@@ -1,8 +1,9 @@
 """Sentences as rows with an array of nodes, and what the detectors ask of a tree.
 
 ``nodes`` is an array of structs (ord, form, lemma, upos, xpos, feats, head, deprel, t_start, t_end); ord counts from 1,
-head 0 is the technical root.  ``with_ancestors`` adds ``anc``: the node's ord and those of its ancestors, so that
-subtrees are filters.  All of it is expressions on one row: no shuffle, and detection keeps the scan's partitions.
+head 0 is the technical root.  ``plain`` is what detection filters on; ``with_ancestors`` adds ``anc`` to the sentences that are
+left: the node's ord and those of its ancestors, so that subtrees are filters.  All of it is expressions on one row: no
+shuffle, and detection keeps the scan's partitions.
 """
 
 from __future__ import annotations
@@ -22,12 +23,28 @@ def fixed(rows: DataFrame) -> DataFrame:
     return rows.select(F.explode(F.array(F.struct(*[f"`{c}`" for c in rows.columns]))).alias("r")).select("r.*")
 
 
-def with_ancestors(sentences: DataFrame) -> DataFrame:
-    """Nulls in string fields of nodes become empty, and each node gets ``anc``."""
-    path = """aggregate(nodes, array(n.ord),
-        (path, x) -> if(element_at(path, -1) = 0 OR element_at(path, -1) > size(nodes), path, array_append(path, nodes[element_at(path, -1) - 1].head)))"""
-    plain = ", ".join(f"'{c}', coalesce(n.{c}, '')" for c in ("form", "lemma", "upos", "xpos", "deprel"))
-    return fixed(sentences.withColumn("nodes", F.expr(f"transform(nodes, n -> named_struct('ord', n.ord, {plain}, 'feats', coalesce(n.feats, map()), 'head', coalesce(n.head, 0), 't_start', n.t_start, 't_end', n.t_end, 'anc', {path}))")))
+FIELDS = ("form", "lemma", "upos", "xpos", "deprel")
+
+
+def plain(sentences: DataFrame) -> DataFrame:
+    """Nulls in string fields of nodes become empty, null heads 0."""
+    strings = ", ".join(f"'{c}', coalesce(n.{c}, '')" for c in FIELDS)
+    return fixed(sentences.withColumn("nodes", F.expr(f"transform(nodes, n -> named_struct('ord', n.ord, {strings}, 'feats', coalesce(n.feats, map()), 'head', coalesce(n.head, 0), 't_start', n.t_start, 't_end', n.t_end))")))
+
+
+def with_ancestors(rows: DataFrame) -> DataFrame:
+    """Each node of ``plain`` rows gets ``anc``: its ord, its ancestors' ords, and the 0 above them.
+
+    Paths are doubled: after k rounds each holds 2 ** k steps, or all there are; so a sentence of n nodes takes
+    log2(n) rounds.  A head out of range ends a path like 0; heads in a circle make a long path and no error.
+    """
+    inner = "element_at(p, -1) >= 1 AND element_at(p, -1) <= size(nodes)"
+    rounds = "sequence(1, cast(ceil(log2(greatest(size(nodes), 2))) AS int))"
+    paths = f"""aggregate({rounds}, transform(nodes, n -> array(n.ord, n.head)),
+        (paths, r) -> transform(paths, p -> if({inner}, concat(p, slice(paths[element_at(p, -1) - 1], 2, size(nodes))), p)))"""
+    rows = fixed(rows.withColumn("__paths", F.expr(paths)))
+    every = ", ".join(f"'{c}', n.{c}" for c in ("ord", *FIELDS, "feats", "head", "t_start", "t_end"))
+    return fixed(rows.withColumn("nodes", F.expr(f"transform(nodes, (n, i) -> named_struct({every}, 'anc', __paths[i]))")).drop("__paths"))
 
 
 # SQL for a node's surroundings; ``n`` is the SQL of a node, each lambda takes a name of its own

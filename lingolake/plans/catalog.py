@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import lexicon as L
 from ..operators import annotate, detectors, evaluate, layers, models, text as texts
-from ..operators.trees import begin, end, subtree, with_ancestors
+from ..operators.trees import SENTENCES, begin, end, plain, subtree, with_ancestors
+from ..shared import new_dir
 from ..sources.forest import FOREST_SQL, forest
 from .detector_sql import DETECTOR_SQL, _q
 
@@ -22,11 +23,30 @@ def _told(findings: DataFrame) -> DataFrame:
 
 
 def _detector(detect):
-    return lambda spark, sf_dir: _told(detect(forest(table(spark, sf_dir, "documents"))))
+    return lambda spark, sf_dir: _told(detect(_sentences(spark, sf_dir)))
 
 
 def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forest(table(spark, sf_dir, "documents"))
+    """The forest of a folder's documents, as a stored table: parses are made once and detectors read them.
+
+    Once a session and folder it is written under the shared folder.  A table in few files is dealt to all cores first.
+    """
+    stored = spark.sparkContext.__dict__.setdefault("_lingolake_forests", {})
+    if sf_dir not in stored:
+        docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+        cores = spark.sparkContext.defaultParallelism
+        if docs.rdd.getNumPartitions() < cores:
+            docs = docs.repartition(4 * cores, "doc_id")
+        path = new_dir(spark, "forest")
+        forest(docs).write.parquet(path)
+        stored[sf_dir] = path
+    return spark.read.schema(SENTENCES).parquet(stored[sf_dir])
+
+
+def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the forest holds, by language: sentences, nodes and multiword tokens."""
+    spark.sparkContext.__dict__.get("_lingolake_forests", {}).pop(sf_dir, None)
+    return _sentences(spark, sf_dir).groupBy("lang").agg(F.count(F.lit(1)).alias("n_sentences"), F.sum(F.size("nodes")).alias("n_nodes"), F.sum(F.size("mwts")).alias("n_mwts"), F.sum(F.length("text")).alias("n_chars"))
 
 
 def _nodes(sentences: DataFrame) -> DataFrame:
@@ -71,12 +91,12 @@ def layer_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feats_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     feats = _nodes(_sentences(spark, sf_dir)).select(F.expr("array_join(transform(map_entries(n.feats), e -> concat(e.key, '=', coalesce(e.value, ''))), '|')").alias("feats"))
-    return feats.filter("feats <> '='").groupBy(F.expr(layers.sorted_feats("feats")).alias("feats")).agg(F.count(F.lit(1)).alias("n"))
+    return feats.filter("feats <> ''").groupBy(F.expr(layers.sorted_feats("feats")).alias("feats")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def subtree_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = with_ancestors(_sentences(spark, sf_dir))
-    spans = F.expr(f"transform(nodes, n -> named_struct('ord', n.ord, 'begin', {begin(subtree('n'))}, 'end', {end(subtree('n'))}, 'size', size({subtree('n')}), 'depth', size(filter(n.anc, a -> a > 0))))")
+    rows = with_ancestors(plain(_sentences(spark, sf_dir)))
+    spans = F.expr(f"transform(transform(nodes, n -> named_struct('n', n, 'sub', {subtree('n')})), x -> named_struct('ord', x.n.ord, 'begin', {begin('x.sub')}, 'end', {end('x.sub')}, 'size', size(x.sub), 'depth', size(filter(x.n.anc, a -> a > 0))))")
     return rows.select("doc_id", "sent_id", F.explode(spans).alias("x")).select("doc_id", "sent_id", "x.*")
 
 
@@ -135,6 +155,7 @@ def annotate_subject_sharing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict = {
+    "forest": sentences,
     "det_sluicing": _detector(detectors.sluicing),
     "det_subject_sharing": _detector(detectors.subject_sharing),
     "det_verbal_ellipsis": _detector(detectors.verbal_ellipsis),
@@ -179,6 +200,8 @@ _PENN = "CASE xpos " + " ".join(f"WHEN '{k.replace(chr(39), chr(39) * 2)}' THEN
 _JUDGED = """WITH r AS (SELECT l.doc_id, CASE WHEN quality = 0 THEN 'NO_VPE' WHEN toxic = 1 THEN 'VPE_RESOLVABLE' ELSE 'VPE_UNRESOLVABLE' END AS category, quality = 1 AS yes, d.doc_id IS NOT NULL AS fired, coalesce(d.source IN ('src1', 'src2', 'x'), false) AS site
     FROM labels l LEFT JOIN (SELECT * FROM documents WHERE lang = 'en') d ON d.doc_id = l.doc_id)"""
 ORACLES: dict[str, str] = DETECTOR_SQL | {
+    "forest": _over_forest("""SELECT lang, count(*) AS n_sentences, CAST(sum(n) AS BIGINT) AS n_nodes, CAST(sum(w) AS BIGINT) AS n_mwts, CAST(sum(chars) AS BIGINT) AS n_chars FROM (SELECT d, s, any_value(lang) AS lang, count(*) AS n, max(e) AS chars,
+        count_if((o + d + s) % 2 = 0 AND o < last) AS w FROM (SELECT *, max(o) OVER (PARTITION BY d, s) AS last FROM tok) GROUP BY d, s) GROUP BY lang"""),
     "clean_text": r"SELECT doc_id, md5(c) AS cleaned_md5, CAST(length(c) AS BIGINT) AS n_chars_clean FROM (SELECT doc_id, trim(regexp_replace(regexp_replace(text, '\p{Cc}', '', 'g'), '[\s\p{Z}]+', ' ', 'g')) AS c FROM documents)",
     "penn_to_upos": _over_forest(f"SELECT xpos, {_PENN} AS upos, CASE WHEN xpos[1] = 'V' THEN 'v' WHEN xpos[1] = 'J' THEN 'a' WHEN xpos[1:2] = 'RB' THEN 'r' ELSE 'n' END AS wordnet, count(*) AS n FROM tok GROUP BY ALL"),
     "model_resolution": f"SELECT lang, size, lang || CASE WHEN lang IN {_q(L.WEB_MODELS)} THEN '_core_web_' ELSE '_core_news_' END || coalesce(size, 'md') AS model FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL), (VALUES ('sm'), ('md'), ('lg'), (NULL)) v(size)",

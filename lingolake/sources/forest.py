@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.lexicon import sql
-from ..operators.trees import NODE, fixed
+from ..operators.trees import SENTENCES
 
 SIZE = 12
 TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_ \t\n\x0B\f\r]"
@@ -46,39 +48,79 @@ ROWS = [node.split() for pattern in PATTERNS for node in re.split(r",\s+", patte
 EVERY = 9
 
 
-def pick(values: list[str], number: str) -> str:
-    return f"element_at({sql(values)}, cast(({number}) % {len(values)} + 1 AS int))"
-
-
 def forest(docs: DataFrame) -> DataFrame:
-    """Sentences (see ``operators.trees``) of documents (doc_id, text, lang); null ids and texts give none."""
-    rows = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", F.expr(f"regexp_extract_all(text, '{TOKEN.replace(chr(92), chr(92) * 2)}', 0)").alias("w")).filter("size(w) > 0")
-    cut = f"transform(sequence(0, cast((size(w) - 1) div {SIZE} AS int)), s -> slice(w, s * {SIZE} + 1, {SIZE}))"
-    rows = rows.select("doc_id", "lang", F.posexplode(F.expr(cut)).alias("s", "w"))
-    form = f"if(((i + 1) * 5 + doc_id + s) % 3 = 0, {pick(FORMS, '(i + 1) * 7 + doc_id * 3 + s * 11')}, x)"
-    rows = fixed(rows).withColumn("k", F.expr(f"if(size(w) = {SIZE}, (doc_id + 3 * s) % {EVERY}, {EVERY})"))
-
-    def at(number: str) -> str:
-        return number.replace("o", "(i + 1)").replace("d", "doc_id")
-
-    def node_field(column: int, otherwise: str) -> str:
-        fixed = [r[column].replace("_", "") if column == 6 else r[column] for r in ROWS]
-        return f"if(k < {len(PATTERNS)}, element_at({sql(fixed)}, cast(k * {SIZE} + i + 1 AS int)), {otherwise})"
-
-    form = node_field(0, f"if(((i + 1) * 5 + doc_id + s) % 3 = 0, {pick(FORMS, '(i + 1) * 7 + doc_id * 3 + s * 11')}, x)")
-    rows = rows.withColumn("t", F.expr(f"transform(w, (x, i) -> named_struct('form', {form}, 'glue', i > 0 AND (i + 1 + doc_id + s) % 3 = 0))"))
-    rows = fixed(rows)
-    start = "aggregate(slice(t, 1, i), 0, (a, y) -> a + length(y.form)) + size(filter(slice(t, 2, i), y -> NOT y.glue))"
-    lemma = node_field(1, f"if((i + 1 + 2 * doc_id + s) % 2 = 0, lower(x.form), {pick(LEMMAS, at(LEMMA_AT))})")
-    head = node_field(5, "cast(if(i = 0, 0, 1 + ((7 * (i + 1) + 3 * doc_id + s) % greatest(i, 1))) AS string)")
-    node = f"""named_struct('ord', i + 1, 'form', x.form, 'lemma', {lemma}, 'upos', {node_field(2, pick(UPOS, at(UPOS_AT)))},
-        'xpos', {node_field(3, pick(XPOS, at(XPOS_AT)))}, 'feats', str_to_map({node_field(6, pick(FEATS, at(FEATS_AT)))}, '\\\\|', '='), 'head', cast({head} AS int),
-        'deprel', {node_field(4, pick(RELATIONS, at(RELATION_AT)))}, 't_start', cast({start} AS int), 't_end', cast({start} + length(x.form) AS int))"""
-    rows = rows.withColumn("nodes", F.expr(f"transform(t, (x, i) -> {node})").cast(f"array<{NODE}>"))
-    rows = fixed(rows)
-    text = "array_join(transform(t, (x, i) -> concat(if(i = 0 OR x.glue, '', ' '), x.form)), '')"
-    mwts = "transform(filter(sequence(1, greatest(size(nodes) - 1, 1)), o -> o < size(nodes) AND (o + doc_id + s) % 2 = 0), o -> named_struct('form', lower(concat(nodes[o - 1].form, nodes[o].form)), 'first_ord', o, 'last_ord', o + 1))"
-    return fixed(rows.select("doc_id", F.lit("_InitialView").alias("view"), F.col("s").alias("sent_id"), "lang", F.expr(text).alias("text"), "nodes", F.expr(mwts).alias("mwts")))
+    """Sentences (see ``operators.trees``) of documents (doc_id, text, lang); null ids and texts give none.
+
+    Tokens are cut by Spark, and trees grown on whole Arrow batches of them, as a parser's front end would give them.  It keeps
+    the partitions of ``docs``: of a table in one file, deal the documents to more (see ``plans.catalog``).
+    """
+    rows = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.expr(f"regexp_extract_all(text, '{TOKEN.replace(chr(92), chr(92) * 2)}', 0)").alias("w")).filter("size(w) > 0")
+
+    def run(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, 64):
+                yield grown(batch.slice(i, 64))
+
+    return rows.mapInArrow(run, SENTENCES)
+
+
+def _taken(pool: list[str], at: np.ndarray) -> pa.Array:
+    return pa.array(pool, pa.string()).take(pa.array(at))
+
+
+def grown(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The sentences of a batch (doc_id, lang, tokens), all tokens at once."""
+    keys = batch.column(0).to_numpy(zero_copy_only=False)
+    tokens, counts = batch.column(2).flatten(), pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False).astype(np.int64)
+    total, begin = int(counts.sum()), np.cumsum(counts) - counts
+    d, i = np.repeat(keys, counts), np.arange(total) - np.repeat(begin, counts)
+    s, o = i // SIZE, i % SIZE + 1
+    # one number a sentence; where each begins among the tokens
+    first = np.flatnonzero(o == 1)
+    size = np.diff(np.append(first, total))
+    mine = np.repeat(np.arange(len(first)), size)
+    k = np.where(size[mine] == SIZE, np.fmod(d + 3 * s, EVERY), EVERY)
+    fixed, at = k < len(PATTERNS), np.minimum(k, len(PATTERNS) - 1) * SIZE + o - 1
+    numbers = {"o": o, "d": d, "s": s}
+
+    def told(column: int, pool: list[str], number: str) -> np.ndarray:
+        """Places in the pool and, behind it, in a column of the patterns."""
+        return np.where(fixed, len(pool) + at, np.fmod(eval(number, {}, numbers), len(pool)))  # noqa: S307 (the fixed formulas above)
+
+    columns = [[r[c].replace("_", "") if c == 6 else r[c] for r in ROWS] for c in range(7)]
+    own = np.where(np.fmod(o * 5 + d + s, 3) == 0, total + np.fmod(o * 7 + d * 3 + s * 11, len(FORMS)), np.arange(total))
+    forms = pa.concat_arrays([tokens.cast(pa.string()), pa.array(FORMS + columns[0], pa.string())]).take(pa.array(np.where(fixed, total + len(FORMS) + at, own)))
+    lemma = np.where(np.fmod(o + 2 * d + s, 2) == 0, np.arange(total), total + np.fmod(eval(LEMMA_AT, {}, numbers), len(LEMMAS)))  # noqa: S307
+    lemmas = pa.concat_arrays([pc.utf8_lower(forms), pa.array(LEMMAS + columns[1], pa.string())]).take(pa.array(np.where(fixed, total + len(LEMMAS) + at, lemma)))
+    head = np.where(o == 1, 0, 1 + np.fmod(7 * o + 3 * d + s, np.maximum(o - 1, 1)))
+    head = np.where(fixed, np.array([int(x) for x in columns[5]])[at], head).astype(np.int32)
+    glue = (o > 1) & (np.fmod(o + d + s, 3) == 0)
+    gap = (o > 1) & ~glue
+    length = pc.utf8_length(forms).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(length + gap)
+    ends = ends - np.repeat((np.cumsum(length + gap) - length - gap)[first], size)
+    parts = [[x.split("=") for x in f.split("|") if x] for f in FEATS + columns[6]]
+    many, flat = np.array([len(x) for x in parts]), [x for part in parts for x in part]
+    code = told(6, FEATS, FEATS_AT)
+    n = many[code]
+    entry = np.repeat((np.cumsum(many) - many)[code] - np.cumsum(n) + n, n) + np.arange(n.sum())
+    feats = pa.MapArray.from_arrays(pa.array(np.append(0, np.cumsum(n)), pa.int32()), _taken([x[0] for x in flat], entry), _taken([x[1] for x in flat], entry))
+    node = {
+        "ord": pa.array(o, pa.int32()), "form": forms, "lemma": lemmas, "upos": _taken(UPOS + columns[2], told(2, UPOS, UPOS_AT)), "xpos": _taken(XPOS + columns[3], told(3, XPOS, XPOS_AT)), "feats": feats,
+        "head": pa.array(head), "deprel": _taken(RELATIONS + columns[4], told(4, RELATIONS, RELATION_AT)), "t_start": pa.array(ends - length, pa.int32()), "t_end": pa.array(ends, pa.int32()),
+    }
+    cut = pa.array(np.append(first, total), pa.int32())
+    spaced = pc.binary_join_element_wise(_taken(["", " "], gap.astype(np.int64)), forms, "")
+    joint = np.flatnonzero((o < size[mine]) & (np.fmod(o + d + s, 2) == 0))
+    mwt = {"form": pc.utf8_lower(pc.binary_join_element_wise(forms.take(pa.array(joint)), forms.take(pa.array(joint + 1)), "")), "first_ord": pa.array(o[joint], pa.int32()), "last_ord": pa.array(o[joint] + 1, pa.int32())}
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(d[first], pa.int64()), pa.array(["_InitialView"] * len(first)), pa.array(s[first], pa.int32()), batch.column(1).take(pa.array(np.repeat(np.arange(len(keys)), counts)[first])),
+            pc.binary_join(pa.ListArray.from_arrays(cut, spaced), ""), pa.ListArray.from_arrays(cut, pa.StructArray.from_arrays(list(node.values()), list(node))),
+            pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.bincount(mine[joint], minlength=len(first)))), pa.int32()), pa.StructArray.from_arrays(list(mwt.values()), list(mwt))),
+        ],
+        names=["doc_id", "view", "sent_id", "lang", "text", "nodes", "mwts"],
+    )
 
 
 def _listed(values: list[str], number: str) -> str:
