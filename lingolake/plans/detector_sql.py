@@ -139,7 +139,75 @@ _raw = f"CASE {_bare} WHEN 'nen' THEN 'einen' WHEN 'nem' THEN 'einem' WHEN 'ner'
 CLIPPED_ARTICLES = _whole(f""", near AS (SELECT n.*, {_fol(['ADJ', 'ADV', 'DET', 'NUM', 'PRON'])} AS nxt FROM tok n WHERE n.lang = 'de' AND {_bare} IN ('nen', 'nem', 'ner', 'ne', 'n')), full_ AS (SELECT n.*, {_raw} AS x FROM near n LEFT JOIN tok f ON {_same('f')} AND f.o = n.nxt)
     {_row(f"CASE WHEN {_bare} = 'n' THEN 'clipped_article_inferred' ELSE 'clipped_article' END", 'n.b', 'n.e', (), "CASE WHEN ltrim(n.form, '''')[1] <> lower(ltrim(n.form, '''')[1]) THEN upper(n.x[1]) || n.x[2:] ELSE n.x END")} FROM full_ n WHERE n.x IS NOT NULL""")
 
+# Folds over candidates are recursive here; look-around is spelled out over pieces of the text.
+
+
+def _dropped(x: str) -> str:
+    at = f"length({x})"
+    return f"CASE WHEN {at} > 3 AND lower({x}) LIKE '%in''' AND regexp_full_match({x}[{at} - 3 : {at} - 3], '\\p{{L}}') THEN {x}[1 : {at} - 3] || CASE WHEN {x}[{at} - 2 : {at} - 1] = upper({x}[{at} - 2 : {at} - 1]) THEN 'ING' ELSE 'ing' END END"
+
+
+_letter = "regexp_extract(n.surface, '\\p{L}')"
+_clips = ", ".join("('" + k.replace("'", "''") + "', '" + v + "')" for k, v in L.CLIPPED_FORMS.items())
+CLIPPED_FORMS = _whole(f""", clip(short, full_) AS (VALUES {_clips}),
+    pairs AS (SELECT n.*, x.form AS nf, x.e AS ne, x.b = n.e AS near, n.form || x.form AS two, p.e AS pe FROM tok n LEFT JOIN tok x ON {_same('x')} AND x.o = n.o + 1 LEFT JOIN tok p ON {_same('p')} AND p.o = n.o - 1 WHERE n.lang = 'en'),
+    known AS (SELECT n.*, c1.full_ AS k1, c2.full_ AS k2 FROM pairs n LEFT JOIN clip c1 ON c1.short = lower(n.form) LEFT JOIN clip c2 ON c2.short = lower(n.two)),
+    cand AS (SELECT * FROM (SELECT *, CASE WHEN near THEN coalesce(k2, CASE WHEN nf = '''' AND upos IN ('VERB', 'AUX') THEN {_dropped('two')} END) END AS wide, coalesce(k1, {_dropped('form')}) AS single FROM known) WHERE wide IS NOT NULL OR single IS NOT NULL),
+    walk AS (SELECT d, s, o, wide IS NOT NULL AS w, true AS kept FROM cand c WHERE NOT EXISTS (SELECT 1 FROM cand x WHERE {_same('x', 'c')} AND x.o = c.o - 1 AND x.wide IS NOT NULL)
+      UNION ALL SELECT c.d, c.s, c.o, c.wide IS NOT NULL, NOT k.kept FROM walk k JOIN cand c ON {_same('c', 'k')} AND c.o = k.o + 1 WHERE k.w),
+    told AS (SELECT c.*, coalesce(wide, single) AS x, CASE WHEN wide IS NOT NULL THEN two ELSE form END AS surface, CASE WHEN wide IS NOT NULL THEN ne ELSE e END AS upto FROM cand c JOIN walk k ON {_same('k', 'c')} AND k.o = c.o AND k.kept)
+    {_row("'clipped_form'", 'n.b', 'n.upto', (), f"CASE WHEN n.pe = n.b THEN ' ' ELSE '' END || CASE WHEN n.o = 1 OR ({_letter} <> '' AND {_letter} <> lower({_letter})) THEN upper(n.x[1]) || n.x[2:] ELSE n.x END")} FROM told n""")
+
+_verbal = lambda x: f"{x}.upos IN ('VERB', 'AUX')"
+GAPPED = _whole(f""", deep AS (SELECT d, s, o, count(*) AS depth FROM anc GROUP BY ALL),
+    conj AS (SELECT n.*, p.upos AS host FROM tok n JOIN tok p ON {_same('p')} AND p.o = n.head WHERE n.deprel = 'conj' AND NOT {_verbal('n')} AND n.lang IS NOT NULL),
+    gaps AS (SELECT DISTINCT d, s, head AS o FROM tok WHERE deprel IN {_q(L.GAPPED_ARGUMENTS)}), many AS (SELECT d, s, head, count(*) AS k FROM conj GROUP BY ALL),
+    cand AS (SELECT * FROM (SELECT n.*, CASE WHEN n.host IN ('VERB', 'AUX') THEN CASE WHEN g.o IS NOT NULL THEN 'C' END WHEN m.k >= 2 THEN 'A' WHEN g.o IS NOT NULL THEN 'B' END AS signal
+      FROM conj n JOIN many m ON {_same('m')} AND m.head = n.head LEFT JOIN gaps g ON {_same('g')} AND g.o = n.o) WHERE signal IS NOT NULL),
+    cover AS (SELECT c.d, c.s, c.o, c.signal, c.head, list(DISTINCT a.o) AS held FROM cand c JOIN conj h ON {_same('h', 'c')} AND h.head = c.head AND (c.signal = 'A' OR h.o = c.o) JOIN anc a ON {_same('a', 'c')} AND a.a = h.o GROUP BY ALL),
+    nth AS (SELECT *, row_number() OVER (PARTITION BY d, s ORDER BY o) AS i FROM cover),
+    fold AS (SELECT d, s, o, i, true AS kept, held AS seen FROM nth WHERE i = 1 UNION ALL SELECT n.d, n.s, n.o, n.i, NOT list_contains(f.seen, n.o), CASE WHEN list_contains(f.seen, n.o) THEN f.seen ELSE list_concat(f.seen, n.held) END FROM fold f JOIN nth n ON {_same('n', 'f')} AND n.i = f.i + 1),
+    span AS (SELECT n.d, n.s, n.o, n.signal, n.head, min(t.b) AS b, max(t.e) AS e FROM nth n JOIN fold f ON {_same('f')} AND f.o = n.o AND f.kept JOIN tok t ON {_same('t')} AND list_contains(n.held, t.o) AND t.upos <> 'PUNCT' GROUP BY ALL),
+    cops AS (SELECT d, s, head, min(o) AS o FROM tok k WHERE deprel = 'cop' AND {_verbal('k')} GROUP BY ALL),
+    steps AS (SELECT n.d, n.s, n.o, CASE WHEN {_verbal('p')} THEN p.o ELSE c.o END AS v, z.depth FROM span n JOIN anc a ON {_same('a')} AND a.o = n.head JOIN tok p ON {_same('p')} AND p.o = a.a JOIN deep z ON {_same('z')} AND z.o = p.o LEFT JOIN cops c ON {_same('c')} AND c.head = p.o),
+    verb AS (SELECT d, s, o, arg_min(v, depth) AS v FROM steps WHERE v IS NOT NULL GROUP BY ALL)
+    {_row('n.signal', 'n.b', 'n.e', [_role('GappedAntecedent', 'v.b', 'v.e')])} FROM span n JOIN verb w ON {_same('w')} AND w.o = n.o JOIN tok v ON {_same('v')} AND v.o = w.v""")
+
+_texts = "texts AS (SELECT d, s, any_value(lang) AS lang, string_agg(CASE WHEN o > 1 AND NOT glue THEN ' ' ELSE '' END || form, '' ORDER BY o) AS t FROM tok GROUP BY d, s)"
+_word = r"\p{L}\p{M}\p{Nd}\p{Pc}"
+
+
+def _pieces(where: str, pattern: str, source: str = "texts") -> str:
+    """A sentence's text cut into runs of some characters and what is between them, with places and neighbours."""
+    return f"""SELECT d, s, lang, i, p, sum(length(p)) OVER w - length(p) AS pos, lag(p) OVER w AS before, lead(p) OVER w AS behind, lead(p, 2) OVER w AS then_
+        FROM (SELECT d, s, lang, unnest(x) AS p, generate_subscripts(x, 1) AS i FROM (SELECT d, s, lang, regexp_extract_all(t, '{pattern}') AS x FROM {source} WHERE {where})) WINDOW w AS (PARTITION BY d, s ORDER BY i)"""
+
+
+_stub = f"regexp_full_match(p, '[{_word}.]+') AND regexp_matches(p, '[{_word}]') AND (before IS NULL OR before <> '-' OR p[1] = '.') AND behind = '-' AND (then_ IS NULL OR regexp_matches(then_, '^[\\s\\p{{Z}},;]'))"
+SUSPENDED = _whole(f""", {_texts}, piece AS ({_pieces("t LIKE '%-%' AND lang IN " + _q(L.COORDINATORS), f"[{_word}.]+|[^{_word}.]")}),
+    stub AS (SELECT d, s, 'shared_head' AS way, pos + length(p) - length(ltrim(p, '.')) AS b, pos + length(p) + 1 AS e FROM piece WHERE {_stub}
+      UNION ALL SELECT d, s, 'shared_modifier', pos, pos + 1 + length(behind) FROM piece WHERE p = '-' AND (before IS NULL OR (before <> '-' AND NOT regexp_matches(before, '[{_word}]$'))) AND regexp_matches(behind, '^[{_word}]')),
+    hit AS (SELECT x.d, x.s, x.way, x.b AS pos, min(t.o) AS o, min(t.b) AS b, max(t.e) AS e FROM stub x JOIN tok t ON {_same('t', 'x')} AND t.b < x.e AND t.e > x.b GROUP BY ALL)
+    {_row('n.way', 'n.b', 'n.e')} FROM hit n""")
+
+_caps = "[A-ZÄÖÜ]{2,6}"
+_gloss = rf"\p{{L}}{{3,}}[^()]{{0,40}}?[\s\p{{Z}}]*\([\s\p{{Z}}]*{_caps}[\s\p{{Z}}]*\)"
+ABBREVIATION = _whole(f""", {_texts}, loud AS (SELECT d, s FROM (SELECT d, s, count_if(w) AS alpha, count_if(w AND length(form) > 1 AND form = upper(form) AND form <> lower(form)) AS caps FROM (SELECT *, regexp_full_match(form, '\\p{{L}}+') AS w FROM tok) GROUP BY ALL) WHERE alpha >= 10 AND caps / alpha > 0.3),
+    quiet AS (SELECT * FROM texts x WHERE regexp_matches(t, '[A-ZÄÖÜ][A-ZÄÖÜ]') AND NOT EXISTS (SELECT 1 FROM loud WHERE {_same('loud', 'x')})),
+    piece AS ({_pieces("true", f"[{_word}]+|[^{_word}]+", "quiet")}),
+    caps AS (SELECT d, s, p, pos, coalesce(lag(pos + length(p)) OVER (PARTITION BY d, s ORDER BY pos), -1) AS upto, row_number() OVER (PARTITION BY d, s, p ORDER BY pos) AS nth FROM piece WHERE regexp_full_match(p, '{_caps}')),
+    runs AS (SELECT c.*, sum(CASE WHEN upto < 0 OR NOT regexp_full_match(substr(x.t, CAST(upto + 1 AS BIGINT), CAST(pos - upto AS BIGINT)), '[\\s\\-–—,;:/·.()\\[\\]]*') THEN 1 ELSE 0 END) OVER (PARTITION BY c.d, c.s ORDER BY pos) AS run FROM caps c JOIN texts x ON {_same('x', 'c')}),
+    listed AS (SELECT *, count(*) OVER (PARTITION BY d, s, run) >= 3 AS many FROM runs),
+    spans AS (SELECT d, s, unnest(hits) AS m, unnest(string_split_regex(t, '{_gloss}')[:len(hits)]) AS g, generate_subscripts(hits, 1) AS i FROM (SELECT *, regexp_extract_all(t, '{_gloss}') AS hits FROM quiet) WHERE len(hits) > 0),
+    glossed AS (SELECT d, s, sum(length(g) + length(m)) OVER (PARTITION BY d, s ORDER BY i) - length(regexp_extract(m, '{_caps}[\\s\\p{{Z}}]*\\)$')) AS pos FROM spans),
+    cand AS (SELECT n.*, row_number() OVER (PARTITION BY n.d, n.s, n.form ORDER BY n.o) AS nth FROM tok n JOIN quiet x ON {_same('x')} WHERE regexp_full_match(n.form, '{_caps}') AND NOT coalesce({_in(L.FUNCTION_WORDS, 'lower(n.form)')}, false))
+    {_row("CASE WHEN g.pos IS NOT NULL THEN 'abbreviation_defined' ELSE 'abbreviation' END", 'n.b', 'n.e')} FROM cand n LEFT JOIN listed f ON {_same('f')} AND f.p = n.form AND f.nth = n.nth LEFT JOIN (SELECT DISTINCT d, s, pos FROM glossed) g ON {_same('g')} AND g.pos = f.pos WHERE NOT coalesce(f.many, false)""")
+
 DETECTOR_SQL = {
+    "det_gapped_coordination": GAPPED,
+    "det_abbreviation": ABBREVIATION,
+    "det_suspended_composition": SUSPENDED,
+    "contraction_clipped_form": CLIPPED_FORMS,
     "det_sluicing": SLUICING,
     "det_subject_sharing": SUBJECT_SHARING,
     "det_verbal_ellipsis": VERBAL_ELLIPSIS,
