@@ -1,11 +1,11 @@
 """Quality rules with risk-controlled thresholds.
 
-Texts get counts and rates.  For each stratum (a column, such as the language) and each rate, cutoffs are tested on
-labelled holdout rows in a fixed order from the most lenient one down: a cutoff is *certified* while the exact
-binomial test rejects that it drops more than its share of good rows, at a level divided by the number of strata and
-rates (Bonferroni; the fixed order needs no further correction within a sequence).  So with confidence ``1 - delta``
-no stratum loses more than ``alpha`` of its good rows.  Of the certified cutoffs the one with the least cost on the
-holdout is used; a stratum with too few labels to certify any cutoff gets none and loses nothing to these rules.
+Texts get counts and rates.  In each stratum (a column, such as the language) one half of the labelled rows proposes rules (a
+cutoff for each rate, where it pays) and an order for them; the other half tests them in that order: rules are taken
+together, one more at a time, while the exact binomial test rejects that they drop more than a share ``alpha`` of good rows, at
+the level ``delta`` divided by the number of strata (Bonferroni; the fixed order needs no further correction, and as sets of
+rules are tested, neither does their number).  So with confidence ``1 - delta`` no stratum loses more than ``alpha`` of its
+good rows.  A stratum with too few labels to certify any rule gets none and loses nothing to these rules.
 """
 
 from __future__ import annotations
@@ -119,21 +119,34 @@ def binomial_cdf(k: int, n: int, p: float) -> float:
     return min(1.0, math.exp(top) * math.fsum(math.exp(x - top) for x in log))
 
 
-def chosen(good: list[int], bad: list[int], alpha: float, level: float, price: float) -> int | None:
-    """Of the cutoffs of GRID, given how many good and bad rows lie above each (and in all, at the end): the grid index, or None."""
-    n, best, at = good[-1], 0.0, None
-    for i, (g, b) in enumerate(zip(good[:-1], bad[:-1])):
-        # P(no more than g rejected | the true rate is alpha): the first failure ends the fixed sequence
-        if not n or binomial_cdf(g, n, alpha) > level:
-            break
-        if b - price * g > best:
-            best, at = b - price * g, i
-    return at
+def proposed(good: list[int], bad: list[int], price: float) -> tuple[int, float] | None:
+    """(grid index, gain) of the cutoff of GRID that pays most, given how many good and bad rows lie above each; None if none pays."""
+    gain, at = max(((b - price * g, -i) for i, (g, b) in enumerate(zip(good, bad))), default=(0.0, 0))
+    return (-at, gain) if gain > 0 else None
 
 
-def thresholds(holdout: DataFrame, *, stratum: str, good: str, alpha: float, delta: float, price: float) -> DataFrame:
-    """(stratum, rate, cutoff): rows with a rate above the cutoff go.  Counting is one aggregation; what is tested after it is a row per stratum and rate."""
-    spark = holdout.sparkSession
+def certified(rejected: list[int], n: int, alpha: float, level: float) -> int:
+    """How many rules of a fixed order may be used together, given how many of n good rows each rejects that none before it does."""
+    total = 0
+    for i, g in enumerate(rejected):
+        total += g
+        # P(no more than these rejected | the true rate is alpha): the first failure ends the fixed sequence
+        if not n or binomial_cdf(total, n, alpha) > level:
+            return i
+    return len(rejected)
+
+
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(schema), schema)], schema=schema)
+
+
+RULES = pa.schema([("stratum", pa.string()), ("place", pa.int32()), ("rate", pa.string()), ("cutoff", pa.int64())])
+TESTED = pa.schema([*RULES, ("n_good", pa.int64()), ("good_rejected", pa.int64())])
+
+
+def rules(learn: DataFrame, *, price: float) -> DataFrame:
+    """(stratum, place, rate, cutoff): for each rate the cutoff that pays most on the rows (stratum, good, counts), in the order
+    in which they are to be tested, the highest gain first.  One aggregation; then a row a stratum."""
     level = F.array(*[F.lit(x) for x in GRID])
 
     def above(a: str, b: str):
@@ -141,43 +154,75 @@ def thresholds(holdout: DataFrame, *, stratum: str, good: str, alpha: float, del
 
     bins = F.explode(F.array(*[F.struct(F.lit(r).alias("rate"), above(a, b).alias("above")) for r, (a, b) in RATES.items()]))
     table = (
-        holdout.select(F.col(stratum).alias("stratum"), F.col(good).alias("good"), bins.alias("x"))
+        learn.select("stratum", "good", bins.alias("x"))
         .groupBy("stratum", "x.rate", "x.above").agg(F.sum(F.col("good").cast("long")).alias("g"), F.sum((~F.col("good")).cast("long")).alias("b"))
-        .groupBy("stratum", "rate").agg(F.collect_list(F.struct("above", "g", "b")).alias("bins"))
+        .groupBy("stratum").agg(F.collect_list(F.struct("rate", "above", "g", "b")).alias("bins"))
     )
-    strata = holdout.select(F.col(stratum)).distinct().count() or 1
 
-    def test(batches):
+    def propose(batches):
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
-                # a row with ``above`` cutoffs below its rate is above the last ``above`` of them
-                g, b = [0] * (len(GRID) + 1), [0] * (len(GRID) + 1)
-                for x in r["bins"]:
-                    for i in range(len(GRID) - x["above"], len(GRID)):
-                        g[i] += x["g"]
-                        b[i] += x["b"]
-                    g[-1] += x["g"]
-                    b[-1] += x["b"]
-                at = chosen(g, b, alpha / len(RATES), delta / (strata * len(RATES)), price)
-                if at is not None:
-                    rows.append((r["stratum"], r["rate"], GRID[at], g[-1], g[at], b[-1], b[at]))
-            cols = list(zip(*rows)) if rows else [[]] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), *(pa.array(c, pa.int64()) for c in cols[2:])], names=["stratum", "rate", "cutoff", "n_good", "good_above", "n_bad", "bad_above"])
-
-    return table.mapInArrow(test, "stratum string, rate string, cutoff long, n_good long, good_above long, n_bad long, bad_above long")
+                found = []
+                for rate in RATES:
+                    # a row with ``above`` cutoffs below its rate is above the last ``above`` of them
+                    g, b = [0] * len(GRID), [0] * len(GRID)
+                    for x in r["bins"]:
+                        if x["rate"] == rate:
+                            for i in range(len(GRID) - x["above"], len(GRID)):
+                                g[i] += x["g"]
+                                b[i] += x["b"]
+                    if (best := proposed(g, b, price)) is not None:
+                        found.append((-best[1], rate, GRID[best[0]]))
+                rows += [(r["stratum"], i, rate, cutoff) for i, (_, rate, cutoff) in enumerate(sorted(found))]
+            yield _table(rows, RULES)
+
+    return table.mapInArrow(propose, "stratum string, place int, rate string, cutoff long")
+
+
+def thresholds(holdout: DataFrame, *, alpha: float, delta: float, price: float) -> DataFrame:
+    """(stratum, place, rate, cutoff, n_good, good_rejected): the certified rules; rows with a rate above a cutoff go.
+
+    ``holdout`` has a row a labelled document: key, stratum, good, counts.  Its halves (by a hash of the key) are used once each:
+    one proposes rules and their order, the other tests them.
+    """
+    half = F.pmod(F.xxhash64("key"), F.lit(2))
+    found = written(rules(holdout.filter(half == 0), price=price), "quality-rules")
+    test = holdout.filter(half == 1)
+    strata = holdout.select("stratum").distinct().count() or 1
+    # a stratum has a rule a rate at most
+    listed = found.groupBy("stratum").agg(F.array_sort(F.collect_list(F.struct("place", "rate", "cutoff"))).alias("rules"))
+    rejects = " ".join(f"WHEN '{r}' THEN {a} * 100 > x.cutoff * {b}" for r, (a, b) in RATES.items())
+    first = test.join(listed, "stratum").select("stratum", "good", F.expr(f"coalesce(get(filter(rules, x -> CASE x.rate {rejects} END), 0).place, 1000)").alias("place"))
+    counts = first.filter("good").groupBy("stratum", "place").agg(F.count(F.lit(1)).alias("g")).groupBy("stratum").agg(F.collect_list(F.struct("place", "g")).alias("counts"))
+
+    def test_in_order(batches):
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                told = sorted((x["place"], x["rate"], x["cutoff"]) for x in r["rules"])
+                by_place = {x["place"]: x["g"] for x in r["counts"] or []}
+                n = sum(by_place.values())
+                many = certified([by_place.get(place, 0) for place, _, _ in told], n, alpha, delta / strata)
+                rows += [(r["stratum"], *x, n, by_place.get(x[0], 0)) for x in told[:many]]
+            yield _table(rows, TESTED)
+
+    return listed.join(counts, "stratum", "left").mapInArrow(test_in_order, "stratum string, place int, rate string, cutoff long, n_good long, good_rejected long")
 
 
 def judge(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "doc_id", stratum: str = "lang", label: str = "quality", alpha: float = 0.03, delta: float = 0.05, price: float = 20.0, min_words: int = 20, max_repeat_percent: int = 30) -> DataFrame:
     """Each row's ``key`` with its counts, ``base_failed``, ``kept`` and ``failed`` (names of the rates that rejected it).
 
     ``labels`` has ``key`` and ``label`` (1 good, 0 bad); a key labelled more than once counts as bad if any label is;
-    null keys or labels are left out.  A null stratum is a stratum of its own.  A null text is empty (and so fails the
-    base rule on words).  Repeated rows come back as often as they came.
+    null keys or labels are left out.  A key is one sample, however many rows have it (the least of them counts).  A null
+    stratum is a stratum of its own.  A null text is empty (and so fails the base rule on words).  Repeated rows come back
+    as often as they came.
     """
     counted = written(measured(docs.select(F.col(key), F.coalesce(F.col(stratum).cast("string"), F.lit("\x00")).alias("__stratum"), F.col(text)), text=text, keep=[key, "__stratum"]), "quality")
     known = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key)).agg((F.min(label) == 1).alias("__good"))
-    cutoffs = thresholds(counted.join(known, key), stratum="__stratum", good="__good", alpha=alpha, delta=delta, price=price)
+    samples = counted.join(known, key).groupBy(F.col(key).alias("key")).agg(F.min(F.struct("__stratum", "__good", *COUNTS)).alias("x"))
+    holdout = written(samples.select("key", F.col("x.__stratum").alias("stratum"), F.col("x.__good").alias("good"), *[f"x.{c}" for c in COUNTS]), "quality-holdout")
+    cutoffs = thresholds(holdout, alpha=alpha, delta=delta, price=price)
     wide = cutoffs.groupBy("stratum").pivot("rate", list(RATES)).agg(F.first("cutoff"))
     # a certified stratum has hundreds of labelled rows at least, so this is small; the optimizer decides on a broadcast by size
     out = counted.join(wide.withColumnRenamed("stratum", "__stratum"), "__stratum", "left")
