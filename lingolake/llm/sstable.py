@@ -16,6 +16,7 @@ import gc
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -29,6 +30,8 @@ from .text import mix, pieces
 MAGIC = b"LLSST\x00\x01\n"
 FOOTER = struct.Struct("<QQQQ8s")
 BLOCK = 256 << 10
+#: A shard is closed once it has so many bytes of blocks, which bounds what its index and filter take.
+SHARD = 256 << 20
 
 
 def int_key(i: int) -> bytes:
@@ -58,10 +61,23 @@ def _read_varint(data: bytes, at: int) -> tuple[int, int]:
             return n, at
 
 
-def _probes(keys: list[bytes], bits: int, hashes: int) -> np.ndarray:
-    h = mix(np.array([zlib.crc32(k) | zlib.adler32(k) << 32 for k in keys], np.uint64))
+def _key_hash(key: bytes) -> int:
+    return zlib.crc32(key) | zlib.adler32(key) << 32
+
+
+def _probes(hashes: np.ndarray, bits: int, number: int) -> np.ndarray:
+    h = mix(hashes)
     step = mix(h) | np.uint64(1)
-    return np.stack([(h + step * np.uint64(j)) % np.uint64(bits) for j in range(hashes)])
+    return np.stack([(h + step * np.uint64(j)) % np.uint64(bits) for j in range(number)])
+
+
+def _bloom(hashes: np.ndarray, bits: int, number: int) -> np.ndarray:
+    """The filter's bytes, a bit a place (the highest bit of a byte first)."""
+    out = np.zeros((bits + 7) // 8, np.uint8)
+    for i in range(0, len(hashes), 65536):
+        at = _probes(hashes[i : i + 65536], bits, number).ravel()
+        np.bitwise_or.at(out, at >> np.uint64(3), np.uint8(128) >> (at & np.uint64(7)).astype(np.uint8))
+    return out
 
 
 class Writer:
@@ -69,7 +85,7 @@ class Writer:
 
     def __init__(self, folder: str, name: str = "shard.sst", block: int = BLOCK, bits_per_key: int = 10):
         self.file, self.block, self.bits_per_key = NewFile(folder, name), block, bits_per_key
-        self.heads, self.values, self.index, self.keys = bytearray(), [], [], []
+        self.heads, self.values, self.index, self.hashes = bytearray(), [], [], array("Q")
         self.first = self.last = b""
         self.size = self.n = self.ids = self.in_block = 0
 
@@ -87,7 +103,7 @@ class Writer:
         self.heads += key[shared:]
         value = ids.astype("<u4").tobytes()
         self.values.append(value)
-        self.keys.append(key)
+        self.hashes.append(_key_hash(key))
         self.last, self.size = key, self.size + len(value)
         self.n += 1
         self.in_block += 1
@@ -107,12 +123,9 @@ class Writer:
         self._flush()
         at = self.file.size
         self.file.write(b"".join(self.index))
-        bits = max(64, self.n * self.bits_per_key)
-        bloom, k = np.zeros((bits + 7) // 8 * 8, np.uint8), 7
-        for i in range(0, len(self.keys), 65536):
-            bloom[_probes(self.keys[i : i + 65536], bits, k).ravel()] = 1
+        bits, k = max(64, self.n * self.bits_per_key), 7
         bloom_at = self.file.size
-        self.file.write(struct.pack("<IQ", k, bits) + np.packbits(bloom).tobytes())
+        self.file.write(struct.pack("<IQ", k, bits) + _bloom(np.frombuffer(self.hashes, np.uint64), bits, k).tobytes())
         self.file.write(FOOTER.pack(at, bloom_at, self.n, self.ids, MAGIC))
         return self.file.close()
 
@@ -140,9 +153,10 @@ class Reader:
         if self.bloom is None:
             raw = self._read(self.bloom_at, self.size - FOOTER.size - self.bloom_at)
             k, bits = struct.unpack_from("<IQ", raw)
-            self.bloom = k, bits, np.unpackbits(np.frombuffer(raw, np.uint8, offset=12))
+            self.bloom = k, bits, np.frombuffer(raw, np.uint8, offset=12)
         k, bits, data = self.bloom
-        return bool(data[_probes([key], bits, k)].all())
+        at = _probes(np.array([_key_hash(key)], np.uint64), bits, k).ravel()
+        return bool((data[at >> np.uint64(3)] & (np.uint8(128) >> (at & np.uint64(7)).astype(np.uint8))).all())
 
     def block(self, i: int) -> Iterator[tuple[bytes, np.ndarray]]:
         at, size, n = self.blocks[i]
@@ -288,12 +302,12 @@ class PieceEncoder:
 ENCODERS: dict[str, PieceEncoder] = {}
 
 
-def write_shards(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str = "text", end_id: int = 0, shards: int | None = None, folder: str | None = None) -> DataFrame:
-    """Encodes the texts into shards in key order; a row per shard: number, uri, entries, ids.
+def write_shards(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str = "text", end_id: int = 0, shards: int | None = None, folder: str | None = None, most: int = SHARD, block: int = BLOCK) -> DataFrame:
+    """Encodes the texts into shards in key order; a row per shard: number (ascending with the keys), uri, entries, ids.
 
     Keys are numbers; rows with a null key come first, under the least key.  A null text is empty (only the end id).
-    The rows are dealt by key range, one shard a partition, and sorted there; each shard is written by one task, a
-    block at a time, and appears under its name when it is whole, so a lost executor costs its tasks only.
+    The rows are dealt by key range and sorted there; a task writes a shard a block at a time and begins another one at
+    ``SHARD`` bytes.  A shard appears under its name when it is whole, so a lost executor costs its tasks only.
     """
     spark = docs.sparkSession
     folder = folder or new_dir(spark, "sst")
@@ -302,17 +316,25 @@ def write_shards(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text:
     rows = rows.repartitionByRange(shards, "key").sortWithinPartitions("key").withColumn("shard", F.spark_partition_id())
 
     def run(batches):
-        encode, writer, shard = PieceEncoder.of_worker(tokenizer), None, 0
+        encode, writer, part, number = PieceEncoder.of_worker(tokenizer), None, 0, 0
+        schema = pa.schema([("shard", pa.int64()), ("uri", pa.string()), ("entries", pa.int64()), ("ids", pa.int64())])
+
+        def told():
+            return pa.RecordBatch.from_pydict({"shard": [part << 32 | number], "uri": [writer.close()], "entries": [writer.n], "ids": [writer.ids]}, schema)
+
         for batch in pieces(batches):
-            if writer is None:
-                shard = batch.column(2)[0].as_py()
-                writer = Writer(folder, f"{shard:06d}.sst")
+            part = batch.column(2)[0].as_py()
             for k, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
+                if writer is None:
+                    writer = Writer(folder, f"{part:06d}-{number:06d}.sst", block)
                 writer.add(int_key(k), np.append(ids, np.uint32(end_id)))
+                if writer.file.size >= most:
+                    yield told()
+                    writer, number = None, number + 1
         if writer:
-            yield pa.RecordBatch.from_pydict({"shard": [shard], "uri": [writer.close()], "entries": [writer.n], "ids": [writer.ids]}, pa.schema([("shard", pa.int32()), ("uri", pa.string()), ("entries", pa.int64()), ("ids", pa.int64())]))
+            yield told()
 
-    return written(rows.mapInArrow(run, "shard int, uri string, entries long, ids long"), "sst-manifest")
+    return written(rows.mapInArrow(run, "shard long, uri string, entries long, ids long"), "sst-manifest")
 
 
 def read_shards(manifest: DataFrame) -> DataFrame:
