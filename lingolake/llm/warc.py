@@ -82,10 +82,10 @@ def page_of(urn: str | None) -> int | None:
 def decided(pages: DataFrame, *, key: str = "page_id", url: str = "url", page: str = "html", least: int = 1000, most_broadcast: int = 500_000) -> DataFrame:
     """(page_id, url, html, refers_to): for each page, the page whose equal payload it revisits, or null.
 
-    Equal payloads are counted by digest, combined before the shuffle.  Digests that occur once need no row, so what is
+    Equal payloads are counted by their SHA-256 (pages can be made that share a SHA-1), combined before the shuffle.  Digests that occur once need no row, so what is
     joined back is small where there are few copies: it is broadcast up to ``most_broadcast`` rows, else joined by digest.
     """
-    rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(page), F.lit("")).alias("html")).withColumn("digest", F.when(F.octet_length("html") >= least, F.sha1("html")))
+    rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(page), F.lit("")).alias("html")).withColumn("digest", F.when(F.octet_length("html") >= least, F.sha2("html", 256)))
     winners = written(rows.filter(F.col("digest").isNotNull()).groupBy("digest").agg(F.max("page_id").alias("winner"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "winner"), "warc-copies")
     n = winners.count()
     if not n:
