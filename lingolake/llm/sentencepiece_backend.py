@@ -4,7 +4,8 @@ The model file's protobuf is parsed here; normaliser, white-space marker, scores
 fallback are rebuilt as parts of the tokenizers library.  Where no piece of the vocabulary has the marker after
 another character, a text may be cut before each marker that follows another character and gives the same ids, so
 each distinct stretch is encoded once, in multithreaded batches.  Each new stretch is also compared with the
-sentencepiece library: ``parity`` says of a text whether all of its stretches agree.
+sentencepiece library: ``parity`` says of a text whether all of its stretches agree.  Decoding takes a text's own ids,
+put together: their pieces' bytes one after the other, or the tokenizers library where ids stand for more than bytes.
 """
 
 from __future__ import annotations
@@ -151,11 +152,15 @@ class Backend:
             self.reference = sentencepiece.SentencePieceProcessor(model_proto=raw)
         #: bytes of text that an id stands for (an unknown one: none, which parts nothing)
         self.size = np.array([1 if kind == BYTE else len(p.encode()) if kind in (NORMAL, USER) else 0 for p, _, kind in m.pieces])
+        #: the bytes of all pieces, in a row, and where each begins; ids without bytes of their own
+        raw_pieces = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() if kind in (NORMAL, USER) else b"" for p, _, kind in m.pieces]
+        self.flat, self.length = np.frombuffer(b"".join(raw_pieces), np.uint8), np.array([len(p) for p in raw_pieces])
+        self.begin = np.cumsum(self.length) - self.length
+        self.special = np.array([kind not in (NORMAL, USER, BYTE) for _, _, kind in m.pieces])
         self.most, self.batch = most, batch
         self.seen = Stretches()
         self.number = Numbers(self.seen)
-        #: of the few stretches that differ: what they decode to, and those that the libraries encode differently
-        self.odd: dict[int, str] = {}
+        #: stretches that the libraries encode differently
         self.differ: set[int] = set()
 
     def _charsmap(self):
@@ -204,9 +209,6 @@ class Backend:
     def _learn_one(self, at: int, stretch: str) -> None:
         (ids,) = self._encode([stretch])
         self.seen.add([at], ids, np.array([len(ids)]))
-        text = self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
-        if text != stretch.replace(MARK, " "):
-            self.odd[at] = text
         if self.reference:
             # only markers: what a text ends in, so it is compared behind a letter
             alone = not stretch.strip(MARK)
@@ -216,7 +218,7 @@ class Backend:
 
     def _learn(self) -> None:
         """Stretches that begin with a marker and end without are encoded as one text each ``batch``, and parted by bytes; what
-        doesn't part, decode or compare as a whole is done one by one."""
+        doesn't part or compare as a whole is done one by one."""
         new, self.number.new = self.number.new, []
         plain = []
         for at, p in new:
@@ -228,8 +230,7 @@ class Backend:
         whole = ["".join(part) for _, part in parts]
         for (numbers, part), text, ids in zip(parts, whole, self._encode(whole)):
             ends = parted(self.size, ids, [len(p.encode()) for p in part])
-            good = ends is not None and self.tokenizer.decode(ids.tolist(), skip_special_tokens=False) == text.replace(MARK, " ")
-            if not good or (self.reference and self.reference.encode(self._raw(text), num_threads=1) != ids.tolist()):
+            if ends is None or (self.reference and self.reference.encode(self._raw(text), num_threads=1) != ids.tolist()):
                 for at, p in zip(numbers, part):
                     self._learn_one(at, p)
             else:
@@ -245,25 +246,33 @@ class Backend:
     def __call__(self, texts: list[str | None]) -> list[tuple[np.ndarray, str, str, bool]]:
         """(ids, decoded text, normalised text with spaces, parity) of each text."""
         if len(self.number) > self.most:
-            self.seen, (self.number,) = renewed(self.seen, [self.number], self.odd.keys() | self.differ)
-            self.odd, self.differ = {}, set()
+            self.seen, (self.number,) = renewed(self.seen, [self.number], self.differ)
+            self.differ = set()
         plain = [self.normalized(t) if t else "" for t in texts]
         split = [self.split(t) for t in plain]
         found = [list(map(self.number.__getitem__, parts)) for parts in split]
         self._learn()
         cut = self.model.dummy_prefix and not self.model.suffix
         out = []
-        for parts, at, text in zip(split, found, plain):
+        for at, text in zip(found, plain):
             text = text.replace(MARK, " ")
-            # stretches decode to themselves, but for the odd ones
-            decoded = text if not self.odd or self.odd.keys().isdisjoint(at) else "".join([self.odd.get(i, p.replace(MARK, " ")) for i, p in zip(at, parts)])
-            same = not self.differ or self.differ.isdisjoint(at)
-            out.append((self.seen.gather(at), decoded[1:] if cut and decoded[:1] == " " else decoded, text[1:] if cut else text, same))
+            ids = self.seen.gather(at)
+            out.append((ids, self.decode(ids), text[1:] if cut else text, not self.differ or self.differ.isdisjoint(at)))
         return out
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: list[int] | np.ndarray) -> str:
         """The text of ids, without the dummy prefix."""
-        text = self.tokenizer.decode(list(ids), skip_special_tokens=False)
+        ids = np.asarray(ids, np.int64)
+        text = None
+        if not self.special[ids].any():
+            n = self.length[ids]
+            ends = np.cumsum(n)
+            try:
+                text = self.flat[np.repeat(self.begin[ids] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)].tobytes().decode()
+            except UnicodeDecodeError:  # single bytes that make no character
+                pass
+        if text is None:
+            text = self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
         return text[1:] if self.model.dummy_prefix and text[:1] == " " else text
 
 

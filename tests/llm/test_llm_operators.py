@@ -404,6 +404,11 @@ def test_sentencepiece(spark):
     back = sentencepiece_backend.decode(sentencepiece_backend.encode(df, path), path).collect()
     assert all(r["decoded"] == (texts[r["doc_id"]] or "").replace("▁", " ") for r in back)
     assert sentencepiece_backend.encode(corpus(spark, []), path).count() == 0
+    # ids put together by hand: what stands for no bytes, and bytes that make no character, as the library decodes them
+    backend = sentencepiece_backend.Backend(path)
+    for ids in ([0, 500], [1, 300, 2], [3 + 0xC3], [3 + 0xC3, 3 + 0xA9], [400, 3 + 0xFF, 401], []):
+        known = backend.tokenizer.decode(ids, skip_special_tokens=False)
+        assert backend.decode(ids) == known[known[:1] == " " :]
 
 
 def proto(*fields):
@@ -810,12 +815,24 @@ def test_binomial_and_choice():
     for n, p in ((20, 0.1), (50, 0.03)):
         for k in range(0, n, 3):
             assert quality.binomial_cdf(k, n, p) == pytest.approx(sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1)))
-    steps = len(quality.GRID)
-    # 10 000 good rows, none above any cutoff but the strictest ones; bad rows from the middle on
-    good = [0] * (steps - 3) + [50, 5000, 9000, 10_000]
-    bad = [0] * 10 + [30] * (steps - 10) + [100]
-    assert quality.chosen(good, bad, 0.01, 0.001, 20.0) == 10
-    assert quality.chosen([0] * steps + [100], bad, 0.01, 0.001, 20.0) is None  # too few labels to certify anything
+    # of the cutoffs the one that drops most bad rows, a good one counting as 20
+    assert quality.proposed([0, 0, 1, 30], [0, 10, 40, 45], 20.0) == (2, 20.0)
+    assert quality.proposed([0, 1], [0, 20], 20.0) is None
+    # 0 of 150 good rows speak for less than 3 % at 0.0125, 0 of 140 don't; rules count together, and the first failure ends
+    assert quality.certified([0, 0], 150, 0.03, 0.0125) == 2 and quality.certified([0], 140, 0.03, 0.0125) == 0
+    assert quality.certified([1, 0, 9, 0], 300, 0.03, 0.0125) == 2
+    assert quality.certified([0], 0, 0.03, 0.0125) == 0
+
+
+def test_false_rejections_stay_below_the_share():
+    """Rules that drop 4 % of good rows are certified at 3 % with the stated chance at most, over many holdouts."""
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    wrong = sum(quality.certified([int(g)], 400, 0.03, 0.05) for g in rng.binomial(400, 0.0301, 4000))
+    assert wrong / 4000 < 0.06
+    right = sum(quality.certified([int(g)], 400, 0.03, 0.05) for g in rng.binomial(400, 0.002, 1000))
+    assert right / 1000 > 0.9
 
 
 def test_quality_thresholds(spark):
@@ -828,6 +845,10 @@ def test_quality_thresholds(spark):
     docs = corpus(spark, texts)
     got = rows(quality.judge(docs, spark.createDataFrame(labels, "doc_id long, quality int")), "doc_id", "kept")
     assert got == sorted(((i, bool(q)) for i, q in labels), key=repr)
+    # a label is one sample, however often its document is there: 100 good rows certify nothing, nor do 100 in tenfold
+    few = [(i, t) for i, t in texts[:120]]
+    for rows_ in (few, few * 10):
+        assert all(r["kept"] for r in quality.judge(corpus(spark, rows_), spark.createDataFrame(labels[:120], "doc_id long, quality int")).collect())
 
 
 # token shards
@@ -866,6 +887,16 @@ def test_shards(spark):
     assert sstable.read_shards(sstable.write_shards(corpus(spark, []), tokenizer_path("byte_bpe_50k.json"))).count() == 0
 
 
+def test_shards_roll_over(spark):
+    """Small shards hold the same rows in the same order as large ones."""
+    docs = corpus(spark, [(i, f"text number {i} " * (i % 9)) for i in range(300)])
+    columns = ("key", "start", "n_tokens", "ids_crc32")
+    one = sstable.write_shards(docs, tokenizer_path("byte_bpe_50k.json"), shards=2)
+    small = sstable.write_shards(docs, tokenizer_path("byte_bpe_50k.json"), shards=2, most=1, block=64)
+    assert small.count() > 50 and one.count() == 2
+    assert rows(sstable.read_shards(small), *columns) == rows(sstable.read_shards(one), *columns)
+
+
 def test_shard_blocks(tmp_path):
     import numpy as np
 
