@@ -124,3 +124,43 @@ def op10_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op1_substring": op1_substring, "op2_warc": op2_warc, "op3_minhash": op3_minhash, "op4_secrets": op4_secrets, "op5_sentencepiece": op5_sentencepiece, "op6_decontaminate": op6_decontaminate, "op7_toxicity": op7_toxicity, "op8_html": op8_html, "op9_quality": op9_quality, "op10_sstable": op10_sstable}
 ORACLES: dict[str, str] = {"op1_substring": OP1_SQL, "op2_warc": OP2_SQL, "op3_minhash": OP3_SQL}
+
+
+def secrets_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``op4_secrets`` that SQL can express."""
+    return op4_secrets(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
+_ASSIGN = r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_KINDS = (("assign", _ASSIGN, "length(regexp_extract(h, '{p}', 2)) >= 6"), ("access", "AKIA[A-Z0-9]+", "length(h) >= 20"), ("hex", "[0-9a-f]+", "length(h) >= 24"))
+SECRETS_BASE_SQL = (
+    "WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), "
+    + ", ".join(
+        f"""{kind}_ AS (SELECT doc_id, {n} AS k, '{kind}' AS kind, h, sum(length(g) + length(h)) OVER (PARTITION BY doc_id ORDER BY i) AS stop, {keep.format(p=p)} AS good
+        FROM (SELECT doc_id, unnest(hits) AS h, unnest(string_split_regex(t, '{p}')[:len(hits)]) AS g, generate_subscripts(hits, 1) AS i FROM (SELECT *, regexp_extract_all(t, '{p}') AS hits FROM d) WHERE len(hits) > 0))"""
+        for n, (kind, p, keep) in enumerate(_KINDS)
+    )
+    + """, spans AS (SELECT doc_id, k, kind, CAST(stop - length(h) AS BIGINT) AS b, CAST(stop AS BIGINT) AS e FROM (FROM assign_ UNION ALL FROM access_ UNION ALL FROM hex_) WHERE good),
+    told AS (SELECT doc_id, count_if(k = 0) AS a, count_if(k = 1) AS c, count_if(k = 2) AS x, string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, k) AS base FROM spans GROUP BY doc_id)
+    SELECT d.doc_id, CAST(coalesce(a, 0) AS BIGINT) AS n_assign, CAST(coalesce(c, 0) AS BIGINT) AS n_access, CAST(coalesce(x, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256 FROM d LEFT JOIN told ON told.doc_id = d.doc_id"""
+)
+
+
+def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``op9_quality`` that SQL can express."""
+    return op9_quality(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+QUALITY_BASE_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+     k AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM t WHERE len(w) >= 8)),
+     twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS n FROM k) WHERE n > 1),
+     covered AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, i + j AS pos FROM twice, range(8) r(j)) GROUP BY doc_id),
+     lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM t) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines,
+       CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words, len(w) < 20 OR 100 * coalesce(covered.n, 0) > 30 * len(w) AS base_failed
+FROM t LEFT JOIN covered ON covered.doc_id = t.doc_id LEFT JOIN lines ON lines.doc_id = t.doc_id
+"""
+
+QUERIES |= {"secrets_base": secrets_base, "quality_base": quality_base}
+ORACLES |= {"secrets_base": SECRETS_BASE_SQL, "quality_base": QUALITY_BASE_SQL}
