@@ -71,6 +71,7 @@ FUNCTION_WORDS = {
         that the their then there they this to up us was we were what when which who with you your""".split(),
 }
 LEXICALISED = {"e.g.": "for example", "i.e.": "that is", "vs.": "versus", "vs": "versus", "cf.": "compare", "w/o": "without", "w/": "with"}
+# Patterns.
 CANDIDATE = "[A-ZÄÖÜ]{2,6}"
 GLOSS = "Abkürzung für|steht für|Kurzwort für|kurz für|Kurzform|bezeichnet|Netzjargon|Unterscheidungszeichen|Kfz-Kennzeichen|Kraftfahrzeugkennzeichen|offizielle Abkürzung|ohne Plural|abbreviation of|initialism of|short for|:"
 GLOSS_CONTEXT = r"[^\W\d_]{3,}[^()]{0,40}?\s*\(\s*([A-ZÄÖÜ]{2,6})\s*\)"
@@ -83,6 +84,7 @@ VERB_PARTICLES_DE = """gegenüber zusammen zurecht zurück hinunter herunter hin
     unter über gegen auf aus ein fort mit nach vor weg zu los her hin ab an bei da dar um miss wider zer ent ver be er
     ge emp""".split()
 
+# Affixes, and what may stand in their place.
 SUFFIXES = [
     ("ability", ["able", ""]), ("ibility", ["ible", ""]), ("ization", ["ize", ""]), ("isation", ["ise", ""]), ("ational", ["ate", ""]),
     ("fulness", ["ful", ""]), ("lessness", ["less", ""]), ("ousness", ["ous", ""]), ("iveness", ["ive", ""]), ("ation", ["ate", "e", ""]),
@@ -108,6 +110,17 @@ NEWS_MODELS = "ca da de el es fi fr hr it ja ko lt mk nb nl pl pt ro ru sl sv uk
 MODEL_SIZES = "sm md lg".split()
 
 
+class UnsupportedLanguage(ValueError):
+    """A language that a list doesn't cover."""
+
+
+def words_for(table: dict, lang: str) -> list[str]:
+    """A list for a language; one that the table lacks is an error."""
+    if lang not in table:
+        raise UnsupportedLanguage(f"no words for {lang!r}; there are some for {', '.join(sorted(table))}")
+    return table[lang]
+
+
 def sql(values) -> str:
     """A list of strings, or a map of strings, as a SQL literal."""
     quote = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -6,8 +6,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import _parse_datatype_string
 
 from . import detectors
+from .trees import SENTENCES
 
 
 @dataclass(frozen=True)
@@ -35,7 +37,7 @@ REGISTRY: dict[str, Detector] = {
     "right_node_raising": Detector(detectors.right_node_raising, "'right_node_raising'", categories=("right_node_raising",), labels=("RNR_left_predicate", "RNR_right_predicate", "RNR_shared_arg"), languages=("en",)),
     "abbreviation": Detector(detectors.abbreviation, "subtype", "'Abbreviation'", categories=("abbreviation", "abbreviation_defined"), languages=("en", "de")),
     "contraction": Detector(detectors.contraction, "'contraction'", "'Contraction'", categories=("contraction",), labels=("Contraction_host", "Contraction_clitic")),
-    "suspended_composition": Detector(detectors.suspended_composition, "'suspended_composition_unresolved'", "concat('Suspended composition (', replace(subtype, '_', ' '), ')')", categories=("suspended_composition", "suspended_composition_unresolved"), labels=("Suspension_donor",), languages=("de",)),
+    "suspended_composition": Detector(detectors.suspended_composition, "if(suggestion IS NULL, 'suspended_composition_unresolved', 'suspended_composition')", "concat('Suspended composition (', replace(subtype, '_', ' '), ')')", categories=("suspended_composition", "suspended_composition_unresolved"), labels=("Suspension_donor",), languages=("de",)),
 }
 ANNOTATION = ["doc_id", "view", "sent_id", "phenomenon", "kind", "begin", "end", "description", "category", "label", "suggestion", "certainty"]
 
@@ -48,7 +50,7 @@ def annotations(findings: DataFrame, phenomenon: str) -> DataFrame:
     phrases = findings.select(*base, F.explode("roles").alias("r")).select("doc_id", "view", "sent_id", "phenomenon", F.lit("LexicalPhrase").alias("kind"), "r.begin", "r.end", none.alias("description"), none.alias("category"), F.col("r.label").alias("label"), none.alias("suggestion"), F.lit(None).cast("double").alias("certainty"))
     if spec.category is None:
         return phrases
-    certainty = F.when(F.col("suggestion").isNotNull(), F.lit(1.0))
+    certainty = F.when(F.col("suggestion").isNotNull(), F.coalesce(F.expr("try_cast(more['certainty'] AS double)"), F.lit(1.0)))
     anomalies = findings.select(*base, F.lit("GrammarAnomaly").alias("kind"), "begin", "end", F.expr(spec.description).alias("description"), F.expr(spec.category).alias("category"), none.alias("label"), "suggestion", certainty.alias("certainty"))
     return anomalies.unionByName(phrases)
 
@@ -71,10 +73,49 @@ def confident(language: Column, confidence: Column, least: float = 0.7) -> Colum
     return F.when(confidence >= least, language)
 
 
-def detect(sentences: DataFrame, phenomenon: str, *, lang: str | None = None, mixed: bool = False) -> DataFrame:
+def detect(sentences: DataFrame, phenomenon: str, *, lang: str | None = None, mixed: bool = False, **options) -> DataFrame:
+    """Annotations of a detector; ``options`` are its own (``expansions``, ``resolved``, ``phrases``)."""
     if phenomenon not in REGISTRY:
         raise ValueError(f"unknown phenomenon {phenomenon!r}; known: {', '.join(sorted(REGISTRY))}")
-    return annotations(REGISTRY[phenomenon].detect(routed(sentences, lang=lang, mixed=mixed)), phenomenon)
+    return annotations(REGISTRY[phenomenon].detect(routed(sentences, lang=lang, mixed=mixed), **options), phenomenon)
+
+
+class Unsupported(ValueError):
+    """A language or a schema that an annotator can't work on."""
+
+
+def checked(sentences: DataFrame, phenomenon: str, lang: str, **options) -> DataFrame:
+    """As ``detect`` with a given language, after checks: the annotator must know the language and the columns must be those of
+    sentences.  Contractions have no such entry: they are for any language."""
+    if phenomenon not in REGISTRY or not REGISTRY[phenomenon].languages:
+        raise Unsupported(f"no checked annotator for {phenomenon!r}")
+    if lang not in REGISTRY[phenomenon].languages:
+        raise Unsupported(f"{phenomenon} is for {', '.join(REGISTRY[phenomenon].languages)}, not {lang!r}")
+    wanted = _parse_datatype_string(SENTENCES)
+    missing = [f.name for f in wanted if f.name not in sentences.columns or sentences.schema[f.name].dataType.simpleString() != f.dataType.simpleString()]
+    if missing:
+        raise Unsupported(f"sentences lack columns or have other types: {', '.join(missing)}")
+    return detect(sentences, phenomenon, lang=lang, **options)
+
+
+#: When an annotator writes: always, only if it had views to work on, or only if something changed or it goes elsewhere.
+ALWAYS, IF_VIEWS, IF_CHANGED = "always", "if_views", "if_changed"
+
+
+def save(before: DataFrame, after: DataFrame, path: str, *, policy: str = ALWAYS, views: DataFrame | None = None, elsewhere: bool = False) -> bool:
+    """Writes the annotations ``after`` a run to a new path, unless the policy says that there is nothing to write; tells whether it did.
+
+    ``views`` are those that were worked on (for ``IF_VIEWS``); a run changes something if a row is there that wasn't, or
+    the other way round.
+    """
+    if policy not in (ALWAYS, IF_VIEWS, IF_CHANGED):
+        raise ValueError(f"unknown policy {policy!r}")
+    if policy == IF_VIEWS and (views is None or not views.limit(1).count()):
+        return False
+    if policy == IF_CHANGED and not elsewhere and not after.exceptAll(before).limit(1).count() and not before.exceptAll(after).limit(1).count():
+        return False
+    after.write.parquet(path)
+    return True
 
 
 def from_earlier_run(phenomenon: str) -> Column:

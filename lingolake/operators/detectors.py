@@ -1,7 +1,7 @@
 """The structural detectors: each takes sentences (see ``trees``) and returns a row per finding.
 
     doc_id, view, sent_id, lang, ord (the node it hangs on), subtype, begin, end, text, suggestion,
-    roles array<struct<label, begin, end, text>>
+    roles array<struct<label, begin, end, text>>, more map<string, string> (what only some detectors tell)
 
 Detection is a filter over a sentence's nodes first, cheap conditions before others; sentences without a hit go, ancestors are
 worked out for the rest only, and what a finding says for the hits.  Detectors don't shuffle and keep no state, so they run
@@ -27,16 +27,20 @@ def _hits(sentences: DataFrame, where: str, *, ancestors: bool = False) -> DataF
     return (with_ancestors(hits) if ancestors else hits).select(*KEYS, "nodes", F.explode("hits").alias("at")).select(*KEYS, "nodes", F.expr("nodes[at - 1]").alias("n"))
 
 
-def _kinds(sentences: DataFrame, wheres: dict[str, str]) -> DataFrame:
+def _kinds(sentences: DataFrame, wheres: dict[str, str], *, ancestors: bool = False) -> DataFrame:
     """A row (keys, nodes, n, kind) for each kind's condition that a node meets, in one pass."""
-    each = ", ".join(f"transform(filter(nodes, n -> coalesce({where}, false)), n -> named_struct('n', n, 'kind', '{kind}'))" for kind, where in wheres.items())
-    hits = fixed(plain(sentences).select(*KEYS, "nodes", F.expr(f"concat({each})").alias("hits"))).filter("size(hits) > 0").select(*KEYS, "nodes", F.explode("hits").alias("x"))
-    return fixed(hits.select(*KEYS, "nodes", F.expr("x.n").alias("n"), F.expr("x.kind").alias("kind")))
+    each = ", ".join(f"transform(filter(nodes, n -> coalesce({where}, false)), n -> named_struct('at', n.ord, 'kind', '{kind}'))" for kind, where in wheres.items())
+    hits = fixed(plain(sentences).select(*KEYS, "nodes", F.expr(f"concat({each})").alias("hits"))).filter("size(hits) > 0")
+    hits = (with_ancestors(hits) if ancestors else hits).select(*KEYS, "nodes", F.explode("hits").alias("x"))
+    return fixed(hits.select(*KEYS, "nodes", F.expr("nodes[x.at - 1]").alias("n"), F.expr("x.kind").alias("kind")))
 
 
-def _findings(hits: DataFrame, *, subtype: str = "''", first: str = "n.t_start", last: str = "n.t_end", text: str = "n.form", suggestion: str = "cast(null AS string)", roles: list[str] = (), whole_roles: str | None = None) -> DataFrame:
+def _findings(hits: DataFrame, *, subtype: str = "''", first: str = "n.t_start", last: str = "n.t_end", text: str = "n.form", suggestion: str = "cast(null AS string)", roles: list[str] = (), whole_roles: str | None = None, more: dict[str, str] | None = None) -> DataFrame:
     listed = whole_roles or f"filter(array({', '.join(roles)}), r -> r IS NOT NULL)" if roles or whole_roles else "array()"
-    return hits.select(*KEYS, F.expr("n.ord").alias("ord"), F.expr(subtype).alias("subtype"), F.expr(first).alias("begin"), F.expr(last).alias("end"), F.expr(text).alias("text"), F.expr(suggestion).alias("suggestion"), F.expr(listed).cast(ROLES).alias("roles"))
+    told = "cast(map() AS map<string,string>)"
+    if more:
+        told = f"map_filter(map({', '.join(f'{k!r}, cast({v} AS string)' for k, v in more.items())}), (k, v) -> v IS NOT NULL)"
+    return hits.select(*KEYS, F.expr("n.ord").alias("ord"), F.expr(subtype).alias("subtype"), F.expr(first).alias("begin"), F.expr(last).alias("end"), F.expr(text).alias("text"), F.expr(suggestion).alias("suggestion"), F.expr(listed).cast(ROLES).alias("roles"), F.expr(told).alias("more"))
 
 
 def sluicing(sentences: DataFrame) -> DataFrame:
@@ -73,20 +77,27 @@ def verbal_ellipsis(sentences: DataFrame) -> DataFrame:
     return _findings(_hits(sentences, f"{free} AND (n.upos = 'AUX' OR n.xpos = 'AUX' OR ({stranded}))"), subtype="n.deprel")
 
 
-def passive(sentences: DataFrame) -> DataFrame:
-    """Subtypes canonical (hangs on the auxiliary) and short (on the participle)."""
+def passive(sentences: DataFrame, *, phrases: bool = False) -> DataFrame:
+    """Subtypes canonical (hangs on the auxiliary) and short (on the participle).
+
+    With ``phrases``, the whole phrases of subject and agent are roles too (Passive_subject_phrase, Passive_agent_phrase).
+    """
     preps, tags = L.by_language(L.AGENT_PREPOSITIONS), L.by_language(L.PARTICIPLE_XPOS)
     marks = f"k.deprel = 'case' AND (array_contains({preps}, lower(k.lemma)) OR array_contains({preps}, lower(k.form)))"
     agent = one_of("c.deprel", ["obl", "obl:agent"]) + f" AND {has_child('c', marks, 'k')}"
     participle = f"(array_contains({tags}, n.xpos) OR {feat('n', 'VerbForm')} = 'Part')"
     bare = "NOT " + has_child("n", universal("c") + " = 'aux'")
     known = one_of("lang", list(L.AGENT_PREPOSITIONS))
-    hits = _kinds(sentences, {"canonical": "n.deprel = 'aux:pass' AND n.head > 0", "short": f"{known} AND {participle} AND {bare} AND {has_child('n', agent)}"})
+    hits = _kinds(sentences, {"canonical": "n.deprel = 'aux:pass' AND n.head > 0", "short": f"{known} AND {participle} AND {bare} AND {has_child('n', agent)}"}, ancestors=phrases)
     hits = fixed(hits.withColumn("v", F.expr(f"if(kind = 'canonical', {parent('n')}, n)")))
     hits = fixed(hits.withColumn("g", F.expr(first_child("v", agent))))
     hits = hits.withColumn("m", F.expr(first_child("g", marks, "k"))).withColumn("u", F.expr(f"if(kind = 'canonical', {first_child('v', one_of('c.deprel', ['nsubj:pass', 'csubj:pass']))}, null)"))
     hits = fixed(hits.withColumn("aux", F.expr("if(kind = 'canonical', n, null)")))
-    return _findings(hits, subtype="kind", first="v.t_start", last="v.t_end", text="v.form", roles=[role_of("Passive_verb", "v"), role_of("Passive_aux", "aux"), role_of("Passive_subject", "u"), role_of("Passive_agent", "g"), role_of("Passive_agent_marker", "m")])
+    roles = [role_of("Passive_verb", "v"), role_of("Passive_aux", "aux"), role_of("Passive_subject", "u"), role_of("Passive_agent", "g"), role_of("Passive_agent_marker", "m")]
+    if phrases:
+        hits = fixed(hits)
+        roles += [f"if({x} IS NULL, null, {role(label, subtree(x))})" for label, x in (("Passive_subject_phrase", "u"), ("Passive_agent_phrase", "g"))]
+    return _findings(hits, subtype="kind", first="v.t_start", last="v.t_end", text="v.form", roles=roles)
 
 
 def nominal_ellipsis_en(sentences: DataFrame) -> DataFrame:
@@ -214,11 +225,11 @@ def clitics(sentences: DataFrame) -> DataFrame:
 
 
 def prep_articles(sentences: DataFrame) -> DataFrame:
-    """Multiword tokens of an adposition and a determiner, any language."""
+    """Multiword tokens of an adposition and a determiner, any language; ``more`` has the word that follows."""
     rows = plain(sentences.filter("size(mwts) > 0")).select(*KEYS, "nodes", F.explode("mwts").alias("w"))
     rows = rows.filter("w.last_ord = w.first_ord + 1").withColumn("n", F.expr("get(nodes, w.first_ord - 1)")).withColumn("d", F.expr("get(nodes, w.last_ord - 1)"))
     rows = rows.filter("n.upos = 'ADP' AND d.upos = 'DET'")
-    return _findings(rows, subtype="'prep_article'", text="w.form", suggestion="concat(n.form, ' ', d.form)")
+    return _findings(rows, subtype="'prep_article'", text="w.form", suggestion="concat(n.form, ' ', d.form)", more={"following": "get(nodes, w.last_ord).form"})
 
 
 def _capital(text: str, source: str, also: str = "false") -> str:
@@ -236,7 +247,7 @@ def clipped_articles(sentences: DataFrame) -> DataFrame:
     inferred = f"if({noun} AND {feat(next_head, 'Number')} <> 'Plur', try_element_at({table}, concat({feat(next_head, 'Gender')}, ' ', {feat(next_head, 'Case')})), null)"
     full = f"CASE WHEN {bare} = 'ne' AND NOT coalesce({noun}, false) THEN null WHEN {bare} = 'n' THEN {inferred} ELSE try_element_at({L.sql(L.CLIPPED_ARTICLES)}, {bare}) END"
     hits = fixed(_hits(sentences.filter("lang = 'de'"), f"({full}) IS NOT NULL").withColumn("full", F.expr(full)))
-    return _findings(hits, subtype=f"if({bare} = 'n', 'clipped_article_inferred', 'clipped_article')", suggestion=_capital("full", "n.form"))
+    return _findings(hits, subtype=f"if({bare} = 'n', 'clipped_article_inferred', 'clipped_article')", suggestion=_capital("full", "n.form"), more={"inferred": f"{bare} = 'n'"})
 
 
 def clipped_forms(sentences: DataFrame) -> DataFrame:
@@ -285,10 +296,11 @@ def enumeration_runs(found: str) -> str:
     return f"flatten(filter({runs}, r -> size(r) >= 3))"
 
 
-def abbreviation(sentences: DataFrame) -> DataFrame:
+def abbreviation(sentences: DataFrame, *, expansions: DataFrame | None = None) -> DataFrame:
     """All-caps forms of 2 to 6 letters that aren't shouted, function words or members of an enumeration.
 
-    Subtype abbreviation_defined: it stands in brackets behind its own gloss.
+    Subtype abbreviation_defined: it stands in brackets behind its own gloss.  ``expansions`` (lang, form, expansion) gives
+    suggestions: the long forms, in alphabetical order, parted by ``|``; the optimizer broadcasts it where it is small.
     """
     # a form is in capitals within the text, or it isn't a candidate: most sentences end here
     rows = plain(sentences.filter(F.expr(f"exists(nodes, n -> rlike(n.form, '^{L.CANDIDATE}$'))")))
@@ -307,13 +319,20 @@ def abbreviation(sentences: DataFrame) -> DataFrame:
     # the node's n-th occurrence among candidates of its form is the form's n-th occurrence in the text
     place = "get(filter(found, m -> m.text = n.form), size(filter(cands, c -> c.form = n.form AND c.ord < n.ord))).begin"
     hits = fixed(hits.withColumn("place", F.expr(place))).filter("place IS NULL OR NOT array_contains(runs, place)")
-    return _findings(hits, subtype="if(coalesce(array_contains(glossed, place), false), 'abbreviation_defined', 'abbreviation')")
+    out = _findings(hits, subtype="if(coalesce(array_contains(glossed, place), false), 'abbreviation_defined', 'abbreviation')")
+    if expansions is None:
+        return out
+    known = expansions.filter("expansion IS NOT NULL").groupBy("lang", F.col("form").alias("text")).agg(F.array_join(F.array_sort(F.collect_set("expansion")), "|").alias("__long"))
+    return out.join(known, ["lang", "text"], "left").withColumn("suggestion", F.col("__long")).select(*out.columns)
 
 
-def suspended_composition(sentences: DataFrame) -> DataFrame:
+def suspended_composition(sentences: DataFrame, *, resolved: DataFrame | None = None) -> DataFrame:
     """Stubs with a closing hyphen (shared_head) and with an opening one (shared_modifier), on the sentence's text.
 
     Token spans are found in the text one after the other; a stub's span is from the first to the last token it overlaps.
+    ``more`` has the word that the missing part may come from: behind a shared_head stub, before a shared_modifier one
+    (near, near_begin, near_end).  ``resolved`` (doc_id, view, sent_id, begin, end, donor_begin, donor_end, donor, completed, basis), such as
+    ``completed_stubs`` gives, adds the completed form as suggestion, the donor as role and in ``more`` the basis.
     """
     # no hyphen, no stub
     rows = plain(sentences.filter(one_of("lang", list(L.COORDINATORS))).filter("contains(text, '-')"))
@@ -325,4 +344,28 @@ def suspended_composition(sentences: DataFrame) -> DataFrame:
     rows = rows.withColumn("hit", F.expr("filter(spans, s -> s.a < stub.m.end AND s.b > stub.m.begin)"))
     rows = fixed(rows).filter("size(hit) > 0")
     rows = rows.withColumn("n", F.expr("nodes[hit[0].ord - 1]"))
-    return _findings(rows, subtype="stub.way", first="hit[0].s", last="element_at(hit, -1).e", text="stub.m.text")
+    word = f"rlike(x.form, '^[\\\\p{{L}}-]{{3,}}$') AND NOT {one_of('lower(x.form)', L.COORDINATORS['de'] + L.COORDINATORS['en'])}"
+    behind, before = f"get(filter(nodes, x -> x.ord > element_at(hit, -1).ord AND {word}), 0)", f"try_element_at(filter(nodes, x -> x.ord < hit[0].ord AND {word}), -1)"
+    rows = fixed(rows.withColumn("near", F.expr(f"if(stub.way = 'shared_head', {behind}, {before})")))
+    out = _findings(rows, subtype="stub.way", first="hit[0].s", last="element_at(hit, -1).e", text="stub.m.text", more={"near": "near.form", "near_begin": "near.t_start", "near_end": "near.t_end"})
+    if resolved is None:
+        return out
+    keys = ["doc_id", "view", "sent_id", "begin", "end"]
+    donor = f"cast(if(donor_begin IS NULL, array(), array(named_struct('label', 'Suspension_donor', 'begin', cast(donor_begin AS int), 'end', cast(donor_end AS int), 'text', donor))) AS {ROLES})"
+    told = out.join(resolved.select(*keys, "donor_begin", "donor_end", "donor", "completed", "basis"), keys, "left").withColumns({"suggestion": F.col("completed"), "roles": F.expr(donor), "more": F.expr("if(completed IS NULL, more, map_concat(more, map('basis', basis, 'certainty', if(basis = 'unique', '1.0', '0.7'))))")})
+    return told.select(*out.columns)
+
+
+def completed_stubs(findings: DataFrame, wordlist: DataFrame) -> DataFrame:
+    """What completes stubs, by a list of words (word): for ``resolved``.
+
+    The neighbouring word is cut at each place; a part of it that makes a known word with the stub is its completion.  Basis
+    ``unique`` if there is one, else ``attested``, and the longest known word is taken.  One equi-join with the list.
+    """
+    stub, way, near = "replace(text, '-', '')", "subtype = 'shared_head'", "more['near']"
+    parts = f"transform(sequence(1, greatest(length({near}) - 2, 1)), i -> if({way}, concat({stub}, lower(substring({near}, i + 1))), concat(substring({near}, 1, i + 1), {stub})))"
+    keys = ["doc_id", "view", "sent_id", "begin", "end"]
+    tried = findings.filter(f"length({near}) >= 4").select(*keys, F.expr("try_cast(more['near_begin'] AS int)").alias("donor_begin"), F.expr("try_cast(more['near_end'] AS int)").alias("donor_end"), F.expr(near).alias("donor"), F.explode(F.array_distinct(F.expr(parts))).alias("completed"))
+    known = tried.withColumn("__word", F.lower("completed")).join(wordlist.select(F.lower("word").alias("__word")).distinct(), "__word", "left_semi")
+    found = known.groupBy(*keys, "donor_begin", "donor_end", "donor").agg(F.max_by("completed", F.struct(F.length("completed"), "completed")).alias("completed"), F.count(F.lit(1)).alias("n"))
+    return found.select(*keys, "donor_begin", "donor_end", "donor", "completed", F.when(F.col("n") == 1, "unique").otherwise("attested").alias("basis"))

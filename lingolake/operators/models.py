@@ -37,6 +37,50 @@ def discourse_units(sentences: str = "sentence", labels: str = "labels", shift:
     return spans + ".out"
 
 
+def truncated(labels: str, subwords: str, most: int = 512, special: int = 2) -> str:
+    """SQL for the labels that a model with room for ``most`` subwords can give: those of the words that fit, given each word's number of subwords."""
+    room = f"aggregate({subwords}, named_struct('left', {most - special}, 'n', 0), (acc, k) -> if(acc.left >= k, named_struct('left', acc.left - k, 'n', acc.n + 1), named_struct('left', -1, 'n', acc.n))).n"
+    return f"slice({labels}, 1, {room})"
+
+
+def discourse_layer(views: DataFrame, sentences: DataFrame) -> DataFrame:
+    """(doc_id, view, begin, end): the discourse units of sentences (doc_id, view, begin, sentence, labels) at their places in the view.
+    Blank sentences have none; a view without sentences is an error."""
+    rows = views.select("doc_id", "view").distinct().join(sentences, ["doc_id", "view"], "left")
+    rows = rows.withColumn("begin", F.when(F.col("sentence").isNull(), F.raise_error(F.concat(F.lit("no sentences in view "), "view"))).otherwise(F.col("begin")))
+    return rows.select("doc_id", "view", F.explode(F.expr(discourse_units(shift="begin"))).alias("u")).select("doc_id", "view", "u.begin", "u.end")
+
+
+def coreference_tokens(sentences: DataFrame) -> DataFrame:
+    """(doc_id, view, payload, tokens): the request with token lists by sentence, and each token's (begin, end) in the same, flat order.
+    A view's sentences are one request, so they come together (in order, whatever their partitions)."""
+    lists = F.array_sort(F.collect_list(F.struct("sent_id", F.expr("transform(nodes, n -> n.form)").alias("forms"), F.expr("transform(nodes, n -> named_struct('begin', n.t_start, 'end', n.t_end))").alias("spans"))))
+    rows = sentences.groupBy("doc_id", "view").agg(lists.alias("s"))
+    return rows.select("doc_id", "view", F.to_json(F.struct(F.expr("transform(s, x -> x.forms)").alias("tokens"))).alias("payload"), F.expr("flatten(transform(s, x -> x.spans))").alias("tokens"))
+
+
+def coreference_text(documents: DataFrame) -> DataFrame:
+    """(doc_id, view, payload): the request with the text as it is (null: an empty one)."""
+    return documents.select("doc_id", "view", F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("tokens"))).alias("payload"))
+
+
+def found_tokens(tokens: str, text: str) -> str:
+    """SQL for the places of an answer's tokens in the text, one after the other; one that isn't there takes its length from the cursor on."""
+    at = f"if(locate(tok_, {text}, acc.at + 1) = 0, acc.at, locate(tok_, {text}, acc.at + 1) - 1)"
+    return f"""aggregate({tokens}, named_struct('at', 0, 'out', cast(array() AS array<struct<begin:int,end:int>>)),
+        (acc, tok_) -> named_struct('at', {at} + length(tok_), 'out', array_append(acc.out, named_struct('begin', {at}, 'end', {at} + length(tok_))))).out"""
+
+
+def masked(sentences: DataFrame, confusion: DataFrame, mask: str = "[MASK]") -> DataFrame:
+    """(doc_id, view, sent_id, ord, surface, masked, candidates): each token that a confusion set (word, candidates) is for, and its sentence's
+    tokens, joined by spaces, with the mask at that token only.  A scorer gives (candidate, score, rank) for ``decide_swap``."""
+    rows = sentences.select("doc_id", "view", "sent_id", "nodes", F.explode("nodes").alias("n"))
+    sets = confusion.select(F.lower("word").alias("__word"), "candidates")
+    hits = rows.withColumn("__word", F.lower("n.form")).join(sets, "__word")
+    text = F.expr(f"array_join(transform(nodes, x -> if(x.ord = n.ord, '{mask}', x.form)), ' ')")
+    return hits.select("doc_id", "view", "sent_id", F.col("n.ord").alias("ord"), F.col("n.form").alias("surface"), text.alias("masked"), "candidates")
+
+
 def mentions(clusters: DataFrame, tokens: DataFrame) -> DataFrame:
     """Coreference: (doc_id, clusters: lists of lists of first and last token, inclusive) and (doc_id, place, begin, end) to phrases
     labelled with the cluster's number from 1; mentions out of range are passed over, a document without clusters is an error."""

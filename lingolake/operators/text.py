@@ -36,9 +36,61 @@ def token_offsets(tokens: str, text: str) -> Column:
             named_struct('at', greatest(locate(tok_, {text}, acc.at + 1) - 1, acc.at) + length(tok_), 'out', array_append(acc.out, named_struct('begin', greatest(locate(tok_, {text}, acc.at + 1) - 1, acc.at), 'end', greatest(locate(tok_, {text}, acc.at + 1) - 1, acc.at) + length(tok_)))))).out""")
 
 
-def split_sentences(text: Column) -> Column:
-    """Sentences of a text, one a line: cut behind closing marks that white space follows."""
-    return F.regexp_replace(text, r"(?U)(?<=[.!?])\s+(?=\S)", "\n")
+def sentence_offsets(sentences: str, text: str) -> Column:
+    """Begin and end of each sentence, found from left to right; one that isn't there is left out."""
+    at = f"locate(sent_, {text}, acc.at + 1)"
+    return F.expr(f"""aggregate({sentences}, named_struct('at', 0, 'out', cast(array() AS array<struct<begin:int,end:int>>)),
+        (acc, sent_) -> if(sent_ = '' OR {at} = 0, acc, named_struct('at', {at} - 1 + length(sent_), 'out', array_append(acc.out, named_struct('begin', {at} - 1, 'end', {at} - 1 + length(sent_)))))).out""")
+
+
+#: Abbreviations, by language, that end in a mark without ending a sentence.
+ABBREVIATED = {
+    "en": ["Mr", "Mrs", "Ms", "Dr", "Prof", "St", "vs", "etc", "e.g", "i.e", "cf", "No", "Fig", "approx"],
+    "de": ["Dr", "Prof", "Hr", "Fr", "bzw", "usw", "ca", "z.B", "d.h", "u.a", "Nr", "Abb", "vgl", "evtl"],
+    "fr": ["M", "Mme", "Mlle", "Dr", "etc", "p.ex", "cf", "env", "n°", "fig"],
+    "es": ["Sr", "Sra", "Srta", "Dr", "Dra", "etc", "p.ej", "Ud", "Uds", "núm", "fig"],
+}
+
+
+def split_sentences(text: Column, lang: Column | None = None) -> Column:
+    """Sentences of a text, one a line: cut behind closing marks that white space follows, but not behind an abbreviation of the language or
+    a number at a line's begin."""
+    plain = r"(?U)(?<=[.!?])\s+(?=\S)"
+    if lang is None:
+        return F.regexp_replace(text, plain, "\n")
+    out = None
+    for language, short in ABBREVIATED.items():
+        held = "|".join(x.replace(".", r"\.") for x in short)
+        cut = F.regexp_replace(text, rf"(?U)(?<=[.!?])(?<!(?<![\w.])(?:{held})\.)(?<!^\d{{1,3}}\.)\s+(?=\S)", "\n")
+        out = F.when(lang == language, cut) if out is None else out.when(lang == language, cut)
+    return out.otherwise(F.regexp_replace(text, plain, "\n"))
+
+
+#: Frequent words, by language, that the others don't have.
+TELLING = {
+    "en": "the and of to that is was for with this are not have you which been they would their".split(),
+    "de": "der und das nicht ist ein mit sich auf dem eine auch wird von zu für werden haben oder".split(),
+    "fr": "le les et des est une dans qui pour pas que sur avec sont ce cette mais nous vous".split(),
+    "es": "el los y las del es una por con para como más pero sus este esta fue ser han".split(),
+}
+
+
+def language_of(text: Column) -> Column:
+    """struct(language, confidence): the language whose telling words a text has most of, and their share among all telling words; null without any."""
+    words = F.split(F.lower(text), r"(?U)[^\p{L}]+")
+
+    def telling(own: list[str]) -> Column:
+        return F.size(F.filter(words, lambda w: w.isin(own)))
+
+    counts = {k: telling(v) for k, v in sorted(TELLING.items())}
+    best, total = F.array_max(F.array(*[F.struct(n.alias("n"), F.lit(k).alias("language")) for k, n in counts.items()])), sum(counts.values(), F.lit(0))
+    return F.when(total > 0, F.struct(best["language"].alias("language"), (best["n"] / total).alias("confidence")))
+
+
+def detect_language(text: Column, least: float = 0.7) -> Column:
+    """The language of a text where it is sure enough; null for blank ones."""
+    found = language_of(text)
+    return F.when(found["confidence"] >= least, found["language"])
 
 
 def match_case(suggestion: Column, original: Column) -> Column:
@@ -122,12 +174,22 @@ def stems(word: str) -> str:
     return f"filter(array_distinct(concat({', '.join(out)})), x -> x IS NOT NULL AND length(x) >= 3)"
 
 
-def derivable(words: DataFrame, wordlist: DataFrame, *, depth: int = 3) -> DataFrame:
+def knows(words: DataFrame, wordlist: DataFrame) -> DataFrame:
+    """Of (word), those that the list (word) has, in any case."""
+    return words.select("word").distinct().withColumn("__w", F.lower("word")).join(wordlist.select(F.lower("word").alias("__w")).distinct(), "__w", "left_semi").select("word")
+
+
+def derivable(words: DataFrame, wordlist: DataFrame, *, depth: int = 3, _parts: bool = False) -> DataFrame:
     """Of (word), those that the list (word) has, or that reduce to one of it by at most ``depth`` affixes.
 
     Affixes are peeled off distinct words level by level and semi-joined with the list; so each word is worked on once
-    whatever the corpus repeats.
+    whatever the corpus repeats.  A word with hyphens counts if each of its parts does, or is a prefix.
     """
+    if not _parts:
+        parts = words.select("word", F.explode(F.filter(F.split(F.lower("word"), "-"), lambda p: p != "")).alias("part")).filter("word LIKE '%-%'")
+        good = derivable(parts.select(F.col("part").alias("word")).distinct(), wordlist, depth=depth, _parts=True).select(F.col("word").alias("part"), F.lit(True).alias("ok"))
+        joined = parts.join(good, "part", "left").groupBy("word").agg(F.every(F.coalesce("ok", F.col("part").isin(L.PREFIXES))).alias("all")).filter("all").select("word")
+        return derivable(words, wordlist, depth=depth, _parts=True).unionByName(joined).distinct()
     known = wordlist.select(F.lower("word").alias("stem")).distinct()
     level = words.select(F.col("word"), F.lower("word").alias("stem")).filter("stem <> ''").distinct()
     found = None

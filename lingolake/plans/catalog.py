@@ -154,12 +154,50 @@ def annotate_subject_sharing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return again.select("doc_id", "sent_id", "kind", "begin", "end", "category", "label")
 
 
+def function_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _nodes(_sentences(spark, sf_dir)).select("lang", texts.is_function_word(F.col("lang"), F.lower("n.form")).alias("known"))
+    return rows.groupBy("lang", "known").agg(F.count(F.lit(1)).alias("n"))
+
+
+def detected_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", texts.detect_language(F.col("text")).alias("language"))
+
+
+def line_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of a document's lines, blank ones left out."""
+    rows = table(spark, sf_dir, "documents").withColumn("lines", F.split("text", "\n"))
+    found = rows.select("doc_id", F.posexplode(texts.sentence_offsets("lines", "text")).alias("i", "x"))
+    return found.select("doc_id", (F.col("i") + 1).alias("line"), "x.begin", "x.end")
+
+
+CONFUSION = [("the", ["then", "the"]), ("to", ["too", "to"]), ("die", ["dir", "die"])]
+
+
+def masked_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences with each word of a confusion set masked in turn."""
+    sets = spark.createDataFrame(CONFUSION, "word string, candidates array<string>")
+    return models.masked(_sentences(spark, sf_dir), sets).select("doc_id", "sent_id", "ord", "surface", "masked", F.array_join("candidates", " ").alias("candidates"))
+
+
+def coreference_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a coreference request holds: the number of a document's tokens and their places, in order."""
+    rows = models.coreference_tokens(_sentences(spark, sf_dir))
+    return rows.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.md5(F.expr("array_join(transform(tokens, t -> concat(t.begin, ':', t.end)), ',')")).alias("places_md5"))
+
+
+def multiword_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of multiword tokens, put together again from rows of one word each."""
+    rows = _sentences(spark, sf_dir).select("doc_id", "sent_id", "nodes", F.explode("mwts").alias("w")).select("doc_id", F.col("sent_id").cast("string").alias("view"), F.col("w.first_ord").alias("begin"), F.col("w.last_ord").alias("end"), F.posexplode(F.expr("transform(slice(nodes, w.first_ord, 2), n -> n.form)")).alias("idx", "form"))
+    return layers.mwt_forms(rows).select("doc_id", F.col("view").cast("int").alias("sent_id"), "begin", F.array_join("forms", " ").alias("forms"))
+
+
 QUERIES: dict = {
     "forest": sentences,
     "det_sluicing": _detector(detectors.sluicing),
     "det_subject_sharing": _detector(detectors.subject_sharing),
     "det_verbal_ellipsis": _detector(detectors.verbal_ellipsis),
     "det_passive": _detector(detectors.passive),
+    "det_passive_phrases": _detector(lambda sentences: detectors.passive(sentences, phrases=True)),
     "det_nominal_ellipsis_en": _detector(detectors.nominal_ellipsis_en),
     "det_nominal_ellipsis_de": _detector(detectors.nominal_ellipsis_de),
     "det_clefts": _detector(detectors.clefts),
@@ -188,6 +226,12 @@ QUERIES: dict = {
     "vpe_eval_by_category": lambda spark, sf_dir: evaluate.by_category(_judged(spark, sf_dir)),
     "conllu_round_trip": conllu_round_trip,
     "annotate_subject_sharing": annotate_subject_sharing,
+    "function_words": function_words,
+    "detected_language": detected_language,
+    "line_offsets": line_offsets,
+    "masked_words": masked_words,
+    "coreference_tokens": coreference_tokens,
+    "multiword_forms": multiword_forms,
 }
 
 
@@ -199,7 +243,18 @@ _ID = "d AS doc_id, CAST(s AS INTEGER) AS sent_id"
 _PENN = "CASE xpos " + " ".join(f"WHEN '{k.replace(chr(39), chr(39) * 2)}' THEN '{v}'" for k, v in L.PENN_TO_UPOS.items()) + " ELSE 'X' END"
 _JUDGED = """WITH r AS (SELECT l.doc_id, CASE WHEN quality = 0 THEN 'NO_VPE' WHEN toxic = 1 THEN 'VPE_RESOLVABLE' ELSE 'VPE_UNRESOLVABLE' END AS category, quality = 1 AS yes, d.doc_id IS NOT NULL AS fired, coalesce(d.source IN ('src1', 'src2', 'x'), false) AS site
     FROM labels l LEFT JOIN (SELECT * FROM documents WHERE lang = 'en') d ON d.doc_id = l.doc_id)"""
+_TELLING = ", ".join(f"struct_pack(n := len([x FOR x IN w IF x IN {_q(v)}]), language := '{k}')" for k, v in sorted(texts.TELLING.items()))
+_SETS = ", ".join(f"('{w}', '{' '.join(c)}')" for w, c in CONFUSION)
 ORACLES: dict[str, str] = DETECTOR_SQL | {
+    "function_words": _over_forest("SELECT lang, coalesce(" + " OR ".join(f"(lang = '{k}' AND lower(form) IN {_q(v)})" for k, v in L.FUNCTION_WORDS.items()) + ", false) AS known, count(*) AS n FROM tok GROUP BY ALL"),
+    "detected_language": f"""SELECT doc_id, CASE WHEN total > 0 AND best.n / total >= 0.7 THEN best.language END AS language FROM (SELECT doc_id, list_max(k) AS best, list_sum([x.n FOR x IN k]) AS total
+        FROM (SELECT doc_id, [{_TELLING}] AS k FROM (SELECT doc_id, string_split_regex(lower(text), '[^\\p{{L}}]+') AS w FROM documents)))""",
+    "line_offsets": """SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) AS INTEGER) AS line, CAST(e - length(x) AS INTEGER) AS "begin", CAST(e AS INTEGER) AS "end" FROM (
+        SELECT doc_id, i, x, sum(length(x) + 1) OVER (PARTITION BY doc_id ORDER BY i) - 1 AS e FROM (SELECT doc_id, unnest(l) AS x, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))) WHERE x <> ''""",
+    "masked_words": _over_forest(f"""SELECT n.d AS doc_id, CAST(n.s AS INTEGER) AS sent_id, CAST(n.o AS INTEGER) AS ord, n.form AS surface, string_agg(CASE WHEN x.o = n.o THEN '[MASK]' ELSE x.form END, ' ' ORDER BY x.o) AS masked, any_value(c.list) AS candidates
+        FROM tok n JOIN (VALUES {_SETS}) c(word, list) ON c.word = lower(n.form) JOIN tok x ON x.d = n.d AND x.s = n.s GROUP BY n.d, n.s, n.o, n.form"""),
+    "coreference_tokens": _over_forest("SELECT d AS doc_id, count(*) AS n_tokens, md5(string_agg(CAST(b AS VARCHAR) || ':' || CAST(e AS VARCHAR), ',' ORDER BY s, o)) AS places_md5 FROM tok GROUP BY d"),
+    "multiword_forms": _over_forest('SELECT n.d AS doc_id, CAST(n.s AS INTEGER) AS sent_id, CAST(n.o AS INTEGER) AS "begin", n.form || \' \' || x.form AS forms FROM tok n JOIN tok x ON x.d = n.d AND x.s = n.s AND x.o = n.o + 1 WHERE (n.o + n.d + n.s) % 2 = 0'),
     "forest": _over_forest("""SELECT lang, count(*) AS n_sentences, CAST(sum(n) AS BIGINT) AS n_nodes, CAST(sum(w) AS BIGINT) AS n_mwts, CAST(sum(chars) AS BIGINT) AS n_chars FROM (SELECT d, s, any_value(lang) AS lang, count(*) AS n, max(e) AS chars,
         count_if((o + d + s) % 2 = 0 AND o < last) AS w FROM (SELECT *, max(o) OVER (PARTITION BY d, s) AS last FROM tok) GROUP BY d, s) GROUP BY lang"""),
     "clean_text": r"SELECT doc_id, md5(c) AS cleaned_md5, CAST(length(c) AS BIGINT) AS n_chars_clean FROM (SELECT doc_id, trim(regexp_replace(regexp_replace(text, '\p{Cc}', '', 'g'), '[\s\p{Z}]+', ' ', 'g')) AS c FROM documents)",

@@ -72,15 +72,18 @@ SUBJECT_SHARING = _whole(f""", subs AS (SELECT c.d, c.s, c.head, string_agg('Sha
 VERBAL_ELLIPSIS = _whole(f"""{_row('n.deprel', 'n.b', 'n.e')} FROM tok n WHERE n.deprel NOT IN {_q(L.AUXILIARY_RELATIONS)} AND (n.upos = 'AUX' OR n.xpos = 'AUX'
     OR (lower(n.lemma) IN {_q(L.STRANDED_LEMMAS)} AND n.upos IN ('VERB', 'AUX') AND NOT {_kids("c.upos IN ('VERB', 'AUX') OR c.deprel IN ('obj', 'obja')")}))""")
 
+_SUB = f", sub AS (SELECT a.d, a.s, a.a, min(m.b) AS b, max(m.e) AS e FROM anc a JOIN tok m ON {_same('m', 'a')} AND m.o = a.o GROUP BY ALL), agents AS"
 _marks = lambda of: f"k.deprel = 'case' AND ({_in(L.AGENT_PREPOSITIONS, 'lower(k.lemma)', of)} OR {_in(L.AGENT_PREPOSITIONS, 'lower(k.form)', of)})"
-PASSIVE = _whole(f""", agents AS (SELECT c.d, c.s, c.head, c.o, min(k.o) AS k FROM tok c JOIN tok k ON {_same('k', 'c')} AND k.head = c.o AND {_marks('c.lang')} WHERE c.deprel IN ('obl', 'obl:agent') GROUP BY ALL),
+_passive = lambda more, joins: _whole(f""", sub AS (SELECT a.d, a.s, a.a, min(m.b) AS b, max(m.e) AS e FROM anc a JOIN tok m ON {_same('m', 'a')} AND m.o = a.o GROUP BY ALL), agents AS (SELECT c.d, c.s, c.head, c.o, min(k.o) AS k FROM tok c JOIN tok k ON {_same('k', 'c')} AND k.head = c.o AND {_marks('c.lang')} WHERE c.deprel IN ('obl', 'obl:agent') GROUP BY ALL),
     agent AS (SELECT d, s, head, min(o) AS o, arg_min(k, o) AS k FROM agents GROUP BY d, s, head),
     verbs AS (SELECT n.d, n.s, n.o, 'canonical' AS kind, v.o AS v, n.o AS x, {_first("c.deprel IN ('nsubj:pass', 'csubj:pass')", 'v')} AS u FROM tok n JOIN tok v ON {_same('v')} AND v.o = n.head WHERE n.deprel = 'aux:pass'
       UNION ALL SELECT n.d, n.s, n.o, 'short', n.o, NULL, NULL FROM tok n WHERE ({_in(L.PARTICIPLE_XPOS, 'n.xpos')} OR n.feats LIKE '%VerbForm=Part%') AND NOT {_kids(_u('c') + " = 'aux'")} AND n.lang IN {_q(L.AGENT_PREPOSITIONS)}
         AND EXISTS (SELECT 1 FROM agent g WHERE {_same('g')} AND g.head = n.o))
-    {_row('n.kind', 'v.b', 'v.e', [_role('Passive_verb', 'v.b', 'v.e'), _role('Passive_aux', 'x.b', 'x.e'), _role('Passive_subject', 'u.b', 'u.e'), _role('Passive_agent', 'g.b', 'g.e'), _role('Passive_agent_marker', 'k.b', 'k.e')])}
+    {_row('n.kind', 'v.b', 'v.e', [_role('Passive_verb', 'v.b', 'v.e'), _role('Passive_aux', 'x.b', 'x.e'), _role('Passive_subject', 'u.b', 'u.e'), _role('Passive_agent', 'g.b', 'g.e'), _role('Passive_agent_marker', 'k.b', 'k.e'), *more])}
     FROM verbs n JOIN tok v ON {_same('v')} AND v.o = n.v LEFT JOIN tok x ON {_same('x')} AND x.o = n.x LEFT JOIN tok u ON {_same('u')} AND u.o = n.u
-    LEFT JOIN agent ag ON {_same('ag')} AND ag.head = n.v LEFT JOIN tok g ON {_same('g')} AND g.o = ag.o LEFT JOIN tok k ON {_same('k')} AND k.o = ag.k""")
+    LEFT JOIN agent ag ON {_same('ag')} AND ag.head = n.v LEFT JOIN tok g ON {_same('g')} AND g.o = ag.o LEFT JOIN tok k ON {_same('k')} AND k.o = ag.k {joins}""")
+PASSIVE = _passive([], "").replace(_SUB, ", agents AS")
+PASSIVE_PHRASES = _passive([_role("Passive_subject_phrase", "up.b", "up.e"), _role("Passive_agent_phrase", "gp.b", "gp.e")], f"LEFT JOIN sub up ON {_same('up')} AND up.a = n.u LEFT JOIN sub gp ON {_same('gp')} AND gp.a = ag.o")
 
 _det = lambda w: _kids(f"c.deprel = 'det' AND lower(c.form) = '{w}'")
 NOMINAL_EN = _whole(f"""SELECT * FROM ({_row(f'''CASE WHEN lower(n.form) = 'none' AND NOT {_kids('true')} THEN 'none' WHEN lower(n.form) = 'one' AND {_det('every')} THEN 'every_one' WHEN lower(n.form) = 'elder' AND {_det('the')} THEN 'elder'
@@ -212,6 +215,7 @@ DETECTOR_SQL = {
     "det_subject_sharing": SUBJECT_SHARING,
     "det_verbal_ellipsis": VERBAL_ELLIPSIS,
     "det_passive": PASSIVE,
+    "det_passive_phrases": PASSIVE_PHRASES,
     "det_nominal_ellipsis_en": NOMINAL_EN,
     "det_nominal_ellipsis_de": NOMINAL_DE,
     "det_clefts": CLEFTS,

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 ATTRIBUTE = r"([A-Za-z_][\w:.-]*)=\"([^\"]*)\""
@@ -24,8 +26,13 @@ def read_xmi(spark: SparkSession, path: str, *, failed: bool = False) -> DataFra
 
     A folder gives its *.xmi files, without those below it.  Types aren't checked (what a reader doesn't know it doesn't
     ask for), and a file that isn't XMI gives no rows; with ``failed`` the names of such files are returned instead.
+    A path without any such file is an error.
     """
-    texts = spark.read.text(path if path.endswith(".xmi") else path.rstrip("/") + "/*.xmi", wholetext=True).select(F.input_file_name().alias("file"), F.col("value"))
+    pattern = path if path.endswith(".xmi") else path.rstrip("/") + "/*.xmi"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    if not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(target):
+        raise FileNotFoundError(f"no XMI files: {path}")
+    texts = spark.read.text(pattern, wholetext=True).select(F.input_file_name().alias("file"), F.col("value"))
     rows = texts.withColumn("all", F.regexp_extract_all("value", F.lit(ELEMENT), F.lit(0)))
     if failed:
         return rows.filter(~F.col("value").contains("xmi:XMI")).select("file")
@@ -43,17 +50,47 @@ def _coded(x: str) -> str:
     return x
 
 
-def write_xmi(sofas: DataFrame, annotations: DataFrame, path: str) -> None:
-    """A document an XMI text under ``path/doc_id=...``: sofas (doc_id, view, text) and annotations (doc_id, view, kind, begin, end,
-    description, category, label).  It is written whole to a new path, never over what it was read from."""
+def write_xmi(sofas: DataFrame, annotations: DataFrame, path: str) -> DataFrame:
+    """A document an XMI file under ``path``: sofas (doc_id, view, text) and annotations (doc_id, view, kind, begin, end, description,
+    category, label, and suggestion and certainty, if there).  Returns (doc_id, file).
+
+    A document's annotations come together in one task, are numbered there, so equal ones stay apart, and a file appears
+    under its name when it is whole.  It is written to a new path, never over what it was read from.
+    """
     attribute = lambda name, column: f"if({column} IS NULL, '', concat(' {name}=\"', {_coded(column)}, '\"'))"
-    line = f"concat('<custom:', kind, ' xmi:id=\"', id, '\" sofa=\"', view, '\" begin=\"', begin, '\" end=\"', end, '\"', {attribute('description', 'description')}, {attribute('category', 'category')}, {attribute('text', 'label')}, '/>')"
-    marked = annotations.withColumn("id", F.expr("cast(1000 + pmod(xxhash64(view, kind, begin, end, category, label), 2000000000) AS string)"))
-    listed = marked.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.expr(line))).alias("lines"))
+    for column, kind in (("suggestion", "string"), ("certainty", "double")):
+        if column not in annotations.columns:
+            annotations = annotations.withColumn(column, F.lit(None).cast(kind))
+    action = f"if(x.suggestion IS NULL, '', concat('<custom:SuggestedAction xmi:id=\"', 2 * i + 1001, '\"', {attribute('replacement', 'x.suggestion')}, ' certainty=\"', coalesce(x.certainty, 1.0), '\"/>\n  '))"
+    refers = "if(x.suggestion IS NULL, '', concat(' suggestions=\"', 2 * i + 1001, '\"'))"
+    line = f"concat({action}, '<custom:', x.kind, ' xmi:id=\"', 2 * i + 1000, '\" sofa=\"', x.view, '\" begin=\"', x.begin, '\" end=\"', x.end, '\"', {attribute('description', 'x.description')}, {attribute('category', 'x.category')}, {attribute('text', 'x.label')}, {refers}, '/>')"
+    held = annotations.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("view", "begin", "end", "kind", "description", "category", "label", "suggestion", "certainty"))).alias("held"))
     views = sofas.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.expr(f"concat('<cas:Sofa xmi:id=\"', view, '\" sofaID=\"', view, '\" mimeType=\"text/plain\" sofaString=\"', {_coded('text')}, '\"/>')"))).alias("sofas"))
     head = '<?xml version="1.0" encoding="UTF-8"?>\\n<xmi:XMI xmlns:xmi="http://www.omg.org/XMI" xmlns:cas="http:///uima/cas.ecore" xmlns:custom="http:///custom.ecore" xmi:version="2.0">'
-    whole = F.expr(f"concat('{head}\\n  ', array_join(concat(sofas, coalesce(lines, cast(array() AS array<string>))), '\\n  '), '\\n</xmi:XMI>')")
-    views.join(listed, "doc_id", "left").select("doc_id", whole.alias("value")).write.partitionBy("doc_id").text(path)
+    whole = F.expr(f"concat('{head}\\n  ', array_join(concat(sofas, coalesce(transform(held, (x, i) -> {line}), cast(array() AS array<string>))), '\\n  '), '\\n</xmi:XMI>')")
+    rows = views.join(held, "doc_id", "left").select("doc_id", whole.alias("value"))
+
+    def run(batches):
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
+        system.create_dir(base, recursive=True)
+        for batch in batches:
+            names = []
+            for doc, value in zip(*(c.to_pylist() for c in batch.columns)):
+                name = f"{base.rstrip('/')}/{doc}.xmi"
+                part = f"{name}.{uuid.uuid4().hex}.part"
+                with system.open_output_stream(part) as out:
+                    out.write(value.encode("utf-8", "surrogatepass"))
+                system.move(part, name)
+                names.append(name)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string())], names=["doc_id", "file"])
+
+    from ..shared import new_dir
+
+    manifest = new_dir(sofas.sparkSession, "xmi-written")
+    rows.mapInArrow(run, "doc_id long, file string").write.parquet(manifest)
+    return sofas.sparkSession.read.schema("doc_id long, file string").parquet(manifest)
 
 
 GOLD = "id string, text string, category string, is_vpe boolean, ellipsis_site string"
@@ -67,8 +104,11 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
     return whole.select(F.explode(both).alias("x")).select("x.*")
 
 
-def write_metrics(report: DataFrame, path: str) -> None:
+def write_metrics(report: DataFrame, path: str, examples: DataFrame | None = None) -> None:
+    """The report as JSON under ``path``; with ``examples``, they too, a line each, under ``path`` with ``-examples`` behind it."""
     report.write.json(path)
+    if examples is not None:
+        examples.write.json(path.rstrip("/") + "-examples")
 
 
 def http_annotator(url: str, token: str | None = None, timeout: float = 120.0) -> Callable[[Iterator], Iterator]:
