@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import lexicon as L
 from ..operators import annotate, detectors, evaluate, layers, models, text as texts
 from ..operators.trees import SENTENCES, begin, end, plain, subtree, with_ancestors
-from ..shared import new_dir
+from ..shared import exists, new_dir
 from ..sources.forest import FOREST_SQL, forest
 from .detector_sql import DETECTOR_SQL, _q
 
@@ -32,7 +32,7 @@ def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     Once a session and folder it is written under the shared folder.  A table in few files is dealt to all cores first.
     """
     stored = spark.sparkContext.__dict__.setdefault("_lingolake_forests", {})
-    if sf_dir not in stored:
+    if sf_dir not in stored or not exists(spark, stored[sf_dir]):
         docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
         cores = spark.sparkContext.defaultParallelism
         if docs.rdd.getNumPartitions() < cores:
