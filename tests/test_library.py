@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lingolake.functions import lexicon as L
 from lingolake.operators import evaluate, layers, models, text as T
-from lingolake.plans import annotators, catalog
+from lingolake.plans import annotators, queries as catalog
 
 SF = "/root/testdata/sf0.001"
 
