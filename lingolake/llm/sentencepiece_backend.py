@@ -1,11 +1,11 @@
 """SentencePiece encoding and decoding with the tokenizers library as the backend.
 
 The model file's protobuf is parsed here; normaliser, white-space marker, scores (unigram) or merges (BPE) and byte
-fallback are rebuilt as parts of the tokenizers library.  Where no piece of the vocabulary has the marker after
-another character, a text may be cut before each marker that follows another character and gives the same ids, so
-each distinct stretch is encoded once, in multithreaded batches.  Each new stretch is also compared with the
-sentencepiece library: ``parity`` says of a text whether all of its stretches agree.  Decoding takes a text's own ids,
-put together: their pieces' bytes one after the other, or the tokenizers library where ids stand for more than bytes.
+fallback are rebuilt as parts of the tokenizers library.  That library encodes every whole text, in batches, and the
+sentencepiece library encodes every whole text too: ``parity`` says whether both give the same ids.  Only a text of more
+than ``part`` characters goes through both libraries in parts, for memory, where that provably gives the same ids (see
+``Backend.parts``).  Decoding takes a text's own ids, put together: their pieces' bytes one after the other, or the
+tokenizers library where ids stand for more than bytes.
 """
 
 from __future__ import annotations
@@ -20,10 +20,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .stretches import Numbers, Stretches, parted, renewed
 from .text import pieces
 
 MARK = "▁"
+#: A space that a text may be parted at: something other than white space comes before it, and something after it.
+CUT = re.compile(f"(?<=[^ {MARK}]) (?=.)", re.S)
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
 
@@ -126,7 +127,7 @@ def merges(model: Model) -> list[tuple[str, str]]:
 class Backend:
     """Encodes and decodes as sentencepiece does; ``checked`` also compares with that library."""
 
-    def __init__(self, path: str, checked: bool = True, most: int = 200_000, batch: int = 1000):
+    def __init__(self, path: str, checked: bool = True, batch: int = 64, part: int = 1 << 18):
         from tokenizers import Tokenizer, decoders, models
 
         with open(path, "rb") as f:
@@ -143,25 +144,20 @@ class Backend:
         self.charsmap = self._charsmap()
         self.control = {p for p, _, kind in m.pieces if kind in (CONTROL, UNKNOWN)}
         usable = [p for p, _, kind in m.pieces if kind in (NORMAL, USER)]
-        #: cutting before a marker is only right if no piece spans that place
-        self.cuts = not any(re.search(f"[^{MARK}]{MARK}", p) for p in usable) and not m.suffix
+        #: parting a text before a marker is only right if no piece and no rule of the normaliser spans that place, and if the marker
+        #: is known (unknown characters in a row are one id)
+        self.cuts = MARK in usable and not any(re.search(f"[^{MARK}]{MARK}", p) for p in usable) and m.escape and m.dummy_prefix and not m.suffix and not m.charsmap
         self.reference = None
         if checked:
             import sentencepiece
 
             self.reference = sentencepiece.SentencePieceProcessor(model_proto=raw)
-        #: bytes of text that an id stands for (an unknown one: none, which parts nothing)
-        self.size = np.array([1 if kind == BYTE else len(p.encode()) if kind in (NORMAL, USER) else 0 for p, _, kind in m.pieces])
         #: the bytes of all pieces, in a row, and where each begins; ids without bytes of their own
         raw_pieces = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() if kind in (NORMAL, USER) else b"" for p, _, kind in m.pieces]
         self.flat, self.length = np.frombuffer(b"".join(raw_pieces), np.uint8), np.array([len(p) for p in raw_pieces])
         self.begin = np.cumsum(self.length) - self.length
         self.special = np.array([kind not in (NORMAL, USER, BYTE) for _, _, kind in m.pieces])
-        self.most, self.batch = most, batch
-        self.seen = Stretches()
-        self.number = Numbers(self.seen)
-        #: stretches that the libraries encode differently
-        self.differ: set[int] = set()
+        self.batch, self.part = batch, part
 
     def _charsmap(self):
         if not self.model.charsmap:
@@ -183,81 +179,40 @@ class Backend:
             text = text + " " if m.suffix else " " + text
         return text.replace(" ", MARK) if m.escape else text
 
-    def split(self, text: str) -> list[str]:
-        """Stretches of a normalised text, in order."""
-        if not text or not self.cuts:
-            return [text] if text else []
-        parts = text.split(MARK)
-        out, gap = [], ""
-        if parts[0]:
-            out.append(parts[0])
-        for p in parts[1:]:
-            gap += MARK
-            if p:
-                out.append(gap + p)
-                gap = ""
-        return [*out, gap] if gap else out
-
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _raw(self, stretch: str) -> str:
-        """The text that the sentencepiece library normalises to a stretch."""
-        drop = 1 if self.model.dummy_prefix and not self.model.suffix and stretch.startswith(MARK) else 0
-        return stretch[drop:].replace(MARK, " ")
-
-    def _learn_one(self, at: int, stretch: str) -> None:
-        (ids,) = self._encode([stretch])
-        self.seen.add([at], ids, np.array([len(ids)]))
-        if self.reference:
-            # only markers: what a text ends in, so it is compared behind a letter
-            alone = not stretch.strip(MARK)
-            known = self.reference.encode("x" + stretch.replace(MARK, " "), num_threads=1)[1:] if alone else self.reference.encode(self._raw(stretch), num_threads=1)
-            if known != ids.tolist():
-                self.differ.add(at)
-
-    def _learn(self) -> None:
-        """Stretches that begin with a marker and end without are encoded as one text each ``batch``, and parted by bytes; what
-        doesn't part or compare as a whole is done one by one."""
-        new, self.number.new = self.number.new, []
-        plain = []
-        for at, p in new:
-            if self.cuts and p[0] == MARK and p[-1] != MARK:
-                plain.append((at, p))
-            else:
-                self._learn_one(at, p)
-        parts = [tuple(zip(*plain[i : i + self.batch])) for i in range(0, len(plain), self.batch)]
-        whole = ["".join(part) for _, part in parts]
-        for (numbers, part), text, ids in zip(parts, whole, self._encode(whole)):
-            ends = parted(self.size, ids, [len(p.encode()) for p in part])
-            if ends is None or (self.reference and self.reference.encode(self._raw(text), num_threads=1) != ids.tolist()):
-                for at, p in zip(numbers, part):
-                    self._learn_one(at, p)
-            else:
-                self.seen.add(list(numbers), ids, ends)
+    def parts(self, text: str) -> list[str]:
+        """Texts whose ids, one after the other, are those of the text: itself, or parts of a very long one.  A part after the
+        first had a space before it, which the dummy prefix stands for."""
+        out, begin = [], 0
+        while self.cuts and len(text) - begin > self.part and (m := CUT.search(text, begin + self.part)):
+            out.append(text[begin : m.start()])
+            begin = m.end()
+        return [*out, text[begin:]]
 
     @classmethod
     def of_worker(cls, path: str, checked: bool = True) -> Backend:
-        """This process's backend for a file: what one task has seen helps the next."""
+        """This process's backend for a file: it is built once."""
         if (path, checked) not in BACKENDS:
             BACKENDS[path, checked] = cls(path, checked)
         return BACKENDS[path, checked]
 
     def __call__(self, texts: list[str | None]) -> list[tuple[np.ndarray, str, str, bool]]:
         """(ids, decoded text, normalised text with spaces, parity) of each text."""
-        if len(self.number) > self.most:
-            self.seen, (self.number,) = renewed(self.seen, [self.number], self.differ)
-            self.differ = set()
-        plain = [self.normalized(t) if t else "" for t in texts]
-        split = [self.split(t) for t in plain]
-        found = [list(map(self.number.__getitem__, parts)) for parts in split]
-        self._learn()
+        parts = [self.parts(t) if t else [] for t in texts]
+        flat = [p for own in parts for p in own]
+        plain = list(map(self.normalized, flat))
+        ids, same = [], []
+        for i in range(0, len(flat), self.batch):
+            for e, text in zip(self.tokenizer.encode_batch_fast(plain[i : i + self.batch], add_special_tokens=False), flat[i : i + self.batch]):
+                ids.append(np.array(e.ids, np.uint32))
+                same.append(self.reference is None or np.array_equal(ids[-1], self.reference.encode(text, num_threads=1)))
         cut = self.model.dummy_prefix and not self.model.suffix
-        out = []
-        for at, text in zip(found, plain):
-            text = text.replace(MARK, " ")
-            ids = self.seen.gather(at)
-            out.append((ids, self.decode(ids), text[1:] if cut else text, not self.differ or self.differ.isdisjoint(at)))
+        out, at = [], 0
+        for own in parts:
+            end = at + len(own)
+            text = "".join(plain[at:end]).replace(MARK, " ")
+            found = np.concatenate([np.zeros(0, np.uint32), *ids[at:end]])
+            out.append((found, self.decode(found), text[1:] if cut else text, all(same[at:end])))
+            at = end
         return out
 
     def decode(self, ids: list[int] | np.ndarray) -> str:

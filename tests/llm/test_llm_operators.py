@@ -449,6 +449,40 @@ def test_unigram_model(tmp_path):
         assert ids.tolist() == reference.encode(t) and same, repr(t)
 
 
+@pytest.mark.parametrize("kind", ["bpe", "unigram"])
+def test_parity_is_of_whole_texts(tmp_path, kind):
+    """Parity says of each whole text whether the sentencepiece library gives the same ids for it, also where that library's
+    normaliser does other things than the backend's."""
+    import io
+
+    import sentencepiece
+
+    rng, out = random.Random(3), io.BytesIO()
+    words = ["".join(rng.choice("abcdeé") for _ in range(rng.randrange(1, 6))) for _ in range(300)]
+    lines = [" ".join(rng.choice(words) for _ in range(20)) for _ in range(300)]
+    sentencepiece.SentencePieceTrainer.train(sentence_iterator=iter(lines), model_writer=out, vocab_size=290, model_type=kind, normalization_rule_name="nmt_nfkc", byte_fallback=True, minloglevel=2, hard_vocab_limit=False, num_threads=1)
+    path = tmp_path / "n.model"
+    path.write_bytes(out.getvalue())
+    backend, reference = sentencepiece_backend.Backend(str(path)), sentencepiece.SentencePieceProcessor(model_proto=out.getvalue())
+    texts = ["ﬁ\u0301", "▁\u0301", "▁", "ab ▁", *["".join(rng.choice(["a", "b", " ", "é", "\u0301", "\u0302", "ﬁ", "①", "▁", "  ", "\t", "\u200b", "日"]) for _ in range(rng.randrange(1, 9))) for _ in range(2000)]]
+    for t, (ids, _, _, same) in zip(texts, backend(texts)):
+        assert same == (ids.tolist() == reference.encode(t)), repr(t)
+
+
+def test_long_texts_in_parts():
+    """Parts of a very long text give the ids of the whole."""
+    import sentencepiece
+
+    path = tokenizer_path("piece_bpe_32k.model")
+    backend, reference = sentencepiece_backend.Backend(path, part=7, batch=3), sentencepiece.SentencePieceProcessor(model_file=path)
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("   ab▁ñ\n日") for _ in range(rng.randrange(80))) for _ in range(1000)] + [" " * 50, "a" * 50, "a b" + " " * 50, None, ""]
+    assert any(len(backend.parts(t or "")) > 5 for t in texts)
+    for t, (ids, decoded, plain, same) in zip(texts, backend(texts)):
+        assert ids.tolist() == reference.encode(t or "") and same, repr(t)
+        assert decoded == plain == (t or "").replace("▁", " ")
+
+
 # decontamination
 
 
