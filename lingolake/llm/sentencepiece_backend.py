@@ -201,8 +201,14 @@ class Backend:
         flat = [p for own in parts for p in own]
         plain = list(map(self.normalized, flat))
         ids, same = [], []
-        for i in range(0, len(flat), self.batch):
-            for e, text in zip(self.tokenizer.encode_batch_fast(plain[i : i + self.batch], add_special_tokens=False), flat[i : i + self.batch]):
+        while len(ids) < len(flat):
+            # as many at a time as have about ``part`` characters, for memory
+            begin = end = len(ids)
+            size = 0
+            while end < min(len(flat), begin + self.batch) and (end == begin or size + len(plain[end]) <= self.part):
+                size += len(plain[end])
+                end += 1
+            for e, text in zip(self.tokenizer.encode_batch_fast(plain[begin:end], add_special_tokens=False), flat[begin:end]):
                 ids.append(np.array(e.ids, np.uint32))
                 same.append(self.reference is None or np.array_equal(ids[-1], self.reference.encode(text, num_threads=1)))
         cut = self.model.dummy_prefix and not self.model.suffix
