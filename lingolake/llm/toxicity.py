@@ -56,7 +56,7 @@ def _chance(raw: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
 
 
-def _pairs(text: np.ndarray, place: np.ndarray, most: int = 1 << 22) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _pairs(text: np.ndarray, place: np.ndarray, most: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(text, place, larger place) of all pairs of places within each text, about ``most`` at a time; texts and their places ascend."""
     cut = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1], [True]])) if len(text) else np.zeros(1, np.int64)
     size = np.repeat(np.diff(cut), np.diff(cut))
@@ -84,8 +84,9 @@ def telling_pairs(text: np.ndarray, place: np.ndarray, rest: np.ndarray, spread:
     up, across = np.zeros(1 << bits), np.zeros(1 << bits)
     for t, a, b in _pairs(text, place):
         at = slot(a, b)
-        up += np.bincount(at, rest[t], 1 << bits)
-        across += np.bincount(at, spread[t], 1 << bits)
+        # (in place: a task's memory is that of the counters and of some pairs)
+        np.add.at(up, at, rest[t])
+        np.add.at(across, at, spread[t])
     hit = (across >= 2.0) & (np.abs(up) >= least * np.sqrt(across))
     found = [np.zeros(0, np.int64)]
     if hit.any():
@@ -108,7 +109,7 @@ class Machine:
         if not factor.shape[1]:
             return out, np.zeros((n, 0))
         sums = np.stack([np.bincount(text, factor[term, f], n) for f in range(factor.shape[1])], 1)
-        squares = np.bincount(text, (factor[term] ** 2).sum(1), n)
+        squares = np.bincount(text, (factor**2).sum(1)[term], n)
         return out + 0.5 * ((sums**2).sum(1) - squares), sums
 
     @classmethod

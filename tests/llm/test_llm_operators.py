@@ -656,6 +656,22 @@ def test_pairs_of_texts():
     assert list(toxicity._pairs(text[:0], place[:0])) == []
 
 
+def test_pairs_take_bounded_memory():
+    """The screening of pairs holds its counters and few pairs, however many there are."""
+    import tracemalloc
+
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    text, place = np.repeat(np.arange(60), 400), np.concatenate([np.sort(rng.choice(1 << 18, 400, replace=False)) for _ in range(60)])
+    tracemalloc.start()
+    toxicity.telling_pairs(text, place, rng.normal(0, 0.5, 60), np.full(60, 0.25), 6.0)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # two counters of 32 MB, three more to compare them
+    assert most < 220e6, most
+
+
 def test_toxicity(spark):
     rng = random.Random(5)
     texts = [(i, prose(rng, 50) + (" you Zorkwit, " if i % 5 == 0 else " fine ") + prose(rng, 20)) for i in range(600)] + [(700, None), (701, ""), (702, "zorkwit"), (703, prose(rng, 30_000) + " zorkwit"), (703, prose(rng, 20))]
