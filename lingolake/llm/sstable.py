@@ -25,13 +25,15 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .store import NewFile, new_dir, opened, written
 from .stretches import Numbers, Stretches, parted, renewed
-from .text import mix, pieces
+from .text import buffers, mix, pieces
 
 MAGIC = b"LLSST\x00\x01\n"
 FOOTER = struct.Struct("<QQQQ8s")
 BLOCK = 256 << 10
 #: A shard is closed once it has so many bytes of blocks, which bounds what its index and filter take.
 SHARD = 256 << 20
+#: Bytes of text that are encoded at a time (a longer text is a batch of its own); pieces that get their numbers at a time.
+BATCH, PIECES = 4 << 20, 1 << 20
 
 
 def int_key(i: int) -> bytes:
@@ -189,12 +191,85 @@ class Reader:
         return out
 
 
+#: Kinds of bytes for ``cuts``: letters, digits, marks, the apostrophe, white space, the space; 0 isn't looked at (solid).
+LETTER, DIGIT, MARK, APOSTROPHE, WHITE, BLANK = range(1, 7)
+KIND = np.zeros(256, np.uint8)
+KIND[:128] = MARK
+KIND[[*range(65, 91), *range(97, 123), *range(0xC3, 0xC6)]] = LETTER
+KIND[48:58], KIND[39], KIND[9:14], KIND[32] = DIGIT, APOSTROPHE, WHITE, BLANK
+#: First bytes of white space of two and three bytes, and all its characters as numbers of three bytes.
+WIDE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
+WIDE_WHITE = np.array([int.from_bytes(chr(c).encode().ljust(3, b"\0"), "big") for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)])
+#: By the kinds on both sides (eight times the first, and the second): 1 is a cut, 2 lies within white space.
+CUT = np.zeros((8, 8), np.uint8)
+CUT[:WHITE, WHITE:] = CUT[WHITE, :WHITE] = 1
+CUT[LETTER, [DIGIT, MARK, APOSTROPHE]] = CUT[DIGIT, [LETTER, MARK, APOSTROPHE]] = CUT[MARK, [LETTER, DIGIT]] = CUT[APOSTROPHE, DIGIT] = 1
+CUT[WHITE:, WHITE:] = 2
+CUT = CUT.ravel()
+
+
+def kinds(data: np.ndarray) -> np.ndarray:
+    """The kind of each byte of UTF-8."""
+    n, kind = len(data), KIND[data]
+    every = np.flatnonzero(data > 0xC1)
+    for begin in range(0, len(every), PIECES):
+        wide = every[begin : begin + PIECES]
+        first, second, third = (data[np.minimum(wide + i, n - 1)].astype(np.int64) for i in range(3))
+        latin = (first >= 0xC3) & (first <= 0xC5)
+        sign = (first == 0xC3) & ((second == 0x97) | (second == 0xB7))
+        kind[wide[sign]] = 0
+        kind[wide[latin & ~sign] + 1] = LETTER
+        some = WIDE[first]
+        white = wide[some][np.isin(first[some] << 16 | second[some] << 8 | third[some] * (first[some] != 0xC2), WIDE_WHITE)]
+        for i in range(3):
+            at = white[data[white] != 0xC2] if i == 2 else white
+            kind[at + i] = WHITE
+    return kind
+
+
+def cuts(data: np.ndarray, offsets: np.ndarray, added: Iterable[bytes] = ()) -> np.ndarray:
+    """Where texts may be cut so that their pieces give the ids of the whole: ascending places, both ends included.
+
+    The pre-tokenizer's pattern ends a token where solid characters meet white space and, within these, between letters,
+    digits and marks (behind an apostrophe not always).  Of white space before a solid character the last one stands
+    alone, or goes with that character if it is a space; at a text's end it is one token.  Letters beyond U+017F and other
+    signs are left as they are.  Texts with an added token are cut only before single spaces between solid characters.
+    """
+    n = len(data)
+    if not n:
+        return np.zeros(1, np.int64)
+    kind = kinds(data)
+    code = CUT[kind[:-1] << 3 | kind[1:]]
+    border = np.zeros(n + 1, bool)
+    border[offsets] = True
+    within = np.flatnonzero(code == 2) + 1
+    if len(within):
+        code[within - 1] = 0
+        within = within[data[within] & 0xC0 != 0x80]
+        after = within + 1 + (data[within] > 127) + (data[within] > 0xDF)
+        code[within[~border[after] & (kind[np.minimum(after, n - 1)] < WHITE)] - 1] = 1
+    raw = data.tobytes() if added else b""
+    for token in added:
+        at = raw.find(token)
+        while at >= 0:
+            held = int(np.searchsorted(offsets, at, "right"))
+            a, b = int(offsets[held - 1]), int(offsets[held])
+            if at + len(token) > b:  # it would reach into the next text
+                at = raw.find(token, at + 1)
+                continue
+            solid = kind[a:b] < WHITE
+            code[a : b - 1] = 0
+            code[a : max(a, b - 2)] = solid[:-2] & (kind[a + 1 : b - 1] == BLANK) & solid[2:]
+            at = raw.find(token, b)
+    border[1:n] |= code == 1
+    return np.flatnonzero(border)
+
+
 class PieceEncoder:
-    """Encodes texts with a byte-level BPE of the tokenizers library; each distinct stretch between spaces once.
+    """Encodes texts with a byte-level BPE of the tokenizers library (without a normaliser); each distinct piece once.
 
-    The pre-tokenizer never joins what stands before a space with what follows it, when the space stands alone
-    between two characters that aren't white space; so a text may be cut there and gives the same ids.  A text in which
-    white space stands next to a space is cut only where that holds.  New stretches are encoded many at a time as one
+    Texts are cut where the ids of the pieces are those of the whole (``cuts``).  Pieces get numbers a batch at a time: Arrow
+    tells the distinct ones, so that a Python object is made for these only.  New ones are encoded many at a time as one
     text and parted by the bytes of their tokens.  Of those seen, ``most`` and the ``most`` of the generation before are kept.
     """
 
@@ -203,16 +278,14 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.batch = Tokenizer.from_file(path), most, batch
-        added = {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        added = {i: t.content.encode() for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.size = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():
-            self.size[i] = added.get(i, len(token))
+            self.size[i] = len(added.get(i, token))
+        self.added = list(added.values())
         self.seen = Stretches()
-        #: numbers of the stretches that follow a space (without it), and of those that begin a text
-        self.inner, self.first = Numbers(self.seen, whole=True), Numbers(self.seen)
-        #: those of texts in which white space stands next to a space
-        self.loose = Numbers(self.seen)
+        self.known = Numbers(self.seen)
 
     @classmethod
     def of_worker(cls, path: str) -> PieceEncoder:
@@ -224,78 +297,55 @@ class PieceEncoder:
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self) -> None:
-        """Encodes the stretches that got numbers.  Letters with closing marks behind them are two stretches to the
-        pre-tokenizer, so they are put together from those of the letters and of the marks."""
-        new, self.inner.new = self.inner.new, []
-        plain, ended = [], []
-        for at, part in new:
-            core = part.rstrip(",.!?;:)*#$%&")
-            if core != part and core.isalpha():
-                ended.append((at, self.inner[core], self.first[part[len(core) :]]))
-            else:
-                plain.append((at, part))
-        plain += self.inner.new
-        self.inner.new = []
-        for i in range(0, len(plain), self.batch):
-            numbers, part = zip(*plain[i : i + self.batch])
-            text = " " + " ".join(part)
-            (ids,) = self._ids([text])
-            # no stretch has a space in it
-            raw = np.frombuffer(text.encode(), np.uint8)
-            ends = parted(self.size, ids, np.diff(np.append(np.flatnonzero(raw == 32), len(raw))))
-            if ends is None:
-                every = self._ids([" " + p for p in part])
-                ids, ends = np.concatenate(every), np.cumsum([len(x) for x in every])
-            self.seen.add(list(numbers), ids, ends)
-        if self.loose.new:
-            numbers, part = zip(*self.loose.new)
-            self.loose.new = []
-            every = self._ids([" " + p for p in part])
-            self.seen.add(list(numbers), np.concatenate(every), np.cumsum([len(x) for x in every]))
-        if self.first.new:
-            numbers, part = zip(*self.first.new)
-            self.first.new = []
-            every = self._ids(list(part))
-            self.seen.add(list(numbers), np.concatenate(every), np.cumsum([len(x) for x in every]))
-        if ended:
-            at, both = np.array([x[0] for x in ended]), np.array([x[1:] for x in ended])
-            self.seen.add(at, self.seen.gather(both.ravel()), np.cumsum(self.seen.size[both].sum(1)))
-
-    @staticmethod
-    def careful(text: str) -> list[str]:
-        """Stretches that give the text when joined by a space, cut only between characters that aren't white space."""
-        out = []
-        for p in text.split(" "):
-            if out and (not p or p[0].isspace() or not out[-1] or out[-1][-1].isspace()):
-                out[-1] = f"{out[-1]} {p}"
-            else:
-                out.append(p)
-        return out
-
-    def _numbered(self, text: str) -> list[int]:
-        parts = text.split(" ")
-        head = parts[0]
-        self.inner.bad = not head or head[-1].isspace()
-        found = list(map(self.inner.__getitem__, parts[1:])) if not self.inner.bad else []
-        if self.inner.bad:
-            head, *rest = self.careful(text)
-            found = [self.loose[p] if " " in p or p[-1].isspace() else self.inner[p] for p in rest]
-        return [self.first[head], *found]
-
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.inner) + len(self.first) + len(self.loose) > self.most:
-            self.seen, (self.inner, self.first, self.loose) = renewed(self.seen, [self.inner, self.first, self.loose])
-        # many long lists of strings, but no cycles: the collector would only walk through them
+    def _learn(self, pieces: np.ndarray, numbers: np.ndarray) -> None:
+        """Encodes new pieces."""
+        raw, sizes = b"".join(pieces), np.fromiter(map(len, pieces), np.int64, len(pieces))
+        kind, starts = kinds(np.frombuffer(raw, np.uint8)), np.cumsum(sizes) - sizes
+        white = np.add.reduceat(kind >= WHITE, starts, dtype=np.int64)
+        spaced = (kind[starts] == BLANK) & (white == 1) & (sizes > 1)
+        # solid ones behind a space follow one another, others are parted by line ends; the rest has white space within
+        for group, between in ((spaced, b""), (white == 0, b"\n"), ((white > 0) & ~spaced, None)):
+            at = np.flatnonzero(group)
+            for i in range(0, len(at), self.batch):
+                some, ends = at[i : i + self.batch], None
+                part = pieces[some].tolist()
+                if between is not None:
+                    (ids,) = self._ids([between.join(part).decode()])
+                    step = 1 + len(between)
+                    lengths = np.ones(step * len(some) - len(between), np.int64)
+                    lengths[::step] = sizes[some]
+                    ends = parted(self.size, ids, lengths)
+                if ends is None:
+                    every, step = self._ids([p.decode() for p in part]), 1
+                    ids, ends = np.concatenate(every), np.cumsum([len(x) for x in every])
+                self.seen.add(numbers[some], ids, np.append(0, ends[:-1])[::step], ends[::step])
+
+    def __call__(self, texts: list[str | None] | pa.Array) -> list[np.ndarray]:
+        if len(self.known) > self.most:
+            self.seen, (self.known,) = renewed(self.seen, [self.known])
+        data, offsets = buffers(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()))
+        places = cuts(data, offsets, self.added)
+        found, sizes = [], np.zeros(len(places), np.int64)
+        # many bytes objects, but no cycles: the collector would only walk through them
         collecting = gc.isenabled()
         gc.disable()
         try:
-            numbers = [self._numbered(t) if t else [] for t in texts]
-            self._learn()
-            return [self.seen.gather(at) for at in numbers]
+            for i in range(0, len(places) - 1, PIECES):
+                part = places[i : i + PIECES + 1]
+                cut = pa.Array.from_buffers(pa.large_binary(), len(part) - 1, [None, pa.py_buffer(part), pa.py_buffer(data)]).dictionary_encode()
+                distinct = cut.dictionary.to_numpy(zero_copy_only=False)
+                numbers, new = self.known.of(distinct)
+                if len(new):
+                    self._learn(distinct[new], numbers[new])
+                numbers = numbers[cut.indices.to_numpy()]
+                found.append(self.seen.gather(numbers))
+                sizes[i + 1 : i + len(part)] = self.seen.size[numbers]
         finally:
             if collecting:
                 gc.enable()
+        ids = np.concatenate([np.zeros(0, np.uint32), *found]) if len(found) != 1 else found[0]
+        ends = np.cumsum(sizes)[np.searchsorted(places, offsets)].tolist()
+        return [ids[a:b] for a, b in zip(ends, ends[1:])]
 
 
 #: By file, in each Python worker.
@@ -322,9 +372,9 @@ def write_shards(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text:
         def told():
             return pa.RecordBatch.from_pydict({"shard": [part << 32 | number], "uri": [writer.close()], "entries": [writer.n], "ids": [writer.ids]}, schema)
 
-        for batch in pieces(batches):
+        for batch in pieces(batches, most=BATCH):
             part = batch.column(2)[0].as_py()
-            for k, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
+            for k, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1))):
                 if writer is None:
                     writer = Writer(folder, f"{part:06d}-{number:06d}.sst", block)
                 writer.add(int_key(k), np.append(ids, np.uint32(end_id)))

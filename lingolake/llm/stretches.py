@@ -2,31 +2,33 @@
 
 from __future__ import annotations
 
+from itertools import repeat
+
 import numpy as np
 
 
 class Numbers(dict):
-    """Numbers of stretches; a new one gets the next number when it is first asked for, and waits in ``new``.
+    """Numbers of stretches; new ones get the next numbers when they are first asked for.
 
     ``old`` has those of the generation before, which come over when they are asked for again.
     """
 
-    def __init__(self, seen: Stretches, old: dict[str, int] | None = None, whole: bool = False):
-        self.seen, self.old, self.new = seen, old or {}, []
-        #: ``whole``: stretches that begin or end in white space get no number, and ``bad`` tells that one was asked for
-        self.whole, self.bad = whole, False
+    def __init__(self, seen: Stretches, old: dict[bytes, int] | None = None):
+        self.seen, self.old = seen, old or {}
 
-    def __missing__(self, stretch: str) -> int:
-        if self.whole and (not stretch or stretch[0].isspace() or stretch[-1].isspace()):
-            self.bad = True
-            return 0
-        at = self.old.get(stretch)
-        if at is None:
-            at = self.seen.given
-            self.seen.given = at + 1
-            self.new.append((at, stretch))
-        self[stretch] = at
-        return at
+    def of(self, stretches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of distinct stretches, and the places of those that are new."""
+        n = len(stretches)
+        out = np.fromiter(map(self.get, stretches, repeat(-1)), np.int64, n)
+        missing = np.flatnonzero(out < 0)
+        asked = stretches[missing].tolist()
+        at = np.fromiter(map(self.old.get, asked, repeat(-1)), np.int64, len(asked))
+        new = np.flatnonzero(at < 0)
+        at[new] = np.arange(self.seen.given, self.seen.given + len(new))
+        self.seen.given += len(new)
+        self.update(zip(asked, at.tolist()))
+        out[missing] = at
+        return out, missing[new]
 
 
 class Stretches:
@@ -36,14 +38,13 @@ class Stretches:
         self.given = self.used = 0
         self.begin, self.size, self.flat = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.uint32)
 
-    def add(self, numbers: list[int] | np.ndarray, ids: np.ndarray, ends: np.ndarray) -> None:
-        """Adds stretches whose ids end at ``ends`` within ``ids``."""
+    def add(self, numbers: list[int] | np.ndarray, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Adds stretches whose ids lie between ``starts`` and ``ends`` within ``ids``."""
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while self.given > len(self.begin):
             self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
         self.flat[self.used : self.used + len(ids)] = ids
-        starts = np.concatenate([[0], ends[:-1]])
         self.begin[numbers] = self.used + starts
         self.size[numbers] = ends - starts
         self.used += len(ids)
@@ -67,8 +68,9 @@ def renewed(seen: Stretches, known: list[Numbers], without: set[int] = frozenset
         first = fresh.given
         fresh.given += len(at)
         if len(at):
-            fresh.add(np.arange(first, fresh.given), seen.gather(at), np.cumsum(seen.size[at]))
-        out.append(Numbers(fresh, dict(zip(kept, range(first, fresh.given))), numbers.whole))
+            ends = np.cumsum(seen.size[at])
+            fresh.add(np.arange(first, fresh.given), seen.gather(at), ends - seen.size[at], ends)
+        out.append(Numbers(fresh, dict(zip(kept, range(first, fresh.given)))))
     return fresh, out
 
 

@@ -918,6 +918,34 @@ def test_piece_encoder():
         assert [x.tolist() for x in encode(part)] == [reference.encode(t, add_special_tokens=False).ids for t in part]
 
 
+def test_piece_cuts():
+    """Pieces give the ids of the whole text whatever stands next to them: all kinds of letters, marks and white space."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    reference, encode = Tokenizer.from_file(path), sstable.PieceEncoder(path)
+    every = [chr(c) for c in [*range(0x3100), 0xFEFF, 0xFF01, 0x10348, 0x1F600]]
+    texts = [f"a{c}b {c}. 1{c}{c} x{c} y'{c}s\n{c}é{c} \t{c}" for c in every]
+    texts += [None, "", " ", "\n\n", " x", "x ", "\n", "it's '' 's don't", "a\n\n<|endoftext|>", "<|endof", "text|> \n y", "<", "|endoftext|>.b", "x <|endoftext|> y\r\n"] * 3
+    column = pa.array(texts, pa.string())
+    for part in (column, column.slice(700, 900)):
+        assert [x.tolist() for x in encode(part)] == [reference.encode(t or "", add_special_tokens=False).ids for t in part.to_pylist()]
+
+
+def test_pieces_are_encoded_once():
+    """Words cost the library one encoding each, whatever marks and line ends stand next to them."""
+    encode, told = sstable.PieceEncoder(tokenizer_path("byte_bpe_50k.json")), []
+    plain = encode._ids
+    encode._ids = lambda texts: told.extend(texts) or plain(texts)
+    rng = random.Random(6)
+    names = sorted({"".join(rng.choice("abcdefghij") for _ in range(8)) for _ in range(300)})
+    texts = ["".join(rng.choice(names) + rng.choice([" ", ", ", ".\n", ".\n\n", "; ", "-", "\n"]) for _ in range(400)) for _ in range(50)]
+    encode(texts)
+    # each word with a space before it and without; marks and line ends between them
+    assert sum(map(len, told)) < 2 * 10 * len(names) + 1000
+
+
 def test_shards(spark):
     from tokenizers import Tokenizer
 
