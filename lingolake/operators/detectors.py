@@ -23,8 +23,10 @@ ROLES = "array<struct<label:string,begin:int,end:int,text:string>>"
 
 def _hits(sentences: DataFrame, where: str, *, ancestors: bool = False) -> DataFrame:
     """A row (keys, nodes, n) for each node n that the condition holds for; with ``ancestors``, those of nodes are there too."""
-    hits = fixed(plain(sentences).select(*KEYS, "nodes", F.expr(f"transform(filter(nodes, n -> coalesce({where}, false)), n -> n.ord)").alias("hits"))).filter("size(hits) > 0")
-    return (with_ancestors(hits) if ancestors else hits).select(*KEYS, "nodes", F.explode("hits").alias("at")).select(*KEYS, "nodes", F.expr("nodes[at - 1]").alias("n"))
+    rows, at = plain(sentences), F.expr(f"transform(filter(nodes, n -> coalesce({where}, false)), n -> n.ord)")
+    if ancestors:
+        rows, at = with_ancestors(fixed(rows.select(*KEYS, "nodes", at.alias("hits"))).filter("size(hits) > 0")), F.col("hits")
+    return rows.select(*KEYS, "nodes", F.explode(at).alias("at")).select(*KEYS, "nodes", F.expr("nodes[at - 1]").alias("n"))
 
 
 def _kinds(sentences: DataFrame, wheres: dict[str, str], *, ancestors: bool = False) -> DataFrame:

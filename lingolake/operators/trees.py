@@ -9,11 +9,23 @@ shuffle, and detection keeps the scan's partitions.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType, _parse_datatype_string
 
 NODE = "struct<ord:int,form:string,lemma:string,upos:string,xpos:string,feats:map<string,string>,head:int,deprel:string,t_start:int,t_end:int>"
 SENTENCES = f"doc_id long, view string, sent_id int, lang string, text string, nodes array<{NODE}>, mwts array<struct<form:string,first_ord:int,last_ord:int>>"
 
 
+def sentences_of(*fields: str, text: bool = True, mwts: bool = True) -> StructType:
+    """The type of sentences whose nodes have ``ord`` and some fields only (all, if none are named) and no nulls in them."""
+    node = StructType([StructField(f.name, f.dataType, False) for f in _parse_datatype_string(NODE) if not fields or f.name in ("ord", *fields)])
+    kept = [f for f in _parse_datatype_string(SENTENCES) if (text or f.name != "text") and (mwts or f.name != "mwts")]
+    return StructType([StructField(f.name, ArrayType(node, False), False) if f.name == "nodes" else f for f in kept])
+
+
+def _node_fields(rows: DataFrame) -> list[StructField]:
+    return rows.schema["nodes"].dataType.elementType.fields
+
+
 def fixed(rows: DataFrame) -> DataFrame:
     """The same rows, with columns that the optimizer takes as given.
 
@@ -27,7 +39,9 @@ FIELDS = ("form", "lemma", "upos", "xpos", "deprel")
 
 
 def plain(sentences: DataFrame) -> DataFrame:
-    """Nulls in string fields of nodes become empty, null heads 0."""
+    """Nulls in string fields of nodes become empty, null heads 0; where their type rules nulls out, nothing is done."""
+    if not sentences.schema["nodes"].dataType.containsNull and not any(f.nullable for f in _node_fields(sentences)):
+        return sentences
     strings = ", ".join(f"'{c}', coalesce(n.{c}, '')" for c in FIELDS)
     return fixed(sentences.withColumn("nodes", F.expr(f"transform(nodes, n -> named_struct('ord', n.ord, {strings}, 'feats', coalesce(n.feats, map()), 'head', coalesce(n.head, 0), 't_start', n.t_start, 't_end', n.t_end))")))
 
@@ -43,7 +57,7 @@ def with_ancestors(rows: DataFrame) -> DataFrame:
     paths = f"""aggregate({rounds}, transform(nodes, n -> array(n.ord, n.head)),
         (paths, r) -> transform(paths, p -> if({inner}, concat(p, slice(paths[element_at(p, -1) - 1], 2, size(nodes))), p)))"""
     rows = fixed(rows.withColumn("__paths", F.expr(paths)))
-    every = ", ".join(f"'{c}', n.{c}" for c in ("ord", *FIELDS, "feats", "head", "t_start", "t_end"))
+    every = ", ".join(f"'{f.name}', n.{f.name}" for f in _node_fields(rows))
     return fixed(rows.withColumn("nodes", F.expr(f"transform(nodes, (n, i) -> named_struct({every}, 'anc', __paths[i]))")).drop("__paths"))
 
 

@@ -16,7 +16,7 @@ from .detector_sql import _q
 
 def emphasis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forms in capitals, shouted or not; the evidence goes by their place."""
-    rows = _nodes(_sentences(spark, sf_dir)).filter(F.expr("n.form RLIKE '^[A-Z]{2,}$'"))
+    rows = _nodes(_sentences(spark, sf_dir, "form")).filter(F.expr("n.form RLIKE '^[A-Z]{2,}$'"))
     place = F.col("n.ord")
     return rows.groupBy("lang", F.col("n.form").alias("form"), texts.is_emphasis(F.col("lang"), F.col("n.form"), place % 2 == 0, place % 5 == 0, place % 3 == 0).alias("emphasis")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -38,7 +38,7 @@ LONG_FORMS_SQL = f"""SELECT item_id, part, part <> '' AND NOT starts_with(part,
 
 def next_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Neighbouring words that are fixed together; German verb particles that words begin with; capitals taken over."""
-    pairs = _sentences(spark, sf_dir).select("lang", F.explode(F.expr("transform(nodes, n -> named_struct('a', n.form, 'b', coalesce(get(nodes, n.ord).form, ''), 'lemma', n.lemma))")).alias("x"))
+    pairs = _sentences(spark, sf_dir, "form", "lemma").select("lang", F.explode(F.expr("transform(nodes, n -> named_struct('a', n.form, 'b', coalesce(get(nodes, n.ord).form, ''), 'lemma', n.lemma))")).alias("x"))
     known = texts.lexicalised_prep_article(F.col("x.a"), F.col("x.b"))
     rows = pairs.select("lang", known.alias("fixed"), F.size(texts.particle_lengths("x.a")).alias("particles"), F.length(texts.match_case(F.col("x.lemma"), F.col("x.a"))).alias("chars"), (texts.match_case(F.col("x.lemma"), F.col("x.a")) == F.col("x.lemma")).alias("same"))
     return rows.groupBy("lang", "fixed", "particles", "same").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
@@ -59,7 +59,7 @@ CLUSTER_IDS_SQL = "SELECT item_id % 3 = 0 AS is_id, count(*) AS n FROM benchmark
 
 def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coreference clusters by arithmetic over a document's first sentence, as phrases; some lie out of range."""
-    first = _sentences(spark, sf_dir).filter("sent_id = 0")
+    first = _sentences(spark, sf_dir, "t_start", "t_end").filter("sent_id = 0")
     clusters = first.select("doc_id", F.expr("array(array(array(cast(doc_id % 5 AS int), cast(doc_id % 5 + 2 AS int)), array(1, 1)), array(array(0, cast(doc_id % 15 AS int))))").alias("clusters"))
     tokens = first.select("doc_id", F.explode("nodes").alias("n")).select("doc_id", (F.col("n.ord") - 1).alias("place"), F.col("n.t_start").alias("begin"), F.col("n.t_end").alias("end"))
     return models.mentions(clusters, tokens)
@@ -84,7 +84,7 @@ PLAN_COMMANDS_SQL = f"""WITH steps(pos, command, target, flag, phenomenon) AS (V
 
 def annotate_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run that does its own annotations anew and leaves those of others."""
-    sentences = _sentences(spark, sf_dir)
+    sentences = _sentences(spark, sf_dir, "form", "lemma", "upos", "xpos", "deprel", "head", "t_start", "t_end")
     existing = annotate.detect(sentences, "verbal_ellipsis").unionByName(annotate.detect(sentences.filter("doc_id % 2 = 0"), "bare_questions"))
     again = annotate.run_again(existing, sentences, "bare_questions", replace=True)
     return again.groupBy("doc_id", "phenomenon", "kind", "category").agg(F.count(F.lit(1)).alias("n"))
@@ -92,7 +92,7 @@ def annotate_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conllu_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The CoNLL-U blocks themselves, by their hashes."""
-    return layers.to_conllu(_sentences(spark, sf_dir)).select("doc_id", "sent_id", F.md5("block").alias("block_md5"))
+    return layers.to_conllu(_sentences(spark, sf_dir, text=True, mwts=True)).select("doc_id", "sent_id", F.md5("block").alias("block_md5"))
 
 
 _FEATS = "CASE feats WHEN '' THEN '_' WHEN 'Gender=Masc|Case=Acc' THEN 'Case=Acc|Gender=Masc' WHEN 'Gender=Fem|Case=Dat' THEN 'Case=Dat|Gender=Fem' WHEN 'Gender=Neut|Case=Nom|Number=Sing' THEN 'Case=Nom|Gender=Neut|Number=Sing' ELSE feats END"

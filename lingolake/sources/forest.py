@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.trees import SENTENCES
+from ..operators.trees import sentences_of
 
 SIZE = 12
 TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_ \t\n\x0B\f\r]"
@@ -48,28 +48,29 @@ ROWS = [node.split() for pattern in PATTERNS for node in re.split(r",\s+", patte
 EVERY = 9
 
 
-def forest(docs: DataFrame) -> DataFrame:
+def forest(docs: DataFrame, *fields: str, text: bool = True, mwts: bool = True) -> DataFrame:
     """Sentences (see ``operators.trees``) of documents (doc_id, text, lang); null ids and texts give none.
 
     Tokens are cut by Spark, and trees grown on whole Arrow batches of them, as a parser's front end would give them.  It keeps
-    the partitions of ``docs``: of a table in one file, deal the documents to more (see ``plans.catalog``).
+    the partitions of ``docs``: of a table in one file, deal the documents to more (see ``plans.catalog``).  ``fields`` are those that
+    nodes are to have besides ``ord`` (all, if none are named); what nobody reads needn't come out of the workers.
     """
     rows = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.expr(f"regexp_extract_all(text, '{TOKEN.replace(chr(92), chr(92) * 2)}', 0)").alias("w")).filter("size(w) > 0")
 
     def run(batches):
         for batch in batches:
             for i in range(0, batch.num_rows, 64):
-                yield grown(batch.slice(i, 64))
+                yield grown(batch.slice(i, 64), fields, text=text, mwts=mwts)
 
-    return rows.mapInArrow(run, SENTENCES)
+    return rows.mapInArrow(run, sentences_of(*fields, text=text, mwts=mwts))
 
 
 def _taken(pool: list[str], at: np.ndarray) -> pa.Array:
     return pa.array(pool, pa.string()).take(pa.array(at))
 
 
-def grown(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """The sentences of a batch (doc_id, lang, tokens), all tokens at once."""
+def grown(batch: pa.RecordBatch, fields: tuple[str, ...] = (), *, text: bool = True, mwts: bool = True) -> pa.RecordBatch:
+    """The sentences of a batch (doc_id, lang, tokens), all tokens at once; ``fields`` as for ``forest``."""
     keys = batch.column(0).to_numpy(zero_copy_only=False)
     tokens, counts = batch.column(2).flatten(), pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False).astype(np.int64)
     total, begin = int(counts.sum()), np.cumsum(counts) - counts
@@ -90,37 +91,44 @@ def grown(batch: pa.RecordBatch) -> pa.RecordBatch:
     columns = [[r[c].replace("_", "") if c == 6 else r[c] for r in ROWS] for c in range(7)]
     own = np.where(np.fmod(o * 5 + d + s, 3) == 0, total + np.fmod(o * 7 + d * 3 + s * 11, len(FORMS)), np.arange(total))
     forms = pa.concat_arrays([tokens.cast(pa.string()), pa.array(FORMS + columns[0], pa.string())]).take(pa.array(np.where(fixed, total + len(FORMS) + at, own)))
-    lemma = np.where(np.fmod(o + 2 * d + s, 2) == 0, np.arange(total), total + np.fmod(eval(LEMMA_AT, {}, numbers), len(LEMMAS)))  # noqa: S307
-    lemmas = pa.concat_arrays([pc.utf8_lower(forms), pa.array(LEMMAS + columns[1], pa.string())]).take(pa.array(np.where(fixed, total + len(LEMMAS) + at, lemma)))
-    head = np.where(o == 1, 0, 1 + np.fmod(7 * o + 3 * d + s, np.maximum(o - 1, 1)))
-    head = np.where(fixed, np.array([int(x) for x in columns[5]])[at], head).astype(np.int32)
     glue = (o > 1) & (np.fmod(o + d + s, 3) == 0)
     gap = (o > 1) & ~glue
     length = pc.utf8_length(forms).to_numpy(zero_copy_only=False).astype(np.int64)
     ends = np.cumsum(length + gap)
     ends = ends - np.repeat((np.cumsum(length + gap) - length - gap)[first], size)
-    parts = [[x.split("=") for x in f.split("|") if x] for f in FEATS + columns[6]]
-    many, flat = np.array([len(x) for x in parts]), [x for part in parts for x in part]
-    code = told(6, FEATS, FEATS_AT)
-    n = many[code]
-    entry = np.repeat((np.cumsum(many) - many)[code] - np.cumsum(n) + n, n) + np.arange(n.sum())
-    feats = pa.MapArray.from_arrays(pa.array(np.append(0, np.cumsum(n)), pa.int32()), _taken([x[0] for x in flat], entry), _taken([x[1] for x in flat], entry))
-    node = {
-        "ord": pa.array(o, pa.int32()), "form": forms, "lemma": lemmas, "upos": _taken(UPOS + columns[2], told(2, UPOS, UPOS_AT)), "xpos": _taken(XPOS + columns[3], told(3, XPOS, XPOS_AT)), "feats": feats,
-        "head": pa.array(head), "deprel": _taken(RELATIONS + columns[4], told(4, RELATIONS, RELATION_AT)), "t_start": pa.array(ends - length, pa.int32()), "t_end": pa.array(ends, pa.int32()),
+
+    def lemmas() -> pa.Array:
+        lemma = np.where(np.fmod(o + 2 * d + s, 2) == 0, np.arange(total), total + np.fmod(eval(LEMMA_AT, {}, numbers), len(LEMMAS)))  # noqa: S307
+        return pa.concat_arrays([pc.utf8_lower(forms), pa.array(LEMMAS + columns[1], pa.string())]).take(pa.array(np.where(fixed, total + len(LEMMAS) + at, lemma)))
+
+    def heads() -> pa.Array:
+        head = np.where(o == 1, 0, 1 + np.fmod(7 * o + 3 * d + s, np.maximum(o - 1, 1)))
+        return pa.array(np.where(fixed, np.array([int(x) for x in columns[5]])[at], head).astype(np.int32))
+
+    def feats() -> pa.Array:
+        parts = [[x.split("=") for x in f.split("|") if x] for f in FEATS + columns[6]]
+        many, flat = np.array([len(x) for x in parts]), [x for part in parts for x in part]
+        code = told(6, FEATS, FEATS_AT)
+        n = many[code]
+        entry = np.repeat((np.cumsum(many) - many)[code] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return pa.MapArray.from_arrays(pa.array(np.append(0, np.cumsum(n)), pa.int32()), _taken([x[0] for x in flat], entry), _taken([x[1] for x in flat], entry))
+
+    made = {
+        "ord": lambda: pa.array(o, pa.int32()), "form": lambda: forms, "lemma": lemmas, "upos": lambda: _taken(UPOS + columns[2], told(2, UPOS, UPOS_AT)), "xpos": lambda: _taken(XPOS + columns[3], told(3, XPOS, XPOS_AT)), "feats": feats,
+        "head": heads, "deprel": lambda: _taken(RELATIONS + columns[4], told(4, RELATIONS, RELATION_AT)), "t_start": lambda: pa.array(ends - length, pa.int32()), "t_end": lambda: pa.array(ends, pa.int32()),
     }
+    node = {name: make() for name, make in made.items() if not fields or name in ("ord", *fields)}
     cut = pa.array(np.append(first, total), pa.int32())
-    spaced = pc.binary_join_element_wise(_taken(["", " "], gap.astype(np.int64)), forms, "")
-    joint = np.flatnonzero((o < size[mine]) & (np.fmod(o + d + s, 2) == 0))
-    mwt = {"form": pc.utf8_lower(pc.binary_join_element_wise(forms.take(pa.array(joint)), forms.take(pa.array(joint + 1)), "")), "first_ord": pa.array(o[joint], pa.int32()), "last_ord": pa.array(o[joint] + 1, pa.int32())}
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(d[first], pa.int64()), pa.array(["_InitialView"] * len(first)), pa.array(s[first], pa.int32()), batch.column(1).take(pa.array(np.repeat(np.arange(len(keys)), counts)[first])),
-            pc.binary_join(pa.ListArray.from_arrays(cut, spaced), ""), pa.ListArray.from_arrays(cut, pa.StructArray.from_arrays(list(node.values()), list(node))),
-            pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.bincount(mine[joint], minlength=len(first)))), pa.int32()), pa.StructArray.from_arrays(list(mwt.values()), list(mwt))),
-        ],
-        names=["doc_id", "view", "sent_id", "lang", "text", "nodes", "mwts"],
-    )
+    out = {"doc_id": pa.array(d[first], pa.int64()), "view": pa.array(["_InitialView"]).take(pa.array(np.zeros(len(first), np.int32))), "sent_id": pa.array(s[first], pa.int32()), "lang": batch.column(1).take(pa.array(np.repeat(np.arange(len(keys)), counts)[first]))}
+    if text:
+        spaced = pc.binary_join_element_wise(_taken(["", " "], gap.astype(np.int64)), forms, "")
+        out["text"] = pc.binary_join(pa.ListArray.from_arrays(cut, spaced), "")
+    out["nodes"] = pa.ListArray.from_arrays(cut, pa.StructArray.from_arrays(list(node.values()), list(node)))
+    if mwts:
+        joint = np.flatnonzero((o < size[mine]) & (np.fmod(o + d + s, 2) == 0))
+        mwt = {"form": pc.utf8_lower(pc.binary_join_element_wise(forms.take(pa.array(joint)), forms.take(pa.array(joint + 1)), "")), "first_ord": pa.array(o[joint], pa.int32()), "last_ord": pa.array(o[joint] + 1, pa.int32())}
+        out["mwts"] = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.bincount(mine[joint], minlength=len(first)))), pa.int32()), pa.StructArray.from_arrays(list(mwt.values()), list(mwt)))
+    return pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
 
 
 def _listed(values: list[str], number: str) -> str:
