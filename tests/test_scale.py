@@ -5,6 +5,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from lingolake.operators import layers
 from lingolake.operators.trees import plain
 from lingolake.plans import queries as catalog
 from lingolake.sources.forest import forest
@@ -25,3 +26,13 @@ def test_forest_is_not_stored_and_has_only_what_is_asked_for(spark):
     before = set(Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://")).glob("forest-*"))
     assert catalog.QUERIES["det_passive"](spark, SF).count() > 0
     assert set(Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://")).glob("forest-*")) == before
+
+
+def test_conllu_blocks_are_made_once_and_parsed_whole(spark):
+    assert plan(catalog.QUERIES["conllu_round_trip"](spark, SF)).count("t_end=") == 1
+    block = "# sent_id = 4\n# text = a b\n# lang = en\n1-2\tab\t_\t_\t_\t_\t_\t_\t_\t_\n1\ta\t_\tX\t_\tB=1|A\t0\troot\t_\tt_start=0|t_end=99999999999\n1.1\te\t_\t_\t_\t_\t_\t_\t_\t_\n2\tb\tb\t_\tY\t_\t1\t_\t_\tx|t_start=0002\n"
+    rows = layers.from_conllu(spark.createDataFrame([(1, "v", block, 5), (2, "v", None, 6), (3, "v", "", 7)], "doc_id long, view string, block string, kept int"), "kept").orderBy("doc_id").collect()
+    first = rows[0]
+    assert (first["sent_id"], first["lang"], first["text"], first["kept"], [tuple(m) for m in first["mwts"]]) == (4, "en", "a b", 5, [("ab", 1, 2)])
+    assert [tuple(n) for n in first["nodes"]] == [(1, "a", "", "X", "", {"B": "1", "A": None}, 0, "root", 0, None), (2, "b", "b", "", "Y", {}, 1, "", 2, None)]
+    assert rows[1]["nodes"] is None and rows[2]["nodes"] == []
