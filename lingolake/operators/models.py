@@ -73,10 +73,13 @@ def found_tokens(tokens: str, text: str) -> str:
 
 def masked(sentences: DataFrame, confusion: DataFrame, mask: str = "[MASK]") -> DataFrame:
     """(doc_id, view, sent_id, ord, surface, masked, candidates): each token that a confusion set (word, candidates) is for, and its sentence's
-    tokens, joined by spaces, with the mask at that token only.  A scorer gives (candidate, score, rank) for ``decide_swap``."""
+    tokens, joined by spaces, with the mask at that token only.  A scorer gives (candidate, score, rank) for ``decide_swap``.
+
+    The sets, a word list, are broadcast: sentences stay where they are.
+    """
     rows = sentences.select("doc_id", "view", "sent_id", "nodes", F.explode("nodes").alias("n"))
     sets = confusion.select(F.lower("word").alias("__word"), "candidates")
-    hits = rows.withColumn("__word", F.lower("n.form")).join(sets, "__word")
+    hits = rows.withColumn("__word", F.lower("n.form")).join(F.broadcast(sets), "__word")
     text = F.expr(f"array_join(transform(nodes, x -> if(x.ord = n.ord, '{mask}', x.form)), ' ')")
     return hits.select("doc_id", "view", "sent_id", F.col("n.ord").alias("ord"), F.col("n.form").alias("surface"), text.alias("masked"), "candidates")
 

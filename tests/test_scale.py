@@ -36,3 +36,8 @@ def test_conllu_blocks_are_made_once_and_parsed_whole(spark):
     assert (first["sent_id"], first["lang"], first["text"], first["kept"], [tuple(m) for m in first["mwts"]]) == (4, "en", "a b", 5, [("ab", 1, 2)])
     assert [tuple(n) for n in first["nodes"]] == [(1, "a", "", "X", "", {"B": "1", "A": None}, 0, "root", 0, None), (2, "b", "b", "", "Y", {}, 1, "", 2, None)]
     assert rows[1]["nodes"] is None and rows[2]["nodes"] == []
+
+
+def test_masked_words_shuffle_no_sentences(spark):
+    told = plan(catalog.QUERIES["masked_words"](spark, SF))
+    assert "BroadcastHashJoin" in told and "SortMergeJoin" not in told
