@@ -41,3 +41,18 @@ def test_conllu_blocks_are_made_once_and_parsed_whole(spark):
 def test_masked_words_shuffle_no_sentences(spark):
     told = plan(catalog.QUERIES["masked_words"](spark, SF))
     assert "BroadcastHashJoin" in told and "SortMergeJoin" not in told
+
+
+def test_layers_are_shuffled_once(spark):
+    assert plan(catalog.QUERIES["layer_assembly"](spark, SF)).count("hashpartitioning(doc_id") <= 7  # one of blocks; a table in one file is dealt out for each of the six layers
+    t = "doc_id long, view string, begin int, end int, id long, "
+    make = lambda columns, *rows: spark.createDataFrame(list(rows), columns)
+    spans = make(t + "text string", (1, "v", 0, 9, 70, "a b c"), (1, "w", 0, 9, 70, "d"), (None, "v", 0, 9, 70, ""))
+    tokens = make(t + "form string", (1, "v", 4, 5, 3, "b"), (1, "v", 0, 1, 2, "a"), (1, "v", 0, 1, 1, "A"), (1, "v", 8, 12, 4, "out"), (1, "v", 6, 7, 5, " "), (1, "w", 0, 1, 1, "d"), (None, "v", 0, 1, 1, "x"))
+    pos = make(t + "upos string, xpos string", (1, "v", 0, 1, 9, "Y", "y"), (1, "v", 0, 1, 8, "X", None))
+    lemmas = make(t + "lemma string", (1, "v", 0, 1, 1, "l"), (1, "w", 0, 2, 1, "no"))
+    links = make("doc_id long, view string, dependent long, governor long, id long, deprel string", (1, "v", 1, 3, 1, "old"), (1, "v", 1, 1, 2, "x"), (1, "v", 2, 1, 1, ""), (1, "v", 3, 99, 1, "far"), (1, "w", 1, 1, 1, "x"))
+    got = layers.assembled(spans, tokens, pos, lemmas, make(t + "feats string"), links)
+    assert sorted(tuple(r)[1:11] for r in got.collect()) == [
+        ("v", 70, 1, "A", "l", "X", "_", "_", 0, "root"), ("v", 70, 2, "a", "l", "Y", "y", "_", 1, "dep"), ("v", 70, 3, "b", "_", "FM", "_", "_", 0, "far"), ("w", 70, 1, "d", "_", "FM", "_", "_", 0, "root"),
+    ]
