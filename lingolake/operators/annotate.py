@@ -46,13 +46,22 @@ def annotations(findings: DataFrame, phenomenon: str) -> DataFrame:
     """Findings as stand-off annotations: a GrammarAnomaly for each (if the detector writes one), a LexicalPhrase for each role."""
     spec = REGISTRY[phenomenon]
     base = ["doc_id", "view", "sent_id", F.lit(phenomenon).alias("phenomenon")]
-    none = F.lit(None).cast("string")
-    phrases = findings.select(*base, F.explode("roles").alias("r")).select("doc_id", "view", "sent_id", "phenomenon", F.lit("LexicalPhrase").alias("kind"), "r.begin", "r.end", none.alias("description"), none.alias("category"), F.col("r.label").alias("label"), none.alias("suggestion"), F.lit(None).cast("double").alias("certainty"))
+    if not spec.labels:
+        return _anomalies(findings, spec, base)
     if spec.category is None:
-        return phrases
+        return findings.select(*base, F.explode(F.expr(f"transform(roles, r -> {_PHRASE})")).alias("a")).select("doc_id", "view", "sent_id", "phenomenon", "a.*")
+    # both kinds of one finding from one row: findings are worked out once
+    anomaly = ", ".join(f"'{c}', {c}" for c in ANNOTATION[4:])
+    rows = _anomalies(findings, spec, base, "roles")
+    return rows.select("doc_id", "view", "sent_id", "phenomenon", F.explode(F.expr(f"concat(array(named_struct({anomaly})), transform(roles, r -> {_PHRASE}))")).alias("a")).select("doc_id", "view", "sent_id", "phenomenon", "a.*")
+
+
+_PHRASE = """named_struct('kind', 'LexicalPhrase', 'begin', r.begin, 'end', r.end, 'description', cast(null AS string), 'category', cast(null AS string), 'label', r.label, 'suggestion', cast(null AS string), 'certainty', cast(null AS double))"""
+
+
+def _anomalies(findings: DataFrame, spec: Detector, base: list, *more: str) -> DataFrame:
     certainty = F.when(F.col("suggestion").isNotNull(), F.coalesce(F.expr("try_cast(more['certainty'] AS double)"), F.lit(1.0)))
-    anomalies = findings.select(*base, F.lit("GrammarAnomaly").alias("kind"), "begin", "end", F.expr(spec.description).alias("description"), F.expr(spec.category).alias("category"), none.alias("label"), "suggestion", certainty.alias("certainty"))
-    return anomalies.unionByName(phrases)
+    return findings.select(*base, F.lit("GrammarAnomaly").alias("kind"), "begin", "end", F.expr(spec.description).alias("description"), F.expr(spec.category).alias("category"), F.lit(None).cast("string").alias("label"), "suggestion", certainty.alias("certainty"), *more)
 
 
 def routed(sentences: DataFrame, *, lang: str | None = None, mixed: bool = False, detected: Column | None = None, document: Column | None = None) -> DataFrame:
@@ -129,9 +138,12 @@ def from_earlier_run(phenomenon: str) -> Column:
 
 
 def run_again(existing: DataFrame, sentences: DataFrame, phenomenon: str, *, replace: bool = False, **how) -> DataFrame:
-    """All annotations after a run: views that the detector has annotated are passed over, or with ``replace`` done anew."""
+    """All annotations after a run: views that the detector has annotated are passed over, or with ``replace`` done anew.
+
+    A detector sees one sentence at a time, so it is the few findings in such views that are taken out, and no sentences are shuffled.
+    """
     mine = from_earlier_run(phenomenon)
     if replace:
         return existing.filter(~mine).unionByName(detect(sentences, phenomenon, **how))
     done = existing.filter(mine).select("doc_id", "view").distinct()
-    return existing.unionByName(detect(sentences.join(done, ["doc_id", "view"], "left_anti"), phenomenon, **how))
+    return existing.unionByName(detect(sentences, phenomenon, **how).join(done, ["doc_id", "view"], "left_anti"))

@@ -5,7 +5,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from lingolake.operators import layers
+from lingolake.operators import annotate, layers
 from lingolake.operators.trees import plain
 from lingolake.plans import queries as catalog
 from lingolake.sources.forest import forest
@@ -56,3 +56,13 @@ def test_layers_are_shuffled_once(spark):
     assert sorted(tuple(r)[1:11] for r in got.collect()) == [
         ("v", 70, 1, "A", "l", "X", "_", "_", 0, "root"), ("v", 70, 2, "a", "l", "Y", "y", "_", 1, "dep"), ("v", 70, 3, "b", "_", "FM", "_", "_", 0, "far"), ("w", 70, 1, "d", "_", "FM", "_", "_", 0, "root"),
     ]
+
+
+def test_annotations_work_findings_out_once(spark):
+    docs = spark.createDataFrame([(7, "en", "It was so. " * 20)], "doc_id long, lang string, text string")
+    for phenomenon in ("subject_sharing", "verbal_ellipsis", "passive", "contraction"):
+        made = annotate.detect(forest(docs), phenomenon)
+        assert made.columns == annotate.ANNOTATION
+        assert plan(made).count("MapInArrow") == (4 if phenomenon == "contraction" else 1)
+    again = annotate.run_again(spark.createDataFrame([], made.schema), forest(docs), "subject_sharing")
+    assert "nodes" not in "".join(re.findall(r"Exchange hashpartitioning.*|SortMergeJoin.*", plan(again)))
