@@ -30,11 +30,14 @@ def decide_swap(scored: DataFrame, *, keys: list[str], magnitude: float = 10.0,
 
 def discourse_units(sentences: str = "sentence", labels: str = "labels", shift: str = "0") -> str:
     """SQL for a sentence's discourse units (array of begin, end): a word labelled 1, and the first one, opens a unit; a missing label is 0."""
-    spans = f"""aggregate(regexp_extract_all({sentences}, '(?Us)(\\\\s*)(\\\\S+)', 1), named_struct('at', 0, 'i', 0, 'out', cast(array() AS array<struct<begin:int,end:int>>)),
-        (acc, gap) -> named_struct('at', acc.at + length(gap) + length(regexp_extract_all({sentences}, '(?Us)(\\\\S+)(?:\\\\s|\\\\z)', 1)[acc.i]), 'i', acc.i + 1, 'out',
-            if(acc.i = 0 OR coalesce(get({labels}, acc.i), 0) = 1, array_append(acc.out, named_struct('begin', {shift} + acc.at + length(gap), 'end', {shift} + acc.at + length(gap) + length(regexp_extract_all({sentences}, '(?Us)(\\\\S+)(?:\\\\s|\\\\z)', 1)[acc.i]))),
-                array_append(slice(acc.out, 1, size(acc.out) - 1), named_struct('begin', element_at(acc.out, -1).begin, 'end', {shift} + acc.at + length(gap) + length(regexp_extract_all({sentences}, '(?Us)(\\\\S+)(?:\\\\s|\\\\z)', 1)[acc.i]))))))"""
-    return spans + ".out"
+    # the gap before each word and the word itself, found once; acc.at is where the gap begins
+    pairs = f"""zip_with(regexp_extract_all({sentences}, '(?Us)(\\\\s*)(\\\\S+)', 1), regexp_extract_all({sentences}, '(?Us)(\\\\s*)(\\\\S+)', 2), (g, w) -> named_struct('g', length(g), 'w', length(w)))"""
+    opens = f"acc.i = 0 OR coalesce(get({labels}, acc.i), 0) = 1"
+    # ends of words, and begins of those that open a unit; a unit ends where the last word before the next unit ends
+    fold = f"""aggregate({pairs}, named_struct('at', 0, 'i', 0, 'begins', cast(array() AS array<int>), 'ends', cast(array() AS array<int>)),
+        (acc, x) -> named_struct('at', acc.at + x.g + x.w, 'i', acc.i + 1, 'begins', if({opens}, array_append(acc.begins, {shift} + acc.at + x.g), acc.begins), 'ends', if(({opens}) AND acc.i > 0, array_append(acc.ends, {shift} + acc.at), acc.ends)),
+        acc -> zip_with(acc.begins, if(acc.i = 0, acc.ends, array_append(acc.ends, {shift} + acc.at)), (b, e) -> named_struct('begin', b, 'end', e)))"""
+    return fold
 
 
 def truncated(labels: str, subwords: str, most: int = 512, special: int = 2) -> str:

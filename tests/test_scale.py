@@ -5,7 +5,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from lingolake.operators import annotate, layers
+from lingolake.operators import annotate, layers, models
 from lingolake.operators.trees import plain
 from lingolake.plans import queries as catalog
 from lingolake.sources.forest import forest
@@ -66,3 +66,9 @@ def test_annotations_work_findings_out_once(spark):
         assert plan(made).count("MapInArrow") == (4 if phenomenon == "contraction" else 1)
     again = annotate.run_again(spark.createDataFrame([], made.schema), forest(docs), "subject_sharing")
     assert "nodes" not in "".join(re.findall(r"Exchange hashpartitioning.*|SortMergeJoin.*", plan(again)))
+
+
+def test_discourse_units_cut_a_sentence_twice_only(spark):
+    assert models.discourse_units().count("regexp_extract_all") == 2
+    rows = spark.createDataFrame([(" a  b c d ", [0, 0, 1, None]), ("x", None), (None, [1])], "sentence string, labels array<int>")
+    assert [r[0] and [tuple(u) for u in r[0]] for r in rows.select(F.expr(models.discourse_units())).collect()] == [[(1, 5), (6, 9)], [(0, 1)], None]
