@@ -155,7 +155,9 @@ def lexicalised_prep_article(surface: Column, following: Column) -> Column:
 
 def particle_lengths(word: str) -> Column:
     """Lengths of the German verb particles that a word begins with, in the list's order."""
-    return F.expr(f"transform(filter({L.sql(L.VERB_PARTICLES_DE)}, p -> startswith(lower({word}), p) AND length(p) < length({word})), p -> length(p))")
+    # spelled out without a lambda, so that it is compiled and the word put into lower case once
+    each = ", ".join(f"if(startswith(lower({word}), '{p}') AND {len(p)} < length({word}), {len(p)}, 0)" for p in L.VERB_PARTICLES_DE)
+    return F.expr(f"array_remove(array({each}), 0)")
 
 
 def stems(word: str) -> str:

@@ -38,7 +38,7 @@ LONG_FORMS_SQL = f"""SELECT item_id, part, part <> '' AND NOT starts_with(part,
 
 def next_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Neighbouring words that are fixed together; German verb particles that words begin with; capitals taken over."""
-    pairs = _sentences(spark, sf_dir, "form", "lemma").select("lang", F.explode(F.expr("transform(nodes, n -> named_struct('a', n.form, 'b', coalesce(get(nodes, n.ord).form, ''), 'lemma', n.lemma))")).alias("x"))
+    pairs = _sentences(spark, sf_dir, "form", "lemma").select("lang", "nodes", F.explode("nodes").alias("n")).select("lang", F.expr("named_struct('a', n.form, 'b', coalesce(get(nodes, n.ord).form, ''), 'lemma', n.lemma)").alias("x"))
     known = texts.lexicalised_prep_article(F.col("x.a"), F.col("x.b"))
     rows = pairs.select("lang", known.alias("fixed"), F.size(texts.particle_lengths("x.a")).alias("particles"), F.length(texts.match_case(F.col("x.lemma"), F.col("x.a"))).alias("chars"), (texts.match_case(F.col("x.lemma"), F.col("x.a")) == F.col("x.lemma")).alias("same"))
     return rows.groupBy("lang", "fixed", "particles", "same").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))

@@ -72,3 +72,7 @@ def test_discourse_units_cut_a_sentence_twice_only(spark):
     assert models.discourse_units().count("regexp_extract_all") == 2
     rows = spark.createDataFrame([(" a  b c d ", [0, 0, 1, None]), ("x", None), (None, [1])], "sentence string, labels array<int>")
     assert [r[0] and [tuple(u) for u in r[0]] for r in rows.select(F.expr(models.discourse_units())).collect()] == [[(1, 5), (6, 9)], [(0, 1)], None]
+
+
+def test_next_words_is_compiled(spark):
+    assert "lambda" not in plan(catalog.QUERIES["next_words"](spark, SF))
