@@ -54,12 +54,14 @@ def discourse_layer(views: DataFrame, sentences: DataFrame) -> DataFrame:
     return rows.select("doc_id", "view", F.explode(F.expr(discourse_units(shift="begin"))).alias("u")).select("doc_id", "view", "u.begin", "u.end")
 
 
-def coreference_tokens(sentences: DataFrame) -> DataFrame:
+def coreference_tokens(sentences: DataFrame, *, payload: bool = True) -> DataFrame:
     """(doc_id, view, payload, tokens): the request with token lists by sentence, and each token's (begin, end) in the same, flat order.
-    A view's sentences are one request, so they come together (in order, whatever their partitions)."""
-    lists = F.array_sort(F.collect_list(F.struct("sent_id", F.expr("transform(nodes, n -> n.form)").alias("forms"), F.expr("transform(nodes, n -> named_struct('begin', n.t_start, 'end', n.t_end))").alias("spans"))))
-    rows = sentences.groupBy("doc_id", "view").agg(lists.alias("s"))
-    return rows.select("doc_id", "view", F.to_json(F.struct(F.expr("transform(s, x -> x.forms)").alias("tokens"))).alias("payload"), F.expr("flatten(transform(s, x -> x.spans))").alias("tokens"))
+    A view's sentences are one request, so they come together (in order, whatever their partitions).  What is shuffled is a list of
+    numbers for the places and, unless only these are asked for (no ``payload``), one of forms."""
+    told = ["sent_id", *([F.expr("nodes.form").alias("forms")] if payload else []), F.expr("nodes.t_start").alias("begins"), F.expr("nodes.t_end").alias("ends")]
+    rows = sentences.groupBy("doc_id", "view").agg(F.array_sort(F.collect_list(F.struct(*told))).alias("s"))
+    tokens = F.expr("flatten(transform(s, x -> zip_with(x.begins, x.ends, (b, e) -> named_struct('begin', b, 'end', e))))").alias("tokens")
+    return rows.select("doc_id", "view", *([F.to_json(F.struct(F.expr("transform(s, x -> x.forms)").alias("tokens"))).alias("payload")] if payload else []), tokens)
 
 
 def coreference_text(documents: DataFrame) -> DataFrame:
