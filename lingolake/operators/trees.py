@@ -8,8 +8,11 @@ shuffle, and detection keeps the scan's partitions.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, StructField, StructType, _parse_datatype_string
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType, _parse_datatype_string
 
 NODE = "struct<ord:int,form:string,lemma:string,upos:string,xpos:string,feats:map<string,string>,head:int,deprel:string,t_start:int,t_end:int>"
 SENTENCES = f"doc_id long, view string, sent_id int, lang string, text string, nodes array<{NODE}>, mwts array<struct<form:string,first_ord:int,last_ord:int>>"
@@ -61,6 +64,59 @@ def with_ancestors(rows: DataFrame) -> DataFrame:
     return fixed(rows.withColumn("nodes", F.expr(f"transform(nodes, (n, i) -> named_struct({every}, 'anc', __paths[i]))")).drop("__paths"))
 
 
+def subtree_spans(sentences: DataFrame) -> DataFrame:
+    """(doc_id, view, sent_id, ord, begin, end, size, depth): each node's subtree, and its depth (1 for a root), on whole Arrow batches.
+
+    Heads out of range and in a circle are as for ``with_ancestors``.
+    """
+    rows = sentences.select("doc_id", "view", "sent_id", *[F.expr(f"nodes.{c}").alias(c) for c in ("ord", "head", "t_start", "t_end")])
+    schema = StructType([rows.schema[c] for c in ("doc_id", "view", "sent_id")] + [StructField(c, IntegerType()) for c in ("ord", "begin", "end", "size", "depth")])
+
+    def run(batches):
+        for batch in batches:
+            yield _spans(batch, schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def _spans(batch: pa.RecordBatch, names: list[str]) -> pa.RecordBatch:
+    low, high = -(1 << 31), (1 << 31) - 1
+    many = pc.fill_null(pc.list_value_length(batch.column(3)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    of = np.repeat(np.arange(len(many)), many)
+    first = (np.cumsum(many) - many)[of]
+    head, start, end = (pc.fill_null(batch.column(i).flatten(), empty).to_numpy(zero_copy_only=False).astype(np.int64) for i, empty in ((4, 0), (5, high), (6, low)))
+    above = np.where((head >= 1) & (head <= many[of]), first + head - 1, -1)
+    begin, last, size, depth = start.copy(), end.copy(), np.ones(len(of), np.int64), np.ones(len(of), np.int64)
+    # all paths take a step at a time; each node tells those above it
+    who = at = np.arange(len(of))
+    for _ in range(int(many.max(initial=0)) + 1):
+        depth[who] += head[at] > 0
+        on = above[at] >= 0
+        who, at = who[on], above[at[on]]
+        if not len(who):
+            break
+        np.minimum.at(begin, at, start[who])
+        np.maximum.at(last, at, end[who])
+        np.add.at(size, at, 1)
+    # a path that is longer than its sentence goes in a circle
+    for s in np.unique(of[who]).tolist():
+        here = np.flatnonzero(of == s)
+        begin[here], last[here], size[here], depth[here] = high, low, 0, 1
+        for n in here.tolist():
+            seen, at_ = {n}, n
+            for _ in range(1 << int(np.ceil(np.log2(max(len(here), 2))))):
+                depth[n] += int(head[at_] > 0)
+                if above[at_] < 0:
+                    break
+                at_ = int(above[at_])
+                seen.add(at_)
+            for m in seen:
+                begin[m], last[m], size[m] = min(begin[m], start[n]), max(last[m], end[n]), size[m] + 1
+    told = lambda x, empty: pa.array(x, pa.int32(), mask=x == empty)
+    where = pa.array(of)
+    return pa.RecordBatch.from_arrays([*(batch.column(i).take(where) for i in range(3)), batch.column(3).flatten(), told(begin, high), told(last, low), pa.array(size, pa.int32()), pa.array(depth, pa.int32())], names=names)
+
+
 # SQL for a node's surroundings; ``n`` is the SQL of a node, each lambda takes a name of its own
 
 

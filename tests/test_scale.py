@@ -1,11 +1,12 @@
 """What queries may take on large tables: no stored forest, no needless shuffles, each input grown once."""
 
+import random
 import re
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from lingolake.operators import annotate, layers, models
+from lingolake.operators import annotate, layers, models, trees
 from lingolake.operators.trees import plain
 from lingolake.plans import queries as catalog
 from lingolake.sources.forest import forest
@@ -76,3 +77,22 @@ def test_discourse_units_cut_a_sentence_twice_only(spark):
 
 def test_next_words_is_compiled(spark):
     assert "lambda" not in plan(catalog.QUERIES["next_words"](spark, SF))
+
+
+def test_subtree_spans_of_any_heads(spark):
+    """Against the expressions of ``trees``: random heads, with circles and heads out of range, nulls among places."""
+    rng = random.Random(5)
+    rows = [(i, "v", 0, "en", "", [(o, "f", "", "", "", {}, rng.choice([None, -1, *range(n + 2)]), "", rng.choice([None, rng.randrange(99)]), rng.randrange(99)) for o in range(1, n + 1)], []) for i, n in enumerate(rng.choice([0, 1, 2, 5, 9, 17]) for _ in range(120))]
+    sentences = spark.createDataFrame([*rows, (999, "v", 0, "en", "", None, [])], trees.SENTENCES)
+    spans = f"transform(nodes, n -> named_struct('ord', n.ord, 'begin', {trees.begin(trees.subtree('n'))}, 'end', {trees.end(trees.subtree('n'))}, 'size', size({trees.subtree('n')}), 'depth', size(filter(n.anc, a -> a > 0))))"
+    expected = trees.with_ancestors(plain(sentences)).select("doc_id", F.explode(F.expr(spans)).alias("x")).select("doc_id", "x.*")
+    got = trees.subtree_spans(sentences).select(*expected.columns)
+    assert "lambda" not in plan(got) and sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_coreference_tokens_shuffle_numbers_only(spark):
+    told = plan(catalog.QUERIES["coreference_tokens"](spark, SF))
+    assert "form" not in told.replace("transform", "") and "struct<begin" not in told
+    docs = spark.createDataFrame([(7, "en", "It was so. " * 20)], "doc_id long, lang string, text string")
+    rows = models.coreference_tokens(forest(docs)).first()
+    assert [tuple(t) for t in rows["tokens"]] == [tuple(t) for t in models.coreference_tokens(forest(docs), payload=False).first()["tokens"]] and rows["payload"].count(",") == 79
