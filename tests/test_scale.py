@@ -96,3 +96,11 @@ def test_coreference_tokens_shuffle_numbers_only(spark):
     docs = spark.createDataFrame([(7, "en", "It was so. " * 20)], "doc_id long, lang string, text string")
     rows = models.coreference_tokens(forest(docs)).first()
     assert [tuple(t) for t in rows["tokens"]] == [tuple(t) for t in models.coreference_tokens(forest(docs), payload=False).first()["tokens"]] and rows["payload"].count(",") == 79
+
+
+def test_words_of_multiword_tokens_are_packed(spark):
+    told = plan(catalog.QUERIES["multiword_forms"](spark, SF))
+    assert "collect_list" not in told and "block" in told
+    rows = [(1, "v", 0, 1, 1, "b"), (1, "v", 0, 1, 0, "a"), (1, "v", 5, 6, 0, "c"), (2, None, 0, 1, 0, None), (None, "v", 0, 1, 1, "y"), (None, "v", 0, 1, None, "x")]
+    got = layers.mwt_forms(spark.createDataFrame(rows, "doc_id long, view string, begin int, end int, idx int, form string").repartition(3))
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, [(1, "v", 0, 1, ["a", "b"]), (1, "v", 5, 6, ["c"]), (2, None, 0, 1, [None]), (None, "v", 0, 1, ["x", "y"])]))
